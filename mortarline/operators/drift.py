@@ -242,20 +242,14 @@ def window_drift(
         .select("window_start", "c.feature", "c.v")
         .where(F.col("v").isNotNull())
         .join(F.broadcast(edges), "feature")
-        .select("window_start", "feature", P.bin_index(F.col("v"), F.col("edges")).alias("bin"))
-        .where(F.col("bin").between(1, P.BINS))
+        .select("window_start", "feature", P.bin_index(F.col("v")).alias("bin"))
         .groupBy("window_start", "feature", "bin")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    windows = counted.select("window_start", "feature").distinct()
     full = (
-        windows.join(F.broadcast(reference), "feature")
-        .join(counted, ["window_start", "feature", "bin"], "left")
-        .select(
-            F.struct("window_start", "feature").alias("feature"),
-            "bin",
-            "base",
-            F.coalesce("n", F.lit(0)).alias("inf"),
-        )
+        P.fill_bins(counted, ["window_start", "feature"], 1, P.BINS)
+        .withColumnRenamed("n", "inf")
+        .join(F.broadcast(reference), ["feature", "bin"])
+        .select(F.struct("window_start", "feature").alias("feature"), "bin", "base", "inf")
     )
     return divergence(full).select("feature.window_start", "feature.feature", "psi", "js_divergence")

@@ -64,19 +64,43 @@ def numeric_profile(df: DataFrame, features: Sequence[str]) -> DataFrame:
 
 
 def bin_edges(summary: DataFrame, bins: int = BINS) -> DataFrame:
-    """(feature, edges): equal-width edges from min to max; a constant feature gets +-0.5."""
+    """(feature, lo, hi, step): equal-width bins from min to max; a constant feature gets +-0.5."""
     flat = F.col("min") == F.col("max")
     lo = F.when(flat, F.col("min") - 0.5).otherwise(F.col("min"))
     hi = F.when(flat, F.col("max") + 0.5).otherwise(F.col("max"))
-    step = (hi - lo) / F.lit(float(bins))
-    edges = F.array(*[lo + F.lit(float(i)) * step for i in range(bins)], hi)
-    return summary.where(F.col("count") > 0).select("feature", edges.alias("edges"))
+    return (
+        summary.where(F.col("count") > 0)
+        .select("feature", lo.alias("lo"), hi.alias("hi"))
+        .withColumn("step", (F.col("hi") - F.col("lo")) / F.lit(float(bins)))
+    )
+
 
+def edge_list(bins: int = BINS) -> Column:
+    """The ``bins + 1`` edges as an array."""
+    return F.array(*[F.col("lo") + F.lit(float(i)) * F.col("step") for i in range(bins)], F.col("hi"))
 
-def bin_index(v: Column, edges: Column, bins: int = BINS) -> Column:
-    """1-based bin, last bin closed on the right, 0 below and ``bins + 1`` above the edges."""
-    passed = reduce(lambda a, b: a + b, [(v >= edges[i]).cast("int") for i in range(bins + 1)])
-    return F.when(v == edges[bins], F.lit(bins)).otherwise(passed)
+
+def bin_index(v: Column, bins: int = BINS) -> Column:
+    """1-based bin, last bin closed on the right, 0 below and ``bins + 1`` above the edges.
+
+    The arithmetic guess is corrected against the two edges around it, so the result
+    is what comparing with every edge would give.
+    """
+    lo, hi, step = F.col("lo"), F.col("hi"), F.col("step")
+    guess = F.greatest(F.lit(0.0), F.least(F.lit(bins - 1.0), F.floor((v - lo) / step).cast("double")))
+    low, high = lo + guess * step, F.when(guess == bins - 1.0, hi).otherwise(lo + (guess + 1.0) * step)
+    inner = guess + 1.0 - F.when(v < low, 1.0).otherwise(0.0) + F.when((v >= high) & (v < hi), 1.0).otherwise(0.0)
+    placed = F.when(v < lo, 0.0).when(v > hi, bins + 1.0).when(v == hi, F.lit(float(bins))).otherwise(inner)
+    # never NULL, so no null test of the whole expression is pushed below a join
+    return F.coalesce(placed.cast("int"), F.lit(-1))
+
+
+def fill_bins(counted: DataFrame, keys: Sequence[str], first: int, last: int) -> DataFrame:
+    """(keys, bin, n) with a zero row for every bin that did not occur."""
+    per_key = counted.groupBy(*keys).agg(F.map_from_entries(F.collect_list(F.struct("bin", "n"))).alias("m"))
+    return per_key.select(
+        *keys, "m", F.explode(F.sequence(F.lit(first), F.lit(last))).alias("bin")
+    ).select(*keys, "bin", F.coalesce(F.try_element_at("m", F.col("bin")), F.lit(0)).cast("long").alias("n"))
 
 
 def histogram(df: DataFrame, edges: DataFrame, features: Sequence[str], bins: int = BINS, overflow: bool = False) -> DataFrame:
@@ -85,19 +109,14 @@ def histogram(df: DataFrame, edges: DataFrame, features: Sequence[str], bins: in
     Values outside the edges are dropped, or with ``overflow`` counted in bins 0 and
     ``bins + 1``.  ``edges`` has one row per column, so it is broadcast.
     """
-    first, last = (0, bins + 1) if overflow else (1, bins)
     counted = (
         long_numeric(df, features)
         .join(F.broadcast(edges), "feature")
-        .select("feature", bin_index(F.col("v"), F.col("edges"), bins).alias("bin"))
-        .where(F.col("bin").between(first, last))
+        .select("feature", bin_index(F.col("v"), bins).alias("bin"))
         .groupBy("feature", "bin")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    frame = edges.select("feature", F.explode(F.sequence(F.lit(first), F.lit(last))).alias("bin"))
-    return frame.join(counted, ["feature", "bin"], "left").select(
-        "feature", "bin", F.coalesce("n", F.lit(0)).cast("long").alias("n")
-    )
+    return fill_bins(counted, ["feature"], 0 if overflow else 1, bins + 1 if overflow else bins)
 
 
 def category_counts(df: DataFrame, features: Sequence[str]) -> DataFrame:
@@ -161,7 +180,7 @@ def baseline_profile(df: DataFrame, numeric: Sequence[str], categorical: Sequenc
             "max",
             F.create_map(*[x for p in PERCENTILES for x in (F.lit(p), F.col(p))]).alias("percentiles"),
             "counts",
-            F.col("edges").alias("bin_edges"),
+            edge_list().alias("bin_edges"),
         )
     )
     shares = (

@@ -20,7 +20,7 @@ ADAPTERS: dict[str, str] = {
           CASE event_type WHEN 'view' THEN 'generate_spec' WHEN 'click' THEN 'Generate_Spec_v2'
             WHEN 'purchase' THEN 'rag_pipeline' WHEN 'signup' THEN 'health_probe'
             ELSE 'generate_spec_batch' END AS name,
-          value * 10 AS duration,
+          value * 7.31e0 AS duration,
           event_type <> 'error' AS success,
           CASE WHEN k % 7 = 0 THEN NULL WHEN k % 7 = 1 THEN ''
             ELSE concat('v', CAST(k % 3 + 1 AS STRING)) END AS prompt_version,
