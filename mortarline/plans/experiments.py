@@ -1 +1,137 @@
-"""Registered queries."""
+"""Experiment and tuning queries."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from mortarline import dims as D
+from mortarline.functions.scalars import render
+from mortarline.operators import experiments as X
+from mortarline.plans.adapters import ctes, table, view
+from mortarline.plans.quality import _CASES, _cases
+from mortarline.plans.registry import register
+
+PROMPT_AXES = {"system_prompt": ["v1", "v2"], "rag_template": ["v1", "v2"]}
+RAG_AXES = {
+    "chunk_size": [300, 600, 1000],
+    "overlap": [0, 50, 100],
+    "search_mode": ["vector", "hybrid", "keyword_semantic"],
+    "top_k": [3, 5, 10],
+}
+
+
+def _shift(c: str) -> str:
+    """Run score of a case under a configuration: the given tables hold one score per case."""
+    return f"{c} * (10 - pmod(combo_no * 7 + {len(c)}, 5)) / 10e0"
+
+
+def _mod(c: str) -> str:
+    return f"{c} * (10 - (combo_no * 7 + {len(c)}) % 5) / 10e0"
+
+
+def _runs(spark: SparkSession, sf: str, axes: dict) -> DataFrame:
+    cases = _cases(spark, sf).drop("buildability_details", "response_preview")
+    runs = X.expand_runs(cases, axes)
+    return runs.withColumns(
+        {m: F.expr(_shift(m)) for m in D.QUALITY_METRICS}
+        | {
+            "input_tokens": F.col("input_tokens") + F.col("combo_no") * 3,
+            "output_tokens": F.col("output_tokens") + F.col("combo_no") % 5,
+        }
+    )
+
+
+def _runs_sql(axes: dict) -> str:
+    grid, n = "SELECT 0 AS z", 1
+    for name, values in axes.items():
+        vals = ", ".join(f"({i}, {v!r})" for i, v in enumerate(values))
+        grid = f"SELECT g.* EXCLUDE z, z * {len(values)} + i AS z, v AS {name} FROM ({grid}) g, (VALUES {vals}) t(i, v)"
+    metrics = ", ".join(f"{_mod(m)} AS {m}" for m in D.QUALITY_METRICS)
+    return f"""{_CASES}, grid AS (SELECT * EXCLUDE z, z AS combo_no FROM ({grid}) q),
+    runs AS (SELECT grid.*, {metrics}, input_tokens + combo_no * 3 AS input_tokens, output_tokens + combo_no % 5 AS output_tokens,
+      latency_ms, retrieval_ms FROM cases, grid)"""
+
+
+_MEANS = ", ".join(f"round(avg({m}), 4) AS {m}" for m in D.QUALITY_METRICS)
+_COST = "round(avg(input_tokens) * (3e-2 / 1000) + avg(output_tokens) * (6e-2 / 1000), 6) AS estimated_cost_per_request"
+
+
+def _weighted(weights: dict) -> str:
+    return " + ".join(f"{m} * {w}e0" for m, w in weights.items())
+
+
+_PROMPT = f"""{_runs_sql(PROMPT_AXES)}, s AS (SELECT combo_no, system_prompt, rag_template, {_MEANS},
+      round(avg(input_tokens), 1) AS avg_input_tokens, round(avg(output_tokens), 1) AS avg_output_tokens,
+      round(avg(latency_ms), 1) AS avg_latency_ms, {_COST} FROM runs GROUP BY 1, 2, 3),
+    c AS (SELECT *, {_weighted(D.PROMPT_WEIGHTS)} AS composite FROM s)"""
+_RAG = f"""{_runs_sql(RAG_AXES)}, s AS (SELECT combo_no, chunk_size, overlap, search_mode, top_k, {_MEANS},
+      round(avg(retrieval_ms), 1) AS avg_retrieval_latency_ms, round(avg(latency_ms), 1) AS avg_generation_latency_ms,
+      round((sum(retrieval_ms) + sum(latency_ms)) / count(*), 1) AS avg_total_latency_ms,
+      round(avg(input_tokens), 1) AS avg_input_tokens, round(avg(output_tokens), 1) AS avg_output_tokens, {_COST}
+      FROM runs GROUP BY 1, 2, 3, 4, 5),
+    c AS (SELECT *, round({_weighted(D.RAG_WEIGHTS)}, 4) AS composite_quality FROM s)"""
+
+
+@register("prompt_experiment", f"{_PROMPT} SELECT * REPLACE (round(composite, 6) AS composite) FROM c")
+def prompt_experiment(spark: SparkSession, sf: str) -> DataFrame:
+    out = X.prompt_summary(_runs(spark, sf, PROMPT_AXES), ["combo_no", *PROMPT_AXES])
+    return out.withColumn("composite", F.round("composite", 6))
+
+
+@register(
+    "winner",
+    f"{_PROMPT} SELECT system_prompt, rag_template, round(composite, 6) AS composite FROM c ORDER BY c.composite DESC, combo_no LIMIT 1",
+)
+def winner(spark: SparkSession, sf: str) -> DataFrame:
+    out = X.winner(X.prompt_summary(_runs(spark, sf, PROMPT_AXES), ["combo_no", *PROMPT_AXES]), "composite")
+    return out.select("system_prompt", "rag_template", F.round("composite", 6).alias("composite"))
+
+
+@register("rag_summary", f"{_RAG} SELECT * FROM c")
+def rag_summary(spark: SparkSession, sf: str) -> DataFrame:
+    return X.rag_summary(_runs(spark, sf, RAG_AXES), ["combo_no", *RAG_AXES])
+
+
+@register(
+    "rag_tuning",
+    f"""{_RAG}, p AS (SELECT * FROM c WHERE NOT EXISTS (SELECT 1 FROM c o WHERE o.composite_quality >= c.composite_quality
+        AND o.estimated_cost_per_request <= c.estimated_cost_per_request AND (o.composite_quality > c.composite_quality
+        OR o.estimated_cost_per_request < c.estimated_cost_per_request)))
+    SELECT combo_no, composite_quality, estimated_cost_per_request,
+      row_number() OVER (ORDER BY composite_quality DESC, combo_no) AS rank FROM p""",
+)
+def rag_tuning(spark: SparkSession, sf: str) -> DataFrame:
+    summary = X.rag_summary(_runs(spark, sf, RAG_AXES), ["combo_no", *RAG_AXES])
+    front = X.pareto_front(summary, "composite_quality", "estimated_cost_per_request")
+    return X.ranked(front, "composite_quality").select(
+        "combo_no", "composite_quality", "estimated_cost_per_request", "rank"
+    )
+
+
+@register(
+    "pareto_front",
+    f"""{ctes('grid_scores')} SELECT candidate, cost, quality FROM grid_scores c WHERE NOT EXISTS (SELECT 1 FROM grid_scores o
+      WHERE o.quality >= c.quality AND o.cost <= c.cost AND (o.quality > c.quality OR o.cost < c.cost))""",
+)
+def pareto_front(spark: SparkSession, sf: str) -> DataFrame:
+    return X.pareto_front(view(spark, sf, "grid_scores"), "quality", "cost").select("candidate", "cost", "quality")
+
+
+@register(
+    "prompt_rendering",
+    """SELECT doc_id, md5(concat('Context:\n', text, '\n\n---\n\nRequest:\n', source, ' in ', lang)) AS digest FROM documents""",
+)
+def prompt_rendering(spark: SparkSession, sf: str) -> DataFrame:
+    template = F.lit("Context:\n{{ context }}\n\n---\n\nRequest:\n{{prompt}}")
+    values = {"context": F.col("text"), "prompt": F.concat("source", F.lit(" in "), "lang")}
+    text = render(template, values)
+    return table(spark, sf, "documents").select("doc_id", F.md5(text.cast("binary")).alias("digest"))
+
+
+@register(
+    "request_cost",
+    f"""{ctes('responses')} SELECT doc_id, round(input_tokens * (3e-2 / 1000) + output_tokens * (6e-2 / 1000), 6) AS cost FROM responses""",
+)
+def request_cost(spark: SparkSession, sf: str) -> DataFrame:
+    return view(spark, sf, "responses").select("doc_id", X.cost(F.col("input_tokens"), F.col("output_tokens")).alias("cost"))
