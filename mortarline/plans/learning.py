@@ -9,6 +9,7 @@ from mortarline.operators import ml as M
 from mortarline.operators import modelfiles as X
 from mortarline.plans.adapters import ctes, table, view
 from mortarline.plans.registry import register
+from mortarline.session import cut_lineage
 from mortarline.sources.payloads import decode_payloads
 
 STRUCTURE = ["overhang_ratio", "collision_count", "height_to_base_ratio", "layer_density"]
@@ -150,7 +151,8 @@ def score_payloads(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _structure(spark: SparkSession, sf: str) -> DataFrame:
-    return X.structural_features(view(spark, sf, "placements"), view(spark, sf, "model_labels"))
+    # several passes follow, so the feature table is written to shared storage once
+    return cut_lineage(X.structural_features(view(spark, sf, "placements"), view(spark, sf, "model_labels")))
 
 
 @register("kmeans_clusters")
@@ -161,7 +163,7 @@ def kmeans_clusters(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("random_forest_scores")
 def random_forest_scores(spark: SparkSession, sf: str) -> DataFrame:
-    split = M.plain_split(_structure(spark, sf), "model")
+    split = cut_lineage(M.plain_split(_structure(spark, sf), "model"))
     scored = M.forest_scores(split.where("not is_test"), split.where("is_test"), STRUCTURE)
     return M.classification_report(scored.withColumn("prediction", F.col("prediction").cast("int")), "label", "prediction")
 

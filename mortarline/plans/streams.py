@@ -1 +1,147 @@
-"""Registered queries."""
+"""Streaming queries; each runs over the events or lineitem file as a stream."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from mortarline.operators import traces as R
+from mortarline.plans.adapters import ADAPTERS, _tables, ctes, table, view
+from mortarline.plans.drift import NUMERIC, rounded
+from mortarline.plans.registry import register
+from mortarline.plans.telemetry import _BAD, with_dims
+from mortarline.streaming import monitors as S
+
+
+def _stream(spark: SparkSession, sf: str, adapter: str) -> DataFrame:
+    """Adapter over streaming input."""
+    body = ADAPTERS[adapter].replace("\\", "\\\\")
+    sources = {t: S.read_files(spark, sf, f"{t}.parquet", table(spark, sf, t).schema) for t in _tables(body)}
+    return spark.sql(body, **sources)
+
+
+def _event_time(df: DataFrame, column: str = "ts") -> DataFrame:
+    return df.withColumn("ts", F.col(column).cast("timestamp"))
+
+
+def _naive(df: DataFrame) -> DataFrame:
+    return df.withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))
+
+
+def _bucket(width: str) -> str:
+    return f"time_bucket(INTERVAL {width}, ts, TIMESTAMP '1970-01-01')"
+
+
+def _rate_sql(width: str, limit: str) -> str:
+    return f"""{ctes('requests')}, w AS (SELECT {_bucket(width)} AS window_start, count(*) AS requests, count(*) FILTER (NOT success) AS errors FROM requests GROUP BY 1)
+    SELECT *, round(errors / requests, 6) AS error_rate, errors / requests >= {limit} AS alert FROM w"""
+
+
+@register("stream_error_rate", _rate_sql("5 MINUTES", "5e-2"))
+def stream_error_rate(spark: SparkSession, sf: str) -> DataFrame:
+    rates = S.error_rate_windows(_event_time(_stream(spark, sf, "requests")))
+    return rounded(_naive(S.run_available(rates, ["window_start"])), "error_rate")
+
+
+@register("stream_error_rate_1m", _rate_sql("1 MINUTE", "1e-1"))
+def stream_error_rate_1m(spark: SparkSession, sf: str) -> DataFrame:
+    rates = S.error_rate_windows(_event_time(_stream(spark, sf, "requests")), "1 minute", 0.10)
+    return rounded(_naive(S.run_available(rates, ["window_start"])), "error_rate")
+
+
+@register(
+    "stream_monitor",
+    f"""{ctes('traces')}, c AS (SELECT date_trunc('hour', start_time) AS window_start, duration AS latency, CASE WHEN {_BAD} THEN 1e0 ELSE 0e0 END AS e,
+        CAST(total_tokens AS DOUBLE) AS t, CAST(event_id % 101 AS DOUBLE) / 100 AS g FROM traces),
+    a AS (SELECT window_start, quantile_disc(latency, 0.95) AS latency, avg(e) AS error_rate, quantile_disc(t, 0.95) AS token_usage, avg(g) AS groundedness FROM c GROUP BY 1)
+    SELECT window_start, round(latency, 6) AS latency, round(error_rate, 6) AS error_rate, token_usage, round(groundedness, 6) AS groundedness,
+      latency > 5000 AS latency_alert, error_rate > 5e-2 AS error_rate_alert, token_usage > 4000 AS token_usage_alert, groundedness < 7e-1 AS groundedness_alert FROM a""",
+)
+def stream_monitor(spark: SparkSession, sf: str) -> DataFrame:
+    calls = _event_time(_stream(spark, sf, "traces"), "start_time").select(
+        "ts",
+        F.col("duration").alias("latency"),
+        F.when(R.is_error(), 1.0).otherwise(0.0).alias("error_rate"),
+        F.col("total_tokens").try_cast("double").alias("token_usage"),
+        ((F.col("event_id") % 101).cast("double") / 100).alias("groundedness"),
+    )
+    out = _naive(S.run_available(S.hourly_signals(calls), ["window_start"]))
+    return rounded(out, "latency", "error_rate", "groundedness")
+
+
+@register(
+    "stream_canary",
+    f"""{ctes('requests')}, w AS (SELECT {_bucket('5 MINUTES')} AS window_start, deployment, count(*) AS requests, quantile_disc(duration, 0.95) AS p95_ms,
+      avg(CASE WHEN success THEN 1e0 ELSE 0e0 END) AS success_rate FROM requests GROUP BY 1, 2)
+    SELECT window_start, deployment, requests, round(p95_ms, 6) AS p95_ms, round(success_rate, 6) AS success_rate,
+      CASE WHEN p95_ms < 2000 AND success_rate > 99e-2 THEN 'promote' ELSE 'rollback' END AS verdict FROM w""",
+)
+def stream_canary(spark: SparkSession, sf: str) -> DataFrame:
+    health = S.canary_windows(_event_time(_stream(spark, sf, "requests")))
+    return rounded(_naive(S.run_available(health, ["window_start", "deployment"])), "p95_ms", "success_rate")
+
+
+@register(
+    "stream_daily_latency",
+    f"""{ctes('requests')} SELECT date_trunc('day', ts) AS window_start, prompt_version, count(*) AS request_count, round(avg(duration), 6) AS avg_duration_ms,
+      round(quantile_disc(duration, 0.95), 6) AS p95_duration_ms FROM requests
+    WHERE (lower(name) LIKE 'generate_spec%' OR lower(name) LIKE 'rag_pipeline%') AND coalesce(prompt_version, '') <> '' GROUP BY 1, 2""",
+)
+def stream_daily_latency(spark: SparkSession, sf: str) -> DataFrame:
+    requests = with_dims(_event_time(_stream(spark, sf, "requests")), "prompt_version")
+    daily = S.daily_latency(requests, ["generate_spec", "rag_pipeline"])
+    out = _naive(S.run_available(daily, ["window_start", "prompt_version"]))
+    return rounded(out, "avg_duration_ms", "p95_duration_ms")
+
+
+@register(
+    "stream_daily_pass_rate",
+    f"""{ctes('quality_metrics')}, g(metric, gate) AS (VALUES ('groundedness', 7e-1), ('relevance', 75e-2), ('coherence', 8e-1), ('fluency', 85e-2), ('buildability', 7e-1))
+    SELECT date_trunc('day', ts) AS window_start, metric, count(*) AS total_evals, count(*) FILTER (value >= gate) AS passed_count
+    FROM quality_metrics JOIN g ON name = metric GROUP BY 1, 2""",
+)
+def stream_daily_pass_rate(spark: SparkSession, sf: str) -> DataFrame:
+    daily = S.daily_pass_rate(_event_time(_stream(spark, sf, "quality_metrics")))
+    return _naive(S.run_available(daily, ["window_start", "metric"]))
+
+
+@register(
+    "stream_daily_errors",
+    f"""{ctes('exceptions')} SELECT date_trunc('day', ts) AS window_start, coalesce(nullif(type, ''), 'UnknownError') AS error_type, count(*) AS error_count
+    FROM exceptions GROUP BY 1, 2""",
+)
+def stream_daily_errors(spark: SparkSession, sf: str) -> DataFrame:
+    daily = S.daily_errors(_event_time(_stream(spark, sf, "exceptions")))
+    return _naive(S.run_available(daily, ["window_start", "error_type"]))
+
+
+@register(
+    "stream_daily_tokens",
+    f"""{ctes('token_metrics')} SELECT date_trunc('day', ts) AS window_start, model_version, coalesce(sum(value) FILTER (name = 'input_tokens'), 0) AS input_tokens,
+      coalesce(sum(value) FILTER (name = 'output_tokens'), 0) AS output_tokens, round(coalesce(sum(value) FILTER (name = 'estimated_cost_usd'), 0), 6) AS estimated_cost_usd
+    FROM token_metrics WHERE name <> 'queue_depth' GROUP BY 1, 2""",
+)
+def stream_daily_tokens(spark: SparkSession, sf: str) -> DataFrame:
+    daily = S.daily_tokens(_event_time(_stream(spark, sf, "token_metrics")))
+    return rounded(_naive(S.run_available(daily, ["window_start", "model_version"])), "estimated_cost_usd")
+
+
+@register("stream_dedup", "SELECT event_id, event_type, value FROM events")
+def stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    events = S.read_files(spark, sf, "events.parquet", table(spark, sf, "events").schema)
+    twice = _event_time(events).withColumn("_copy", F.explode(F.array(F.lit(1), F.lit(2))))
+    unique = S.drop_repeats(twice)
+    return S.run_available(unique.select("event_id", "event_type", "value"), mode="append")
+
+
+@register("stream_drift")
+def stream_drift(spark: SparkSession, sf: str) -> DataFrame:
+    lines = S.read_files(spark, sf, "lineitem.parquet", table(spark, sf, "lineitem").schema)
+    captured = lines.select(
+        F.col("l_shipdate").cast("timestamp").alias("ts"),
+        F.col("l_quantity").alias("quantity"),
+        F.col("l_extendedprice").alias("price"),
+        F.col("l_discount").alias("discount"),
+        F.col("l_tax").alias("tax"),
+    )
+    return S.drift_batches(captured, view(spark, sf, "features_base"), NUMERIC)
