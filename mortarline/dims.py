@@ -132,6 +132,29 @@ SECTION_PATTERNS = [
     r"(?:^|\n)\s*-\s+\w+",
 ]
 
+# literals, in lower case, one of which any match of the pattern contains
+PATTERN_LITERALS = {
+    DIMENSION_PATTERNS[0]: ["stud", "ldu"],
+    DIMENSION_PATTERNS[1]: ["width", "depth", "height", "length"],
+    DIMENSION_PATTERNS[2]: ["stud", "baseplate", "footprint"],
+    DIMENSION_PATTERNS[3]: ["stor"],
+    DIMENSION_PATTERNS[4]: ["width", "depth", "height"],
+    COLOR_PATTERNS[0]: ["primary", "secondary", "accent", "trim", "roof"],
+    COLOR_PATTERNS[1]: ["palette", "scheme"],
+    COLOR_PATTERNS[2]: [
+        "tan", "brown", "gray", "green", "white", "black", "red", "blue", "yellow", "cream", "grey",
+    ],
+    COLOR_PATTERNS[3]: ["color"],
+    RED_FLAG_PATTERNS[0]: ["floating"],
+    RED_FLAG_PATTERNS[1]: ["unsupported"],
+    RED_FLAG_PATTERNS[2]: ["cantilever"],
+    RED_FLAG_PATTERNS[3]: ["foundation", "base", "support"],
+    SECTION_PATTERNS[0]: ["#"],
+    SECTION_PATTERNS[1]: ["**"],
+    SECTION_PATTERNS[2]: ["dimensions", "palette", "features", "construction", "floor", "roof", "walls"],
+    SECTION_PATTERNS[3]: ["-"],
+}
+
 PART_NUMBER_PATTERN = r"\b(\d{4,5}[a-z]?)(?:\.dat)?\b"
 
 # ---------------------------------------------------------------------------

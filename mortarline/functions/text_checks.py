@@ -20,45 +20,75 @@ def matches(text: Column, pattern: str) -> Column:
     return text.rlike(f"(?id){pattern}")
 
 
-def any_match(text: Column, patterns: Sequence[str]) -> Column:
+def guarded(text: Column, low: Column, pattern: str) -> Column:
+    """Pattern match tried only where a literal it needs occurs in the lower-case text."""
+    needed = D.PATTERN_LITERALS.get(pattern)
+    if not needed:
+        return matches(text, pattern)
+    near = F.lit(False)
+    for literal in needed:
+        near = near | F.contains(low, F.lit(literal))
+    return near & matches(text, pattern)
+
+
+def any_match(text: Column, low: Column, patterns: Sequence[str]) -> Column:
     hit = F.lit(False)
     for p in patterns:
-        hit = hit | matches(text, p)
+        hit = hit | guarded(text, low, p)
     return hit
 
 
-def count_matches(text: Column, patterns: Sequence[str]) -> Column:
+def count_matches(text: Column, low: Column, patterns: Sequence[str]) -> Column:
     n = F.lit(0)
     for p in patterns:
-        n = n + matches(text, p).cast("int")
+        n = n + guarded(text, low, p).cast("int")
     return n
 
 
-def first_match(text: Column, patterns: Sequence[str]) -> Column:
+def first_match(text: Column, low: Column, patterns: Sequence[str]) -> Column:
     """Matched text of the first pattern that matches, in the given order."""
     return F.coalesce(
-        *[F.when(matches(text, p), F.regexp_extract(text, f"(?id)({p})", 1)) for p in patterns]
+        *[F.when(guarded(text, low, p), F.regexp_extract(text, f"(?id)({p})", 1)) for p in patterns]
     )
 
 
-def found_keywords(text: Column, keywords: Column | Sequence[str]) -> Column:
-    """Keywords contained in the text, ignoring case."""
+def found_keywords(low: Column, keywords: Column | Sequence[str]) -> Column:
+    """Keywords contained in a lower-case text, ignoring their case."""
     words = keywords if isinstance(keywords, Column) else F.array(*[F.lit(k) for k in keywords])
-    low = F.lower(text)
     return F.filter(words, lambda w: F.contains(low, F.lower(w)))
 
 
-def check_dimensions(text: Column) -> tuple[Column, Column]:
-    ok = any_match(text, D.DIMENSION_PATTERNS)
+def collect_facts(df: DataFrame, response: str = "response", name: str = "_facts") -> DataFrame:
+    """Everything the checks need from the text, read once per row.
+
+    The one-element explode is a barrier: later uses of a fact read the struct field
+    instead of running the patterns again.
+    """
+    text, low = F.col(response), F.col("_low")
+    facts = F.struct(
+        any_match(text, low, D.DIMENSION_PATTERNS).alias("dimensions"),
+        F.regexp_extract_all(text, F.lit(D.PART_NUMBER_PATTERN), F.lit(1)).alias("numbers"),
+        found_keywords(low, D.PART_KEYWORDS).alias("words"),
+        any_match(text, low, D.COLOR_PATTERNS).alias("palette"),
+        first_match(text, low, D.RED_FLAG_PATTERNS).alias("flag"),
+        count_matches(text, low, D.SECTION_PATTERNS).alias("sections"),
+    )
+    return (
+        df.withColumn("_low", F.lower(response))
+        .select(*df.columns, F.explode(F.array(facts)).alias(name))
+    )
+
+
+def check_dimensions(facts: Column) -> tuple[Column, Column]:
+    ok = facts["dimensions"]
     return ok, F.when(ok, "Dimensions found in output.").otherwise(
         "No physical dimensions (width, depth, height, story count) detected."
     )
 
 
-def check_parts(text: Column) -> tuple[Column, Column]:
-    numbers = F.array_distinct(F.regexp_extract_all(text, F.lit(D.PART_NUMBER_PATTERN), F.lit(1)))
-    valid = F.array_sort(F.array_intersect(numbers, F.array(*[F.lit(p) for p in D.VALID_PARTS])))
-    words = found_keywords(text, D.PART_KEYWORDS)
+def check_parts(facts: Column) -> tuple[Column, Column]:
+    valid = F.array_sort(F.array_intersect(facts["numbers"], F.array(*[F.lit(p) for p in D.VALID_PARTS])))
+    words = facts["words"]
     ok = (F.size(valid) > 0) | (F.size(words) >= 2)
     reason = (
         F.when(F.size(valid) > 0, F.concat(F.lit("Valid part references found: "), F.array_join(valid, ", "), F.lit(".")))
@@ -68,22 +98,22 @@ def check_parts(text: Column) -> tuple[Column, Column]:
     return ok, reason
 
 
-def check_palette(text: Column) -> tuple[Column, Column]:
-    ok = any_match(text, D.COLOR_PATTERNS)
+def check_palette(facts: Column) -> tuple[Column, Column]:
+    ok = facts["palette"]
     return ok, F.when(ok, "Color palette specification found.").otherwise(
         "No color palette or color assignments detected."
     )
 
 
-def check_structure(text: Column) -> tuple[Column, Column]:
-    flag = first_match(text, D.RED_FLAG_PATTERNS)
+def check_structure(facts: Column) -> tuple[Column, Column]:
+    flag = facts["flag"]
     return flag.isNull(), F.coalesce(
         F.concat(F.lit("Structural concern detected: '"), flag, F.lit("'.")), F.lit("No structural red flags detected.")
     )
 
 
-def check_format(text: Column) -> tuple[Column, Column]:
-    ok = count_matches(text, D.SECTION_PATTERNS) >= 2
+def check_format(facts: Column) -> tuple[Column, Column]:
+    ok = facts["sections"] >= 2
     return ok, F.when(ok, "Structured format detected (headers/sections/bullets).").otherwise(
         "Output lacks structured format (no section headers or organized layout)."
     )
@@ -98,18 +128,21 @@ BUILDABILITY_CHECKS: list[tuple[str, Check]] = [
 ]
 
 
-def run_checks(text: Column, checks: Sequence[tuple[str, Check]] = BUILDABILITY_CHECKS) -> Column:
+def run_checks(facts: Column, checks: Sequence[tuple[str, Check]] = BUILDABILITY_CHECKS) -> Column:
     """Array of (name, passed, reason), one entry per check in order."""
     entries = []
     for name, check in checks:
-        passed, reason = check(text)
+        passed, reason = check(facts)
         entries.append(F.struct(F.lit(name).alias("name"), passed.alias("passed"), reason.alias("reason")))
     return F.array(*entries)
 
 
-def checks_score(details: Column) -> Column:
-    passed = F.size(F.filter(details, lambda d: d["passed"]))
-    return F.round(passed / F.size(details), 4)
+def checks_score(facts: Column, checks: Sequence[tuple[str, Check]] = BUILDABILITY_CHECKS) -> Column:
+    """Share of passed checks, 4 places."""
+    passed = F.lit(0)
+    for _, check in checks:
+        passed = passed + check(facts)[0].cast("int")
+    return F.round(passed / F.lit(float(len(checks))), 4)
 
 
 def unknown_colors(text: Column, valid: Sequence[int] = D.VALID_COLORS) -> Column:
@@ -119,7 +152,7 @@ def unknown_colors(text: Column, valid: Sequence[int] = D.VALID_COLORS) -> Colum
     return F.array_sort(F.array_except(codes, F.array(*[F.lit(c) for c in valid])))
 
 
-# Evaluators take the response column and give a struct(score, details).
+# Evaluators take the fact struct of a response and give a struct(score, details).
 Evaluator = Callable[[Column], Column]
 _EVALUATORS: dict[str, Evaluator] = {}
 
@@ -137,11 +170,11 @@ def registered_evaluators() -> dict[str, Evaluator]:
 
 
 @evaluator("buildability")
-def buildability(text: Column) -> Column:
-    details = run_checks(text)
-    return F.struct(checks_score(details).alias("score"), details.alias("details"))
+def buildability(facts: Column) -> Column:
+    return F.struct(checks_score(facts).alias("score"), run_checks(facts).alias("details"))
 
 
 def evaluate(df: DataFrame, evaluators: Mapping[str, Evaluator], response: str = "response") -> DataFrame:
-    """Add one struct column per evaluator."""
-    return df.withColumns({name: fn(F.col(response)) for name, fn in evaluators.items()})
+    """Add one struct column per evaluator; all share one reading of the text."""
+    with_facts = collect_facts(df, response)
+    return with_facts.withColumns({name: fn(F.col("_facts")) for name, fn in evaluators.items()}).drop("_facts")

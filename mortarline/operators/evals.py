@@ -25,8 +25,9 @@ def safety_pass(defect: str | Column) -> Column:
 
 def buildability(responses: DataFrame, response: str = "response") -> DataFrame:
     """Add ``details`` (one entry per check) and ``score``."""
-    checked = responses.withColumn("details", C.run_checks(F.col(response)))
-    return checked.withColumn("score", C.checks_score(F.col("details")))
+    facts = F.col("_facts")
+    checked = C.collect_facts(responses, response)
+    return checked.withColumns({"details": C.run_checks(facts), "score": C.checks_score(facts)}).drop("_facts")
 
 
 def score_cases(
@@ -85,14 +86,15 @@ def keyword_coverage(
     responses: DataFrame, golden: str = "golden_keywords", bad: str = "bad_patterns", response: str = "response"
 ) -> DataFrame:
     """Share of golden keywords present and the known-bad phrases found."""
-    hit = C.found_keywords(F.col(response), F.col(golden))
+    low = F.lower(response)
+    hit = C.found_keywords(low, F.col(golden))
     return responses.withColumns(
         {
             "keywords_found": F.size(hit),
             "keyword_coverage": F.coalesce(
                 F.size(hit) / F.nullif(F.size(golden), F.lit(0)), F.lit(0.0)
             ),
-            "bad_found": C.found_keywords(F.col(response), F.col(bad)),
+            "bad_found": C.found_keywords(low, F.col(bad)),
         }
     )
 
@@ -102,18 +104,18 @@ def trait_check(responses: DataFrame, traits: str = "expected_traits", response:
 
     Traits: has_dimensions, has_color_palette, has_brick_references, style_matches, story_count.
     """
-    text, want = F.col(response), F.col(traits)
+    facts, text, want = F.col("_facts"), F.col(response), F.col(traits)
     met = [
-        C.check_dimensions(text)[0] == want["has_dimensions"],
-        C.check_palette(text)[0] == want["has_color_palette"],
-        C.check_parts(text)[0] == want["has_brick_references"],
+        C.check_dimensions(facts)[0] == want["has_dimensions"],
+        C.check_palette(facts)[0] == want["has_color_palette"],
+        C.check_parts(facts)[0] == want["has_brick_references"],
         F.contains(F.lower(text), F.lower(want["style_matches"])),
         F.contains(F.lower(text), F.concat(want["story_count"].cast("string"), F.lit("-story"))),
     ]
     n = F.lit(0)
     for m in met:
         n = n + F.coalesce(m, F.lit(False)).cast("int")
-    return responses.withColumn("traits_met", n)
+    return C.collect_facts(responses, response).withColumn("traits_met", n).drop("_facts")
 
 
 def attempt_outcomes(attempts: DataFrame, key: str, attempt: str, passed: str, max_attempts: int = 3) -> DataFrame:

@@ -10,6 +10,8 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
+from mortarline.session import spread
+
 NOW = "2024-01-31 00:00:00"
 
 _EVENTS = "(SELECT *, CAST(regexp_extract(props, '([0-9]+)', 1) AS INT) AS k FROM {events})"
@@ -201,13 +203,20 @@ def ctes(*names: str) -> str:
     return "WITH " + ", ".join(f"{n} AS ({text(n)})" for n in names)
 
 
+# inputs whose rows carry text or feed per-row parsing, with the key that spreads them
+_HEAVY = {"documents": ["doc_id"], "pages": ["page_id"]}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(df, *_HEAVY[name]) if name in _HEAVY else df
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Adapter as a Spark DataFrame."""
     body = ADAPTERS[name]
     sources = {t: table(spark, sf_dir, t) for t in _tables(body)}
+    if name == "model_lines":
+        sources = {t: spread(df, "l_orderkey") for t, df in sources.items()}
     # Spark reads a backslash in a literal as an escape, standard SQL does not
     return spark.sql(body.replace("\\", "\\\\"), **sources)
