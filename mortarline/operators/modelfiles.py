@@ -107,35 +107,53 @@ def structural_features(
     (x, z).  Layers run by growing y; ``y_down`` reverses that.  Models listed in
     ``models`` without placements are kept as zeros.
     """
-    cells = placements.groupBy(
-        "model",
-        F.bround("y", 0).alias("layer"),
-        F.bround("x", 1).alias("px"),
-        F.bround("y", 1).alias("py"),
-        F.bround("z", 1).alias("pz"),
+    # a position rounded to one decimal lies in one layer, or in two when it ends in .5
+    layer = F.bround("y", 0)
+    spots = placements.groupBy(
+        "model", F.bround("x", 1).alias("px"), F.bround("y", 1).alias("py"), F.bround("z", 1).alias("pz")
     ).agg(
         F.count(F.lit(1)).alias("n"),
+        F.count_if(layer == F.floor("y")).alias("n_low"),
+        F.min(layer).alias("low"),
+        F.max(layer).alias("high"),
         *[f(c).alias(f"{f.__name__}_{c}") for c in "xyz" for f in (F.min, F.max)],
     )
-    layers = cells.groupBy("model", "layer").agg(
-        F.sum("n").alias("n"),
-        *[f(f"{f.__name__}_{c}").alias(f"{f.__name__}_{c}") for c in "xyz" for f in (F.min, F.max)],
+    split = F.col("low") != F.col("high")
+    parts = F.filter(
+        F.array(
+            F.struct(
+                F.col("low").alias("layer"), F.when(split, F.col("n_low")).otherwise(F.col("n")).alias("n"), F.lit(1).alias("spot")
+            ),
+            F.struct(F.col("high").alias("layer"), (F.col("n") - F.col("n_low")).alias("n"), F.lit(0).alias("spot")),
+        ),
+        lambda s: (s["spot"] == 1) | split,
+    )
+    extents = [f"{f}_{c}" for c in "xyz" for f in ("min", "max")]
+    layers = (
+        spots.select("model", *extents, F.inline(parts))
+        .groupBy("model", "layer")
+        .agg(
+            F.sum("n").alias("n"),
+            F.sum("spot").alias("spots"),
+            *[(F.min if e.startswith("min") else F.max)(e).alias(e) for e in extents],
+        )
     )
     base = F.greatest((F.max("max_x") - F.min("min_x")) * (F.max("max_z") - F.min("min_z")), F.lit(1.0))
     per_model = layers.groupBy("model").agg(
         F.sum("n").alias("parts"),
+        (F.sum("n") - F.sum("spots")).alias("collisions"),
         ((F.max("max_y") - F.min("min_y")) / F.sqrt(base)).alias("height_to_base"),
         F.var_pop("n").alias("density"),
     )
-    positions = (
-        cells.groupBy("model", "px", "py", "pz").agg(F.sum("n").alias("n"))
-        .groupBy("model").agg((F.sum("n") - F.count(F.lit(1))).alias("collisions"))
-    )
     by_layer = Window.partitionBy("model").orderBy(F.desc("layer") if y_down else F.asc("layer"))
-    steps = layers.select("model", "layer", F.row_number().over(by_layer).alias("step"))
+    steps = (
+        placements.groupBy("model", layer.alias("layer")).agg(F.lit(1).alias("_"))
+        .select("model", "layer", F.row_number().over(by_layer).alias("step"))
+    )
     column = Window.partitionBy("model", "px", "pz").orderBy("step")
     overhang = (
-        cells.select("model", "layer", "px", "pz").distinct()
+        placements.groupBy("model", layer.alias("layer"), F.bround("x", 1).alias("px"), F.bround("z", 1).alias("pz"))
+        .agg(F.lit(1).alias("_"))
         .join(steps, ["model", "layer"])
         .withColumn("below", F.lag("step").over(column))
         .groupBy("model")
@@ -143,7 +161,7 @@ def structural_features(
             F.count_if((F.col("step") > 1) & ~(F.coalesce("below", F.lit(-1)) == F.col("step") - 1)).alias("unsupported")
         )
     )
-    out = per_model.join(positions, "model").join(overhang, "model")
+    out = per_model.join(overhang, "model")
     if models is not None:
         out = models.select("model").distinct().join(out, "model", "left")
     if labels is not None:
@@ -200,27 +218,22 @@ def boxes(placements: DataFrame, sizes: Mapping[str, tuple[int, int, int]] = D.P
     The anchor is the centre of the top face and y grows downward; a quarter turn swaps
     the sides.
     """
-    size = F.create_map(
-        *[
-            x
-            for p, (w, length, h) in sizes.items()
-            for x in (F.lit(p), F.struct(F.lit(w).alias("w"), F.lit(length).alias("l"), F.lit(h).alias("h")))
-        ]
-    )
+    rows = [(p, float(w), float(length), float(h)) for p, (w, length, h) in sizes.items()]
+    dim = placements.sparkSession.createDataFrame(rows, "part string, w double, l double, h double")
     turned = F.col("rot").isin(D.ROTATIONS["R90"], D.ROTATIONS["R270"])
-    sized = placements.withColumn("_s", F.try_element_at(size, "part")).where(F.col("_s").isNotNull())
-    along, across = F.col("_s.l") / 2, F.col("_s.w") / 2
+    sized = placements.join(F.broadcast(dim), "part")  # fixed catalogue, a few dozen rows
+    along, across = F.col("l") / 2, F.col("w") / 2
     dx = F.when(turned, across).otherwise(along)
     dz = F.when(turned, along).otherwise(across)
     return sized.groupBy(
         "model",
         (F.col("x") - dx).alias("x0"), (F.col("x") + dx).alias("x1"),
-        F.col("y").alias("y0"), (F.col("y") + F.col("_s.h")).alias("y1"),
+        F.col("y").alias("y0"), (F.col("y") + F.col("h")).alias("y1"),
         (F.col("z") - dz).alias("z0"), (F.col("z") + dz).alias("z1"),
     ).agg(F.count(F.lit(1)).alias("copies"))
 
 
-def overlaps(placements: DataFrame, cell: float = 80.0) -> DataFrame:
+def overlaps(placements: DataFrame, cell: float = 160.0) -> DataFrame:
     """Pairs of distinct boxes of one model that share space.
 
     Boxes meet in grid cells, so only neighbours are compared; each pair is reported
@@ -251,7 +264,7 @@ def overlaps(placements: DataFrame, cell: float = 80.0) -> DataFrame:
     )
 
 
-def overlap_counts(placements: DataFrame, cell: float = 80.0) -> DataFrame:
+def overlap_counts(placements: DataFrame, cell: float = 160.0) -> DataFrame:
     return overlaps(placements, cell).groupBy("model").agg(
         F.count(F.lit(1)).alias("box_pairs"), F.sum("weight").alias("placement_pairs")
     )
