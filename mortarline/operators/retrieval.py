@@ -96,7 +96,7 @@ def vector_topk(
             key,
             "vector",
             F.pmod(F.xxhash64(key), F.lit(n_own)).cast("long").alias(own),
-            F.explode(F.sequence(F.lit(0), F.lit(n_other - 1))).cast("long").alias(other),
+            F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_other - 1).cast("long"))).alias(other),
         ).groupBy("d", "q")
 
     def pair(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:

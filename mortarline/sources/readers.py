@@ -43,7 +43,7 @@ def read_results(
     ``accept_case_results`` also opens ``per_case_results``.
     """
     files = (
-        spark.read.option("wholetext", True).option("pathGlobFilter", glob).text(path)
+        spark.read.option("pathGlobFilter", glob).text(path, wholetext=True)
         .select(F.col("_metadata.file_name").alias("source_file"), "value")
         .withColumn("_v", F.try_parse_json("value"))
     )
@@ -74,7 +74,7 @@ def read_labels(spark: SparkSession, path: str) -> DataFrame:
 
 def read_thresholds(spark: SparkSession, path: str) -> DataFrame:
     """(metric, threshold) from one JSON object."""
-    text = spark.read.option("wholetext", True).text(path)
+    text = spark.read.text(path, wholetext=True)
     return text.select(F.explode(F.from_json("value", "map<string,double>")).alias("metric", "threshold"))
 
 
@@ -85,7 +85,7 @@ def read_json_array(spark: SparkSession, path: str, schema: str) -> DataFrame:
 def read_documents(spark: SparkSession, path: str, glob: str = "*") -> DataFrame:
     """(path, text): whole files under their own name, for context lookups."""
     return (
-        spark.read.option("wholetext", True).option("pathGlobFilter", glob).option("recursiveFileLookup", True).text(path)
+        spark.read.option("pathGlobFilter", glob).option("recursiveFileLookup", True).text(path, wholetext=True)
         .select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
     )
 
