@@ -324,7 +324,7 @@ def connected_components(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
 
     ``edges`` (a, b) must list both directions and a self-edge per node.  Every round
     takes the smallest label among neighbours and then follows it one step further;
-    state is checkpointed to shared storage each round.
+    the labels of each round are written to shared storage.
     """
     edges = cut_lineage(edges)
     labels = edges.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("label"))

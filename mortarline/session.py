@@ -51,11 +51,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint: survives lost executors, unlike cached blocks."""
-    shared_dir(df.sparkSession)
-    if not df.sparkSession.sparkContext.getCheckpointDir():
-        df.sparkSession.sparkContext.setCheckpointDir(shared_dir(df.sparkSession))
-    return df.checkpoint(eager=True)
+    """Write the rows to a table in the shared folder and read them back.
+
+    The table survives lost executors, and the plan that reads it carries nothing over
+    from the one that made it, so the plans of an iteration do not grow.
+    """
+    path = scratch_path(df.sparkSession, "cut")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
