@@ -172,14 +172,16 @@ def top_failure_modes(
     )
     top = (
         per_version.groupBy("failure_category")
-        .agg(
-            F.sum("n").alias("occurrence_count"),
-            F.max("ts").alias("last_seen"),
-            F.sort_array(F.collect_list("version")).alias("versions"),
-        )
+        .agg(F.sum("n").alias("occurrence_count"), F.max("ts").alias("last_seen"))
         .orderBy(F.desc("occurrence_count"), "failure_category")
         .limit(k)
     )
+    versions = (
+        per_version.join(F.broadcast(top.select("failure_category")), "failure_category", "left_semi")  # k rows
+        .groupBy("failure_category")
+        .agg(F.sort_array(F.collect_list("version")).alias("versions"))
+    )
+    top = top.join(versions, "failure_category")
     order = Window.orderBy(F.desc("occurrence_count"), "failure_category")
     return top.select(
         F.row_number().over(order).alias("rank"),
