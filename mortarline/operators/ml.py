@@ -15,6 +15,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from mortarline.functions.graph import connected_components
 from mortarline.functions.ranks import exact_quantiles
 from mortarline.session import cut_lineage
 
@@ -319,30 +320,6 @@ def label_predictions(df: DataFrame, meaning: Mapping[int, str], prediction: str
     return df.withColumn("result", F.try_element_at(names, F.col(prediction).cast("int")))
 
 
-def connected_components(edges: DataFrame, max_rounds: int = 64) -> DataFrame:
-    """(node, label) with the smallest node id of each component.
-
-    ``edges`` (a, b) must list both directions and a self-edge per node.  Every round
-    takes the smallest label among neighbours and then follows it one step further;
-    the labels of each round are written to shared storage.
-    """
-    edges = cut_lineage(edges)
-    labels = edges.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("label"))
-    for _ in range(max_rounds):
-        near = (
-            edges.join(labels, edges["b"] == labels["node"])
-            .groupBy(F.col("a").alias("node")).agg(F.min("label").alias("label"))
-        )
-        hop = labels.select(F.col("node").alias("label"), F.col("label").alias("_next"))
-        jumped = near.join(hop, "label", "left").select("node", F.least("label", "_next").alias("label"))
-        new = cut_lineage(jumped)
-        changed = new.join(labels.withColumnRenamed("label", "_old"), "node").where("label <> _old").limit(1).count()
-        labels = new
-        if not changed:
-            return labels
-    raise RuntimeError(f"components did not settle in {max_rounds} rounds")
-
-
 def density_clusters(
     df: DataFrame, features: Sequence[str], width: float, min_cluster_size: int = 3
 ) -> DataFrame:

@@ -32,17 +32,18 @@ def build_session(app: str = "mortarline", master: str | None = None, **conf: st
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach, named by ``spark.checkpoint.dir``.
 
-    A temporary folder is used only where nothing is set, which is the case in
-    local tests; a cluster must name a shared one.
+    Where nothing is set, a temporary folder serves a ``local`` master, whose driver and
+    executor are one process; any other master must name a shared folder.
     """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if not configured:
-        current = spark.sparkContext.getCheckpointDir()
-        if current:
-            return current
-        configured = tempfile.mkdtemp(prefix="mortarline-")
-        spark.sparkContext.setCheckpointDir(configured)
-    return configured
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if configured:
+        return configured
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    own = tempfile.mkdtemp(prefix="mortarline-")
+    spark.sparkContext.setCheckpointDir(own)
+    return own
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
