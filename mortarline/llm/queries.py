@@ -89,3 +89,52 @@ def op2_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
         F.sha2("decoded", 256).alias("decoded_sha256"),
     )
+
+
+def _span_text(spans):
+    return F.concat_ws(",", F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))))
+
+
+@query("op8_secrets")
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from mortarline.llm.secrets import KINDS, scan_secrets
+
+    rows = scan_secrets(read(spark, sf_dir, "documents", "doc_id", "text"))
+    rank = F.array(*[F.lit(k) for k in KINDS])
+    both = F.array_sort(
+        F.transform(
+            F.concat("base", "added"),
+            lambda s: F.struct(s["start"].alias("start"), F.array_position(rank, s["kind"]).alias("rank"), s["kind"].alias("kind"), s["end"].alias("end")),
+        )
+    )
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+    return rows.select(
+        F.col("id").alias("doc_id"),
+        count("assign").alias("n_assign"), count("access").alias("n_access"), count("hex").alias("n_hex"),
+        F.sha2(_span_text(F.col("base")), 256).alias("base_sha256"),
+        _span_text(both).alias("spans"),
+    )
+
+
+@query(
+    "op10_lines",
+    r"""
+    WITH d AS (SELECT doc_id, coalesce(text, '') AS text FROM documents),
+    l AS (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM d),
+    k AS (
+      SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+      FROM l),
+    o AS (
+      SELECT key, max(doc_id) AS owner FROM k WHERE length(key) >= 40
+      GROUP BY key HAVING count(DISTINCT doc_id) >= 5),
+    j AS (SELECT k.*, coalesce(o.owner <> k.doc_id, false) AS gone FROM k LEFT JOIN o ON k.key = o.key)
+    SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
+      sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+    FROM j GROUP BY doc_id""",
+)
+def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from mortarline.llm.lines import dedup_lines
+
+    rows = dedup_lines(read(spark, sf_dir, "documents", "doc_id", "text"))
+    return rows.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
