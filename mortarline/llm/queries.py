@@ -138,3 +138,30 @@ def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     rows = dedup_lines(read(spark, sf_dir, "documents", "doc_id", "text"))
     return rows.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+
+
+@query(
+    "op5_warc",
+    """
+    WITH p AS (
+      SELECT page_id, encode(coalesce(html, '')) AS b FROM pages),
+    q AS (
+      SELECT page_id, octet_length(b) AS n, b,
+        CASE WHEN octet_length(b) >= 1000 THEN max(page_id) OVER (PARTITION BY b) ELSE page_id END AS target
+      FROM p)
+    SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, sha1(b) AS payload_digest,
+      CASE WHEN target = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+      CASE WHEN target <> page_id THEN target END AS refers_to
+    FROM q""",
+)
+def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from mortarline.llm.warc import new_folder, plan_records, read_warc, write_warc
+
+    pages = read(spark, sf_dir, "pages", "page_id", "url", "html")
+    folder = new_folder(spark)
+    write_warc(plan_records(pages), folder, shards=int(spark.conf.get("spark.sql.shuffle.partitions")))
+    rows = read_warc(spark, folder, payloads=False)
+    return rows.select(
+        F.col("id").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        F.col("refers_to").cast("long").alias("refers_to"),
+    )
