@@ -165,3 +165,45 @@ def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("id").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
         F.col("refers_to").cast("long").alias("refers_to"),
     )
+
+
+@query("op6_neardup")
+def op6_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from mortarline.llm.neardup import near_duplicates
+
+    rows = near_duplicates(read(spark, sf_dir, "documents", "doc_id", "text"))
+    return rows.select(F.col("id").alias("doc_id"), "class_id")
+
+
+@query(
+    "op7_topk",
+    """
+    WITH v AS (
+      SELECT vec_id, list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e FROM embeddings
+      WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    p AS (
+      SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.e, c.e) AS BIGINT) AS score
+      FROM v q JOIN v c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
+    r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM p)
+    SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 5""",
+)
+def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from mortarline.llm.topk import top_k
+
+    rows = read(spark, sf_dir, "embeddings", "vec_id", "embedding")
+    finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    whole = F.transform("embedding", lambda x: F.floor(F.lit(256) * x.cast("double")))
+    rows = rows.where(F.col("embedding").isNotNull() & finite).select("vec_id", whole.alias("vector"))
+    return top_k(rows, F.col("vec_id") % 50 == 0, k=5).withColumnRenamed("id", "vec_id")
+
+
+@query("op9_lm")
+def op9_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from mortarline.llm.lm import score_documents
+
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    held = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 2, F.lit(False))
+    rows = score_documents(docs.withColumn("train", ~held))
+    return rows.select(
+        F.col("id").alias("doc_id"), (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
+    )
