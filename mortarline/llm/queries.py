@@ -207,3 +207,11 @@ def op9_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select(
         F.col("id").alias("doc_id"), (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score"
     )
+
+
+@query("op4_suffixes")
+def op4_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from mortarline.llm.suffixes import remove_repeats
+
+    rows = remove_repeats(read(spark, sf_dir, "documents", "doc_id", "text"))
+    return rows.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
