@@ -175,20 +175,22 @@ def top_k(vectors: DataFrame, is_query: Column, k: int = 5, id_col: str = "vec_i
             known = floors.select(F.col("query_id").alias("_q"), F.col("print").alias("_p"), F.col("kth").alias("floor"))
             asked = asked.join(known, (F.col("id") == F.col("_q")) & (F.col("print") == F.col("_p")), "left").drop("_q", "_p")
         left = dealt(asked, "grp", to_parts, q_blocks).select(
-            F.concat_ws(".", F.col("grp").cast("string"), F.col("own").cast("string")).alias("qb"), F.col("other").alias("db"), "id", "v", "print", "floor"
+            F.concat_ws(".", F.col("grp").cast("string"), F.col("own").cast("string")).alias("qb"), F.col("other").alias("db"),
+            F.col("id").alias("q_id"), F.col("v").alias("q_v"), "print", "floor",
         )
         right = dealt(placed.select("id", "v", "part"), "part", to_groups, d_blocks).select(
-            F.col("other").alias("qb"), F.concat_ws(".", F.col("part").cast("string"), F.col("own").cast("string")).alias("db"), "id", "v"
+            F.col("other").alias("qb"), F.concat_ws(".", F.col("part").cast("string"), F.col("own").cast("string")).alias("db"),
+            F.col("id").alias("x_id"), F.col("v").alias("x"),
         )
 
         def search(q: pd.DataFrame, x: pd.DataFrame) -> pd.DataFrame:
-            x = x.sort_values("id", kind="stable")
-            ids = x["id"].to_numpy()
+            x = x.sort_values("x_id", kind="stable")
+            ids = x["x_id"].to_numpy()
             floor = q["floor"].fillna(-np.inf).to_numpy()
-            scores, places = dual_search(_matrix(q["v"], width), q["id"].to_numpy(), _matrix(x["v"], width), ids, k, floor)
+            scores, places = dual_search(_matrix(q["q_v"], width), q["q_id"].to_numpy(), _matrix(x["x"], width), ids, k, floor)
             r, c = np.nonzero(places >= 0)
             return pd.DataFrame({
-                "query_id": q["id"].to_numpy()[r], "print": q["print"].to_numpy()[r], "id": ids[places[r, c]], "score": scores[r, c].astype("int64"),
+                "query_id": q["q_id"].to_numpy()[r], "print": q["print"].to_numpy()[r], "id": ids[places[r, c]], "score": scores[r, c].astype("int64"),
             })
 
         return left.groupBy("qb", "db").cogroup(right.groupBy("qb", "db")).applyInPandas(search, out)
