@@ -185,6 +185,21 @@ PART_SIZES = {
     "3035.dat": (80, 160, 8), "3958.dat": (120, 120, 8), "3036.dat": (120, 160, 8),
     "3028.dat": (120, 240, 8), "3033.dat": (120, 200, 8), "3030.dat": (80, 200, 8),
     "3029.dat": (80, 240, 8),
+    # tiles
+    "3070b.dat": (20, 20, 8), "3069b.dat": (20, 40, 8), "63864.dat": (20, 60, 8),
+    "2431.dat": (20, 80, 8), "6636.dat": (20, 120, 8), "4162.dat": (20, 160, 8),
+    # window and door frames and their glass
+    "60594.dat": (20, 80, 72), "60593.dat": (20, 80, 72), "60603.dat": (20, 80, 72),
+    "86210.dat": (20, 80, 72), "60596.dat": (20, 80, 144), "57895.dat": (20, 80, 144),
+    "57896.dat": (20, 80, 144), "35295.dat": (20, 80, 144), "3853.dat": (20, 80, 72), "3856.dat": (20, 80, 72),
+    # arches
+    "3659.dat": (20, 80, 24), "6183.dat": (20, 120, 48), "3307.dat": (20, 120, 48), "3308.dat": (20, 160, 48),
+    # slopes
+    "3040b.dat": (40, 20, 24), "3039.dat": (40, 40, 24), "3038.dat": (40, 60, 24), "3037.dat": (40, 80, 24),
+    "85984.dat": (20, 40, 16), "92946.dat": (40, 40, 16), "3665.dat": (40, 20, 24),
+    # special bricks and plates
+    "98283.dat": (20, 40, 24), "87087.dat": (20, 20, 24), "4070.dat": (20, 20, 24), "30136.dat": (20, 40, 24),
+    "2877.dat": (20, 40, 24), "4073.dat": (20, 20, 8), "91988.dat": (20, 40, 48),
 }
 
 # frame -> accepted glass

@@ -5,8 +5,8 @@ window ordered over a whole group sorts it in one task.  Both break when one gro
 holds a third of a very large table.  The functions here split each group by a
 deterministic, order-preserving bin of the value: a first pass counts rows per bin
 (partial aggregation, a few thousand rows per group), running sums over those counts
-say which bins hold the wanted ranks, and only the rows of those bins are looked at
-again.  Every bin is an independent shuffle key, so a hot group is spread.
+say which bins hold the wanted ranks, and only the values of those bins are looked at
+again.  Equal values are counted before the first shuffle, so a frequent value is one row per task.  Every bin is an independent shuffle key, so a hot group is spread.
 """
 
 from __future__ import annotations
@@ -78,7 +78,9 @@ def exact_quantiles(
         .where(F.col("_v").isNotNull() & ~F.isnan("_v"))
         .withColumn("_bin", ordered_bin(F.col("_v"), steps))
     )
-    bins = rows.groupBy(*keys, "_bin").agg(F.count(F.lit(1)).alias("_c"), F.sum("_v").alias("_s"))
+    # equal values are one row from here on, counted before they are shuffled
+    values = rows.groupBy(*keys, "_bin", "_v").agg(F.count(F.lit(1)).alias("_c"))
+    bins = values.groupBy(*keys, "_bin").agg(F.sum("_c").alias("_c"), F.sum(F.col("_v") * F.col("_c")).alias("_s"))
     by_group = Window.partitionBy(*keys)
     running = by_group.orderBy("_bin").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     placed = (
@@ -92,17 +94,9 @@ def exact_quantiles(
         .select(*keys, "_bin", "_lo", "n", (F.col("_total") / F.col("n")).alias("mean"), "_want")
     )
     inside = (
-        rows.alias("r")
+        values.alias("r")
         .join(placed.alias("p"), _same("r", "p", [*keys, "_bin"]))
-        .select(*[F.col(f"p.{k}").alias(k) for k in keys], F.col("p._bin").alias("_bin"), "_v", "_lo", "n", "mean", "_want")
-        .groupBy(*keys, "_bin", "_v")
-        .agg(
-            F.count(F.lit(1)).alias("_c"),
-            F.first("_lo").alias("_lo"),
-            F.first("n").alias("n"),
-            F.first("mean").alias("mean"),
-            F.first("_want").alias("_want"),
-        )
+        .select(*[F.col(f"p.{k}").alias(k) for k in keys], F.col("p._bin").alias("_bin"), "_v", "_c", "_lo", "n", "mean", "_want")
     )
     in_bin = (
         Window.partitionBy(*keys, "_bin").orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)

@@ -227,25 +227,31 @@ def alert_record(run: DataFrame, **context: str) -> DataFrame:
     )
 
 
-def window_drift(
-    captured: DataFrame, base: DataFrame, features: Sequence[str], ts: str = "ts", width: str = "1 week"
+def window_counts(
+    captured: DataFrame, edges: DataFrame, features: Sequence[str], ts: str = "ts", width: str = "1 week"
 ) -> DataFrame:
-    """PSI and JS of each time window of captured inference rows against the baseline.
-
-    One pass over the capture log: bins are counted per (window, feature, bin).
-    """
-    edges = P.bin_edges(P.numeric_summary(base, features))
-    reference = P.histogram(base, edges, features).withColumnRenamed("n", "base")
+    """(window_start, feature, bin, n) of captured rows; also an aggregate over a stream."""
     cells = F.array(*[F.struct(F.lit(f).alias("feature"), P.clean(f).alias("v")) for f in features])
-    counted = (
-        captured.select(F.window(ts, width)["start"].alias("window_start"), F.explode(cells).alias("c"))
-        .select("window_start", "c.feature", "c.v")
+    return (
+        captured.select(F.window(ts, width).alias("w"), F.explode(cells).alias("c"))
+        .select("w", "c.feature", "c.v")
         .where(F.col("v").isNotNull())
         .join(F.broadcast(edges), "feature")
-        .select("window_start", "feature", P.bin_index(F.col("v")).alias("bin"))
-        .groupBy("window_start", "feature", "bin")
+        .select("w", "feature", P.bin_index(F.col("v")).alias("bin"))
+        .groupBy("w", "feature", "bin")
         .agg(F.count(F.lit(1)).alias("n"))
+        .select(F.col("w.start").alias("window_start"), "feature", "bin", "n")
     )
+
+
+def baseline_bins(base: DataFrame, features: Sequence[str]) -> tuple[DataFrame, DataFrame]:
+    """Edges of each feature (one row each) and the baseline's counts (feature, bin, base)."""
+    edges = P.bin_edges(P.numeric_summary(base, features))
+    return edges, P.histogram(base, edges, features).withColumnRenamed("n", "base")
+
+
+def counts_drift(counted: DataFrame, reference: DataFrame) -> DataFrame:
+    """PSI and JS per (window, feature) from ``window_counts``."""
     full = (
         P.fill_bins(counted, ["window_start", "feature"], 1, P.BINS)
         .withColumnRenamed("n", "inf")
@@ -253,3 +259,14 @@ def window_drift(
         .select(F.struct("window_start", "feature").alias("feature"), "bin", "base", "inf")
     )
     return divergence(full).select("feature.window_start", "feature.feature", "psi", "js_divergence")
+
+
+def window_drift(
+    captured: DataFrame, base: DataFrame, features: Sequence[str], ts: str = "ts", width: str = "1 week"
+) -> DataFrame:
+    """PSI and JS of each time window of captured inference rows against the baseline.
+
+    One pass over the capture log: bins are counted per (window, feature, bin).
+    """
+    edges, reference = baseline_bins(base, features)
+    return counts_drift(window_counts(captured, edges, features, ts, width), reference)

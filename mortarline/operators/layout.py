@@ -98,15 +98,21 @@ def fill_spans(spans: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
+def _upward(first: Column, last: Column) -> Column:
+    """Whole numbers from ``first`` up to ``last``; null, so no row, where ``last`` is below ``first``."""
+    return F.when(last >= first, F.sequence(first, last))
+
+
 def wall_segments(walls: DataFrame, openings: DataFrame, key: str = "wall_id") -> DataFrame:
     """Solid segments of every wall row: (wall columns, row, span_start, span_end, y, stagger).
 
     A row without openings is one segment.  Otherwise the gaps, sorted by start, cut the
     row: each segment runs from the previous gap's end to the next gap's start, and
-    slivers of 0.1 or less vanish.  The window runs over the gaps of one row of one wall.
+    slivers of 0.1 or less vanish.  A wall of no rows has no segment, and an opening whose
+    last row is below its first cuts nothing.  The window runs over the gaps of one row of one wall.
     """
-    rows = walls.withColumn("row", F.explode(F.sequence(F.lit(1), F.col("n_rows"))))
-    gaps = openings.withColumn("row", F.explode(F.sequence("from_row", "to_row"))).select(key, "row", "o_start", "o_end")
+    rows = walls.withColumn("row", F.explode(_upward(F.lit(1), F.col("n_rows"))))
+    gaps = openings.withColumn("row", F.explode(_upward(F.col("from_row"), F.col("to_row")))).select(key, "row", "o_start", "o_end")
     w = Window.partitionBy(key, "row").orderBy("o_start", "o_end")
     cut = (
         rows.join(gaps, [key, "row"], "left")
@@ -257,7 +263,7 @@ def floor_plates(floors: DataFrame, keys: Sequence[str], inset: float = 0.0) ->
     n = F.floor(span / 20) + 1 if not inset else F.ceil((span - 0.1) / 20)
     rows = (
         _repeat(floors, keys, F.col("z_min"), n, 20)
-        .withColumn("layer", F.explode(F.sequence(F.lit(0), F.col("layers") - 1)))
+        .withColumn("layer", F.explode(_upward(F.lit(0), F.col("layers") - 1)))
         .select(
             *keys,
             "color",
@@ -287,18 +293,20 @@ def parapets(roofs: DataFrame, keys: Sequence[str]) -> DataFrame:
         )
     )
     courses = F.concat(
-        F.transform(
-            F.sequence(F.lit(0), F.col("n_rows") - 1),
-            lambda r: F.struct((F.col("y") - r * 24).alias("y"), F.lit("brick").alias("kind")),
-        ).cast(_COURSE),
+        F.coalesce(
+            F.transform(
+                _upward(F.lit(0), F.col("n_rows") - 1),
+                lambda r: F.struct((F.col("y") - r * 24).alias("y"), F.lit("brick").alias("kind")),
+            ).cast(_COURSE),
+            F.array().cast(_COURSE),
+        ),
         F.when(
             F.col("cap"),
             F.array(F.struct((F.col("y") - F.col("n_rows") * 24 + 16).alias("y"), F.lit("tile").alias("kind"))).cast(_COURSE),
         ).otherwise(F.array().cast(_COURSE)),
     )
     rows = (
-        roofs.where(F.col("n_rows") > 0)
-        .select(*keys, "color", F.explode(sides).alias("s"), courses.alias("cs"))
+        roofs.select(*keys, "color", F.explode(sides).alias("s"), courses.alias("cs"))
         .select(*keys, "color", "s.*", F.explode("cs").alias("c"))
         .select(*keys, "color", "axis", "span_start", "span_end", "cross_pos", "c.y", "c.kind", F.lit(0).alias("stagger"))
     )

@@ -80,11 +80,12 @@ def kmeans(
 
 
 def forest_scores(
-    train: DataFrame, test: DataFrame, features: Sequence[str], label: str = "label", trees: int = 100, seed: int = 42
+    train: DataFrame, test: DataFrame, features: Sequence[str], label: str = "label", trees: int = 100, seed: int = 42,
+    depth: int = 15,
 ) -> DataFrame:
     """Random-forest predictions and class-1 probability for ``test``."""
     model = RandomForestClassifier(
-        numTrees=trees, seed=seed, featuresCol="_features", labelCol=label, predictionCol="prediction"
+        numTrees=trees, maxDepth=depth, seed=seed, featuresCol="_features", labelCol=label, predictionCol="prediction"
     ).fit(_assembled(train, features))
     scored = model.transform(_assembled(test, features))
     return scored.withColumn("confidence", F.array_max(vector_to_array("probability"))).drop(
@@ -321,19 +322,21 @@ def label_predictions(df: DataFrame, meaning: Mapping[int, str], prediction: str
 
 
 def density_clusters(
-    df: DataFrame, features: Sequence[str], width: float, min_cluster_size: int = 3
+    df: DataFrame, key: str, features: Sequence[str], width: float, min_points: int = 3, min_cluster_size: int = 3
 ) -> DataFrame:
-    """Grid density clustering: ``cluster`` is a component id, or -1 for noise.
+    """Grid density clustering: ``cluster`` is the smallest core row's key, or -1 for noise.
 
-    Rows fall into cells of side ``width``; cells with enough rows are dense, dense
-    cells sharing a face join, and a row in a sparse cell joins a dense neighbour if it
-    has one.  Work grows with rows and occupied cells, never with pairs of rows.
+    Rows fall into cells of side ``width``; cells with ``min_points`` rows are dense, dense
+    cells sharing a face join, and a row in a sparse cell joins a dense neighbour if it has
+    one, the one of the smallest cluster.  Clusters of fewer than ``min_cluster_size`` rows are
+    noise.  ``key`` is a whole number that names a row.  Work grows with rows and occupied
+    cells, never with pairs of rows; rows of one cell are counted before any join.
     """
     d = len(features)
     cell = F.array(*[F.floor(F.col(f) / width).cast("long") for f in features])
     placed = df.withColumn("_cell", cell)
-    dense = placed.groupBy("_cell").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= min_cluster_size)
-    dense = cut_lineage(dense.select("_cell", F.xxhash64("_cell").bitwiseAND(F.lit(2**62 - 1)).alias("id")))
+    cells = cut_lineage(placed.groupBy("_cell").agg(F.count(F.lit(1)).alias("n"), F.min(key).alias("id")))
+    dense = cells.where(F.col("n") >= min_points).select("_cell", "id")
 
     def faces(df_: DataFrame) -> DataFrame:
         c = F.col("_cell")
@@ -346,10 +349,15 @@ def density_clusters(
     other = dense.select(F.col("_cell").alias("_near"), F.col("id").alias("b"))
     edges = faces(dense).join(other, "_near").select(F.col("id").alias("a"), "b")
     labels = connected_components(edges).join(dense, F.col("node") == F.col("id")).select("_cell", "label")
-    sparse = placed.select("_cell").distinct().join(dense.select("_cell"), "_cell", "left_anti")
     border = (
-        faces(sparse).join(labels.select(F.col("_cell").alias("_near"), "label"), "_near")
+        faces(cells.where(F.col("n") < min_points).select("_cell"))
+        .join(labels.select(F.col("_cell").alias("_near"), "label"), "_near")
         .groupBy("_cell").agg(F.min("label").alias("label"))
     )
     owner = labels.unionByName(border)
+    big = (
+        owner.join(cells, "_cell").groupBy("label").agg(F.sum("n").alias("rows"))
+        .where(F.col("rows") >= min_cluster_size).select("label")
+    )
+    owner = owner.join(big, "label")
     return placed.join(owner, "_cell", "left").withColumn("cluster", F.coalesce("label", F.lit(-1))).drop("_cell", "label")

@@ -23,11 +23,11 @@ def _number(token: Column) -> Column:
 
 
 def parse_placements(lines: DataFrame) -> DataFrame:
-    """Type-1 lines with 15 tokens or more and numeric coordinates; other lines are dropped."""
+    """Type-1 lines ("1" and a blank) with 15 tokens or more and numeric coordinates; others are dropped."""
     text = F.btrim("value", F.lit(" \t\r\n\f\x0b"))
     kept = [c for c in lines.columns if c != "value"]
     # the one-element explode keeps the split from being evaluated again per use
-    parsed = lines.where(text.startswith("1")).select(*kept, F.explode(F.array(F.split(text, r"\s+"))).alias("_t"))
+    parsed = lines.where(text.startswith("1 ")).select(*kept, F.explode(F.array(F.split(text, r"\s+"))).alias("_t"))
     t = F.col("_t")
     return (
         parsed.where((t[0] == "1") & (F.size(t) >= 15))
@@ -165,7 +165,8 @@ def structural_features(
     if models is not None:
         out = models.select("model").distinct().join(out, "model", "left")
     if labels is not None:
-        out = out.join(labels.select("model", "label"), "model", "left")
+        # one label per model, the largest where several are given
+        out = out.join(labels.groupBy("model").agg(F.max("label").alias("label")), "model", "left")
     else:
         out = out.withColumn("label", F.lit(0))
     zero = F.lit(0.0)
@@ -213,7 +214,9 @@ def duplicates(placements: DataFrame) -> DataFrame:
 
 
 def boxes(placements: DataFrame, sizes: Mapping[str, tuple[int, int, int]] = D.PART_SIZES) -> DataFrame:
-    """Distinct bounding boxes with their number of copies; parts of unknown size are left out.
+    """Distinct bounding boxes with their number of copies.
+
+    Parts of unknown size have no box; ``overlap_counts`` reports how many there are.
 
     The anchor is the centre of the top face and y grows downward; a quarter turn swaps
     the sides.
@@ -265,9 +268,13 @@ def overlaps(placements: DataFrame, cell: float = 160.0) -> DataFrame:
 
 
 def overlap_counts(placements: DataFrame, cell: float = 160.0) -> DataFrame:
-    return overlaps(placements, cell).groupBy("model").agg(
+    """Overlaps per model, and its placements whose part has no known size and takes no part."""
+    found = overlaps(placements, cell).groupBy("model").agg(
         F.count(F.lit(1)).alias("box_pairs"), F.sum("weight").alias("placement_pairs")
     )
+    known = F.col("part").isin(list(D.PART_SIZES))
+    unsized = placements.where(~known | F.col("part").isNull()).groupBy("model").agg(F.count(F.lit(1)).alias("unsized"))
+    return found.join(unsized, "model", "full").na.fill(0, ["box_pairs", "placement_pairs", "unsized"])
 
 
 def glass_pairing(placements: DataFrame, pairs: Mapping[str, Sequence[str]] = D.GLASS_PAIRS) -> DataFrame:
@@ -339,19 +346,29 @@ def placement_line() -> Column:
     )
 
 
+def line_order(lines: DataFrame) -> list[str]:
+    """Columns of ``framed_lines`` that put a model's lines in order."""
+    marks = [c for c in lines.columns if c.startswith("o_")]
+    return ["section", "submodel", "part_no", *marks, "line_no", "value"]
+
+
 def framed_lines(placements: DataFrame, order: Sequence[str], author: str = "unknown") -> DataFrame:
     """Whole model text as rows: header, submodel references, submodel bodies with STEP, footer.
 
-    ``placements`` adds ``submodel``.  Rows carry (section, submodel, part_no, line_no) to
-    sort on when written; the sort runs within one model file.
+    ``placements`` adds ``submodel``, and may carry ``comment``, written as a line of its own
+    before its placement.  Rows carry (section, submodel, part_no, o_*, line_no) to sort on when
+    written; ``o_*`` are the ``order`` columns, so lines stand in their order, ties by text.
     """
+    marks = [f"o_{i}" for i in range(len(order))]
+    kinds = [placements.schema[c].dataType.simpleString() for c in order]
 
     def block(df: DataFrame, section: int, part_no: int, *values: Column) -> DataFrame:
         rows = F.array(
             *[F.struct(F.lit(i).cast("long").alias("line_no"), v.alias("value")) for i, v in enumerate(values)]
         )
+        blank = [F.lit(None).cast(k).alias(m) for m, k in zip(marks, kinds, strict=True)]
         return df.select(
-            "model", F.lit(section).alias("section"), "submodel", F.lit(part_no).alias("part_no"), F.inline(rows)
+            "model", F.lit(section).alias("section"), "submodel", F.lit(part_no).alias("part_no"), *blank, F.inline(rows)
         )
 
     def header(name: Column, *extra: Column) -> list[Column]:
@@ -368,13 +385,21 @@ def framed_lines(placements: DataFrame, order: Sequence[str], author: str = "unk
     tops = subs.select("model", F.lit("").alias("submodel")).distinct()
     model, sub = F.col("model").cast("string"), F.col("submodel")
     reference = F.concat_ws(" ", F.lit("1 16 0 0 0"), F.lit(D.ROTATIONS["R0"]), F.concat(sub, F.lit(".ldr")))
+    line = F.struct(F.lit(1).cast("long").alias("line_no"), placement_line().alias("value"))
+    if "comment" in placements.columns:
+        note = F.when(
+            F.col("comment") != "", F.struct(F.lit(0).cast("long").alias("line_no"), F.concat(F.lit("0 // "), "comment").alias("value"))
+        )
+        lines = F.array_compact(F.array(note, line))
+    else:
+        lines = F.array(line)
     body = placements.select(
         "model",
         F.lit(2).alias("section"),
         F.col("submodel").cast("string").alias("submodel"),
         F.lit(1).alias("part_no"),
-        F.xxhash64(*order).alias("line_no"),
-        placement_line().alias("value"),
+        *[F.col(c).alias(m) for c, m in zip(order, marks, strict=True)],
+        F.inline(lines),
     )
     blocks = [
         block(tops, 0, 0, *header(model, F.lit("0 !LDRAW_ORG Model"))),

@@ -1,10 +1,8 @@
 """Chunking, keyword, vector and hybrid retrieval, context and training-example assembly.
 
-Top-k search never shuffles (query, document) pairs.  A query set of checked, small size
-is shipped to every task; each Arrow batch of documents is scored as a matrix product
-and only its k best rows per query leave the task, which is exact because the best of
-the whole is among the bests of the batches.  A query set over the bound takes a path
-that partitions both sides.
+Vector search cuts documents and queries into blocks of bounded size at every scale; a
+pair of blocks is a matrix product of which only the k best rows per query leave the task.
+Keyword search joins the counts of query terms with the queries that have them.
 """
 
 from __future__ import annotations
@@ -19,7 +17,6 @@ from pyspark.sql import functions as F
 
 from mortarline.functions.scalars import context_block, message_json, words
 
-MAX_SHIPPED_CELLS = 20_000_000  # numbers in the shipped query matrix, 160 MB at most
 DIGITS = 6
 
 
@@ -44,19 +41,20 @@ def top_per_query(scored: DataFrame, k: int, query: str = "query_id", doc: str =
     return scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
-def _best(scores: np.ndarray, ids: np.ndarray, query_ids: np.ndarray, k: int, positive: bool) -> pd.DataFrame:
-    """Long frame of the k best rows per column, ties by id."""
+def _best(scores: np.ndarray, ids: np.ndarray, query_ids: np.ndarray, k: int) -> pd.DataFrame:
+    """Long frame of the k best rows per column of ``scores``, ties by id."""
     scores = np.round(scores, DIGITS)
-    frames = []
-    for j, q in enumerate(query_ids):
-        col = scores[:, j]
-        rows = np.flatnonzero(col > 0) if positive else np.arange(len(col))
-        if len(rows) > k:
-            cut = np.partition(col[rows], len(rows) - k)[len(rows) - k]
-            rows = rows[col[rows] >= cut]
-            rows = rows[np.lexsort((ids[rows], -col[rows]))][:k]
-        frames.append(pd.DataFrame({"query_id": q, "doc_id": ids[rows], "score": col[rows]}))
-    return pd.concat(frames, ignore_index=True)
+    if len(scores) > k:
+        cut = np.partition(scores, len(scores) - k, axis=0)[len(scores) - k]
+        row, col = np.nonzero(scores >= cut)
+    else:
+        row, col = map(np.ravel, np.indices(scores.shape))
+    order = np.lexsort((ids[row], -scores[row, col], col))
+    row, col = row[order], col[order]
+    first = np.searchsorted(col, col)
+    keep = np.arange(len(col)) - first < k
+    row, col = row[keep], col[keep]
+    return pd.DataFrame({"query_id": query_ids[col], "doc_id": ids[row], "score": scores[row, col]})
 
 
 def _unit(m: np.ndarray) -> np.ndarray:
@@ -68,28 +66,15 @@ _SCORED = "query_id long, doc_id long, score double"
 
 
 def vector_topk(
-    docs: DataFrame, queries: DataFrame, k: int, max_cells: int = MAX_SHIPPED_CELLS, block_rows: int = 20_000
+    docs: DataFrame, queries: DataFrame, k: int, block_rows: int = 20_000, query_rows: int = 4_096
 ) -> DataFrame:
-    """Exact cosine top-k: ``docs`` (doc_id, vector), ``queries`` (query_id, vector)."""
-    width = queries.select(F.size("vector").alias("w")).limit(1).collect()
-    if not width:
-        return top_per_query(docs.sparkSession.createDataFrame([], _SCORED), k)
-    bound = max(1, max_cells // max(1, width[0]["w"]))
-    shipped = queries.select("query_id", "vector").limit(bound + 1).collect()
-    if len(shipped) <= bound:
-        ids = np.array([r["query_id"] for r in shipped])
-        matrix = _unit(np.array([r["vector"] for r in shipped], dtype="float64")).T
-
-        def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for b in batches:
-                if len(b):
-                    left = _unit(np.stack(b["vector"].to_numpy()).astype("float64"))
-                    yield _best(left @ matrix, b["doc_id"].to_numpy(), ids, k, positive=False)
-
-        return top_per_query(docs.select("doc_id", "vector").mapInPandas(score, _SCORED), k)
+    """Exact cosine top-k: ``docs`` (doc_id, vector), ``queries`` (query_id, vector).
 
+    Both sides are cut into blocks by hash, and each pair of blocks is one group of bounded
+    size, whose k best rows per query go on.
+    """
     d_blocks = ceil(docs.count() / block_rows) or 1
-    q_blocks = ceil(queries.count() / block_rows) or 1
+    q_blocks = ceil(queries.count() / query_rows) or 1
 
     def blocks(df: DataFrame, key: str, own: str, n_own: int, other: str, n_other: int) -> DataFrame:
         return df.select(
@@ -106,7 +91,7 @@ def vector_topk(
         ids, out = left["doc_id"].to_numpy(), []
         for lo in range(0, len(b), 256):
             part = right["query_id"].to_numpy()[lo : lo + 256]
-            out.append(_best(a @ b[lo : lo + 256].T, ids, part, k, positive=False))
+            out.append(_best(a @ b[lo : lo + 256].T, ids, part, k))
         return pd.concat(out, ignore_index=True)
 
     left = blocks(docs, "doc_id", "d", d_blocks, "q", q_blocks)
@@ -118,58 +103,21 @@ def _idf(n: Column, df: Column) -> Column:
     return F.ln(1.0 + (n - df + 0.5) / (df + 0.5))
 
 
-def keyword_topk(
-    docs: DataFrame,
-    queries: DataFrame,
-    k: int = 3,
-    k1: float = 1.2,
-    b: float = 0.75,
-    max_cells: int = MAX_SHIPPED_CELLS,
-) -> DataFrame:
+def keyword_topk(docs: DataFrame, queries: DataFrame, k: int = 3, k1: float = 1.2, b: float = 0.75) -> DataFrame:
     """BM25 top-k: ``docs`` (doc_id, text), ``queries`` (query_id, text).
 
     One pass over the documents collects the document frequency of query terms and the
-    average length, a second one scores.
+    average length, a second one the counts of query terms per document; only those meet the
+    queries, and partial sums per (query, document) are shuffled.
     """
     tokens = docs.select("doc_id", F.explode(F.array(words(F.col("text")))).alias("t"))
     wanted = queries.select("query_id", F.explode(F.array_distinct(words(F.col("text")))).alias("term"))
-    size = wanted.agg(
-        F.count_distinct("term").alias("v"), F.count_distinct("query_id").alias("q"), F.count(F.lit(1)).alias("n")
-    ).collect()[0]
     shape = tokens.agg(F.count(F.lit(1)).alias("n"), F.avg(F.size("t")).alias("avg")).collect()[0]
     n_docs, avg_len = shape["n"], shape["avg"] or 1.0
     vocabulary = wanted.select("term").distinct()
-    small = size["v"] * max(1, size["q"]) <= max_cells
     terms = tokens.select(F.explode(F.array_distinct("t")).alias("term"))
-    known = terms.join(F.broadcast(vocabulary) if small else vocabulary, "term", "left_semi")
+    known = terms.join(vocabulary, "term", "left_semi")
     idf = known.groupBy("term").agg(_idf(F.lit(float(n_docs)), F.count(F.lit(1))).alias("idf"))
-    if small:
-        weights = {r["term"]: r["idf"] for r in idf.collect()}
-        vocab = pd.Index(sorted(weights))
-        pairs = [(r["query_id"], r["term"]) for r in wanted.collect() if r["term"] in weights]
-        ids = np.array(sorted({q for q, _ in pairs}), dtype="int64")
-        spot = {q: i for i, q in enumerate(ids)}
-        matrix = np.zeros((len(vocab), len(ids)))
-        for q, term in pairs:
-            matrix[vocab.get_loc(term), spot[q]] = weights[term]
-        rows_at_once = max(1, min(2000, max_cells // max(1, len(vocab))))
-
-        def score(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-            for whole in batches:
-                for lo in range(0, len(whole), rows_at_once):
-                    part = whole.iloc[lo : lo + rows_at_once]
-                    lengths = part["t"].str.len().to_numpy()
-                    if not len(vocab) or not lengths.sum():
-                        continue
-                    code = vocab.get_indexer(np.concatenate(part["t"].to_numpy()))
-                    row = np.repeat(np.arange(len(part)), lengths)[code >= 0]
-                    flat = row * len(vocab) + code[code >= 0]
-                    tf = np.bincount(flat, minlength=len(part) * len(vocab)).reshape(len(part), len(vocab))
-                    norm = k1 * (1 - b + b * lengths[:, None] / avg_len)
-                    yield _best((tf * (k1 + 1) / (tf + norm)) @ matrix, part["doc_id"].to_numpy(), ids, k, positive=True)
-
-        return top_per_query(tokens.mapInPandas(score, _SCORED), k)
-
     tf = (
         tokens.select("doc_id", F.size("t").alias("len"), F.explode("t").alias("term"))
         .join(vocabulary, "term", "left_semi")

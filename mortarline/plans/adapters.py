@@ -10,8 +10,6 @@ import re
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mortarline.session import spread
-
 NOW = "2024-01-31 00:00:00"
 
 _EVENTS = "(SELECT *, CAST(regexp_extract(props, '([0-9]+)', 1) AS INT) AS k FROM {events})"
@@ -160,14 +158,14 @@ ADAPTERS: dict[str, str] = {
     "walls": """
         SELECT p_partkey AS wall_id, p_size % 16 AS color, CAST(0 AS DOUBLE) AS span_start,
           CAST(p_size * 20 AS DOUBLE) AS span_end, CAST(140 AS DOUBLE) AS ground_y,
-          CAST(p_partkey % 6 + 4 AS INT) AS n_rows, CAST(10 AS DOUBLE) AS cross_pos,
+          CAST(CASE WHEN p_partkey % 17 = 0 THEN 0 ELSE p_partkey % 6 + 4 END AS INT) AS n_rows, CAST(10 AS DOUBLE) AS cross_pos,
           CASE WHEN p_partkey % 2 = 0 THEN 'X' ELSE 'Z' END AS axis,
           CASE p_partkey % 4 WHEN 0 THEN 'Front' WHEN 1 THEN 'Back' WHEN 2 THEN 'Left' ELSE 'Right' END AS wall,
           CASE p_partkey % 3 WHEN 0 THEN 'Georgian' WHEN 1 THEN 'Victorian' ELSE 'Baroque' END AS style
         FROM {part}""",
     "openings": """
         SELECT p_partkey AS wall_id, CAST(p_size * 4 AS DOUBLE) AS o_start, CAST(p_size * 4 + 80 AS DOUBLE) AS o_end,
-          CAST(p_partkey % 3 + 1 AS INT) AS from_row, CAST(p_partkey % 3 + 4 AS INT) AS to_row
+          CAST(p_partkey % 3 + 1 AS INT) AS from_row, CAST(CASE WHEN p_partkey % 13 = 0 THEN 0 ELSE p_partkey % 3 + 4 END AS INT) AS to_row
         FROM {part}
         UNION ALL
         SELECT p_partkey AS wall_id, CAST(p_size * 12 AS DOUBLE) AS o_start, CAST(p_size * 12 + 60 AS DOUBLE) AS o_end,
@@ -203,20 +201,13 @@ def ctes(*names: str) -> str:
     return "WITH " + ", ".join(f"{n} AS ({text(n)})" for n in names)
 
 
-# inputs whose rows carry text or feed per-row parsing, with the key that spreads them
-_HEAVY = {"documents": ["doc_id"], "pages": ["page_id"]}
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return spread(df, *_HEAVY[name]) if name in _HEAVY else df
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def view(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Adapter as a Spark DataFrame."""
     body = ADAPTERS[name]
     sources = {t: table(spark, sf_dir, t) for t in _tables(body)}
-    if name == "model_lines":
-        sources = {t: spread(df, "l_orderkey") for t, df in sources.items()}
     # Spark reads a backslash in a literal as an escape, standard SQL does not
     return spark.sql(body.replace("\\", "\\\\"), **sources)

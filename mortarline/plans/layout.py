@@ -157,8 +157,8 @@ def floor_band(spark: SparkSession, sf: str) -> DataFrame:
 def _floors(spark: SparkSession, sf: str) -> DataFrame:
     return view(spark, sf, "walls").select(
         "wall_id", "color", F.col("span_start").alias("x_min"), F.col("span_end").alias("x_max"), F.lit(0.0).alias("z_min"),
-        (F.col("n_rows") * 20.0).alias("z_max"), F.lit(-100.0).alias("y"), F.lit(2).alias("layers"),
-        (F.col("n_rows") - 3).alias("n_rows"), (F.col("n_rows") > 5).alias("cap"),
+        (F.col("n_rows") * 20.0).alias("z_max"), F.lit(-100.0).alias("y"), F.when(F.col("wall_id") % 11 == 0, 0).otherwise(2).alias("layers"),
+        F.greatest(F.col("n_rows") - 4, F.lit(0)).alias("n_rows"), ((F.col("n_rows") > 5) | (F.col("n_rows") < 5)).alias("cap"),
         F.when(F.col("axis") == "X", "FBLR").otherwise("FL").alias("sides"),
     )
 
@@ -166,7 +166,7 @@ def _floors(spark: SparkSession, sf: str) -> DataFrame:
 def _plates_sql(zs: str, shift: int) -> str:
     return f"""{ctes('walls')}, rows_ AS (SELECT wall_id, color, span_start, span_end, -100e0 - layer * 8 AS y, CAST(z * 20 + {shift} AS DOUBLE) AS cross_pos,
       'X' AS axis, 'plate' AS kind, 0 AS stagger
-      FROM (SELECT *, unnest(range(0, {zs})) AS z FROM walls) w, (VALUES (0), (1)) l(layer))"""
+      FROM (SELECT *, unnest(range(0, {zs})) AS z FROM walls) w, (VALUES (0), (1)) l(layer) WHERE wall_id % 11 <> 0)"""
 
 
 @register("floor_plates", f"{_fill(_plates_sql('n_rows + 1', 0), 'rows_', 'wall_id')} SELECT * FROM filled")
@@ -180,7 +180,7 @@ def floor_fill(spark: SparkSession, sf: str) -> DataFrame:
 
 
 _PARAPET = f"""{ctes('walls')}, s(sides, letter, axis) AS (VALUES ('FBLR', 'F', 'X'), ('FBLR', 'B', 'X'), ('FBLR', 'L', 'Z'), ('FBLR', 'R', 'Z'), ('FL', 'F', 'X'), ('FL', 'L', 'Z')),
-    courses AS (SELECT *, unnest(range(0, n_rows - 3)) AS r, 'brick' AS kind FROM walls UNION ALL SELECT *, n_rows - 3 AS r, 'tile' FROM walls WHERE n_rows > 5),
+    courses AS (SELECT *, unnest(range(0, n_rows - 4)) AS r, 'brick' AS kind FROM walls UNION ALL SELECT *, greatest(n_rows - 4, 0) AS r, 'tile' FROM walls WHERE n_rows > 5 OR n_rows < 5),
     rows_ AS (SELECT wall_id, color, CAST(0 AS DOUBLE) AS span_start, CASE WHEN s.axis = 'X' THEN span_end ELSE n_rows * 20e0 END AS span_end,
       CASE WHEN kind = 'tile' THEN -100e0 - r * 24 + 16 ELSE -100e0 - r * 24 END AS y,
       CASE letter WHEN 'B' THEN n_rows * 20e0 WHEN 'R' THEN span_end ELSE 0e0 END AS cross_pos, s.axis, kind, 0 AS stagger

@@ -175,8 +175,21 @@ def isolation_flags(spark: SparkSession, sf: str) -> DataFrame:
     return named.groupBy("result").agg(F.count(F.lit(1)).alias("n"))
 
 
-@register("density_clusters")
+@register(
+    "density_clusters",
+    """WITH RECURSIVE p AS (SELECT c_custkey, CAST(floor(c_acctbal / 500e0) AS BIGINT) AS a, CAST(c_nationkey AS BIGINT) AS b FROM customer),
+    c AS (SELECT a, b, count(*) AS n, min(c_custkey) AS id FROM p GROUP BY 1, 2),
+    d AS (SELECT * FROM c WHERE n >= 3),
+    e AS (SELECT x.id AS u, y.id AS v FROM d x JOIN d y ON abs(x.a - y.a) + abs(x.b - y.b) <= 1),
+    r AS (SELECT id, id AS label FROM d UNION SELECT e.v, r.label FROM r JOIN e ON r.id = e.u),
+    l AS (SELECT d.a, d.b, min(label) AS label FROM r JOIN d ON r.id = d.id GROUP BY 1, 2),
+    o AS (SELECT * FROM l UNION ALL SELECT c.a, c.b, min(label) FROM c JOIN l ON abs(c.a - l.a) + abs(c.b - l.b) = 1
+      WHERE c.n < 3 GROUP BY 1, 2),
+    s AS (SELECT label FROM o JOIN c ON o.a = c.a AND o.b = c.b GROUP BY 1 HAVING sum(n) >= 5)
+    SELECT c_custkey, coalesce(s.label, -1) AS cluster FROM p LEFT JOIN o ON p.a = o.a AND p.b = o.b LEFT JOIN s ON o.label = s.label""",
+)
 def density_clusters(spark: SparkSession, sf: str) -> DataFrame:
-    cols = ["c_acctbal", "c_nationkey"]
-    rows = M.standardize(table(spark, sf, "customer").select("c_custkey", *cols), cols)
-    return M.cluster_sizes(M.density_clusters(rows, cols, 0.1))
+    rows = table(spark, sf, "customer").select(
+        "c_custkey", (F.col("c_acctbal") / 500).alias("a"), F.col("c_nationkey").cast("double").alias("b")
+    )
+    return M.density_clusters(rows, "c_custkey", ["a", "b"], 1.0, min_points=3, min_cluster_size=5).select("c_custkey", "cluster")

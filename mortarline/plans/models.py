@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from mortarline import dims as D
@@ -12,10 +12,10 @@ from mortarline.plans.registry import register
 
 _NUM = "'^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$'"
 _PARSED = f"""{ctes('model_lines')},
-    t AS (SELECT model, regexp_split_to_array(trim(value), '[ \\t]+') AS t FROM model_lines),
+    t AS (SELECT model, value, regexp_split_to_array(trim(value), '[ \\t]+') AS t FROM model_lines),
     parsed AS (SELECT model, TRY_CAST(t[2] AS INT) AS color, TRY_CAST(t[3] AS DOUBLE) AS x, TRY_CAST(t[4] AS DOUBLE) AS y,
         TRY_CAST(t[5] AS DOUBLE) AS z, array_to_string(t[6:14], ' ') AS rot, t[15] AS part
-      FROM t WHERE t[1] = '1' AND len(t) >= 15 AND regexp_matches(t[3], {_NUM}) AND regexp_matches(t[4], {_NUM})
+      FROM t WHERE trim(value) LIKE '1 %' AND len(t) >= 15 AND regexp_matches(t[3], {_NUM}) AND regexp_matches(t[4], {_NUM})
         AND regexp_matches(t[5], {_NUM}))"""
 
 
@@ -119,9 +119,12 @@ def duplicate_placements(spark: SparkSession, sf: str) -> DataFrame:
         CASE WHEN rot IN ('{D.ROTATIONS['R90']}', '{D.ROTATIONS['R270']}') THEN l ELSE w END / 2 AS dz
       FROM placements p JOIN sz ON p.part = sz.part),
     b AS (SELECT model, x - dx AS x0, x + dx AS x1, y AS y0, y + h AS y1, z - dz AS z0, z + dz AS z1, count(*) AS copies FROM s GROUP BY ALL)
-    SELECT a.model, count(*) AS box_pairs, CAST(sum(a.copies * c.copies) AS BIGINT) AS placement_pairs
+    SELECT coalesce(o.model, n.model) AS model, coalesce(box_pairs, 0) AS box_pairs, coalesce(placement_pairs, 0) AS placement_pairs,
+      coalesce(unsized, 0) AS unsized
+    FROM (SELECT a.model, count(*) AS box_pairs, CAST(sum(a.copies * c.copies) AS BIGINT) AS placement_pairs
     FROM b a JOIN b c ON a.model = c.model AND (a.x0, a.y0, a.z0, a.x1, a.y1, a.z1) < (c.x0, c.y0, c.z0, c.x1, c.y1, c.z1)
-      AND a.x0 < c.x1 AND c.x0 < a.x1 AND a.y0 < c.y1 AND c.y0 < a.y1 AND a.z0 < c.z1 AND c.z0 < a.z1 GROUP BY 1""",
+      AND a.x0 < c.x1 AND c.x0 < a.x1 AND a.y0 < c.y1 AND c.y0 < a.y1 AND a.z0 < c.z1 AND c.z0 < a.z1 GROUP BY 1) o
+    FULL JOIN (SELECT model, count(*) AS unsized FROM placements WHERE part NOT IN (SELECT part FROM sz) GROUP BY 1) n ON o.model = n.model""",
 )
 def bbox_overlaps(spark: SparkSession, sf: str) -> DataFrame:
     return M.overlap_counts(view(spark, sf, "placements"))
@@ -175,17 +178,30 @@ def placement_lines(spark: SparkSession, sf: str) -> DataFrame:
 
 @register(
     "framed_models",
-    f"""{ctes('placements')}, s AS (SELECT model, count(*) AS n, count(DISTINCT color) AS subs FROM placements GROUP BY 1)
-    SELECT model, 6 + subs + 1 + subs * 6 + n + 2 * subs AS line_count, subs AS ref_count, 1 + subs AS file_count, 1 + subs AS nofile_count,
-      subs AS step_count FROM s""",
+    f"""{ctes('placements')}, p AS (SELECT *, concat('c', CAST(color AS VARCHAR)) AS sub, CAST(model AS VARCHAR) AS m,
+        concat_ws(' ', '1', CAST(color AS VARCHAR), CAST(CAST(x AS BIGINT) AS VARCHAR), CAST(CAST(y AS BIGINT) AS VARCHAR),
+          CAST(CAST(z AS BIGINT) AS VARCHAR), rot, part) AS value FROM placements),
+    t AS (SELECT DISTINCT model, m FROM p), s AS (SELECT DISTINCT model, sub FROM p),
+    h(i, a, b) AS (VALUES (0, '0 FILE ', '.ldr'), (1, '0 ', ''), (2, '0 Name: ', '.ldr'), (3, '0 Author: unknown', NULL)),
+    l AS (
+      SELECT model, 0 AS sec, '' AS sub, 0 AS part_no, NULL AS y, NULL AS x, NULL AS z, NULL AS part, i AS line_no,
+        CASE WHEN b IS NULL THEN a ELSE concat(a, m, b) END AS value FROM t CROSS JOIN h
+      UNION ALL SELECT model, 0, '', 0, NULL, NULL, NULL, NULL, 4, '0 !LDRAW_ORG Model' FROM t
+      UNION ALL SELECT model, 0, '', 0, NULL, NULL, NULL, NULL, 5, '' FROM t
+      UNION ALL SELECT model, 1, sub, 0, NULL, NULL, NULL, NULL, 0, concat('1 16 0 0 0 {D.ROTATIONS["R0"]} ', sub, '.ldr') FROM s
+      UNION ALL SELECT model, 1, '~', 1, NULL, NULL, NULL, NULL, 0, '0 NOFILE' FROM t
+      UNION ALL SELECT model, 2, sub, 0, NULL, NULL, NULL, NULL, 0, '' FROM s
+      UNION ALL SELECT model, 2, sub, 0, NULL, NULL, NULL, NULL, i + 1, CASE WHEN b IS NULL THEN a ELSE concat(a, sub, b) END FROM s CROSS JOIN h
+      UNION ALL SELECT model, 2, sub, 0, NULL, NULL, NULL, NULL, 5, '' FROM s
+      UNION ALL SELECT model, 2, sub, 1, y, x, z, part, 0, '0 // window' FROM p WHERE part = '60594.dat'
+      UNION ALL SELECT model, 2, sub, 1, y, x, z, part, 1, value FROM p
+      UNION ALL SELECT model, 2, sub, 2, NULL, NULL, NULL, NULL, 0, '0 STEP' FROM s
+      UNION ALL SELECT model, 2, sub, 2, NULL, NULL, NULL, NULL, 1, '0 NOFILE' FROM s)
+    SELECT model, row_number() OVER (PARTITION BY model ORDER BY sec, sub, part_no, y, x, z, part, line_no, value) AS n, value FROM l""",
 )
 def framed_models(spark: SparkSession, sf: str) -> DataFrame:
     placed = view(spark, sf, "placements").withColumn("submodel", F.concat(F.lit("c"), F.col("color")))
+    placed = placed.withColumn("comment", F.when(F.col("part") == "60594.dat", "window"))
     lines = M.framed_lines(placed, ["y", "x", "z", "part"])
-    return lines.groupBy("model").agg(
-        F.count(F.lit(1)).alias("line_count"),
-        F.count_if(F.col("section") == 1).alias("_r"),
-        F.count_if(F.col("value").startswith("0 FILE")).alias("file_count"),
-        F.count_if(F.col("value") == "0 NOFILE").alias("nofile_count"),
-        F.count_if(F.col("value") == "0 STEP").alias("step_count"),
-    ).withColumn("ref_count", F.col("_r") - 1).drop("_r")
+    order = Window.partitionBy("model").orderBy(*[c for c in M.line_order(lines)])
+    return lines.select("model", F.row_number().over(order).cast("long").alias("n"), "value")

@@ -29,6 +29,11 @@ def register(name: str, check: str | None = None) -> Callable[[Query], Query]:
     return keep
 
 
+def check_of(name: str) -> str:
+    """The check SQL of a query that is registered already."""
+    return _CHECKS[name]
+
+
 def _load() -> None:
     for area in AREAS:
         importlib.import_module(f"mortarline.plans.{area}")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from mortarline.operators import traces as R
 from mortarline.plans.adapters import ADAPTERS, _tables, ctes, table, view
 from mortarline.plans.drift import NUMERIC, rounded
-from mortarline.plans.registry import register
+from mortarline.plans.registry import check_of, register
 from mortarline.plans.telemetry import _BAD, with_dims
 from mortarline.streaming import monitors as S
 
@@ -134,7 +134,7 @@ def stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return S.run_available(unique.select("event_id", "event_type", "value"), mode="append")
 
 
-@register("stream_drift")
+@register("stream_drift", check_of("weekly_drift"))
 def stream_drift(spark: SparkSession, sf: str) -> DataFrame:
     lines = S.read_files(spark, sf, "lineitem.parquet", table(spark, sf, "lineitem").schema)
     captured = lines.select(
@@ -144,4 +144,6 @@ def stream_drift(spark: SparkSession, sf: str) -> DataFrame:
         F.col("l_discount").alias("discount"),
         F.col("l_tax").alias("tax"),
     )
-    return S.drift_batches(captured, view(spark, sf, "features_base"), NUMERIC)
+    # one file may hold its rows in any order, so none counts as late here
+    out = S.drift_stream(captured, view(spark, sf, "features_base"), NUMERIC, width="7 days", late="100 years")
+    return rounded(out, "psi", "js_divergence").withColumn("window_start", F.col("window_start").cast("timestamp_ntz"))

@@ -105,10 +105,10 @@ def read_images(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
-def _pixels(row: pd.Series) -> np.ndarray:
+def _pixels(data: bytes, height: int, width: int, channels: int) -> np.ndarray:
     """height x width x 3 RGB array of one decoded image (stored blue first)."""
-    raw = np.frombuffer(row["data"], dtype=np.uint8).reshape(row["height"], row["width"], row["nChannels"])
-    return raw[:, :, [2, 1, 0]] if row["nChannels"] >= 3 else np.repeat(raw[:, :, :1], 3, axis=2)
+    raw = np.frombuffer(data, dtype=np.uint8).reshape(height, width, channels)
+    return raw[:, :, [2, 1, 0]] if channels >= 3 else np.repeat(raw[:, :, :1], 3, axis=2)
 
 
 def _per_image(images: DataFrame, columns: str, measure) -> DataFrame:
@@ -119,7 +119,7 @@ def _per_image(images: DataFrame, columns: str, measure) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            rows = [measure(_pixels(r)) for _, r in b.iterrows()]
+            rows = [measure(_pixels(*x)) for x in zip(b["data"], b["height"], b["width"], b["nChannels"])]
             yield pd.concat([b[kept].reset_index(drop=True), pd.DataFrame(rows, columns=names)], axis=1)
 
     return flat.mapInPandas(run, schema)

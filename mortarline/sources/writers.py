@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from mortarline.operators.modelfiles import line_order
+
 
 def write_features(df: DataFrame, path: str, columns: Sequence[str], fmt: str = "csv") -> None:
     """Feature table with a fixed column order."""
@@ -33,13 +34,21 @@ def append_metrics(df: DataFrame, path: str, ts: str) -> None:
 
 
 def publish_version(spark: SparkSession, df: DataFrame, path: str) -> int:
-    """Write the dataset as its next integer version and return that number."""
-    try:
-        last = spark.read.parquet(path).select(F.max("version")).collect()[0][0] or 0
-    except AnalysisException:
-        last = 0
-    df.withColumn("version", F.lit(last + 1)).write.mode("append").partitionBy("version").parquet(path)
-    return last + 1
+    """Write the dataset as its next integer version, in a folder of its own, and return the number.
+
+    A version is claimed by creating a marker file, which one publisher alone can do; whoever
+    finds it taken goes on to the next number.
+    """
+    jvm = spark.sparkContext._jvm
+    base = jvm.org.apache.hadoop.fs.Path(path)
+    fs = base.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    claims = jvm.org.apache.hadoop.fs.Path(base, "_claims")
+    fs.mkdirs(claims)
+    number = 1 + max((int(f.getPath().getName()) for f in fs.listStatus(claims)), default=0)
+    while not fs.createNewFile(jvm.org.apache.hadoop.fs.Path(claims, str(number))):
+        number += 1
+    df.write.mode("errorifexists").parquet(f"{path}/version={number}")
+    return number
 
 
 def write_models(lines: DataFrame, path: str) -> None:
@@ -48,7 +57,7 @@ def write_models(lines: DataFrame, path: str) -> None:
     Rows are range-partitioned on the whole sort key, so a very large model is spread
     over several part files whose name order is the line order.
     """
-    order = ["model", "section", "submodel", "part_no", "line_no"]
+    order = ["model", *line_order(lines)]
     (
         lines.repartitionByRange(*order).sortWithinPartitions(*order)
         .select("model", "value").write.mode("overwrite").partitionBy("model").text(path)

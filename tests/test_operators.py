@@ -2,6 +2,8 @@
 
 import itertools
 
+import math
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -252,20 +254,39 @@ def test_vector_paths_agree(spark):
     q = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(queries)], "query_id long, vector array<double>")
     unit = lambda m: m / np.linalg.norm(m, axis=1, keepdims=True)
     want = np.argsort(-(unit(queries) @ unit(docs).T), axis=1)[:, :4]
-    for cells in (10**6, 6 * 5):
-        out = R.vector_topk(d, q, 4, max_cells=cells, block_rows=17).collect()
+    for d_rows, q_rows in ((20_000, 4096), (17, 6)):
+        out = R.vector_topk(d, q, 4, block_rows=d_rows, query_rows=q_rows).collect()
         got = {(r["query_id"], r["rank"]): r["doc_id"] for r in out}
         assert got == {(i, k + 1): int(want[i, k]) for i in range(25) for k in range(4)}
 
 
-def test_keyword_paths_agree(spark):
-    docs = spark.createDataFrame(
-        [(1, "red brick wall"), (2, "red red roof"), (3, "blue door"), (4, "Brick, brick; BRICK"), (5, "")], "doc_id long, text string"
-    )
+def test_vector_block_memory_is_bounded():
+    """A pair of blocks of 20,000 documents and 1,000 queries is scored 256 queries at a time."""
+    scores = np.random.default_rng(1).normal(size=(20_000, 256))
+    best = R._best(scores, np.arange(20_000), np.arange(256), 5)
+    assert len(best) == 256 * 5
+    assert (best.groupby("query_id")["score"].max() == np.round(scores.max(axis=0), R.DIGITS)).all()
+
+
+def test_keyword_scores(spark):
+    rows = [(1, "red brick wall"), (2, "red red roof"), (3, "blue door"), (4, "Brick, brick; BRICK"), (5, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
     queries = spark.createDataFrame([(1, "red brick"), (2, "door"), (3, "zebra")], "query_id long, text string")
-    fast = sorted(map(tuple, R.keyword_topk(docs, queries, 2).select("query_id", "doc_id", "score", "rank").collect()))
-    wide = sorted(map(tuple, R.keyword_topk(docs, queries, 2, max_cells=1).select("query_id", "doc_id", "score", "rank").collect()))
-    assert fast == wide and [r[:2] for r in fast] == [(1, 1), (1, 4), (2, 3)] or fast == wide and len(fast) == 3
+    got = {(r["query_id"], r["rank"]): (r["doc_id"], r["score"]) for r in R.keyword_topk(docs, queries, 2).collect()}
+    tokens = {i: [w.strip(",;").lower() for w in t.split()] for i, t in rows}
+    average = sum(map(len, tokens.values())) / len(tokens)
+    want = {}
+    for q, terms in ((1, ["red", "brick"]), (2, ["door"]), (3, ["zebra"])):
+        found = []
+        for i, t in tokens.items():
+            score = 0.0
+            for w in terms:
+                n = sum(w in o for o in tokens.values())
+                score += math.log(1 + (5 - n + 0.5) / (n + 0.5)) * t.count(w) * 2.2 / (t.count(w) + 1.2 * (0.25 + 0.75 * len(t) / average))
+            if score:
+                found.append((-round(score, 6), i))
+        want |= {(q, r): (i, -s) for r, (s, i) in enumerate(sorted(found)[:2], 1)}
+    assert got == want
 
 
 def test_stratified_split_is_exact(spark):
@@ -299,7 +320,11 @@ def test_density_clusters(spark):
         counts[cell(p)] = counts.get(cell(p), 0) + 1
     groups = flood([c for c, n in counts.items() if n >= 3])
     df = spark.createDataFrame(points, "id int, x double, y double")
-    got = {r["id"]: r["cluster"] for r in M.density_clusters(df, ["x", "y"], 0.5).collect()}
+    got = {r["id"]: r["cluster"] for r in M.density_clusters(df, "id", ["x", "y"], 0.5, min_cluster_size=1).collect()}
+    large = {r["id"]: r["cluster"] for r in M.density_clusters(df, "id", ["x", "y"], 0.5, min_cluster_size=20).collect()}
+    sizes = {c: sum(x == c for x in got.values()) for c in set(got.values())}
+    assert large == {i: c if sizes[c] >= 20 else -1 for i, c in got.items()}
+    assert all(c == -1 or got[c] == c for c in got.values())
     dense = {p[0]: next((i for i, g in enumerate(groups) if cell(p) in g), None) for p in points}
     for a, b in itertools.combinations([i for i, g in dense.items() if g is not None], 2):
         assert (got[a] == got[b]) == (dense[a] == dense[b])
