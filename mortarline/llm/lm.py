@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mortarline.llm.text import bytes_of, mixed
+from mortarline.llm.text import bytes_of, mixed, word_digests
 from mortarline.session import cut_lineage
 
 HIDDEN, CLASSES, SLOTS = 12, 20, 32
@@ -37,21 +37,6 @@ LANES, WINDOW, ROUNDS, RATE = 256, 32, 2, 0.01
 SUMMERS = 8
 
 
-class _Words(dict):
-    """Digests of words, bounded in size."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= 400_000:
-            self.clear()
-        self[word] = h = xxhash.xxh3_64_intdigest(word)
-        return h
-
-
-def word_digests(text: bytes, words: dict) -> np.ndarray:
-    found = text.lower().split()
-    return np.fromiter(map(words.__getitem__, found), np.uint64, len(found))
-
-
 # ---- counts ----
 
 _SENT = (
@@ -67,12 +52,12 @@ def _blank(rows: int, id_type: pa.DataType, **given) -> pa.RecordBatch:
     )
 
 
-def _send(batch: pa.RecordBatch, segments: int, words: dict) -> Iterator[pa.RecordBatch]:
+def _send(batch: pa.RecordBatch, segments: int) -> Iterator[pa.RecordBatch]:
     """Rows for segments (kind 0), and the batch's documents (kind 1)."""
     texts = bytes_of(batch.column("text"))
     train = np.asarray(batch.column("train"))
     prints = np.array([xxhash.xxh3_64_intdigest(t) for t in texts], np.uint64).view(np.int64)
-    own = [np.unique(word_digests(t, words), return_counts=True) for t in texts]
+    own = [np.unique(word_digests(t), return_counts=True) for t in texts]
     id_type = batch.column("id").type
     name = int(np.array([xxhash.xxh3_64_intdigest(prints.tobytes() + repr(batch.column("id").to_pylist()).encode())], np.uint64).view(np.int64)[0])
     yield _blank(1, id_type, kind=[1], seg=[abs(name) % segments], batch=[name], ids=[batch.column("id").to_pylist()], prints=[prints.tolist()])
@@ -325,9 +310,9 @@ def lanes_of(docs: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray, n
 END = 0
 
 
-def encoded(text: bytes, words: dict, hashes: np.ndarray, ids: np.ndarray) -> np.ndarray:
+def encoded(text: bytes, hashes: np.ndarray, ids: np.ndarray) -> np.ndarray:
     """Head ids of a text's words, TAIL for others, then the end token."""
-    h = word_digests(text, words)
+    h = word_digests(text)
     out = np.full(len(h) + 1, TAIL, np.int64)
     if len(h) and len(hashes):
         at = np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)
@@ -386,10 +371,9 @@ def score_documents(docs: DataFrame, train: str = "train", id_col: str = "doc_id
     sent_schema = _SENT.format(id=id_type)
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = _Words()
         for batch in batches:
             if batch.num_rows:
-                yield from _send(batch, segments, words)
+                yield from _send(batch, segments)
 
     met = cut_lineage(rows.mapInArrow(send, sent_schema).repartition(segments, "seg").mapInArrow(_meet, sent_schema))
     by_doc = met.where("kind IN (1, 2)").select("kind", "batch", "doc", "at", "n", "ids", "prints").repartition("batch")
@@ -419,11 +403,11 @@ def score_documents(docs: DataFrame, train: str = "train", id_col: str = "doc_id
 
     def train_round(number: int, start: dict):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            p, words, seen = {k: v.copy() for k, v in start.items()}, _Words(), 0
+            p, seen = {k: v.copy() for k, v in start.items()}, 0
             adam = Adam(p)
             for batch in batches:
                 if batch.num_rows:
-                    found = [encoded(t, words, hashes, ids) for t in bytes_of(batch.column("text"))]
+                    found = [encoded(t, hashes, ids) for t in bytes_of(batch.column("text"))]
                     train_on(p, found, adam)
                     seen += sum(map(len, found))
             if seen:
@@ -451,12 +435,11 @@ def score_documents(docs: DataFrame, train: str = "train", id_col: str = "doc_id
     log_counts[: len(counts)] = np.log10(counts + 1.0)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = _Words()
         for batch in batches:
             if not batch.num_rows:
                 continue
             texts = bytes_of(batch.column("text"))
-            found = [encoded(t, words, hashes, ids) for t in texts]
+            found = [encoded(t, hashes, ids) for t in texts]
             model = score_of(params, found) / math.log(10)
             prints = np.array([xxhash.xxh3_64_intdigest(t) for t in texts], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays(

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -59,3 +60,48 @@ def same(left: DataFrame, right: DataFrame, *names: str) -> Column:
     for n in names:
         out = out & left[n].eqNullSafe(right[n])
     return out
+
+
+#: Value of each byte in a word's digest, A-Z as a-z; 0 for white space.
+_VALUES = np.arange(256, dtype=np.uint64) + np.uint64(1)
+_VALUES[65:91] += np.uint64(32)
+_VALUES[[9, 10, 11, 12, 13, 32]] = 0
+_BASE = 0x9E3779B97F4A7C15
+_PIECE = 1 << 20
+_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
+
+
+def _power_tables(n: int) -> list[np.ndarray]:
+    """Powers of _BASE and of its inverse modulo 2**64, at least ``n`` of each."""
+    if len(_powers[0]) < n:
+        for i, base in enumerate((_BASE, pow(_BASE, -1, 1 << 64))):
+            steps = np.full(2 * n, base, np.uint64)
+            steps[0] = 1
+            _powers[i] = np.cumprod(steps)
+    return _powers
+
+
+def word_digests(data: bytes) -> np.ndarray:
+    """64-bit digests of the words of a UTF-8 text, in order, A-Z as a-z.
+
+    A word's digest is a polynomial of its bytes, read off running sums over the text, so the words
+    need no Python objects.  Long texts are treated piece by piece, cut at white space.
+    """
+    out, at = [], 0
+    while at < len(data):
+        end = at + _PIECE
+        if end < len(data):
+            cut = re.compile(rb"[\x20\x09-\x0D]").search(data, end)
+            end = cut.start() if cut else len(data)
+        part = np.frombuffer(data, np.uint8, min(end, len(data)) - at, at)
+        powers, inverse = _power_tables(len(part) + 1)
+        values = _VALUES[part]
+        inside = np.zeros(len(part) + 2, np.int8)
+        inside[1:-1] = values != 0
+        edges = np.flatnonzero(inside[1:] != inside[:-1])
+        starts, ends = edges[::2], edges[1::2]
+        sums = np.zeros(len(part) + 1, np.uint64)
+        np.cumsum(values * powers[: len(part)], out=sums[1:])
+        out.append(mixed((sums[ends] - sums[starts]) * inverse[starts]))
+        at = end
+    return np.concatenate(out) if out else np.array([], np.uint64)
