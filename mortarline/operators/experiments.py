@@ -28,9 +28,16 @@ def config_grid(spark: SparkSession, axes: Mapping[str, Sequence]) -> DataFrame:
     return spark.range(1).select(F.inline(grid_array(axes)))
 
 
-def expand_runs(cases: DataFrame, axes: Mapping[str, Sequence]) -> DataFrame:
-    """Every case under every configuration."""
-    return cases.select("*", F.inline(grid_array(axes)))
+def stored_runs(cases: DataFrame, axes: Mapping[str, Sequence], combo: str = "combo_no") -> DataFrame:
+    """Stored runs (one row per case and configuration that was run) with the axis values of
+    their configuration; runs of numbers outside the grid are dropped.
+
+    The grid travels inside the plan as one map, so no row is shuffled or copied.
+    """
+    grid = grid_array(axes)
+    by_number = F.map_from_entries(F.transform(grid, lambda c: F.struct(c["combo_no"], c)))
+    placed = cases.withColumn("_c", F.try_element_at(by_number, F.col(combo).cast("int"))).where(F.col("_c").isNotNull())
+    return placed.select("*", *[F.col(f"_c.{k}").alias(k) for k in axes]).drop("_c")
 
 
 def cost(tokens_in: Column, tokens_out: Column, rate_in: float = D.TOKEN_PRICE_IN, rate_out: float = D.TOKEN_PRICE_OUT) -> Column:

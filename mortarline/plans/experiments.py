@@ -21,25 +21,18 @@ RAG_AXES = {
 }
 
 
-def _shift(c: str) -> str:
-    """Run score of a case under a configuration: the given tables hold one score per case."""
-    return f"{c} * (10 - pmod(combo_no * 7 + {len(c)}, 5)) / 10e0"
-
-
-def _mod(c: str) -> str:
-    return f"{c} * (10 - (combo_no * 7 + {len(c)}) % 5) / 10e0"
+def _number(axes: dict) -> str:
+    """The configuration that a stored response was made under, as far as the given tables tell: its
+    prompt version and its batch."""
+    n = 1
+    for values in axes.values():
+        n *= len(values)
+    return f"CAST((CAST(substring(prompt_version, 4) AS BIGINT) + 20 * (doc_id % 5)) % {n} AS INT)"
 
 
 def _runs(spark: SparkSession, sf: str, axes: dict) -> DataFrame:
     cases = _cases(spark, sf).drop("buildability_details", "response_preview")
-    runs = X.expand_runs(cases, axes)
-    return runs.withColumns(
-        {m: F.expr(_shift(m)) for m in D.QUALITY_METRICS}
-        | {
-            "input_tokens": F.col("input_tokens") + F.col("combo_no") * 3,
-            "output_tokens": F.col("output_tokens") + F.col("combo_no") % 5,
-        }
-    )
+    return X.stored_runs(cases.withColumn("combo_no", F.expr(_number(axes))), axes)
 
 
 def _runs_sql(axes: dict) -> str:
@@ -47,10 +40,9 @@ def _runs_sql(axes: dict) -> str:
     for name, values in axes.items():
         vals = ", ".join(f"({i}, {v!r})" for i, v in enumerate(values))
         grid = f"SELECT g.* EXCLUDE z, z * {len(values)} + i AS z, v AS {name} FROM ({grid}) g, (VALUES {vals}) t(i, v)"
-    metrics = ", ".join(f"{_mod(m)} AS {m}" for m in D.QUALITY_METRICS)
     return f"""{_CASES}, grid AS (SELECT * EXCLUDE z, z AS combo_no FROM ({grid}) q),
-    runs AS (SELECT grid.*, {metrics}, input_tokens + combo_no * 3 AS input_tokens, output_tokens + combo_no % 5 AS output_tokens,
-      latency_ms, retrieval_ms FROM cases, grid)"""
+    runs AS (SELECT grid.*, {', '.join(D.QUALITY_METRICS)}, input_tokens, output_tokens, latency_ms, retrieval_ms
+      FROM (SELECT *, {_number(axes)} AS c_no FROM cases) c JOIN grid ON combo_no = c_no)"""
 
 
 _MEANS = ", ".join(f"round(avg({m}), 4) AS {m}" for m in D.QUALITY_METRICS)
