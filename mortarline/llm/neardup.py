@@ -10,8 +10,9 @@ reach half the floor of all documents are candidates, and a second pass counts t
 Improved consistent weighted sampling (Ioffe 2010) draws ``BANDS * ROWS`` samples per text, whose agreement
 estimates the weighted Jaccard similarity.  Texts that agree in a whole band are candidates.  Pairs are
 verified on the texts with the exact similarity.  To avoid all pairs of a bucket, members are first held
-against its smallest id; links join texts into components, and afterwards every candidate pair that
-lies across two components is verified as well, so components are the same as over all candidate pairs.
+against one of them; links join texts into components, and afterwards the candidate pairs that
+lie across two components are verified as well, inside tasks that return links only, but for those that
+their distances to that one rule out.  So components are the same as over all candidate pairs.
 """
 
 from __future__ import annotations
@@ -20,21 +21,22 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mortarline.functions.graph import connected_components
-from mortarline.llm.text import by_batch, bytes_of, mixed
+from mortarline.llm.text import by_batch, bytes_of, mixed, word_digests
 from mortarline.session import cut_lineage
 
 WORDS, THRESHOLD, FLOOR = 5, 0.8, 0.01
 BANDS, ROWS = 14, 4
-#: Pairs whose samples agree less are not verified; at similarity 0.8 that is 5 standard deviations off.
-LEAST_AGREEING = 0.52
-#: Shingles whose samples are drawn at once.
-BLOCK = 2048
+#: Pairs whose samples agree less are not verified; at similarity 0.8 that is 4 standard deviations off.
+LEAST_AGREEING = 0.58
+#: Shingles whose samples are drawn at once, and texts of one side of a block.
+BLOCK, BLOCK_TEXTS = 2048, 400
 
 _RNG = np.random.default_rng(20240101)
 _FACTORS = _RNG.integers(0, 2**63, (2, BANDS * ROWS)).astype(np.uint64) * np.uint64(2) + np.uint64(1)
@@ -50,27 +52,19 @@ def _gamma_quantiles() -> np.ndarray:
     return x.astype(np.float32)
 
 
-class _Words(dict):
-    """Digests of words, bounded in size."""
+_MIX = _RNG.integers(0, 2**63, WORDS).astype(np.uint64) * np.uint64(2) + np.uint64(1)
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= 400_000:
-            self.clear()
-        self[word] = h = xxhash.xxh3_64_intdigest(word)
-        return h
 
-
-def shingles(text: bytes, words: dict) -> tuple[np.ndarray, np.ndarray]:
+def shingles(text: bytes) -> tuple[np.ndarray, np.ndarray]:
     """Distinct shingle digests (uint64, ascending) and their counts."""
-    found = text.lower().split()
-    h = np.fromiter(map(words.__getitem__, found), np.uint64, len(found))
+    h = word_digests(text)
     if not len(h):
         return h, np.array([], np.int64)
     n = max(1, len(h) - WORDS + 1)
     out = np.full(n, len(h) if len(h) < WORDS else 0, np.uint64)
     for k in range(min(WORDS, len(h))):
-        out = mixed(out + h[k : k + n])
-    return np.unique(out, return_counts=True)
+        out += h[k : k + n] * _MIX[k]
+    return np.unique(mixed(out), return_counts=True)
 
 
 class Weights:
@@ -137,8 +131,7 @@ def frequent_shingles(texts: DataFrame, floor: float = FLOOR) -> tuple[np.ndarra
     """
 
     def name(batch: pa.RecordBatch) -> pa.RecordBatch:
-        words = _Words()
-        own = [shingles(t, words)[0] for t in bytes_of(batch.column("text"))]
+        own = [shingles(t)[0] for t in bytes_of(batch.column("text"))]
         h, n = np.unique(np.concatenate(own), return_counts=True)
         keep = n >= floor / 2 * len(own)
         return pa.RecordBatch.from_arrays([pa.array(h[keep].view(np.int64)), pa.array(n[keep])], ["h", "n"])
@@ -151,10 +144,10 @@ def frequent_shingles(texts: DataFrame, floor: float = FLOOR) -> tuple[np.ndarra
         return candidates, np.array([], np.int64), documents
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, total = _Words(), np.zeros(len(candidates), np.int64)
+        total = np.zeros(len(candidates), np.int64)
         for batch in batches:
             for t in bytes_of(batch.column("text")):
-                h = shingles(t, words)[0]
+                h = shingles(t)[0]
                 if len(h):
                     at = np.minimum(np.searchsorted(candidates, h), len(candidates) - 1)
                     total[at[candidates[at] == h]] += 1
@@ -166,28 +159,101 @@ def frequent_shingles(texts: DataFrame, floor: float = FLOOR) -> tuple[np.ndarra
     return table["h"].to_numpy().astype(np.int64).view(np.uint64), table["n"].to_numpy().astype(np.int64), documents
 
 
-def _verified(pairs: DataFrame, texts: DataFrame, weights: Weights, id_type: str) -> DataFrame:
-    """Pairs (a, b) whose texts have a weighted Jaccard similarity of THRESHOLD or more."""
+def _compared(pairs: DataFrame, texts: DataFrame, weights: Weights, id_type: str) -> DataFrame:
+    """Rows (a, b, similarity): the exact weighted Jaccard similarity of the pairs' texts."""
     left = texts.select(F.col("id").alias("a"), F.col("text").alias("ta"))
     right = texts.select(F.col("id").alias("b"), F.col("text").alias("tb"))
 
     def verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = _Words()
-
         def weighed(t):
-            h, n = shingles(t, words)
+            h, n = shingles(t)
             return h, weights.of(h, n)
 
         for batch in batches:
-            last, other, keep = None, None, []
+            last, other, found = None, None, []
             for ta, tb in zip(bytes_of(batch.column("ta")), bytes_of(batch.column("tb")), strict=True):
                 if tb != last:  # rows of one smallest id often follow each other
                     last, other = tb, weighed(tb)
-                keep.append(similarity(weighed(ta), other) >= THRESHOLD - 1e-12)
-            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+                found.append(similarity(weighed(ta), other))
+            yield pa.RecordBatch.from_arrays([batch.column("a"), batch.column("b"), pa.array(found, pa.float64())], ["a", "b", "similarity"])
 
     joined = pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb")
-    return joined.mapInArrow(verify, f"a {id_type}, b {id_type}")
+    return joined.mapInArrow(verify, f"a {id_type}, b {id_type}, similarity double")
+
+
+def _across(group: DataFrame, far: DataFrame, signs: DataFrame, texts: DataFrame, weights: Weights, id_type: str) -> DataFrame:
+    """Links (a, b) between texts of one ``group`` (head, rep, label) that lie in different components.
+
+    Texts outside a head's largest component meet all others of that head, block by block.  A block
+    only returns links: pairs are tried by falling agreement of their samples, and not at all if they agree in
+    too few, if links already join them, or if their distances to the head (``far``, where known) differ by more than a link
+    allows, since one minus the similarity is a metric.
+    """
+    spread = group.groupBy("head").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("head")
+    open_ = cut_lineage(group.join(spread, "head"))
+    largest = (
+        open_.groupBy("head", "label").agg(F.count(F.lit(1)).alias("n"))
+        .groupBy("head").agg(F.max_by("label", F.struct("n", "label")).alias("main"), F.max("n").alias("most"), F.sum("n").alias("all"))
+        .withColumn("outer", F.ceil((F.col("all") - F.col("most")) / BLOCK_TEXTS).cast("int"))
+        .withColumn("inner", F.ceil(F.col("all") / BLOCK_TEXTS).cast("int"))
+        .select("head", "main", "outer", "inner")
+    )
+    known = open_.join(largest, "head").join(far, ["head", "rep"], "left").join(signs, "rep").join(texts, "rep")
+    known = known.withColumn("far", F.when(F.col("rep") == F.col("head"), 0.0).otherwise(F.col("far")))
+
+    def dealt(df: DataFrame, own: str, other: str) -> DataFrame:
+        block = F.pmod(F.xxhash64("rep"), F.col(own)).cast("int")
+        copies = F.explode(F.sequence(F.lit(0), F.col(other) - 1))
+        return df.select("head", block.alias(own), copies.alias(other), "rep", "label", "far", "sign", "text", "main")
+
+    left, right = dealt(known.where("label <> main"), "outer", "inner"), dealt(known, "inner", "outer")
+    right = right.select(*[F.col(c).alias(f"r_{c}") for c in right.columns])
+    plain = [c.removeprefix("r_") for c in right.columns]
+
+    def search(outer: pd.DataFrame, inner: pd.DataFrame) -> pd.DataFrame:
+        found = []
+        if len(outer) and len(inner):
+            found = _block_links(outer, inner.set_axis(plain, axis=1), weights)
+        return pd.DataFrame(found, columns=["a", "b"])
+
+    keys = ["head", "outer", "inner"]
+    return left.groupBy(*keys).cogroup(right.groupBy(*[f"r_{k}" for k in keys])).applyInPandas(search, f"a {id_type}, b {id_type}").distinct()
+
+
+def _block_links(outer: pd.DataFrame, inner: pd.DataFrame, weights: Weights) -> list[tuple]:
+    left, right = np.stack(outer["sign"].to_numpy()), np.stack(inner["sign"].to_numpy())
+    agree = np.stack([(row == right).sum(1) for row in left])
+    la, lb, main = outer["label"].to_numpy(), inner["label"].to_numpy(), outer["main"].to_numpy()[0]
+    a, b = outer["rep"].to_numpy(), inner["rep"].to_numpy()
+    # two texts that are both outside the largest component meet twice, and are tried once
+    wanted = (la[:, None] != lb[None, :]) & ((lb == main)[None, :] | (a[:, None] > b[None, :]))
+    apart = np.abs(outer["far"].to_numpy(np.float64)[:, None] - inner["far"].to_numpy(np.float64)[None, :])
+    wanted &= ~(apart > 1 - THRESHOLD + 1e-9) & (agree >= math.ceil(LEAST_AGREEING * BANDS * ROWS))
+    i, j = np.nonzero(wanted)
+    order = np.argsort(-agree[i, j], kind="stable")
+    root: dict = {}
+
+    def top(x):
+        while root.get(x, x) != x:
+            root[x] = root.get(root[x], root[x])
+            x = root[x]
+        return x
+
+    weighed: tuple[dict, dict] = ({}, {})
+
+    def of(side: int, k: int):
+        if k not in weighed[side]:
+            h, n = shingles(((outer, inner)[side]["text"].iloc[k] or "").encode())
+            weighed[side][k] = h, weights.of(h, n)
+        return weighed[side][k]
+
+    found = []
+    for x, y in zip(i[order].tolist(), j[order].tolist(), strict=True):
+        p, q = top(la[x]), top(lb[y])
+        if p != q and similarity(of(0, x), of(1, y)) >= THRESHOLD - 1e-12:
+            root[p] = q
+            found.append((a[x], b[y]))
+    return found
 
 
 def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -205,12 +271,12 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     weights = Weights(hashes, counts, documents)
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, sampler = _Words(), Sampler()
+        sampler = Sampler()
         for batch in batches:
             prints, signs = [], []
             for t in bytes_of(batch.column("text")):
                 prints.append(xxhash.xxh3_128_digest(b" ".join(t.lower().split())))
-                h, n = shingles(t, words)
+                h, n = shingles(t)
                 signs.append(sampler.draw(h, weights.of(h, n)))
             flat = pa.array(np.concatenate(signs), pa.int32())
             lists = pa.ListArray.from_arrays(pa.array(np.arange(len(signs) + 1) * BANDS * ROWS, pa.int32()), flat)
@@ -221,8 +287,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     alike = cut_lineage(alike)
     keys = F.array(*[F.xxhash64(F.lit(b), *[F.col("sign")[b * ROWS + i] for i in range(ROWS)]) for b in range(BANDS)])
     banded = alike.select("rep", F.explode(keys).alias("key"))
-    shared = banded.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("rep").alias("least")).where("n > 1").drop("n")
-    members = cut_lineage(banded.join(shared, "key").select("key", "rep", "least"))
+    # a bucket is held first against the text that has most company over all its bands, likely the one
+    # that the others were made from
+    counts = banded.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    crowd = cut_lineage(banded.join(counts, "key"))
+    company = crowd.groupBy(F.col("rep").alias("_r")).agg(F.sum("n").alias("company"))
+    ranked = cut_lineage(crowd.join(company, F.col("rep") == F.col("_r")).select("key", "rep", "company"))
+    heads = ranked.groupBy("key").agg(F.min_by("rep", F.struct(-F.col("company"), "rep")).alias("head"))
+    members = cut_lineage(ranked.join(heads, "key").select("key", "rep", "head"))
 
     agreeing = F.size(F.filter(F.zip_with("sa", "sb", lambda x, y: x == y), lambda x: x)) >= math.ceil(LEAST_AGREEING * BANDS * ROWS)
 
@@ -235,22 +307,14 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     wanted = members.select(F.col("rep").alias("id")).distinct()
     texts = cut_lineage(known.join(wanted, "id").groupBy("id").agg(F.min("text").alias("text")))
 
-    first = promising(members.where("rep <> least").select(F.col("rep").alias("a"), F.col("least").alias("b")))
-    links = cut_lineage(_verified(first, texts, weights, id_type))
-    parts = connected_components(links.union(members.select("rep", "rep").distinct()))
-    parts = cut_lineage(parts)
-    placed = members.join(parts, F.col("rep") == F.col("node")).select("key", "rep", "label")
-    split = placed.groupBy("key").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("key")
-    open_ = cut_lineage(placed.join(split, "key"))
-    largest = (
-        open_.groupBy("key", "label").agg(F.count(F.lit(1)).alias("n"))
-        .groupBy("key").agg(F.max_by("label", F.struct("n", "label")).alias("main"))
-    )
-    outside = open_.join(largest, "key").where("label <> main").select("key", F.col("rep").alias("a"), F.col("label").alias("la"))
-    inside = open_.join(largest, "key").select("key", F.col("rep").alias("b"), F.col("label").alias("lb"), "main")
-    across = outside.join(inside, "key").where("la <> lb AND (lb = main OR a > b)")
-    second = promising(across.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")))
-    more = _verified(second.join(first, ["a", "b"], "left_anti"), texts, weights, id_type)
+    first = promising(members.where("rep <> head").select(F.col("rep").alias("a"), F.col("head").alias("b")))
+    tested = cut_lineage(_compared(first, texts, weights, id_type))
+    linked = F.col("similarity") >= THRESHOLD - 1e-12
+    links = tested.where(linked).select("a", "b")
+    parts = cut_lineage(connected_components(links.union(members.select("rep", "rep").distinct())))
+    group = members.select("head", "rep").distinct().join(parts, F.col("rep") == F.col("node")).select("head", "rep", "label")
+    far = tested.select(F.col("a").alias("rep"), F.col("b").alias("head"), (1 - F.col("similarity")).alias("far"))
+    more = _across(group, far, alike.select("rep", "sign"), texts.select(F.col("id").alias("rep"), "text"), weights, id_type)
     ends = links.union(more)
     # a document whose rows have several texts links them
     stands = signed.join(alike.select("print", "rep"), "print").select("id", "rep")

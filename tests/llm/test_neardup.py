@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 from mortarline.llm.neardup import (
-    BANDS, FLOOR, ROWS, THRESHOLD, Sampler, Weights, _Words, frequent_shingles, near_duplicates, shingles, similarity,
+    BANDS, FLOOR, ROWS, THRESHOLD, Sampler, Weights, frequent_shingles, near_duplicates, shingles, similarity,
 )
 
 
@@ -33,10 +33,9 @@ def corpus():
 
 
 def brute(rows):
-    words = _Words()
     count = {}
     known = [(i, t or "") for i, t in rows if i is not None]
-    own = [shingles(t.encode(), words) for _, t in known]
+    own = [shingles(t.encode()) for _, t in known]
     for h, _ in own:
         for x in h.tolist():
             count[x] = count.get(x, 0) + 1
