@@ -22,7 +22,7 @@ HEADLINE = [
     "prompt_experiment", "rag_tuning", "pareto_front", "chunk_documents", "vector_topk", "keyword_topk", "hybrid_topk",
     "context_assembly", "finetune_messages", "span_fill", "walls_built", "floor_plates", "cornice",
     "confusion_report", "stratified_split", "standardize", "silhouette", "traffic_split", "archival_candidates",
-    "stream_error_rate", "stream_monitor",
+    "stream_error_rate", "stream_monitor", "stream_drift", "density_clusters",
 ]
 
 
