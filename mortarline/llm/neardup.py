@@ -262,7 +262,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     Texts with the same words in the same order (A-Z lower-cased, ASCII white space apart) are one text;
     texts without words, null ones too, are alike.  Different texts are linked at a weighted Jaccard
     similarity of 0.8 or more, and classes are the components of links.  Rows without an id have a null class and take
-    no part.  Rows that share an id count as that document; it joins the classes of all its texts.
+    no part.  An id names one text; where its rows differ, the smallest text is compared exactly, and the id joins the
+    classes of all of them.
     """
     rows = docs.select(docs[id_col].alias("id"), docs[text_col].alias("text"))
     id_type = rows.schema["id"].dataType.simpleString()
