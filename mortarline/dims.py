@@ -62,19 +62,19 @@ FAILURE_TAXONOMY = [
 ]
 
 FAILURE_DESCRIPTIONS = {
-    "missing_dimensions": "Output lacks width, depth, or height dimensions",
-    "invalid_parts": "References LDraw part numbers that do not exist",
-    "invalid_colors": "Uses color codes not in the LDraw color palette",
-    "structural_issues": "Floating elements, impossible cantilevers, or unsupported structures",
-    "missing_color_palette": "Output does not specify a color palette",
-    "format_error": "Output does not follow expected section structure",
-    "grounding_failure": "Output not grounded in provided reference context",
-    "relevance_failure": "Output does not address the user prompt",
-    "coherence_failure": "Output is internally inconsistent or contradictory",
-    "safety_failure": "Output contains harmful or inappropriate content",
-    "timeout": "Generation exceeded time limit",
-    "api_error": "Upstream API returned an error",
-    "other": "Failure that does not fit other categories",
+    "missing_dimensions": "A measure is missing: width, depth or height",
+    "invalid_parts": "A part number is not in the catalogue",
+    "invalid_colors": "A colour code is not in the palette",
+    "structural_issues": "Something floats, overhangs too far or stands on nothing",
+    "missing_color_palette": "No colours are named",
+    "format_error": "The sections are not those asked for",
+    "grounding_failure": "The answer goes beyond the given context",
+    "relevance_failure": "The question is not answered",
+    "coherence_failure": "Parts of the answer contradict each other",
+    "safety_failure": "The answer is harmful or improper",
+    "timeout": "The answer took too long",
+    "api_error": "The service called gave an error",
+    "other": "None of the other kinds",
 }
 
 # ---------------------------------------------------------------------------

@@ -81,8 +81,8 @@ def collect_facts(df: DataFrame, response: str = "response", name: str = "_facts
 
 def check_dimensions(facts: Column) -> tuple[Column, Column]:
     ok = facts["dimensions"]
-    return ok, F.when(ok, "Dimensions found in output.").otherwise(
-        "No physical dimensions (width, depth, height, story count) detected."
+    return ok, F.when(ok, "Measures are given.").otherwise(
+        "No width, depth, height or number of storeys is given."
     )
 
 
@@ -91,31 +91,31 @@ def check_parts(facts: Column) -> tuple[Column, Column]:
     words = facts["words"]
     ok = (F.size(valid) > 0) | (F.size(words) >= 2)
     reason = (
-        F.when(F.size(valid) > 0, F.concat(F.lit("Valid part references found: "), F.array_join(valid, ", "), F.lit(".")))
-        .when(F.size(words) >= 2, F.concat(F.lit("Part category keywords found: "), F.array_join(words, ", "), F.lit(".")))
-        .otherwise("No valid brick/part references or category keywords detected.")
+        F.when(F.size(valid) > 0, F.concat(F.lit("Known parts: "), F.array_join(valid, ", "), F.lit(".")))
+        .when(F.size(words) >= 2, F.concat(F.lit("Words for parts: "), F.array_join(words, ", "), F.lit(".")))
+        .otherwise("Neither known parts nor enough words for parts.")
     )
     return ok, reason
 
 
 def check_palette(facts: Column) -> tuple[Column, Column]:
     ok = facts["palette"]
-    return ok, F.when(ok, "Color palette specification found.").otherwise(
-        "No color palette or color assignments detected."
+    return ok, F.when(ok, "Colours are given.").otherwise(
+        "No colours are given."
     )
 
 
 def check_structure(facts: Column) -> tuple[Column, Column]:
     flag = facts["flag"]
     return flag.isNull(), F.coalesce(
-        F.concat(F.lit("Structural concern detected: '"), flag, F.lit("'.")), F.lit("No structural red flags detected.")
+        F.concat(F.lit("Doubtful structure: '"), flag, F.lit("'.")), F.lit("Nothing doubtful in the structure.")
     )
 
 
 def check_format(facts: Column) -> tuple[Column, Column]:
     ok = facts["sections"] >= 2
-    return ok, F.when(ok, "Structured format detected (headers/sections/bullets).").otherwise(
-        "Output lacks structured format (no section headers or organized layout)."
+    return ok, F.when(ok, "The text has sections or lists.").otherwise(
+        "The text has too few sections or lists."
     )
 
 

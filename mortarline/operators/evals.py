@@ -82,6 +82,16 @@ def safety_rate(rated: DataFrame, keys: Sequence[str], defect: str) -> DataFrame
     ).withColumn("passed", F.col("safety_pass_rate") >= 1.0)
 
 
+def strategy_totals(runs: DataFrame, strategy: str = "strategy", tokens: str = "tokens") -> DataFrame:
+    """Per strategy: outputs collected, their total and mean tokens.
+
+    The outputs themselves stay rows, as a strategy may have any number of them.
+    """
+    return runs.groupBy(strategy).agg(
+        F.count(F.lit(1)).alias("outputs"), F.sum(tokens).alias("total_tokens"), F.avg(tokens).alias("mean_tokens")
+    )
+
+
 def keyword_coverage(
     responses: DataFrame, golden: str = "golden_keywords", bad: str = "bad_patterns", response: str = "response"
 ) -> DataFrame:
@@ -102,19 +112,25 @@ def keyword_coverage(
 def trait_check(responses: DataFrame, traits: str = "expected_traits", response: str = "response") -> DataFrame:
     """Number of expected traits a response meets.
 
-    Traits: has_dimensions, has_color_palette, has_brick_references, style_matches, story_count.
+    Traits: has_dimensions, has_color_palette, has_brick_references, has_floor_plan, style_matches,
+    story_count, building_type.  Those that ``traits`` has no field for are not expected.
     """
+    fields = responses.schema[traits].dataType.names
     facts, text, want = F.col("_facts"), F.col(response), F.col(traits)
-    met = [
-        C.check_dimensions(facts)[0] == want["has_dimensions"],
-        C.check_palette(facts)[0] == want["has_color_palette"],
-        C.check_parts(facts)[0] == want["has_brick_references"],
-        F.contains(F.lower(text), F.lower(want["style_matches"])),
-        F.contains(F.lower(text), F.concat(want["story_count"].cast("string"), F.lit("-story"))),
-    ]
+    low = F.lower(text)
+    checks = {
+        "has_dimensions": lambda w: C.check_dimensions(facts)[0] == w,
+        "has_color_palette": lambda w: C.check_palette(facts)[0] == w,
+        "has_brick_references": lambda w: C.check_parts(facts)[0] == w,
+        "has_floor_plan": lambda w: low.rlike(r"floor[ -]?plan") == w,
+        "style_matches": lambda w: F.contains(low, F.lower(w)),
+        "story_count": lambda w: F.contains(low, F.concat(w.cast("string"), F.lit("-story"))),
+        "building_type": lambda w: F.contains(low, F.lower(w)),
+    }
     n = F.lit(0)
-    for m in met:
-        n = n + F.coalesce(m, F.lit(False)).cast("int")
+    for name, check in checks.items():
+        if name in fields:
+            n = n + F.coalesce(check(want[name]), F.lit(False)).cast("int")
     return C.collect_facts(responses, response).withColumn("traits_met", n).drop("_facts")
 
 

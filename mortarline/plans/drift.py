@@ -10,6 +10,8 @@ from mortarline.operators import profile as P
 from mortarline.operators.telemetry import metric_long_form
 from mortarline.plans.adapters import ctes, table, view
 from mortarline.plans.registry import register
+from mortarline.session import scratch_path
+from mortarline.sources.writers import append_captures
 
 NUMERIC = ["quantity", "price", "discount", "tax"]
 CATEGORICAL = ["flag", "status"]
@@ -227,6 +229,28 @@ def holdout_accuracy(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(X.accuracy_alert(scored), "accuracy")
 
 
+@register(
+    "inference_capture",
+    """SELECT CAST(l_shipdate AS DATE) AS day, l_returnflag AS prediction, count(*) AS n, round(avg(l_discount), 6) AS confidence,
+      round(sum(l_quantity), 4) AS quantity FROM lineitem GROUP BY 1, 2""",
+)
+def inference_capture(spark: SparkSession, sf: str) -> DataFrame:
+    """The capture log written in two appends and read back, summed per day and prediction."""
+    scored = table(spark, sf, "lineitem").select(
+        F.col("l_shipdate").alias("ts"), F.col("l_quantity").alias("quantity"),
+        F.col("l_returnflag").alias("prediction"), F.col("l_discount").alias("confidence"),
+    )
+    path = scratch_path(spark, "captures")
+    # rows of a month meet first, so a month has few files
+    for half in (0, 1):
+        part = scored.where(F.pmod(F.xxhash64("ts"), F.lit(2)) == half)
+        append_captures(part.repartition(F.date_trunc("month", "ts")), path)
+    log = spark.read.parquet(path)
+    return log.groupBy(F.to_date("ts").alias("day"), "prediction").agg(
+        F.count(F.lit(1)).alias("n"), F.round(F.avg("confidence"), 6).alias("confidence"), F.round(F.sum("quantity"), 4).alias("quantity")
+    )
+
+
 @register(
     "weekly_drift",
     f"""{ctes('features_base')}, {_long('features_base', 'base_long')}, {_EDGES}, {_hist('base_long', 'hb')},

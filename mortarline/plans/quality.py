@@ -57,11 +57,11 @@ def _cases(spark: SparkSession, sf: str) -> DataFrame:
     f"""{_CHECKED}
     SELECT doc_id, score, dimensions_present, brick_part_references, color_palette_specified, structural_feasibility,
       format_compliance,
-      CASE WHEN len(found) > 0 THEN concat('Valid part references found: ', array_to_string(found, ', '), '.')
-        WHEN len(words) >= 2 THEN concat('Part category keywords found: ', array_to_string(words, ', '), '.')
-        ELSE 'No valid brick/part references or category keywords detected.' END AS parts_reason,
-      CASE WHEN flag IS NULL THEN 'No structural red flags detected.'
-        ELSE concat('Structural concern detected: ''', flag, '''.') END AS structure_reason
+      CASE WHEN len(found) > 0 THEN concat('Known parts: ', array_to_string(found, ', '), '.')
+        WHEN len(words) >= 2 THEN concat('Words for parts: ', array_to_string(words, ', '), '.')
+        ELSE 'Neither known parts nor enough words for parts.' END AS parts_reason,
+      CASE WHEN flag IS NULL THEN 'Nothing doubtful in the structure.'
+        ELSE concat('Doubtful structure: ''', flag, '''.') END AS structure_reason
     FROM scored""",
 )
 def buildability(spark: SparkSession, sf: str) -> DataFrame:
@@ -171,7 +171,9 @@ def keyword_coverage(spark: SparkSession, sf: str) -> DataFrame:
     f"""{_CHECKED}
     SELECT doc_id, CAST(dimensions_present AS INT) + CAST(color_palette_specified = (quality IS NOT NULL) AS INT)
       + CAST(brick_part_references AS INT) + CAST(contains(lower(response), 'house') AS INT)
-      + CAST(contains(lower(response), '2-story') AS INT) AS traits_met FROM scored""",
+      + CAST(contains(lower(response), '2-story') AS INT) + CAST(regexp_matches(lower(response), 'floor[ -]?plan') = (toxic = 1) AS INT)
+      + CAST(contains(lower(response), 'brick') AS INT) AS traits_met
+    FROM (SELECT * REPLACE (coalesce(toxic, 0) AS toxic) FROM scored) s""",
 )
 def expected_traits(spark: SparkSession, sf: str) -> DataFrame:
     traits = F.struct(
@@ -180,10 +182,24 @@ def expected_traits(spark: SparkSession, sf: str) -> DataFrame:
         F.lit(True).alias("has_brick_references"),
         F.lit("House").alias("style_matches"),
         F.lit(2).alias("story_count"),
+        (F.coalesce("toxic", F.lit(0)) == 1).alias("has_floor_plan"),
+        F.lit("Brick").alias("building_type"),
     )
     return E.trait_check(view(spark, sf, "responses").withColumn("expected_traits", traits)).select("doc_id", "traits_met")
 
 
+@register(
+    "strategy_totals",
+    f"""{ctes('responses')} SELECT prompt_version AS strategy, count(*) AS outputs, CAST(sum(input_tokens + output_tokens) AS BIGINT) AS total_tokens,
+      round(avg(input_tokens + output_tokens), 6) AS mean_tokens FROM responses GROUP BY 1""",
+)
+def strategy_totals(spark: SparkSession, sf: str) -> DataFrame:
+    runs = view(spark, sf, "responses").select(
+        F.col("prompt_version").alias("strategy"), (F.col("input_tokens") + F.col("output_tokens")).alias("tokens")
+    )
+    return E.strategy_totals(runs).withColumn("mean_tokens", F.round("mean_tokens", 6))
+
+
 @register(
     "attempt_log",
     """WITH o AS (SELECT conv_id, max(turn // 2 + 1) AS attempts, min(turn // 2 + 1) FILTER (length(text) % 3 = 0) AS first_pass

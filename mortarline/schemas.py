@@ -1,4 +1,7 @@
-"""Explicit schemas of the file shapes the readers accept, as DDL."""
+"""Explicit schemas of the file shapes the readers accept, as DDL.
+
+Fixed values: the column names are those of the files and must stay as they are.
+"""
 
 FEATURES = (
     "mean_pixel_intensity double, std_pixel_intensity double, image_width double, image_height double, "

@@ -33,6 +33,14 @@ def append_metrics(df: DataFrame, path: str, ts: str) -> None:
     stamped.write.mode("append").partitionBy("day").parquet(path)
 
 
+def append_captures(scored: DataFrame, path: str, ts: str = "ts") -> None:
+    """Append inference rows (features, prediction, confidence, time) to the capture log by month.
+
+    Each call adds files of its own, so services may write side by side; ``drift.window_drift`` reads the log.
+    """
+    scored.withColumn("month", F.date_format(ts, "yyyy-MM")).write.mode("append").partitionBy("month").parquet(path)
+
+
 def publish_version(spark: SparkSession, df: DataFrame, path: str) -> int:
     """Write the dataset as its next integer version, in a folder of its own, and return the number.
 
