@@ -155,11 +155,11 @@ def op10_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     FROM q""",
 )
 def op5_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from mortarline.llm.warc import new_folder, plan_records, read_warc, write_warc
+    from mortarline.llm.warc import new_folder, page_records, plan_revisits, read_warc, write_warc
 
-    pages = read(spark, sf_dir, "pages", "page_id", "url", "html")
+    records = page_records(read(spark, sf_dir, "pages", "page_id", "url", "html"))
     folder = new_folder(spark)
-    write_warc(plan_records(pages), folder, shards=int(spark.conf.get("spark.sql.shuffle.partitions")))
+    write_warc(records, plan_revisits(records), folder, shards=int(spark.conf.get("spark.sql.shuffle.partitions")))
     rows = read_warc(spark, folder, payloads=False)
     return rows.select(
         F.col("id").cast("long").alias("page_id"), "payload_bytes", "payload_digest", "record_type",

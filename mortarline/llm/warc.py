@@ -30,26 +30,28 @@ MANIFEST = "shard int, part int, temp string, name string, records long, bytes l
 PER_SHARD = 20
 
 
-def plan_records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html", min_bytes: int = 1000) -> DataFrame:
-    """Rows (id, url, payload, refers_to, revisit): which records are full and which point to another.
-
-    Of rows with equal payloads of ``min_bytes`` or more the largest id is kept in full, the others
-    refer to it.  Equality is that of SHA-256 and length.  A null payload is empty.  Of rows that share
-    both payload and largest id all stay in full.  Rows without an id never are a target unless
-    all rows of the payload have none; then all stay in full.
-    """
-    rows = pages.select(
+def page_records(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", payload_col: str = "html") -> DataFrame:
+    """Rows (id, url, payload) of a table of pages; a null payload is empty."""
+    return pages.select(
         F.col(id_col).alias("id"), F.col(url_col).cast("string").alias("url"),
         F.coalesce(F.col(payload_col).cast("binary"), F.lit(b"")).alias("payload"),
-    ).withColumn("digest", F.when(F.octet_length("payload") >= min_bytes, F.sha2("payload", 256)))
-    # only digests held twice matter to the join
+    )
+
+
+def plan_revisits(records: DataFrame, min_bytes: int = 1000) -> DataFrame:
+    """Rows (id, sha, refers_to): records that only point to one of an equal payload, without payloads.
+
+    Of records with equal payloads of ``min_bytes`` or more the largest id is kept in full, the others
+    refer to it.  Equality is that of SHA-256.  Of records that share both payload and largest id all stay in full, as do
+    those of a payload that has no id at all.
+    """
+    long = records.where(F.octet_length("payload") >= min_bytes).select("id", F.sha2("payload", 256).alias("sha"))
     target = (
-        rows.where("digest IS NOT NULL").groupBy("digest").agg(F.max("id").alias("refers_to"), F.count(F.lit(1)).alias("n"))
-        .where("n > 1").select(F.col("digest").alias("_d"), "refers_to")
+        long.groupBy("sha").agg(F.max("id").alias("refers_to"), F.count(F.lit(1)).alias("n"))
+        .where("n > 1").select(F.col("sha").alias("_s"), "refers_to")
     )
-    joined = rows.join(target, F.col("digest") == F.col("_d"), "left")
-    revisit = F.col("_d").isNotNull() & ~F.col("id").eqNullSafe(F.col("refers_to"))
-    return joined.select("id", "url", "payload", F.when(revisit, F.col("refers_to")).alias("refers_to"), revisit.alias("revisit"))
+    joined = long.join(target, F.col("sha") == F.col("_s"))
+    return joined.where(~F.col("id").eqNullSafe(F.col("refers_to"))).select("id", "sha", "refers_to").distinct()
 
 
 def _bounds(records: DataFrame, shards: int) -> list:
@@ -120,10 +122,11 @@ class _Shard:
             self.part += 1
 
 
-def write_warc(records: DataFrame, folder: str, shards: int, roll_bytes: int = 64 << 20) -> DataFrame:
-    """Write rows of ``plan_records`` below ``folder`` (a new one) and return the manifest's rows.
+def write_warc(records: DataFrame, revisits: DataFrame, folder: str, shards: int, roll_bytes: int = 64 << 20) -> DataFrame:
+    """Write ``page_records`` below ``folder`` (a new one) and return the manifest's rows.
 
-    Null ids come first.  The order within a shard is that of id, then url, then payload, so repeated
+    ``plan_revisits`` says which records point to another.  Its rows go to the shards of their ids and
+    are met there just before the records, so payloads are shuffled once and joined to nothing.  Null ids come first.  The order within a shard is that of id, then url, then payload, so repeated
     rows and ids do not disturb it.  An empty table gives an empty manifest.
     """
     from pyarrow import fs as pafs
@@ -146,13 +149,21 @@ def write_warc(records: DataFrame, folder: str, shards: int, roll_bytes: int = 6
         fs.create_dir(f"{root}/_temporary", recursive=True)
         now: _Shard | None = None
         done: list[dict] = []
+        at: tuple = ()  # the last id with revisits, and where they point by digest
         for batch in batches:
             for r in batch.to_pylist():
+                if r["sha"] is not None:
+                    if not at or at[0] != (r["shard"], r["id"]):
+                        at = ((r["shard"], r["id"]), {})
+                    at[1][r["sha"]] = r["refers_to"]
+                    continue
                 if now is None or now.shard != r["shard"]:
                     if now is not None:
                         done += now.close()
                     now = _Shard(fs, root, r["shard"], roll_bytes)
-                done += now.add(r["id"], _packed(record_bytes(r["id"], r["url"], r["payload"], r["revisit"], r["refers_to"])))
+                known = at[1] if at and at[0] == (r["shard"], r["id"]) else {}
+                sha = hashlib.sha256(r["payload"]).hexdigest() if known else None
+                done += now.add(r["id"], _packed(record_bytes(r["id"], r["url"], r["payload"], sha in known, known.get(sha))))
         if now is not None:
             done += now.close()
         if done:
@@ -167,9 +178,13 @@ def write_warc(records: DataFrame, folder: str, shards: int, roll_bytes: int = 6
                     fs.move(f"{root}/{temp}", f"{root}/{name}")
             yield batch
 
-    columns = ["id", "url", "payload", "refers_to", "revisit"]
-    sharded = records.select(*columns).mapInArrow(place, f"id {id_type}, url string, payload binary, refers_to {id_type}, revisit boolean, shard int")
-    ordered = sharded.repartition(shards, "shard").sortWithinPartitions("shard", "id", "url", "payload")
+    none = F.lit(None)
+    both = records.select("id", "url", "payload", none.cast("string").alias("sha"), none.cast(id_type).alias("refers_to")).unionByName(
+        revisits.select("id", none.cast("string").alias("url"), none.cast("binary").alias("payload"), "sha", "refers_to")
+    )
+    sharded = both.mapInArrow(place, f"id {id_type}, url string, payload binary, sha string, refers_to {id_type}, shard int")
+    # rows of revisits before the records of their id
+    ordered = sharded.repartition(shards, "shard").sortWithinPartitions("shard", "id", F.col("sha").desc_nulls_last(), "url", "payload")
     written = ordered.mapInArrow(write, MANIFEST)
     spark = records.sparkSession
     written.write.parquet(f"{folder}/_written")

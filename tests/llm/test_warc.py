@@ -6,7 +6,7 @@ import random
 
 import pytest
 
-from mortarline.llm.warc import new_folder, parse_record, plan_records, read_warc, record_bytes, write_warc
+from mortarline.llm.warc import new_folder, page_records, parse_record, plan_revisits, read_warc, record_bytes, write_warc
 
 
 def pages(spark):
@@ -19,7 +19,8 @@ def pages(spark):
 
 def stored(spark, table, **more):
     folder = new_folder(spark)
-    return folder, write_warc(plan_records(table), folder, shards=4, **more)
+    records = page_records(table)
+    return folder, write_warc(records, plan_revisits(records), folder, shards=4, **more)
 
 
 def test_round_trip(spark):
