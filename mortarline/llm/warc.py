@@ -188,7 +188,7 @@ def write_warc(records: DataFrame, revisits: DataFrame, folder: str, shards: int
     written = ordered.mapInArrow(write, MANIFEST)
     spark = records.sparkSession
     written.write.parquet(f"{folder}/_written")
-    listed = spark.read.schema(MANIFEST).parquet(f"{folder}/_written").repartition("shard")
+    listed = spark.read.schema(MANIFEST).parquet(f"{folder}/_written").repartition(shards)
     listed.mapInArrow(rename, MANIFEST).write.parquet(f"{folder}/manifest")
     return spark.read.schema(MANIFEST).parquet(f"{folder}/manifest")
 
@@ -268,7 +268,8 @@ def read_warc(spark: SparkSession, folder: str, payloads: bool = True) -> DataFr
                     yield pa.RecordBatch.from_pylist(rows, _READ)
 
     files = spark.read.schema(MANIFEST).parquet(f"{folder}/manifest").select("name")
-    return files.repartition("name").mapInArrow(load, READ)
+    # a task per file: the rows are small, but the files they name are not
+    return files.repartition(max(1, files.count())).mapInArrow(load, READ)
 
 
 def new_folder(spark: SparkSession) -> str:
