@@ -22,8 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mortarline.llm.suspects import per_document, suspected
-from mortarline.llm.text import by_batch, mixed
-from mortarline.session import cut_lineage
+from mortarline.llm.text import by_batch, cut_and_release, mixed
 
 #: Positions in one stretch at most; a longer run of one anchor is cut into several.
 STRETCH = 64
@@ -178,7 +177,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     prints = rows.where(F.octet_length("text") >= length).select("id", "print", F.sha2("text", 256).alias("sha"), F.octet_length("text").alias("n"))
     first = prints.groupBy("sha").agg(F.min(_rank(F.col("id"))).alias("least"), F.count(F.lit(1)).alias("m")).where("m > 1").drop("m")
     copies = prints.join(first, "sha").where(_rank(F.col("id")) > F.col("least")).select("id", "print", "n").distinct()
-    copies = cut_lineage(copies)
+    copies = cut_and_release(copies)
 
     def digest(batch: pa.RecordBatch) -> list[np.ndarray]:
         return [np.unique(stretches(t, length)[2]) for t in batch.column("text").to_pylist()]
@@ -218,12 +217,12 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                 yield out(at, np.concatenate(starts), np.concatenate(keys), texts)
 
     named = held.select("id", "text", "print", "hashes", "copies").mapInArrow(name, f"id {id_type}, print long, start int, key long, s binary")
-    named = cut_lineage(named)
+    named = cut_and_release(named)
     sid = [F.xxhash64("s").alias("s1"), F.xxhash64(F.lit(length), F.col("s")).alias("s2")]
-    folded = cut_lineage(named.groupBy("key", "s").agg(F.min(_rank(F.col("id"))).alias("least"), F.max(_rank(F.col("id"))).alias("most")))
+    folded = cut_and_release(named.groupBy("key", "s").agg(F.min(_rank(F.col("id"))).alias("least"), F.max(_rank(F.col("id"))).alias("most")))
     counts = folded.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max(F.col("least") < F.col("most")).alias("held_twice"))
     counts = counts.where("n > 1 OR held_twice").select("key", "n")
-    usable = cut_lineage(folded.join(counts, "key"))
+    usable = cut_and_release(folded.join(counts, "key"))
     alone = usable.where(f"n <= {CROWDED}")
 
     def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import re
 from collections.abc import Callable, Iterator
@@ -11,6 +12,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from mortarline.session import cut_lineage
+
 #: Words are runs of anything but the six ASCII white-space characters.
 WORD = r"[^\x20\x09-\x0D]+"
 SPACE = r"[\x20\x09-\x0D]"
@@ -45,6 +48,18 @@ def sha_hex(data: bytes) -> str:
     return hashlib.sha256(data).hexdigest()
 
 
+def cut_and_release(df: DataFrame) -> DataFrame:
+    """``cut_lineage``, and let go of the shuffle files that only the written rows needed.
+
+    Spark removes them once the driver has collected the objects that stand for them as garbage, which
+    a driver with little to do may put off until the disks of the executors are full.
+    """
+    out = cut_lineage(df)
+    gc.collect()
+    df.sparkSession.sparkContext._jvm.System.gc()
+    return out
+
+
 def mixed(h: np.ndarray) -> np.ndarray:
     """Finalizer that spreads 64-bit values over all bits (wrapping arithmetic)."""
     h = h ^ (h >> np.uint64(32))
