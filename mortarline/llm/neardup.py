@@ -316,10 +316,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     group = members.select("head", "rep").distinct().join(parts, F.col("rep") == F.col("node")).select("head", "rep", "label")
     far = tested.select(F.col("a").alias("rep"), F.col("b").alias("head"), (1 - F.col("similarity")).alias("far"))
     more = _across(group, far, alike.select("rep", "sign"), texts.select(F.col("id").alias("rep"), "text"), weights, id_type)
-    ends = links.union(more)
     # a document whose rows have several texts links them
     stands = signed.join(alike.select("print", "rep"), "print").select("id", "rep")
     own = stands.where("id <> rep")
-    labels = cut_lineage(connected_components(ends.unionByName(own.select(F.col("id").alias("a"), F.col("rep").alias("b")))))
+    # written once, as the components read it several times
+    ends = cut_lineage(links.union(more).unionByName(own.select(F.col("id").alias("a"), F.col("rep").alias("b"))))
+    labels = cut_lineage(connected_components(ends))
     found = rows.select("id").join(labels, F.col("id") == F.col("node"), "left")
     return found.select("id", F.coalesce("label", "id").alias("class_id"))
