@@ -4,7 +4,8 @@ A document's statistics give a short vector of transformed values.  For every la
 source the minimum-covariance-determinant estimate is sought: the centre and scatter of the
 share ``core`` of the rows whose scatter has the least determinant.  Concentration steps
 (distances to the current estimate, the closest rows, their mean and scatter) start from two
-fixed points, the medians and the plain moments, and the smaller determinant wins.  Rows farther from the
+fixed points, the medians and the plain moments, and the smaller determinant wins.  The scatter of a core is
+widened by the factor that makes it that of all rows of a normal sample, and rows farther from the
 centre than a chi-square bound are rejected.
 
 Vectors are fixed-point integers, so sums are exact and the verdict does not depend on the
@@ -14,6 +15,8 @@ levels does not grow with the rows.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,6 +31,8 @@ LEVELS = 64
 #: Names of the vector's values and the least spread each is taken to have.
 SPREADS = {"x_length": 0.35, "x_word": 0.10, "x_symbol": 0.08, "x_line": 0.15, "x_repeat": 0.12}
 AXES = tuple(SPREADS)
+#: A single symbol, repeated line or repeated window is at least so many spreads wide, so it rejects nothing alone.
+EVENT_SPREADS = 3.0
 
 
 def text_facts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -86,7 +91,16 @@ def _vector() -> list[Column]:
         "x_line": F.sqrt(F.col("n_dup_lines") / (F.col("n_lines") + 8.0)),
         "x_repeat": F.sqrt(F.col("n_repeat_words") / (n + 12.0)),
     }
-    return [F.round(values[a] * SCALE).cast("long").alias(a) for a in AXES]
+    # squares of what one symbol, one repeated line and one repeated window (ten words, in two places) make
+    events = {"v_2": 1.0 / (chars + 60.0), "v_3": 1.0 / (F.col("n_lines") + 8.0), "v_4": 10.0 / (n + 12.0)}
+    return [
+        *[F.round(values[a] * SCALE).cast("long").alias(a) for a in AXES],
+        *[F.round(v * SCALE * SCALE).cast("long").alias(k) for k, v in events.items()],
+    ]
+
+
+#: Columns of ``_vector`` beside the axes, by the place of their axis.
+EVENTS = {2: "v_2", 3: "v_3", 4: "v_4"}
 
 
 def _root(cov: dict[tuple[int, int], Column]) -> list[Column]:
@@ -103,8 +117,25 @@ def _root(cov: dict[tuple[int, int], Column]) -> list[Column]:
     return out
 
 
-def _with_root(moments: DataFrame, group: list[str], prior_rows: float) -> DataFrame:
-    """Centre, root and log determinant from sums; the least spreads count as ``prior_rows`` more rows."""
+def _core_factor(core: float) -> float:
+    """Variance of a normal sample over that of its share ``core`` of least distance, in five dimensions."""
+    def below(x: float, more: float = 0.0) -> float:
+        # chi-square distribution with five degrees of freedom, or seven with ``more`` 1
+        return math.erf(math.sqrt(x / 2)) - math.sqrt(2 * x / math.pi) * math.exp(-x / 2) * (1 + x / 3 + more * x * x / 15)
+
+    low, high = 0.0, 100.0
+    for _ in range(80):
+        middle = (low + high) / 2
+        low, high = (middle, high) if below(middle) < core else (low, middle)
+    return core / below(high, 1.0)
+
+
+def _with_root(moments: DataFrame, group: list[str], prior_rows: float, widen: float = 1.0) -> DataFrame:
+    """Centre, root and log determinant from sums; the least spreads count as ``prior_rows`` more rows.
+
+    Scatter is multiplied by ``widen``.  What stays at any size is the resolution: rounding, and for counted axes the mean
+    square of one event over ``EVENT_SPREADS`` squared.
+    """
     d, n = len(AXES), F.col("n").cast("double")
     centre = [(F.col(f"s_{i}") / n / SCALE).alias(f"m_{i}") for i in range(d)]
     keep = n / (n + prior_rows)
@@ -112,8 +143,10 @@ def _with_root(moments: DataFrame, group: list[str], prior_rows: float) -> DataF
     for j in range(d):
         for i in range(j, d):
             c = (F.col(f"q_{j}_{i}") / n - F.col(f"s_{j}") / n * F.col(f"s_{i}") / n) / SCALE / SCALE
-            least = list(SPREADS.values())[i] ** 2
-            cov[j, i] = c * keep + F.lit(least if i == j else 0.0)
+            cov[j, i] = c * widen * keep
+            if i == j:
+                event = F.col(EVENTS[i]) / n / EVENT_SPREADS**2 if i in EVENTS else F.lit(1.0)
+                cov[j, i] = F.greatest(cov[j, i] + (1 - keep) * list(SPREADS.values())[i] ** 2, event / SCALE / SCALE)
     out = moments.select(*group, *centre, *[c.alias(f"c_{j}_{i}") for (j, i), c in cov.items()])
     named = {k: F.col(f"c_{k[0]}_{k[1]}") for k in cov}
     # each entry needs the ones before it
@@ -139,6 +172,7 @@ def _moments(rows: DataFrame, group: list[str]) -> DataFrame:
         F.count(F.lit(1)).alias("n"),
         *[F.sum(a).alias(f"s_{i}") for i, a in enumerate(AXES)],
         *[F.sum(F.col(AXES[j]) * F.col(AXES[i])).alias(f"q_{j}_{i}") for j in range(d) for i in range(j, d)],
+        *[F.sum(v).alias(v) for v in EVENTS.values()],
     )
 
 
@@ -158,9 +192,10 @@ def _levels() -> Column:
 
 
 def robust_estimates(rows: DataFrame, group: list[str], core: float, steps: int, prior_rows: float) -> DataFrame:
-    """(group, centre, root, log_det, median_d2): the estimate of least determinant per group."""
+    """(group, centre, root, log_det): the estimate of least determinant per group."""
     q = rows.groupBy(*group).agg(
-        F.count(F.lit(1)).alias("n"), *[F.percentile(a, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias(f"p_{i}") for i, a in enumerate(AXES)]
+        F.count(F.lit(1)).alias("n"), *[F.sum(v).alias(v) for v in EVENTS.values()],
+        *[F.percentile(a, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias(f"p_{i}") for i, a in enumerate(AXES)]
     )
     d = len(AXES)
     # sums that give the medians and quartile spreads back as moments
@@ -172,6 +207,7 @@ def robust_estimates(rows: DataFrame, group: list[str], core: float, steps: int,
                            + (F.pow((F.col(f"p_{i}")[2] - F.col(f"p_{i}")[0]) / 1.349, 2) if i == j else F.lit(0.0)))).alias(f"q_{j}_{i}")
             for j in range(d) for i in range(j, d)
         ],
+        *EVENTS.values(),
     )
     plain = _moments(rows, group).withColumn("start", F.lit(1))
     keys = [*group, "start"]
@@ -179,17 +215,15 @@ def robust_estimates(rows: DataFrame, group: list[str], core: float, steps: int,
     for _ in range(steps):
         measured = _distance(_joined(rows, estimate, keys)).withColumn("level", _levels())
         edge = measured.groupBy(*keys).agg(F.percentile("level", F.lit(core)).alias("edge"))
-        close = _joined(measured.select(*keys, *AXES, "level"), edge, keys).where("level <= edge")
-        estimate = cut_lineage(_with_root(_moments(close, keys), keys, prior_rows))
-    measured = _distance(_joined(rows, estimate, keys)).withColumn("level", _levels())
-    middle = measured.groupBy(*keys).agg(F.percentile("level", F.lit(0.5)).alias("middle"))
-    full = _joined(estimate, middle, keys).withColumn("median_d2", F.exp((F.col("middle") + 1) / LEVELS)).drop("middle")
-    best = full.groupBy(*group).agg(F.min_by(F.struct(*[c for c in full.columns if c not in keys]), F.struct("log_det", "start")).alias("e"))
+        close = _joined(measured.select(*keys, *AXES, *EVENTS.values(), "level"), edge, keys).where("level <= edge")
+        estimate = cut_lineage(_with_root(_moments(close, keys), keys, prior_rows, _core_factor(core)))
+    values = F.struct(*[c for c in estimate.columns if c not in keys])
+    best = estimate.groupBy(*group).agg(F.min_by(values, F.struct("log_det", "start")).alias("e"))
     return best.select(*group, "e.*")
 
 
-#: Median and far bound of the chi-square distribution with five degrees of freedom.
-CHI2_MEDIAN, CHI2_FAR = 4.351, 41.0
+#: 99.9 % of the chi-square distribution with five degrees of freedom.
+CHI2_FAR = 20.515
 
 
 def quality_rules(
@@ -205,7 +239,7 @@ def quality_rules(
     """Rows (id, groups, facts, base_failed, distance2, kept), one per document.
 
     ``kept`` is false where the base rules fail (under 10 words, or over 20 % of the words in repeated
-    windows) or the squared distance, scaled by the group's median, is over ``far``.  Estimates use rows
+    windows) or the squared distance is over ``far``.  Estimates use rows
     that pass the base rules; a group with none rejects nothing further.  Null languages and sources are
     groups of their own.  Small groups lean on the least spreads, by a weight that falls with their rows,
     so a group of one row keeps it.  Null and empty texts fail the base rules.  Repeated rows count as
@@ -218,14 +252,12 @@ def quality_rules(
     failed = (F.col("n_words") < 10) | (F.col("n_repeat_words") * 100 > F.col("n_words") * 20)
     facts = text_facts(named, "id", "text").drop("text").withColumn("base_failed", failed)
     facts = cut_lineage(facts.select("*", *_vector()))
-    estimates = robust_estimates(facts.where("NOT base_failed").select(*groups, *AXES), groups, core, steps, prior_rows)
+    estimates = robust_estimates(facts.where("NOT base_failed").select(*groups, *AXES, *EVENTS.values()), groups, core, steps, prior_rows)
     on = F.lit(True)
     for g in groups:
         on = on & F.col(g).eqNullSafe(F.col(f"_{g}"))
     joined = facts.join(estimates.select(*[F.col(g).alias(f"_{g}") for g in groups], *[c for c in estimates.columns if c not in groups]), on, "left")
-    # a median below the expected one may not shrink the scale under the least spreads
-    scaled = _distance(joined).withColumn("distance2", F.col("d2") * F.least(F.lit(1.0), F.lit(CHI2_MEDIAN) / F.col("median_d2")))
-    return scaled.select(
+    return _distance(joined).withColumnRenamed("d2", "distance2").select(
         "id", *[F.col(g).alias(f"group_{i}") for i, g in enumerate(groups)],
         "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "base_failed", "distance2",
         (~F.col("base_failed") & (F.coalesce("distance2", F.lit(0.0)) <= far)).alias("kept"),

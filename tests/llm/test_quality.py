@@ -52,3 +52,32 @@ def test_repeated_rows_and_clashing_columns(spark):
     rows = [(1, "one two three four five six seven eight nine ten eleven", "en", "a", "z")] * 5
     table = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_words string")
     assert [r["kept"] for r in quality_rules(table).collect()] == [True] * 5
+
+
+def test_outliers_on_every_axis_of_a_large_tight_group(spark):
+    rng = random.Random(7)
+    word = lambda n: "".join(rng.choice("aeioustrnl") for _ in range(n))
+    lines = lambda words: "\n".join(" ".join(words[k : k + 15]) for k in range(0, len(words), 15))
+    plain = lambda n: [word(rng.randrange(3, 8)) for _ in range(n)]
+    rows = []
+    for i in range(2000):
+        words = plain(rng.randrange(270, 330))
+        if i % 20 == 0:
+            words[7] += "#"
+        text = lines(words)
+        # one line of three words again, as ordinary texts have
+        rows.append((i, text + "\nab cd ef\nab cd ef" if i % 25 == 0 else text))
+    short = word(6)
+    planted = {
+        "length": " ".join(plain(12)), "long": lines(plain(20000)), "word": lines([word(18) for _ in range(300)]),
+        "symbol": lines([w + "#" * (k % 8 == 0) for k, w in enumerate(plain(300))]),
+        "line": "\n".join(f"{short}\n{' '.join(plain(19))}" for _ in range(15)),
+        "repeat": lines((p := plain(300))[:280] + p[:25]),
+    }
+    rows += [(5000 + i, t) for i, t in enumerate(planted.values())]
+    table = spark.createDataFrame([(*r, "en", "s") for r in rows], "doc_id long, text string, lang string, source string")
+    got = {r["id"]: r for r in quality_rules(table).collect()}
+    for i, name in enumerate(planted):
+        assert not got[5000 + i]["kept"] and not got[5000 + i]["base_failed"], (name, got[5000 + i])
+    lost = [i for i in range(2000) if not got[i]["kept"]]
+    assert len(lost) <= 10, [got[i] for i in lost[:9]]
