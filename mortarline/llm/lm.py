@@ -23,6 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -52,15 +53,14 @@ def _blank(rows: int, id_type: pa.DataType, **given) -> pa.RecordBatch:
     )
 
 
-def _send(batch: pa.RecordBatch, segments: int) -> Iterator[pa.RecordBatch]:
-    """Rows for segments (kind 0), and the batch's documents (kind 1)."""
+def _send(batch: pa.RecordBatch, segments: int, name: int) -> Iterator[pa.RecordBatch]:
+    """Rows for segments (kind 0), and the batch's documents (kind 1); no other batch has the ``name``."""
     texts = bytes_of(batch.column("text"))
     train = np.asarray(batch.column("train"))
     prints = np.array([xxhash.xxh3_64_intdigest(t) for t in texts], np.uint64).view(np.int64)
     own = [np.unique(word_digests(t), return_counts=True) for t in texts]
     id_type = batch.column("id").type
-    name = int(np.array([xxhash.xxh3_64_intdigest(prints.tobytes() + repr(batch.column("id").to_pylist()).encode())], np.uint64).view(np.int64)[0])
-    yield _blank(1, id_type, kind=[1], seg=[abs(name) % segments], batch=[name], ids=[batch.column("id").to_pylist()], prints=[prints.tolist()])
+    yield _blank(1, id_type, kind=[1], seg=[name % segments], batch=[name], ids=[batch.column("id").to_pylist()], prints=[prints.tolist()])
     sizes = np.fromiter((len(h) for h, _ in own), np.int64, len(own))
     if not sizes.sum():
         return
@@ -370,10 +370,13 @@ def score_documents(docs: DataFrame, train: str = "train", id_col: str = "doc_id
     segments = int(spark.conf.get("spark.sql.shuffle.partitions"))
     sent_schema = _SENT.format(id=id_type)
 
+    # a partition and a number in it: equal batches keep names of their own; tasks run again only give what was lost,
+    # as the table below is written once
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        part = TaskContext.get().partitionId()
+        for number, batch in enumerate(batches):
             if batch.num_rows:
-                yield from _send(batch, segments)
+                yield from _send(batch, segments, part << 32 | number)
 
     met = cut_lineage(rows.mapInArrow(send, sent_schema).repartition(segments, "seg").mapInArrow(_meet, sent_schema))
     by_doc = met.where("kind IN (1, 2)").select("kind", "batch", "doc", "at", "n", "ids", "prints").repartition("batch")

@@ -80,3 +80,14 @@ def test_state_is_carried_over_windows(monkeypatch):
     monkeypatch.setattr(lm, "WINDOW", 10_000)
     monkeypatch.setattr(lm, "LANES", 2)
     assert lm.score_of(p, docs) == pytest.approx(whole, rel=1e-4)
+
+
+def test_a_table_with_itself_counts_every_row_once(spark):
+    rows = [(i, f"w{i} w1 w2 w1", True) for i in range(12)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, train boolean").coalesce(1)
+    got = lm.score_documents(table.union(table)).collect()
+    count = Counter(w for _, t, _ in rows * 2 for w in [*t.split(), None])
+    n, v = sum(count.values()), len(count)
+    assert len(got) == 24 and all(r["n_known"] == r["n_tokens"] == 5 for r in got)
+    want = {i: sum(math.log10((count[w] + 1) / (n + v + 1)) for w in [*t.split(), None]) for i, t, _ in rows}
+    assert all(r["base_score"] == pytest.approx(want[r["id"]]) for r in got)
