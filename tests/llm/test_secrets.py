@@ -58,6 +58,35 @@ def test_structures_are_confirmed_and_others_are_not():
         assert confirmed_spans(text) == []
 
 
+def encrypted_key():
+    scheme = element(0x30, element(6, b"\x2a\x86\x48\x86\xf7\x0d\x01\x05\x0d") + element(0x30, element(4, b"salt" * 4)))
+    return element(0x30, scheme + element(4, bytes(range(160))))
+
+
+def test_keys_in_strings_comments_and_wrapped_lines():
+    rows = re.findall(".{1,64}", b64(rsa_key()))
+    begin, end = "-----BEGIN RSA PRIVATE KEY-----", "-----END RSA PRIVATE KEY-----"
+    pem = [begin, *rows, end]
+    heads = ["Proc-Type: 4,ENCRYPTED", "DEK-Info: AES-128-CBC," + "0A" * 16, ""]
+    for kind, text in [
+        ("der", "\\n".join(pem)), ("der", "\\r\\n".join(pem)), ("der", "\\\\n".join(pem)),
+        ("der", "\n# ".join(pem)), ("der", "\n// ".join(pem)), ("der", "\n//".join(pem)), ("der", '\\n" +\n    "'.join(pem)), ("der", '"\n"'.join(pem)),
+        ("der", "\n".join([begin, "Comment: mine", "", *rows, end])),
+        ("der", "\n".join([begin, *heads, *re.findall(".{1,64}", b64(b"\x93" * 320)), end])),
+        ("der", "\\n".join([begin, *heads, *re.findall(".{1,64}", b64(b"\x93" * 320)), end])),
+        ("der", f"-----BEGIN ENCRYPTED PRIVATE KEY-----\n{b64(encrypted_key())}\n-----END ENCRYPTED PRIVATE KEY-----"),
+        ("der", b64(encrypted_key())), ("der", encrypted_key().hex()),
+        ("der", "\n".join(rows)), ("der", "\\n".join(rows)), ("der", "\n# ".join(rows)), ("der", "\r\n    ".join(rows)),
+        ("openssh", "\n".join(re.findall(".{1,70}", b64(openssh_key())))),
+        ("der", "\n".join(re.findall(".{1,64}", b64(encrypted_key())))),
+    ]:
+        assert confirmed_spans(f"é see {text}\nthere is more") == [(6, kind, 6 + len(text))], text
+    digest = element(0x30, element(0x30, element(6, b"\x60\x86\x48\x01\x65\x03\x04\x02\x01") + element(5, b"")) + element(4, b"h" * 32))
+    broken = re.findall(".{1,64}", b64(rsa_key()[:-1] + b"\0\0"))
+    for text in [b64(digest), "\n".join(broken), "\\n".join([begin, *broken, end]), "\n".join([begin, *heads, b64(b"x" * 33), end]), "\n".join(rows[:-1])]:
+        assert confirmed_spans(text) == [], text
+
+
 def test_table(spark):
     rows = [(1, "secret=abcdefgh " + token(), "q"), (1, None, "q"), (None, "", "q"), (2, "w " * 200000 + "f" * 40, "q")]
     got = scan_secrets(spark.createDataFrame(rows, "doc_id long, text string, base string")).collect()
