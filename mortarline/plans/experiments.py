@@ -1,4 +1,7 @@
-"""Experiment and tuning queries."""
+"""Experiment and tuning queries.
+
+They summarise stored cases, each dealt one configuration; no configuration is run (README, "Not built").
+"""
 
 from __future__ import annotations
 
@@ -22,8 +25,9 @@ RAG_AXES = {
 
 
 def _number(axes: dict) -> str:
-    """The configuration that a stored response was made under, as far as the given tables tell: its
-    prompt version and its batch."""
+    """The configuration whose label a stored response is dealt, by its prompt version and document number.
+
+    Nothing was chunked, searched or measured under it."""
     n = 1
     for values in axes.values():
         n *= len(values)
