@@ -241,36 +241,57 @@ def _path(n: np.ndarray) -> np.ndarray:
     return out
 
 
+def _dealt(data: DataFrame, key: str, features: Sequence[str], trees: int, sample: int, seed: int) -> DataFrame:
+    """(features, _o, tree): for every tree the ``sample`` rows of smallest hash of (row, tree), at every size.
+
+    A task sends at most ``sample`` rows for a tree on.
+    """
+    features = list(features)
+
+    def smallest(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = [(np.empty(0, np.uint64), np.empty((0, len(features)))) for _ in range(trees)]
+        for b in batches:
+            x, u = b[features].to_numpy(dtype="float64"), b["_u"].to_numpy(dtype="uint64")
+            for t, (o, rows) in enumerate(held):
+                h = (u + np.uint64(t + 1)) * np.uint64(0x9E3779B97F4A7C15)
+                for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB)):
+                    h = (h ^ (h >> np.uint64(shift))) * np.uint64(factor)
+                h = (h ^ (h >> np.uint64(31))) >> np.uint64(1)
+                new = np.flatnonzero(h < o.max()) if len(o) == sample else np.arange(len(h))
+                o, rows = np.concatenate([o, h[new]]), np.concatenate([rows, x[new]])
+                if len(o) > sample:
+                    least = np.argpartition(o, sample - 1)[:sample]
+                    o, rows = o[least], rows[least]
+                held[t] = o, rows
+        for t, (o, rows) in enumerate(held):
+            if len(o):
+                yield pd.DataFrame(rows, columns=features).assign(_o=o.astype("int64"), tree=t)
+
+    schema = ", ".join([*[f"`{f}` double" for f in features], "_o long", "tree int"])
+    lists = data.select(*features, F.xxhash64(unit_hash(F.col(key), seed), F.lit(seed)).alias("_u"))
+    lists = lists.withColumn("_u", F.col("_u").bitwiseAND(F.lit(2**63 - 1))).mapInPandas(smallest, schema)
+    order = Window.partitionBy("tree").orderBy("_o", *features)
+    return lists.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= sample).drop("_r")
+
+
 def isolation_scores(
     df: DataFrame, key: str, features: Sequence[str], trees: int = 100, sample: int = 256, seed: int = 42
 ) -> DataFrame:
     """Add ``anomaly_score`` in (0, 1]; higher is easier to isolate.
 
-    Each tree is grown by one task from at most ``sample`` rows picked by hash, which is
-    part of the method.  All rows are then scored in Arrow batches against the trees
+    Each tree is grown by one task from the ``sample`` rows of smallest hash (all, if there are fewer), which
+    is part of the method.  All rows are then scored in Arrow batches against the trees
     (a few hundred nodes each, shipped with the function).
     """
     features = list(features)
     data = cut_lineage(df.withColumns({f: F.col(f).cast("double") for f in features}).dropna(subset=features))
-    n = data.count()
-    if n == 0:
+    if data.isEmpty():
         return data.withColumn("anomaly_score", F.lit(None).cast("double"))
-    copies = min(trees, max(1, -(-trees * sample // n)))
-    share = min(1.0, 2.0 * trees * sample / n)
-    wanted = data.select(*features, unit_hash(F.col(key), seed).alias("_u"))
-    if share < 1.0:
-        wanted = wanted.where(F.col("_u") < share * 2**52)
-    spread = F.transform(
-        F.sequence(F.lit(0), F.lit(copies - 1)),
-        lambda i: F.pmod(F.pmod(F.xxhash64("_u", F.lit(seed)), F.lit(trees)) + i, F.lit(trees)),
-    )
-    dealt = wanted.withColumn("tree", F.explode(spread)).withColumn("_o", F.xxhash64("_u", "tree"))
-    order = Window.partitionBy("tree").orderBy("_o")
-    picked = dealt.withColumn("_r", F.row_number().over(order)).where(F.col("_r") <= sample)
+    picked = _dealt(data, key, features, trees, sample, seed)
 
     def grow(pdf: pd.DataFrame) -> pd.DataFrame:
         tree = int(pdf["tree"].iloc[0])
-        x = pdf.sort_values("_o")[features].to_numpy(dtype="float64")
+        x = pdf.sort_values(["_o", *features])[features].to_numpy(dtype="float64")
         nodes = _grow(x, np.random.default_rng([seed, tree]))
         return pd.DataFrame(nodes, columns=["feature", "cut", "left", "right", "size"]).assign(
             tree=tree, node=range(len(nodes)), rows=len(x)

@@ -344,6 +344,22 @@ def test_isolation_finds_outliers(spark):
     assert all(0 < r["anomaly_score"] <= 1 for r in out)
 
 
+def test_every_tree_gets_its_sample_at_any_size(spark):
+    for n in (40, 400, 6000):
+        df = spark.range(n, numPartitions=5).select("id", F.col("id").cast("double").alias("x"))
+        deals = {}
+        for r in M._dealt(df, "id", ["x"], trees=12, sample=256, seed=42).collect():
+            deals.setdefault(r["tree"], set()).add(r["x"])
+        assert sorted(deals) == list(range(12)) and all(len(d) == min(n, 256) for d in deals.values())
+        again = {}
+        for r in M._dealt(df.repartition(3), "id", ["x"], trees=12, sample=256, seed=42).collect():
+            again.setdefault(r["tree"], set()).add(r["x"])
+        assert again == deals
+        # rows of one tree say nothing about those of the next one
+        shared = np.mean([len(deals[t] & deals[t + 1]) for t in range(11)])
+        assert shared == pytest.approx(min(n, 256) ** 2 / n, rel=0.4)
+
+
 def test_silhouette_degenerate(spark):
     df = spark.createDataFrame([([0.0, 1.0], 0), ([1.0, 1.0], 0)], "v array<double>, c int")
     assert M.silhouette(df, "v", "c").collect()[0]["silhouette"] is None
