@@ -215,3 +215,22 @@ def op4_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     rows = remove_repeats(read(spark, sf_dir, "documents", "doc_id", "text"))
     return rows.select(F.col("id").alias("doc_id"), "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def _digests(rows: DataFrame) -> DataFrame:
+    return rows.select(
+        F.col("id").alias("doc_id"),
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@query("op11_bytebpe")
+def op11_bytebpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from mortarline.llm.bytebpe import encode_bpe
+
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    return _digests(encode_bpe(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), decode=True))
