@@ -234,3 +234,14 @@ def op11_bytebpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = read(spark, sf_dir, "documents", "doc_id", "text")
     return _digests(encode_bpe(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), decode=True))
+
+
+@query("op13_align")
+def op13_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from mortarline.llm.align import align_corpus
+
+    docs = read(spark, sf_dir, "documents", "doc_id", "text")
+    rows = align_corpus(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    return rows.withColumnRenamed("id", "doc_id")
