@@ -245,3 +245,39 @@ def op13_align(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents", "doc_id", "text")
     rows = align_corpus(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
     return rows.withColumnRenamed("id", "doc_id")
+
+
+@query(
+    "op12_negatives",
+    """
+    WITH v AS (
+      SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
+      FROM embeddings
+      WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    p AS (
+      SELECT a.vec_id AS anchor_id, c.vec_id, a.label = c.label AS same, CAST(list_inner_product(a.e, c.e) AS BIGINT) AS score
+      FROM v a JOIN v c ON a.vec_id % 50 = 0 AND a.vec_id <> c.vec_id),
+    o AS (
+      SELECT anchor_id, vec_id AS positive_id, score AS positive_score,
+        row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) AS place
+      FROM p WHERE same),
+    n AS (
+      SELECT o.anchor_id, o.positive_id, o.positive_score, p.vec_id AS negative_id, p.score AS negative_score,
+        row_number() OVER (PARTITION BY o.anchor_id, o.positive_id ORDER BY p.score DESC, p.vec_id) AS rank
+      FROM o JOIN p ON o.anchor_id = p.anchor_id AND NOT p.same
+        AND 50 * o.positive_score <= 100 * p.score AND 100 * p.score <= 95 * o.positive_score
+      WHERE o.place <= 5)
+    SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score
+    FROM n WHERE rank <= 3""",
+)
+def op12_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from mortarline.llm.negatives import mine_negatives
+
+    rows = read(spark, sf_dir, "embeddings", "vec_id", "embedding", "label")
+    finite = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
+    whole = F.transform("embedding", lambda x: F.floor(F.lit(256) * x.cast("double")))
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = rows.where(F.col("embedding").isNotNull() & finite).select("vec_id", label.alias("label"), whole.alias("vector"))
+    return mine_negatives(rows, F.col("vec_id") % 50 == 0, positives=5, negatives=3, low=50, high=95)
