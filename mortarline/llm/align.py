@@ -13,6 +13,7 @@ only (``linkable``), not on the corpus; up to BROADCAST_PAIRS their counts are b
 from __future__ import annotations
 
 import json
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,6 +27,10 @@ from mortarline.llm.pieces import MARK, Encoder
 from mortarline.llm.text import bytes_of
 from mortarline.session import cut_lineage
 
+#: A byte-level token never crosses a single blank between two of these signs and letters, so texts are cut before it.
+BETWEEN = re.compile("(?<=[!-~¡-ɏ])(?= [!-~¡-ɏ])")
+#: Chunks of text whose ids a task remembers.
+REMEMBERED = 300_000
 #: Most pairs of counts that are broadcast (24 bytes each), and bytes of text treated at a time.
 BROADCAST_PAIRS, BLOCK_BYTES = 4_000_000, 2_000_000
 
@@ -104,16 +109,39 @@ class Aligner:
 
         self.level = Tokenizer.from_str(level)
         self.level.encode_special_tokens = True
+        self.met: dict[str, list[int]] = {}
         self.pieces = Encoder(model)
         self.a, self.b = Vocabulary(bytes_of_level(level)), Vocabulary(bytes_of_pieces(model))
         most = max(len(self.a.lengths), len(self.b.lengths))
         # a token's text by what follows it: the same side, the other side, the next group, nothing
         self.most, self.texts = most, [f"{i}{sep}" for sep in (",", "|", ";", "") for i in range(most)]
 
+    def level_ids(self, texts: list[str]) -> list[np.ndarray]:
+        """The library's ids per text; each distinct chunk is encoded once and its ids are put back by position."""
+        cut = [BETWEEN.split(t) for t in texts]
+        table: dict[str, int] = {}
+        places = [np.fromiter((table.setdefault(c, len(table)) for c in chunks), np.int64, len(chunks)) for chunks in cut]
+        if len(self.met) > REMEMBERED:
+            self.met.clear()
+        fresh = [c for c in table if c not in self.met]
+        for i in range(0, len(fresh), 10_000):
+            part = fresh[i : i + 10_000]
+            for c, e in zip(part, self.level.encode_batch_fast(part, add_special_tokens=False), strict=True):
+                self.met[c] = e.ids
+        ids = [self.met[c] for c in table]
+        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
+        flat = np.fromiter((i for x in ids for i in x), np.int64, int(lengths.sum()))
+        starts = np.cumsum(lengths) - lengths
+        out = []
+        for p in places:
+            n = lengths[p]
+            out.append(flat[np.repeat(starts[p] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))])
+        return out
+
     def tokens(self, texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
         """Ids of A and B per text; none where the joined bytes of one of them are not space + text."""
         plain = [t.decode("utf-8", "replace") for t in texts]
-        a = [np.array(e.ids, np.int64) for e in self.level.encode_batch([" " + t for t in plain], add_special_tokens=False)]
+        a = self.level_ids([" " + t for t in plain])
         b = [x.astype(np.int64) for x in self.pieces.encode(plain)]
         none = np.array([], np.int64)
         out = []
