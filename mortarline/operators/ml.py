@@ -340,45 +340,3 @@ def label_predictions(df: DataFrame, meaning: Mapping[int, str], prediction: str
     """Readable result per model family, e.g. {-1: 'fail', 1: 'pass'} for anomaly flags."""
     names = F.create_map(*[F.lit(x) for kv in meaning.items() for x in kv])
     return df.withColumn("result", F.try_element_at(names, F.col(prediction).cast("int")))
-
-
-def density_clusters(
-    df: DataFrame, key: str, features: Sequence[str], width: float, min_points: int = 3, min_cluster_size: int = 3
-) -> DataFrame:
-    """Grid density clustering: ``cluster`` is the smallest core row's key, or -1 for noise.
-
-    Rows fall into cells of side ``width``; cells with ``min_points`` rows are dense, dense
-    cells sharing a face join, and a row in a sparse cell joins a dense neighbour if it has
-    one, the one of the smallest cluster.  Clusters of fewer than ``min_cluster_size`` rows are
-    noise.  ``key`` is a whole number that names a row.  Work grows with rows and occupied
-    cells, never with pairs of rows; rows of one cell are counted before any join.
-    """
-    d = len(features)
-    cell = F.array(*[F.floor(F.col(f) / width).cast("long") for f in features])
-    placed = df.withColumn("_cell", cell)
-    cells = cut_lineage(placed.groupBy("_cell").agg(F.count(F.lit(1)).alias("n"), F.min(key).alias("id")))
-    dense = cells.where(F.col("n") >= min_points).select("_cell", "id")
-
-    def faces(df_: DataFrame) -> DataFrame:
-        c = F.col("_cell")
-        moves = [c]
-        for i in range(d):
-            for step in (-1, 1):
-                moves.append(F.array(*[c[j] + step if j == i else c[j] for j in range(d)]))
-        return df_.withColumn("_near", F.explode(F.array(*moves)))
-
-    other = dense.select(F.col("_cell").alias("_near"), F.col("id").alias("b"))
-    edges = faces(dense).join(other, "_near").select(F.col("id").alias("a"), "b")
-    labels = connected_components(edges).join(dense, F.col("node") == F.col("id")).select("_cell", "label")
-    border = (
-        faces(cells.where(F.col("n") < min_points).select("_cell"))
-        .join(labels.select(F.col("_cell").alias("_near"), "label"), "_near")
-        .groupBy("_cell").agg(F.min("label").alias("label"))
-    )
-    owner = labels.unionByName(border)
-    big = (
-        owner.join(cells, "_cell").groupBy("label").agg(F.sum("n").alias("rows"))
-        .where(F.col("rows") >= min_cluster_size).select("label")
-    )
-    owner = owner.join(big, "label")
-    return placed.join(owner, "_cell", "left").withColumn("cluster", F.coalesce("label", F.lit(-1))).drop("_cell", "label")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from mortarline.operators import ml as M
 from mortarline.operators import modelfiles as X
+from mortarline.operators.density import density_clusters as density_clusters_of
 from mortarline.plans.adapters import ctes, table, view
 from mortarline.plans.registry import register
 from mortarline.session import cut_lineage
@@ -175,21 +176,36 @@ def isolation_flags(spark: SparkSession, sf: str) -> DataFrame:
     return named.groupBy("result").agg(F.count(F.lit(1)).alias("n"))
 
 
+_FOLD = 16
+
+
+def _customer_points(spark: SparkSession, sf: str) -> DataFrame:
+    return table(spark, sf, "customer").select("c_custkey", (F.col("c_acctbal") / 500).alias("a"), F.col("c_nationkey").cast("double").alias("b"))
+
+
+def _density(spark: SparkSession, sf: str) -> DataFrame:
+    return density_clusters_of(_customer_points(spark, sf), "c_custkey", ["a", "b"], 1.0, min_points=4, min_cluster_size=5, rungs=5, resolution=1 / _FOLD)
+
+
 @register(
     "density_clusters",
-    """WITH RECURSIVE p AS (SELECT c_custkey, CAST(floor(c_acctbal / 500e0) AS BIGINT) AS a, CAST(c_nationkey AS BIGINT) AS b FROM customer),
-    c AS (SELECT a, b, count(*) AS n, min(c_custkey) AS id FROM p GROUP BY 1, 2),
-    d AS (SELECT * FROM c WHERE n >= 3),
-    e AS (SELECT x.id AS u, y.id AS v FROM d x JOIN d y ON abs(x.a - y.a) + abs(x.b - y.b) <= 1),
-    r AS (SELECT id, id AS label FROM d UNION SELECT e.v, r.label FROM r JOIN e ON r.id = e.u),
-    l AS (SELECT d.a, d.b, min(label) AS label FROM r JOIN d ON r.id = d.id GROUP BY 1, 2),
-    o AS (SELECT * FROM l UNION ALL SELECT c.a, c.b, min(label) FROM c JOIN l ON abs(c.a - l.a) + abs(c.b - l.b) = 1
-      WHERE c.n < 3 GROUP BY 1, 2),
-    s AS (SELECT label FROM o JOIN c ON o.a = c.a AND o.b = c.b GROUP BY 1 HAVING sum(n) >= 5)
-    SELECT c_custkey, coalesce(s.label, -1) AS cluster FROM p LEFT JOIN o ON p.a = o.a AND p.b = o.b LEFT JOIN s ON o.label = s.label""",
+    f"""WITH RECURSIVE f AS (SELECT c_custkey, floor(c_acctbal / 500e0 * {_FOLD}) / {_FOLD} AS a, CAST(c_nationkey AS DOUBLE) AS b FROM customer),
+    p AS (SELECT a, b, min(c_custkey) AS id, count(*) AS w FROM f GROUP BY 1, 2),
+    n AS (SELECT x.id, y.id AS other, y.w, sqrt((x.a - y.a) * (x.a - y.a) + (x.b - y.b) * (x.b - y.b)) AS d FROM p x JOIN p y
+      ON abs(x.a - y.a) <= 1 AND abs(x.b - y.b) <= 1),
+    i AS (SELECT * FROM n WHERE d <= 1),
+    k AS (SELECT id FROM i GROUP BY id HAVING sum(w) >= 4),
+    e AS (SELECT id AS u, other AS v FROM i WHERE id IN (SELECT id FROM k) AND other IN (SELECT id FROM k)),
+    r AS (SELECT id, id AS label FROM k UNION SELECT e.v, r.label FROM r JOIN e ON r.id = e.u),
+    l AS (SELECT id, min(label) AS label FROM r GROUP BY 1),
+    s AS (SELECT label FROM l JOIN p ON l.id = p.id GROUP BY 1 HAVING sum(w) >= 5)
+    SELECT c_custkey, coalesce(s.label, -1) AS cluster FROM f JOIN p ON f.a = p.a AND f.b = p.b
+    LEFT JOIN l ON p.id = l.id LEFT JOIN s ON l.label = s.label""",
 )
 def density_clusters(spark: SparkSession, sf: str) -> DataFrame:
-    rows = table(spark, sf, "customer").select(
-        "c_custkey", (F.col("c_acctbal") / 500).alias("a"), F.col("c_nationkey").cast("double").alias("b")
-    )
-    return M.density_clusters(rows, "c_custkey", ["a", "b"], 1.0, min_points=3, min_cluster_size=5).select("c_custkey", "cluster")
+    return _density(spark, sf).select("c_custkey", F.col("component").alias("cluster"))
+
+
+@register("density_hierarchy")
+def density_hierarchy(spark: SparkSession, sf: str) -> DataFrame:
+    return _density(spark, sf).select("c_custkey", "component", "cluster")

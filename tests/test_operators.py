@@ -296,44 +296,6 @@ def test_stratified_split_is_exact(spark):
     assert got["hot"] == (700, 140) and all(t == n * 20 // 100 for n, t in got.values())
 
 
-def flood(cells):
-    left, groups = set(cells), []
-    while left:
-        todo, seen = [left.pop()], set()
-        while todo:
-            c = todo.pop()
-            seen.add(c)
-            for n in [(c[0] + 1, c[1]), (c[0] - 1, c[1]), (c[0], c[1] + 1), (c[0], c[1] - 1)]:
-                if n in left:
-                    left.remove(n)
-                    todo.append(n)
-        groups.append(seen)
-    return groups
-
-
-def test_density_clusters(spark):
-    rng = np.random.default_rng(8)
-    points = [(i, *map(float, p)) for i, p in enumerate(np.concatenate([rng.normal(0, 0.6, (150, 2)), rng.normal(6, 0.5, (120, 2)), rng.uniform(-9, 12, (40, 2))]))]
-    cell = lambda p: (int(np.floor(p[1] / 0.5)), int(np.floor(p[2] / 0.5)))
-    counts = {}
-    for p in points:
-        counts[cell(p)] = counts.get(cell(p), 0) + 1
-    groups = flood([c for c, n in counts.items() if n >= 3])
-    df = spark.createDataFrame(points, "id int, x double, y double")
-    got = {r["id"]: r["cluster"] for r in M.density_clusters(df, "id", ["x", "y"], 0.5, min_cluster_size=1).collect()}
-    large = {r["id"]: r["cluster"] for r in M.density_clusters(df, "id", ["x", "y"], 0.5, min_cluster_size=20).collect()}
-    sizes = {c: sum(x == c for x in got.values()) for c in set(got.values())}
-    assert large == {i: c if sizes[c] >= 20 else -1 for i, c in got.items()}
-    assert all(c == -1 or got[c] == c for c in got.values())
-    dense = {p[0]: next((i for i, g in enumerate(groups) if cell(p) in g), None) for p in points}
-    for a, b in itertools.combinations([i for i, g in dense.items() if g is not None], 2):
-        assert (got[a] == got[b]) == (dense[a] == dense[b])
-    for p in points:
-        c = cell(p)
-        near = any(n in g for g in groups for n in [c, (c[0] + 1, c[1]), (c[0] - 1, c[1]), (c[0], c[1] + 1), (c[0], c[1] - 1)])
-        assert (got[p[0]] == -1) == (not near)
-
-
 def test_isolation_finds_outliers(spark):
     rng = np.random.default_rng(9)
     points = np.concatenate([rng.normal(size=(380, 2)), rng.choice([-1, 1], size=(20, 2)) * rng.uniform(9, 16, size=(20, 2))])
