@@ -12,6 +12,7 @@ only (``linkable``), not on the corpus; up to BROADCAST_PAIRS their counts are b
 
 from __future__ import annotations
 
+import hashlib
 import json
 import re
 from collections.abc import Iterator
@@ -27,12 +28,10 @@ from mortarline.llm.pieces import MARK, Encoder
 from mortarline.llm.text import bytes_of
 from mortarline.session import cut_lineage
 
-#: A byte-level token never crosses a single blank between two of these signs and letters, so texts are cut before it.
-BETWEEN = re.compile("(?<=[!-~¡-ɏ])(?= [!-~¡-ɏ])")
-#: Chunks of text whose ids a task remembers.
-REMEMBERED = 300_000
+#: Letters and signs that all versions of Unicode class alike: texts of these alone take the faster of two equal encoders.
+PLAIN = re.compile("[\t\n\r -~¡-ɏ‐-‧‰-⁞]*")
 #: Most pairs of counts that are broadcast (24 bytes each), and bytes of text treated at a time.
-BROADCAST_PAIRS, BLOCK_BYTES = 4_000_000, 2_000_000
+BROADCAST_PAIRS, BLOCK_BYTES = 4_000_000, 1_000_000
 
 
 def byte_letters() -> dict[str, int]:
@@ -101,6 +100,22 @@ def overlaps(a_starts: np.ndarray, a_ends: np.ndarray, b_starts: np.ndarray, b_e
     return np.repeat(np.arange(len(a_starts)), n), np.repeat(first - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))
 
 
+def ranked(content: str):
+    """An encoder by ranks that equals a byte-level JSON tokenizer, or None if its ids are not the order of its merges."""
+    import tiktoken
+    from public_tokenizers import PATTERN
+
+    spec = json.loads(content)
+    model, pre = spec["model"], spec.get("pre_tokenizer") or {}
+    known = pre.get("type") == "ByteLevel" and pre.get("use_regex") and not pre.get("add_prefix_space") and not spec.get("normalizer")
+    pairs = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
+    if not known or model.get("ignore_merges") or any(model["vocab"].get(a + b) != 256 + i for i, (a, b) in enumerate(pairs)):
+        return None
+    letters = byte_letters()
+    ranks = {bytes(letters[c] for c in token): i for token, i in model["vocab"].items() if i < 256 + len(pairs)}
+    return tiktoken.Encoding("by ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+
+
 class Aligner:
     """Both tokenizers of a task, and the alignment of blocks of texts."""
 
@@ -109,7 +124,7 @@ class Aligner:
 
         self.level = Tokenizer.from_str(level)
         self.level.encode_special_tokens = True
-        self.met: dict[str, list[int]] = {}
+        self.fast = ranked(level)
         self.pieces = Encoder(model)
         self.a, self.b = Vocabulary(bytes_of_level(level)), Vocabulary(bytes_of_pieces(model))
         most = max(len(self.a.lengths), len(self.b.lengths))
@@ -117,26 +132,18 @@ class Aligner:
         self.most, self.texts = most, [f"{i}{sep}" for sep in (",", "|", ";", "") for i in range(most)]
 
     def level_ids(self, texts: list[str]) -> list[np.ndarray]:
-        """The library's ids per text; each distinct chunk is encoded once and its ids are put back by position."""
-        cut = [BETWEEN.split(t) for t in texts]
-        table: dict[str, int] = {}
-        places = [np.fromiter((table.setdefault(c, len(table)) for c in chunks), np.int64, len(chunks)) for chunks in cut]
-        if len(self.met) > REMEMBERED:
-            self.met.clear()
-        fresh = [c for c in table if c not in self.met]
-        for i in range(0, len(fresh), 10_000):
-            part = fresh[i : i + 10_000]
-            for c, e in zip(part, self.level.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self.met[c] = e.ids
-        ids = [self.met[c] for c in table]
-        lengths = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter((i for x in ids for i in x), np.int64, int(lengths.sum()))
-        starts = np.cumsum(lengths) - lengths
-        out = []
-        for p in places:
-            n = lengths[p]
-            out.append(flat[np.repeat(starts[p] - (np.cumsum(n) - n), n) + np.arange(int(n.sum()))])
-        return out
+        """The byte-level tokenizer's ids per text."""
+        out: list = [None] * len(texts)
+        other = []
+        for i, t in enumerate(texts):
+            if self.fast and PLAIN.fullmatch(t):
+                out[i] = self.fast.encode_ordinary(t)
+            else:
+                other.append(i)
+        if other:
+            for i, e in zip(other, self.level.encode_batch_fast([texts[i] for i in other], add_special_tokens=False), strict=True):
+                out[i] = e.ids
+        return [np.array(x, np.int64) for x in out]
 
     def tokens(self, texts: list[bytes]) -> list[tuple[np.ndarray, np.ndarray]]:
         """Ids of A and B per text; none where the joined bytes of one of them are not space + text."""
@@ -193,6 +200,17 @@ class Aligner:
         }
 
 
+_made: dict[bytes, Aligner] = {}
+
+
+def aligner_of(level: str, model: bytes) -> Aligner:
+    """The worker's aligner of two tokenizers; a worker that serves several tasks keeps it."""
+    key = hashlib.sha256(level.encode() + model).digest()
+    if key not in _made:
+        _made[key] = Aligner(level, model)
+    return _made[key]
+
+
 def _lists(values: np.ndarray, counts: np.ndarray) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32()), pa.array(values, pa.int64()))
 
@@ -218,7 +236,7 @@ def align_tokens(docs: DataFrame, level_path: str, model_path: str, id_col: str
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        aligner, at = Aligner(level, model), TaskContext.get().partitionId() << 40
+        aligner, at = aligner_of(level, model), TaskContext.get().partitionId() << 40
         for batch in batches:
             texts = bytes_of(batch.column("text"))
             for part in text_blocks(texts, BLOCK_BYTES):

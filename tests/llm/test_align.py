@@ -120,12 +120,17 @@ def test_coalescing_and_overlaps_of_any_intervals():
         assert set(zip(x.tolist(), y.tolist(), strict=True)) == {(i, j) for i in range(8) for j in range(8) if sa[i] < eb[j] and sb[j] < ea[i]}
 
 
-def test_chunks_give_the_library_s_ids(libraries):
+def test_both_encoders_give_the_library_s_ids(libraries):
     with open(LEVEL, encoding="utf-8") as f, open(MODEL, "rb") as g:
         aligner = align.Aligner(f.read(), g.read())
     rng = random.Random(9)
+    assert aligner.fast is not None
     letters = "   \n\t\r'stmdrevlab1.,éÿ漢٣ ́\u180e\u200b\x1c\x85😀<|endoftext|>"
     texts = [" " + "".join(rng.choice(letters) for _ in range(rng.randrange(40))) for _ in range(20000)]
+    vocabulary = sorted(aligner.level.get_vocab())
+    plain = "   \n\t'stmdrevlab1.,éÿßœ–’ABCZ<|endoftext|>"
+    texts += [" " + "".join(rng.choice(plain) for _ in range(rng.randrange(60))) for _ in range(20000)]
+    texts += [" " + " ".join(t.strip() for t in rng.sample(vocabulary, 20)).replace("Ġ", " ") for _ in range(3000)]
     assert [x.tolist() for x in aligner.level_ids(texts)] == [e.ids for e in libraries[0].encode_batch(texts, add_special_tokens=False)]
 
 
