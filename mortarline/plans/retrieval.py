@@ -6,9 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from mortarline.operators import retrieval as R
+from mortarline.operators import vectorindex as V
 from mortarline.plans.adapters import table, view
 from mortarline.plans.quality import _CASES, _cases
-from mortarline.plans.registry import register
+from mortarline.plans.registry import check_of, register
+from mortarline.session import scratch_path
 
 SYSTEM = "Write the building specification as JSON."
 
@@ -69,6 +71,26 @@ def vector_topk(spark: SparkSession, sf: str) -> DataFrame:
     return R.vector_topk(_vectors(spark, sf), _centroids(spark, sf), 10)
 
 
+def _index(spark: SparkSession, sf: str) -> str:
+    """Folder of an index over all vectors, in the shared folder; the searches read its tables."""
+    path = scratch_path(spark, "vectors")
+    V.build_index(_vectors(spark, sf), path)
+    return path
+
+
+@register("vector_topk_index", check_of("vector_topk"))
+def vector_topk_index(spark: SparkSession, sf: str) -> DataFrame:
+    return V.search_index(spark, _index(spark, sf), _centroids(spark, sf), 10)
+
+
+@register("vector_recall")
+def vector_recall(spark: SparkSession, sf: str) -> DataFrame:
+    """Recall at 10 of a search that probes three lists in four, per vector of a benchmark item, against the exact search."""
+    path, asked = _index(spark, sf), _item_vectors(spark, sf)
+    lists = spark.read.parquet(f"{path}/lists").count()
+    return V.recall(V.search_index(spark, path, asked, 10, probes=-(-3 * lists // 4)), V.search_index(spark, path, asked, 10))
+
+
 _WORDS = "list_filter(regexp_split_to_array(lower(text), '[^\\p{L}\\p{N}]+'), lambda w: w <> '')"
 
 
