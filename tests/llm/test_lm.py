@@ -91,3 +91,30 @@ def test_a_table_with_itself_counts_every_row_once(spark):
     assert len(got) == 24 and all(r["n_known"] == r["n_tokens"] == 5 for r in got)
     want = {i: sum(math.log10((count[w] + 1) / (n + v + 1)) for w in [*t.split(), None]) for i, t, _ in rows}
     assert all(r["base_score"] == pytest.approx(want[r["id"]]) for r in got)
+
+
+def test_one_long_document_does_not_spoil_the_model(spark):
+    rng = np.random.default_rng(6)
+    follows = rng.integers(0, 40, (40, 2))
+
+    def text(n, noise):
+        out, w = [], int(rng.integers(40))
+        for _ in range(n):
+            out.append(f"w{w}")
+            w = int(rng.integers(40)) if rng.random() < noise else int(follows[w, rng.integers(2)])
+        return " ".join(out)
+
+    rows = [(i, text(60, 0.1), i % 7 != 2) for i in range(900)] + [(9000, text(20_000, 0.6), True)]
+    got = lm.score_documents(spark.createDataFrame(rows, "doc_id long, text string, train boolean").repartition(2)).where("NOT train").collect()
+    assert sum(r["score"] for r in got) > sum(r["base_score"] for r in got)
+
+
+def test_equal_rows_in_batches_of_their_own_stay_single(spark):
+    rng = np.random.default_rng(3)
+    words = [f"x{i}" for i in rng.integers(0, 5000, 3000)]
+    table = spark.createDataFrame([(1, " ".join(words), True), (2, "a b c", True)], "doc_id long, text string, train boolean")
+    many = table
+    for _ in range(4):
+        many = many.union(table)
+    got = lm.score_documents(many).collect()
+    assert len(got) == 10 and len({(r["id"], r["base_score"]) for r in got}) == 2
