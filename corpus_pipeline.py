@@ -21,9 +21,15 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the base rules and lie within their group's robust bound."""
-    kept = quality_rules(docs).where("kept").select(F.col("id").alias("_id")).distinct()
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["_id"]), "left_semi").select(*COLUMNS)
+    """Documents that pass the base rules and lie within their group's robust bound.
+
+    A verdict belongs to a row, named by its id, language, source and text, so rows without an id or of one id are
+    judged each on their own; rows equal in all of these share it.
+    """
+    text = F.struct(F.length("text"), F.xxhash64("text"), F.md5(F.col("text").cast("binary")))
+    rows = docs.select(*COLUMNS).withColumn("_row", F.struct("doc_id", "lang", "source", text.alias("text")))
+    kept = quality_rules(rows, id_col="_row").where("kept").select(F.col("id").alias("_id")).distinct()
+    return rows.join(kept, rows["_row"].eqNullSafe(kept["_id"]), "left_semi").select(*COLUMNS)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
