@@ -37,3 +37,13 @@ def test_stages(spark, tmp_path):
     empty = str(tmp_path / "none")
     docs.where("false").write.parquet(f"{empty}/documents.parquet")
     assert pipeline.run(spark, empty).count() == 0
+
+
+def test_verdicts_belong_to_rows(spark):
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("aeioustrnlm") for _ in range(rng.randrange(3, 9)))
+    good = [" ".join(word() for _ in range(60)) for _ in range(40)]
+    rows = [(None, t, "en", "s", 1) for t in good] + [(None, "junk", "en", "s", 1), (7, good[0] + " seven", "en", "s", 1), (7, "junk too", "en", "s", 1)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    kept = pipeline.quality(spark, docs, "").collect()
+    assert len(kept) == 41 and not any(r["text"].startswith("junk") for r in kept)
