@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType
 
 from mortarline.dims import DriftLimits
 from mortarline.functions.ranks import running_totals
@@ -57,8 +60,40 @@ def ks_pvalue(d: Column, n: Column, m: Column, terms: int = 40) -> Column:
     return F.when(x2 < 0.04, 1.0).otherwise(F.least(F.greatest(total, F.lit(0.0)), F.lit(1.0)))
 
 
+#: Cells of the lattice up to which p-values are exact; the series is right to a few digits long before.
+EXACT_CELLS = 4_000_000
+
+
+def exact_tail(d: float, n: int, m: int) -> float:
+    """Chance that two samples of ``n`` and ``m`` rows without ties are at least ``d`` apart, counted over lattice paths.
+
+    A path from (0, 0) to (n, m) is an order of the rows.  The share of paths to a point that stay in the band |i/n - j/m| < d
+    follows from its two predecessors, weighted by the shares of paths that come from them; diagonals are taken as a whole.
+    """
+    if not n or not m:
+        return float("nan")
+    reach = round(d * n * m) - 0.5  # in units of 1 / (n m) the band ends between two whole numbers
+    inside = np.zeros(n + 1)
+    inside[0] = 1.0
+    for step in range(1, n + m + 1):
+        i = np.arange(max(0, step - m), min(n, step) + 1)
+        j = step - i
+        from_left = np.where(i > 0, inside[np.maximum(i - 1, 0)], 0.0) * i
+        from_below = np.where(j > 0, inside[i], 0.0) * j
+        new = (from_left + from_below) / step
+        new[np.abs(i * m - j * n) > reach] = 0.0
+        inside = np.zeros(n + 1)
+        inside[i] = new
+    return float(min(1.0, max(0.0, 1.0 - inside[n])))
+
+
+@F.pandas_udf(DoubleType())
+def _exact(d: pd.Series, n: pd.Series, m: pd.Series) -> pd.Series:
+    return pd.Series([exact_tail(x, int(a), int(b)) if a * b <= EXACT_CELLS else None for x, a, b in zip(d, n, m, strict=True)], dtype="float64")
+
+
 def ks_two_sample(base: DataFrame, inf: DataFrame, features: Sequence[str]) -> DataFrame:
-    """Two-sample Kolmogorov-Smirnov statistic and asymptotic p-value per feature.
+    """Two-sample Kolmogorov-Smirnov statistic and p-value per feature, exact up to EXACT_CELLS (rows times rows).
 
     Values are pre-aggregated to one row per (feature, value) before any ordering,
     and the running sums are split by value bin, so no feature is sorted in one task.
@@ -75,10 +110,10 @@ def ks_two_sample(base: DataFrame, inf: DataFrame, features: Sequence[str]) -> D
     out = steps.groupBy("feature").agg(
         F.max(gap).alias("ks_statistic"), F.first("all_a").alias("n"), F.first("all_b").alias("m")
     )
-    return out.select(
-        "feature",
-        "ks_statistic",
-        ks_pvalue(F.col("ks_statistic"), F.col("n").cast("double"), F.col("m").cast("double")).alias("ks_pvalue"),
+    # one row per feature from here on
+    n, m = F.col("n").cast("double"), F.col("m").cast("double")
+    return out.withColumn("_exact", _exact(F.coalesce("ks_statistic", F.lit(0.0)), F.coalesce(n, F.lit(0.0)), F.coalesce(m, F.lit(0.0)))).select(
+        "feature", "ks_statistic", F.when(n * m <= EXACT_CELLS, F.nanvl("_exact", F.lit(None))).otherwise(ks_pvalue(F.col("ks_statistic"), n, m)).alias("ks_pvalue"),
     )
 
 

@@ -92,27 +92,24 @@ def winner(summary: DataFrame, score: str, tie: str = "combo_no") -> DataFrame:
     return summary.orderBy(F.desc(score), tie).limit(1)
 
 
-def pareto_front(candidates: DataFrame, quality: str, price: str, salts: int = 64) -> DataFrame:
+def pareto_front(candidates: DataFrame, quality: str, price: str) -> DataFrame:
     """Candidates no other candidate beats: as good and as cheap with one strictly better.
 
-    Sorted by price (best quality first), a point survives if it is better than all
-    before it.  Each hash slice keeps its own front first; a point beaten inside its
-    slice is beaten overall, so the final ordered pass sees only slice fronts.
-    Equal points stand or fall together and all come back in the last join.
+    In the order of prices a point survives if it is better than all cheaper ones: a prefix maximum in two steps.  The best
+    point of each price goes to partitions by ranges of prices, which are written once; the largest quality of each
+    partition (one small row in all) says what every later partition has to exceed, and the running maximum is taken
+    inside partitions over the points that do.  So no task orders more than its range.  Equal points stand or fall together and all
+    come back in the last join; candidates with a null quality or price are left out.
     """
-    points = candidates.where(F.col(quality).isNotNull() & F.col(price).isNotNull()).groupBy(price, quality).agg(
-        F.pmod(F.xxhash64(price, quality), F.lit(salts)).alias("_salt")
-    )
-
-    def front(df: DataFrame, *parts: str) -> DataFrame:
-        before = (
-            Window.partitionBy(*parts).orderBy(F.asc(price), F.desc(quality))
-            .rowsBetween(Window.unboundedPreceding, -1)
-        )
-        best = df.withColumn("_best", F.max(quality).over(before))
-        return best.where(F.col("_best").isNull() | (F.col(quality) > F.col("_best"))).drop("_best")
-
-    keep = front(front(points, "_salt")).select(price, quality)
+    points = candidates.where(F.col(quality).isNotNull() & F.col(price).isNotNull()).groupBy(price).agg(F.max(quality).alias(quality))
+    placed = cut_lineage(points.repartitionByRange(price).withColumn("_part", F.spark_partition_id()))
+    tops = placed.groupBy("_part").agg(F.max(quality).alias("_q")).agg(F.collect_list(F.struct("_part", "_q")).alias("_tops"))
+    cheaper = F.array_max(F.transform(F.filter("_tops", lambda t: t["_part"] < F.col("_part")), lambda t: t["_q"]))
+    open_ = placed.crossJoin(F.broadcast(tops)).withColumn("_floor", cheaper).drop("_tops")
+    open_ = open_.where(F.col("_floor").isNull() | (F.col(quality) > F.col("_floor")))
+    before = Window.partitionBy("_part").orderBy(price).rowsBetween(Window.unboundedPreceding, -1)
+    best = open_.withColumn("_best", F.max(quality).over(before))
+    keep = best.where(F.col("_best").isNull() | (F.col(quality) > F.col("_best"))).select(price, quality)
     return candidates.join(keep, [price, quality], "left_semi")
 
 

@@ -118,9 +118,30 @@ def js_by_feature(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(div.select("feature", "js_divergence"), "js_divergence")
 
 
-@register("ks_by_feature", f"{_BASE}, {_KS} SELECT feature, round(ks_statistic, 6) AS ks_statistic FROM ks")
+_SERIES = " + ".join(f"{2 if j % 2 else -2} * exp({-2 * j * j} * x2)" for j in range(1, 41))
+
+
+@register(
+    "ks_by_feature",
+    f"""{_BASE}, {_KS}, nb AS (SELECT feature, count(*) AS n FROM base_long GROUP BY 1), ni AS (SELECT feature, count(*) AS m FROM inf_long GROUP BY 1),
+    x AS (SELECT feature, ks_statistic, ks_statistic * ks_statistic * n * m / (n + m) AS x2 FROM ks JOIN nb USING (feature) JOIN ni USING (feature))
+    SELECT feature, round(ks_statistic, 6) AS ks_statistic,
+      round(CASE WHEN x2 < 4e-2 THEN 1 ELSE least(greatest({_SERIES}, 0), 1) END, 6) AS ks_pvalue FROM x""",
+)
 def ks_by_feature(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(X.ks_two_sample(*_sides(spark, sf), NUMERIC).select("feature", "ks_statistic"), "ks_statistic")
+    return rounded(X.ks_two_sample(*_sides(spark, sf), NUMERIC), "ks_statistic", "ks_pvalue")
+
+
+@register("ks_between_languages")
+def ks_between_languages(spark: SparkSession, sf: str) -> DataFrame:
+    """Exact p-values where samples are small: mean vector entries of even and odd labels, per language of the row's document."""
+    docs = table(spark, sf, "documents").select("doc_id", "lang")
+    rows = table(spark, sf, "embeddings").join(docs, F.col("vec_id") == F.col("doc_id"))
+    mean = F.aggregate("embedding", F.lit(0.0), lambda a, v: a + v.cast("double")) / F.size("embedding")
+    langs = ["de", "en", "es", "fr"]
+    wide = rows.select("label", *[F.when(F.col("lang") == code, mean).alias(code) for code in langs])
+    out = X.ks_two_sample(wide.where("label % 2 = 0"), wide.where("label % 2 = 1"), langs)
+    return rounded(out, "ks_statistic", "ks_pvalue")
 
 
 @register(

@@ -1,3 +1,5 @@
+from itertools import combinations
+
 import numpy as np
 import pytest
 
@@ -60,7 +62,8 @@ def test_ks(spark, a, b, want):
     assert 0 <= row["ks_pvalue"] <= 1
 
 
-def test_ks_random(spark):
+def test_ks_random(spark, monkeypatch):
+    monkeypatch.setattr(X, "EXACT_CELLS", 0)  # the series is used
     rng = np.random.default_rng(1)
     a, b = rng.normal(size=400).round(2), rng.normal(0.3, 1.2, size=300).round(2)
     grid = np.union1d(a, b)
@@ -86,3 +89,21 @@ def test_few_rows_are_skipped(spark):
 def test_hot_value(spark):
     base = table(spark, [7.0] * 400 + list(range(200)))
     assert X.ks_two_sample(base, base, ["f"]).collect()[0]["ks_statistic"] == 0.0
+
+
+def test_exact_p_value_counts_all_orders(spark):
+    for n, m in ((3, 4), (5, 5), (2, 7), (1, 1)):
+        seen = []
+        for places in combinations(range(n + m), n):
+            side = np.zeros(n + m)
+            side[list(places)] = 1
+            seen.append(np.abs(np.cumsum(side) / n - np.cumsum(1 - side) / m).max())
+        for d in sorted(set(seen)):
+            assert X.exact_tail(d, n, m) == pytest.approx(np.mean([s >= d - 1e-12 for s in seen]), abs=1e-12)
+    # the series comes near it for larger samples
+    rng = np.random.default_rng(3)
+    base, inf = rng.normal(size=900), rng.normal(0.06, 1, size=800)
+    row = X.ks_two_sample(table(spark, base), table(spark, inf), ["f"]).first()
+    x2 = row["ks_statistic"] ** 2 * 900 * 800 / 1700
+    assert row["ks_pvalue"] == pytest.approx(sum(2 * (-1) ** (j - 1) * np.exp(-2 * j * j * x2) for j in range(1, 40)), abs=0.02)
+    assert X.exact_tail(0.0, 5, 5) == 1.0

@@ -132,7 +132,7 @@ def test_pareto_brute_force(spark):
         if not any(q2 >= q and c2 <= c and (q2 > q or c2 < c) for _, c2, q2 in points)
     }
     df = spark.createDataFrame(points, "i int, cost double, quality double")
-    assert {r["i"] for r in G.pareto_front(df, "quality", "cost", salts=7).collect()} == keep
+    assert {r["i"] for r in G.pareto_front(df.repartition(7), "quality", "cost").collect()} == keep
     assert G.pareto_front(df.limit(1), "quality", "cost").count() == 1
 
 
@@ -339,3 +339,14 @@ def test_promote(spark, parts, share, want):
     targets = spark.createDataFrame([("e", "a", share)], "endpoint string, deployment string, share int")
     got = {r["deployment"]: r["percent"] for r in O.promote(traffic, targets).collect()}
     assert got == want
+
+
+def test_pareto_front_needs_no_single_task(spark):
+    # correlated: no point beats another, so the whole table is its front
+    df = spark.range(200_000).select((F.col("id") * 3 % 200_000).cast("double").alias("cost")).withColumn("quality", F.col("cost") * 2)
+    front = G.pareto_front(df, "quality", "cost")
+    assert front.count() == 200_000
+    rows = [(1.0, 5.0), (1.0, 5.0), (2.0, 5.0), (None, 9.0), (0.5, None), (3.0, 6.0), (3.0, 4.0)]
+    odd = spark.createDataFrame(rows, "cost double, quality double")
+    assert sorted(tuple(r) for r in G.pareto_front(odd, "quality", "cost").collect()) == [(1.0, 5.0), (1.0, 5.0), (3.0, 6.0)]
+    assert G.pareto_front(odd.where("false"), "quality", "cost").count() == 0
