@@ -31,7 +31,7 @@ from mortarline.session import cut_lineage
 #: Letters and signs that all versions of Unicode class alike: texts of these alone take the faster of two equal encoders.
 PLAIN = re.compile("[\t\n\r -~¡-ɏ‐-‧‰-⁞]*")
 #: Most pairs of counts that are broadcast (24 bytes each), and bytes of text treated at a time.
-BROADCAST_PAIRS, BLOCK_BYTES = 4_000_000, 1_000_000
+BROADCAST_PAIRS, BLOCK_BYTES = 4_000_000, 400_000
 
 
 def byte_letters() -> dict[str, int]:
@@ -120,10 +120,7 @@ class Aligner:
     """Both tokenizers of a task, and the alignment of blocks of texts."""
 
     def __init__(self, level: str, model: bytes):
-        from tokenizers import Tokenizer
-
-        self.level = Tokenizer.from_str(level)
-        self.level.encode_special_tokens = True
+        self.content, self.made = level, None
         self.fast = ranked(level)
         self.pieces = Encoder(model)
         self.a, self.b = Vocabulary(bytes_of_level(level)), Vocabulary(bytes_of_pieces(model))
@@ -131,6 +128,16 @@ class Aligner:
         # a token's text by what follows it: the same side, the other side, the next group, nothing
         self.most, self.texts = most, [f"{i}{sep}" for sep in (",", "|", ";", "") for i in range(most)]
 
+    @property
+    def level(self):
+        """The byte-level tokenizer, made when a text needs it."""
+        if self.made is None:
+            from tokenizers import Tokenizer
+
+            self.made = Tokenizer.from_str(self.content)
+            self.made.encode_special_tokens = True
+        return self.made
+
     def level_ids(self, texts: list[str]) -> list[np.ndarray]:
         """The byte-level tokenizer's ids per text."""
         out: list = [None] * len(texts)
