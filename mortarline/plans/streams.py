@@ -10,6 +10,7 @@ from mortarline.plans.adapters import ADAPTERS, _tables, ctes, table, view
 from mortarline.plans.drift import NUMERIC, rounded
 from mortarline.plans.registry import check_of, register
 from mortarline.plans.telemetry import _BAD, with_dims
+from mortarline.session import scratch_path
 from mortarline.streaming import monitors as S
 
 
@@ -134,6 +135,28 @@ def stream_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return S.run_available(unique.select("event_id", "event_type", "value"), mode="append")
 
 
+_FILES = 3
+
+
+@register(
+    "stream_late",
+    f"""WITH f AS (SELECT event_id % {_FILES} AS b, event_type, ts FROM events), m AS (SELECT b, max(ts) AS newest FROM f GROUP BY 1),
+    l AS (SELECT f.*, (SELECT max(newest) FROM m WHERE m.b < f.b) - INTERVAL 7 DAYS AS least FROM f)
+    SELECT date_trunc('day', ts) AS window_start, event_type, count(*) FILTER (coalesce(ts >= least, true)) AS kept,
+      count(*) FILTER (ts < least) AS late, count(*) AS corrected FROM l GROUP BY 1, 2""",
+)
+def stream_late(spark: SparkSession, sf: str) -> DataFrame:
+    """Events that arrive in three files, each over the whole time, of which a week back is in time."""
+    home = scratch_path(spark, "late")
+    events = table(spark, sf, "events").select("event_id", "event_type", F.col("ts").cast("timestamp").alias("ts"))
+    for part in range(_FILES):
+        # one after the other, as a stream takes files by their age
+        events.where(F.col("event_id") % _FILES == part).coalesce(1).write.mode("append").parquet(f"{home}/in")
+    stream = spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{home}/in")
+    windows, _ = S.count_with_late(stream, home, width="1 day", lateness="7 days", keys=["event_type"])
+    return _naive(windows)
+
+
 @register("stream_drift", check_of("weekly_drift"))
 def stream_drift(spark: SparkSession, sf: str) -> DataFrame:
     lines = S.read_files(spark, sf, "lineitem.parquet", table(spark, sf, "lineitem").schema)

@@ -169,3 +169,47 @@ def drift_stream(
     edges, reference = X.baseline_bins(base, features)
     counts = X.window_counts(captured.withWatermark("ts", late), edges, features, width=width)
     return X.counts_drift(run_available(counts, ["window_start", "feature", "bin"]), reference)
+
+
+def count_with_late(
+    events: DataFrame, home: str, width: str = "1 day", lateness: str = LATENESS, keys: Sequence[str] = ()
+) -> tuple[DataFrame, DataFrame]:
+    """(windows, late rows) of a stream whose late rows are kept aside instead of vanishing.
+
+    A row is late if its ``ts`` is more than ``lateness`` before the newest of all earlier micro-batches, which is what a watermark
+    drops.  Every micro-batch writes, below ``home`` in a folder of its own that a repeated batch overwrites, the counts of
+    its timely rows per window and ``keys``, its late rows, and its newest ``ts``.  The windows are (window_start, keys, kept, late, corrected):
+    what the stream counted in time, what came late, and the sum, which a correction pass may publish.  Called again with the same
+    ``home``, the stream goes on where it stopped.  Rows without ``ts`` belong to no window and are late.
+    """
+    spark = events.sparkSession
+    rows = StructType(events.schema.fields)
+    groups = [F.window("ts", width).getField("start").alias("window_start"), *keys]
+    counted = StructType.fromDDL(", ".join(["window_start timestamp", *[f"`{k}` {rows[k].dataType.simpleString()}" for k in keys], "n bigint", "batch bigint"]))
+
+    def stored(name: str, schema: StructType) -> DataFrame:
+        return spark.read.schema(schema).option("ignoreMissingFiles", True).parquet(f"{home}/{name}")
+
+    seen_schema = StructType.fromDDL("newest timestamp, batch bigint")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        put = lambda df, name: df.write.mode("overwrite").parquet(f"{home}/{name}/batch={batch_id}")
+        newest = stored("seen", seen_schema).where(F.col("batch") < batch_id).agg(F.max("newest")).first()[0] if batch_id else None
+        limit = F.lit(newest).cast("timestamp") - F.expr(f"INTERVAL {lateness}")
+        late = F.col("ts").isNull() | F.coalesce(F.col("ts") < limit, F.lit(False))
+        put(batch.where(late), "late")
+        put(batch.where(~late).groupBy(*groups).agg(F.count(F.lit(1)).alias("n")), "kept")
+        # written last: a batch that failed before has told later ones nothing
+        put(batch.agg(F.max("ts").alias("newest")), "seen")
+
+    query = (
+        events.writeStream.option("checkpointLocation", f"{home}/checkpoint").trigger(availableNow=True).foreachBatch(write).start()
+    )
+    query.awaitTermination()
+    late = stored("late", StructType([*rows.fields, *StructType.fromDDL("batch bigint").fields]))
+    names = ["window_start", *keys]
+    kept = stored("kept", counted).select(*names, F.col("n").alias("kept"), F.lit(0).cast("long").alias("late"))
+    missed = late.where("ts IS NOT NULL").groupBy(*groups).agg(F.count(F.lit(1)).alias("late"))
+    both = kept.unionByName(missed.select(*names, F.lit(0).cast("long").alias("kept"), "late"))
+    windows = both.groupBy(*names).agg(F.sum("kept").alias("kept"), F.sum("late").alias("late"))
+    return windows.withColumn("corrected", F.col("kept") + F.col("late")), late
