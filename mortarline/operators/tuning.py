@@ -30,7 +30,7 @@ DIGITS = 6
 #: Slots of a hashed vector.
 SLOTS = 64
 #: Terms of documents, and cases, that meet in one task.
-BLOCK_TERMS, BLOCK_CASES = 400_000, 256
+BLOCK_TERMS, BLOCK_CASES = 150_000, 256
 #: Rows of a table that is broadcast; larger ones are joined by a shuffle.
 BROADCAST_ROWS = 200_000
 #: Weight of each measured score in the composite.
@@ -103,17 +103,24 @@ def chunk_frequencies(postings: DataFrame, chunkings: Sequence[tuple[int, int]])
     """Rows (term, n0, n1, ...): in how many chunks of each chunking a term occurs; counted per batch before the shuffle."""
     names = [f"n{i}" for i in range(len(chunkings))]
 
+    def counted(part: pa.RecordBatch) -> pa.RecordBatch:
+        block = Block(part.column("n_tokens").to_numpy(), part.column("terms"), part.column("places"))
+        counts, n = [], len(block.words) or 1
+        for size, overlap in chunkings:
+            chunk, which = block.spread(size, overlap)
+            counts.append(np.bincount(np.unique(chunk * n + block.term[which]) % n, minlength=len(block.words)))
+        return pa.RecordBatch.from_arrays([pa.array(block.words, pa.string()), *[pa.array(c, pa.int64()) for c in counts]], ["term", *names])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            block = Block(*(batch.column(c) if c != "n_tokens" else batch.column(c).to_numpy() for c in ("n_tokens", "terms", "places")))
-            counts = []
-            for size, overlap in chunkings:
-                chunk, which = block.spread(size, overlap)
-                held = np.unique(chunk * (len(block.words) or 1) + block.term[which])
-                counts.append(np.bincount(held % (len(block.words) or 1), minlength=len(block.words)))
-            yield pa.RecordBatch.from_arrays([pa.array(block.words, pa.string()), *[pa.array(c, pa.int64()) for c in counts]], ["term", *names])
+            # a few documents at a time, so that a task holds some BLOCK_TERMS terms whatever the size of its batches
+            upto = np.cumsum(batch.column("terms").value_lengths().to_numpy(zero_copy_only=False))
+            begin = 0
+            while begin < batch.num_rows:
+                before = upto[begin - 1] if begin else 0
+                end = max(begin + 1, int(np.searchsorted(upto, before + BLOCK_TERMS, "right")))
+                yield counted(batch.slice(begin, end - begin))
+                begin = end
 
     partial = postings.select("n_tokens", "terms", "places").mapInArrow(run, "term string, " + ", ".join(f"{n} bigint" for n in names))
     return partial.groupBy("term").agg(*[F.sum(n).alias(n) for n in names])
