@@ -12,6 +12,7 @@ from mortarline.plans.registry import check_of, register
 from mortarline.plans.telemetry import _BAD, with_dims
 from mortarline.session import scratch_path
 from mortarline.streaming import monitors as S
+from mortarline.streaming.canary import run_canary
 
 
 def _stream(spark: SparkSession, sf: str, adapter: str) -> DataFrame:
@@ -82,6 +83,21 @@ def stream_canary(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(_naive(S.run_available(health, ["window_start", "deployment"])), "p95_ms", "success_rate")
 
 
+@register(
+    "stream_rollout",
+    f"""{ctes('requests')}, w AS (SELECT {_bucket('5 MINUTES')} AS s, deployment, coalesce(quantile_disc(duration, 0.95) < 2000
+        AND avg(CASE WHEN success THEN 1e0 ELSE 0e0 END) > 99e-2, false) AS healthy FROM requests GROUP BY 1, 2),
+    r AS (SELECT *, row_number() OVER (PARTITION BY deployment ORDER BY s) AS i FROM w),
+    f AS (SELECT deployment, coalesce(min(i) FILTER (NOT healthy), 4) AS bad FROM r GROUP BY 1)
+    SELECT r.deployment, CASE WHEN bad <= 3 THEN 'rollback' ELSE 'promote' END AS verdict,
+      CASE WHEN bad <= 3 THEN 'bad window' ELSE 'healthy windows' END AS reason, s + INTERVAL 5 MINUTES AS decided_at, i AS windows
+    FROM r JOIN f ON r.deployment = f.deployment AND i = least(bad, 3)""",
+)
+def stream_rollout(spark: SparkSession, sf: str) -> DataFrame:
+    verdicts = run_canary(_event_time(_stream(spark, sf, "requests")), scratch_path(spark, "rollout"), needed=3)
+    return verdicts.withColumn("decided_at", F.col("decided_at").cast("timestamp_ntz"))
+
+
 @register(
     "stream_daily_latency",
     f"""{ctes('requests')} SELECT date_trunc('day', ts) AS window_start, prompt_version, count(*) AS request_count, round(avg(duration), 6) AS avg_duration_ms,
