@@ -11,6 +11,7 @@ from mortarline.plans.adapters import table, view
 from mortarline.plans.quality import _CASES, _cases
 from mortarline.plans.registry import check_of, register
 from mortarline.session import scratch_path
+from mortarline.sources.buckets import read_buckets, upsert_buckets
 
 SYSTEM = "Write the building specification as JSON."
 
@@ -202,10 +203,24 @@ def finetune_filtered(spark: SparkSession, sf: str) -> DataFrame:
     FROM documents FULL JOIN pages ON page_id = doc_id""",
 )
 def index_upsert(spark: SparkSession, sf: str) -> DataFrame:
+    return R.upsert(*_versions(spark, sf), "id", "version")
+
+
+@register("index_upsert_buckets", check_of("index_upsert"))
+def index_upsert_buckets(spark: SparkSession, sf: str) -> DataFrame:
+    """The same merge into a bucketed table, of which only the buckets with changed keys are written anew."""
+    current, changes = _versions(spark, sf)
+    path = scratch_path(spark, "buckets")
+    upsert_buckets(current, path, "id", "version")
+    upsert_buckets(changes, path, "id", "version")
+    return read_buckets(spark, path, current)
+
+
+def _versions(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     current = table(spark, sf, "documents").select(
         F.col("doc_id").alias("id"), F.col("source").alias("title"), F.md5(F.col("text").cast("binary")).alias("digest"), F.lit(1).alias("version")
     )
     changes = table(spark, sf, "pages").select(
         F.col("page_id").alias("id"), F.col("url").alias("title"), F.md5(F.col("html").cast("binary")).alias("digest"), F.lit(2).alias("version")
     )
-    return R.upsert(current, changes, "id", "version")
+    return current, changes
