@@ -101,46 +101,53 @@ def stream_rollout(spark: SparkSession, sf: str) -> DataFrame:
 @register(
     "stream_daily_latency",
     f"""{ctes('requests')} SELECT date_trunc('day', ts) AS window_start, prompt_version, count(*) AS request_count, round(avg(duration), 6) AS avg_duration_ms,
-      round(quantile_disc(duration, 0.95), 6) AS p95_duration_ms FROM requests
+      round(quantile_disc(duration, 0.5), 6) AS p50_duration_ms, round(quantile_disc(duration, 0.95), 6) AS p95_duration_ms,
+      round(quantile_disc(duration, 0.99), 6) AS p99_duration_ms FROM requests
     WHERE (lower(name) LIKE 'generate_spec%' OR lower(name) LIKE 'rag_pipeline%') AND coalesce(prompt_version, '') <> '' GROUP BY 1, 2""",
 )
 def stream_daily_latency(spark: SparkSession, sf: str) -> DataFrame:
     requests = with_dims(_event_time(_stream(spark, sf, "requests")), "prompt_version")
     daily = S.daily_latency(requests, ["generate_spec", "rag_pipeline"])
     out = _naive(S.run_available(daily, ["window_start", "prompt_version"]))
-    return rounded(out, "avg_duration_ms", "p95_duration_ms")
+    return rounded(out, "avg_duration_ms", "p50_duration_ms", "p95_duration_ms", "p99_duration_ms")
 
 
 @register(
     "stream_daily_pass_rate",
     f"""{ctes('quality_metrics')}, g(metric, gate) AS (VALUES ('groundedness', 7e-1), ('relevance', 75e-2), ('coherence', 8e-1), ('fluency', 85e-2), ('buildability', 7e-1))
-    SELECT date_trunc('day', ts) AS window_start, metric, count(*) AS total_evals, count(*) FILTER (value >= gate) AS passed_count
-    FROM quality_metrics JOIN g ON name = metric GROUP BY 1, 2""",
+    SELECT date_trunc('day', ts) AS window_start, metric, coalesce(prompt_version, '') AS prompt_version, count(*) AS total_evals,
+      count(*) FILTER (value >= gate) AS passed_count, round(100e0 * count(*) FILTER (value >= gate) / count(*), 1) AS pass_rate, round(avg(value), 3) AS avg_score
+    FROM quality_metrics JOIN g ON name = metric GROUP BY 1, 2, 3""",
 )
 def stream_daily_pass_rate(spark: SparkSession, sf: str) -> DataFrame:
-    daily = S.daily_pass_rate(_event_time(_stream(spark, sf, "quality_metrics")))
-    return _naive(S.run_available(daily, ["window_start", "metric"]))
+    daily = S.daily_pass_rate(with_dims(_event_time(_stream(spark, sf, "quality_metrics")), "prompt_version"))
+    return _naive(S.run_available(daily, ["window_start", "metric", "prompt_version"]))
 
 
 @register(
     "stream_daily_errors",
-    f"""{ctes('exceptions')} SELECT date_trunc('day', ts) AS window_start, coalesce(nullif(type, ''), 'UnknownError') AS error_type, count(*) AS error_count
-    FROM exceptions GROUP BY 1, 2""",
+    f"""{ctes('requests', 'exceptions')}, t AS (SELECT date_trunc('day', ts) AS d, count(*) AS total FROM requests GROUP BY 1),
+    e AS (SELECT date_trunc('day', ts) AS window_start, coalesce(nullif(type, ''), 'UnknownError') AS error_type, coalesce(prompt_version, '') AS prompt_version,
+      count(*) AS error_count FROM exceptions GROUP BY 1, 2, 3)
+    SELECT e.*, coalesce(total, 0) AS total_requests, round(100e0 * error_count / coalesce(total, 1), 2) AS error_rate_pct FROM e LEFT JOIN t ON d = window_start""",
 )
 def stream_daily_errors(spark: SparkSession, sf: str) -> DataFrame:
-    daily = S.daily_errors(_event_time(_stream(spark, sf, "exceptions")))
-    return _naive(S.run_available(daily, ["window_start", "error_type"]))
+    daily = S.daily_errors(with_dims(_event_time(_stream(spark, sf, "exceptions")), "prompt_version"))
+    errors = S.run_available(daily, ["window_start", "error_type", "prompt_version"])
+    totals = S.run_available(S.daily_totals(_event_time(_stream(spark, sf, "requests"))), ["window_start"])
+    return _naive(S.error_rates(errors, totals))
 
 
 @register(
     "stream_daily_tokens",
-    f"""{ctes('token_metrics')} SELECT date_trunc('day', ts) AS window_start, model_version, coalesce(sum(value) FILTER (name = 'input_tokens'), 0) AS input_tokens,
-      coalesce(sum(value) FILTER (name = 'output_tokens'), 0) AS output_tokens, round(coalesce(sum(value) FILTER (name = 'estimated_cost_usd'), 0), 6) AS estimated_cost_usd
-    FROM token_metrics WHERE name <> 'queue_depth' GROUP BY 1, 2""",
+    f"""{ctes('token_metrics')}, s AS (SELECT date_trunc('day', ts) AS window_start, coalesce(prompt_version, '') AS prompt_version, model_version,
+      coalesce(sum(value) FILTER (name = 'input_tokens'), 0) AS input_tokens, coalesce(sum(value) FILTER (name = 'output_tokens'), 0) AS output_tokens,
+      round(coalesce(sum(value) FILTER (name = 'estimated_cost_usd'), 0), 6) AS estimated_cost_usd FROM token_metrics WHERE name <> 'queue_depth' GROUP BY 1, 2, 3)
+    SELECT *, input_tokens + output_tokens AS total_tokens FROM s""",
 )
 def stream_daily_tokens(spark: SparkSession, sf: str) -> DataFrame:
-    daily = S.daily_tokens(_event_time(_stream(spark, sf, "token_metrics")))
-    return rounded(_naive(S.run_available(daily, ["window_start", "model_version"])), "estimated_cost_usd")
+    daily = S.daily_tokens(with_dims(_event_time(_stream(spark, sf, "token_metrics")), "prompt_version", "model_version"))
+    return rounded(_naive(S.run_available(daily, ["window_start", "prompt_version", "model_version"])), "estimated_cost_usd")
 
 
 @register("stream_dedup", "SELECT event_id, event_type, value FROM events")

@@ -71,7 +71,7 @@ def canary_windows(requests: DataFrame, width: str = "5 minutes", accuracy: int
 
 
 def daily_latency(requests: DataFrame, prefixes: Sequence[str], accuracy: int = 10000) -> DataFrame:
-    """Incremental form of the latency dashboard."""
+    """Incremental form of the latency dashboard; percentiles are approximate, with a rank error of a row in ``accuracy``."""
     rows = requests.where(starts_with_any(F.col("name"), prefixes)).where(not_empty(dimension("prompt_version")))
     rows = rows.withColumn("prompt_version", dimension("prompt_version"))
     return (
@@ -79,41 +79,61 @@ def daily_latency(requests: DataFrame, prefixes: Sequence[str], accuracy: int =
         .agg(
             F.count(F.lit(1)).alias("request_count"),
             F.avg("duration").alias("avg_duration_ms"),
-            F.percentile_approx("duration", 0.95, accuracy).alias("p95_duration_ms"),
+            F.percentile_approx("duration", [0.5, 0.95, 0.99], accuracy).alias("p"),
+        )
+        .select(
+            _start(), "prompt_version", "request_count", "avg_duration_ms",
+            *[F.element_at("p", i + 1).alias(f"p{n}_duration_ms") for i, n in enumerate((50, 95, 99))],
         )
-        .select(_start(), "prompt_version", "request_count", "avg_duration_ms", "p95_duration_ms")
     )
 
 
 def daily_pass_rate(metrics: DataFrame, gates: Mapping[str, float] = D.DASHBOARD_GATES) -> DataFrame:
-    """Incremental form of the quality dashboard: evaluations and passes per metric and day."""
+    """Incremental form of the quality dashboard: evaluations, passes, their rate and the mean per metric, version and day."""
     passed = F.lit(False)
     for name, gate in gates.items():
         passed = passed | ((F.col("name") == name) & (F.col("value") >= gate))
     return (
-        _windowed(metrics.where(F.col("name").isin(list(gates))), "1 day", "name")
-        .agg(F.count(F.lit(1)).alias("total_evals"), F.count_if(passed).alias("passed_count"))
-        .select(_start(), F.col("name").alias("metric"), "total_evals", "passed_count")
+        _windowed(metrics.where(F.col("name").isin(list(gates))), "1 day", "name", dimension("prompt_version").alias("prompt_version"))
+        .agg(F.count(F.lit(1)).alias("total_evals"), F.count_if(passed).alias("passed_count"), F.avg("value").alias("avg_score"))
+        .select(
+            _start(), F.col("name").alias("metric"), "prompt_version", "total_evals", "passed_count",
+            F.round(F.lit(100.0) * F.col("passed_count") / F.col("total_evals"), 1).alias("pass_rate"), F.round("avg_score", 3).alias("avg_score"),
+        )
     )
 
 
 def daily_errors(exceptions: DataFrame) -> DataFrame:
-    """Incremental form of the error dashboard: errors per type and day."""
+    """Incremental form of the error dashboard: errors per type, version and day; ``error_rates`` sets them against ``daily_totals``."""
     kind = F.coalesce(F.when(F.col("type") != "", F.col("type")), F.lit("UnknownError"))
     return (
-        _windowed(exceptions.withColumn("error_type", kind), "1 day", "error_type")
+        _windowed(exceptions.withColumn("error_type", kind), "1 day", "error_type", dimension("prompt_version").alias("prompt_version"))
         .agg(F.count(F.lit(1)).alias("error_count"))
-        .select(_start(), "error_type", "error_count")
+        .select(_start(), "error_type", "prompt_version", "error_count")
+    )
+
+
+def daily_totals(requests: DataFrame) -> DataFrame:
+    """Requests per day, the other side of the error dashboard."""
+    return _windowed(requests, "1 day").agg(F.count(F.lit(1)).alias("total_requests")).select(_start(), "total_requests")
+
+
+def error_rates(errors: DataFrame, totals: DataFrame) -> DataFrame:
+    """The error dashboard from the current tables of its two streams; days without requests count one."""
+    total = F.coalesce("total_requests", F.lit(1))
+    return errors.join(totals, "window_start", "left").select(
+        "window_start", "error_type", "prompt_version", "error_count", F.coalesce("total_requests", F.lit(0)).alias("total_requests"),
+        F.round(F.lit(100.0) * F.col("error_count") / total, 2).alias("error_rate_pct"),
     )
 
 
 def daily_tokens(metrics: DataFrame) -> DataFrame:
-    """Incremental form of the token dashboard."""
+    """Incremental form of the token dashboard, per prompt and model version."""
     names = ["input_tokens", "output_tokens", "estimated_cost_usd"]
     return (
-        _windowed(metrics.where(F.col("name").isin(names)), "1 day", "model_version")
+        _windowed(metrics.where(F.col("name").isin(names)), "1 day", *[dimension(k).alias(k) for k in ("prompt_version", "model_version")])
         .agg(*[F.coalesce(F.sum(F.when(F.col("name") == n, F.col("value"))), F.lit(0.0)).alias(n) for n in names])
-        .select(_start(), "model_version", *names)
+        .select(_start(), "prompt_version", "model_version", *names, (F.col(names[0]) + F.col(names[1])).alias("total_tokens"))
     )
 
 
