@@ -87,6 +87,11 @@ ADAPTERS: dict[str, str] = {
           CASE WHEN l_linestatus = 'F' THEN l_tax END AS tax,
           CASE WHEN l_discount > 0.07e0 THEN 'X' ELSE l_returnflag END AS flag, l_linestatus AS status
         FROM {lineitem} WHERE l_shipdate >= CAST('1998-07-01' AS TIMESTAMP)""",
+    "features_shifted": """
+        SELECT CASE WHEN l_quantity <= 25 AND l_partkey % 2 = 0 THEN l_quantity + 25 ELSE l_quantity END AS quantity,
+          l_extendedprice AS price, CASE WHEN l_discount < 0.05e0 AND l_partkey % 4 <> 1 THEN 0.1e0 ELSE l_discount END AS discount,
+          l_tax AS tax, l_returnflag AS flag, l_linestatus AS status
+        FROM {lineitem} WHERE l_shipdate >= CAST('1998-07-01' AS TIMESTAMP)""",
     "responses": """
         SELECT d.doc_id, d.source AS prompt_version, d.lang,
           concat(d.text, CASE d.doc_id % 6

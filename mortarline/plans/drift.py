@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from mortarline.operators import drift as X
 from mortarline.operators import profile as P
 from mortarline.operators.telemetry import metric_long_form
-from mortarline.plans.adapters import ctes, table, view
-from mortarline.plans.registry import register
+from mortarline.plans.adapters import ctes, table, text, view
+from mortarline.plans.registry import check_of, register
 from mortarline.session import scratch_path
 from mortarline.sources.writers import append_captures
 
@@ -203,6 +203,35 @@ def drift_alert(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(X.alert_record(run, model="classifier").drop("retrain_payload"), "max_psi")
 
 
+def _shifted(check: str) -> str:
+    """The check over inference rows that have moved: one feature by over 0.2, one by over 0.4."""
+    return check.replace(text("features_inf"), text("features_shifted"))
+
+
+def _shifted_drift(spark: SparkSession, sf: str) -> DataFrame:
+    return X.drift_by_feature(view(spark, sf, "features_base"), view(spark, sf, "features_shifted"), NUMERIC)
+
+
+@register("drift_report_shifted", _shifted(check_of("drift_report")))
+def drift_report_shifted(spark: SparkSession, sf: str) -> DataFrame:
+    out = X.classify(_shifted_drift(spark, sf)).drop("ks_pvalue")
+    return rounded(
+        out, "psi", "ks_statistic", "js_divergence", "inference_mean", "inference_std", "baseline_mean", "baseline_std"
+    )
+
+
+@register("drift_rollup_shifted", _shifted(check_of("drift_rollup")))
+def drift_rollup_shifted(spark: SparkSession, sf: str) -> DataFrame:
+    run = X.run_rollup(_shifted_drift(spark, sf))
+    return rounded(run, "max_psi").withColumn("drifted_features", F.array_join("drifted_features", ","))
+
+
+@register("drift_alert_shifted", _shifted(check_of("drift_alert")))
+def drift_alert_shifted(spark: SparkSession, sf: str) -> DataFrame:
+    run = X.run_rollup(_shifted_drift(spark, sf))
+    return rounded(X.alert_record(run, model="classifier").drop("retrain_payload"), "max_psi")
+
+
 @register(
     "drift_metric_rows",
     f"""{_REPORT}, {_RUN_CTE}
