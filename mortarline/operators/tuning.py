@@ -1,6 +1,6 @@
 """Measured tuning of retrieval: every chunking, search mode and depth over every case.
 
-One table of postings (document, its terms and the token places they come from) serves all chunkings: the place of a
+One table of postings (a document's terms, token by token) serves all chunkings: the place of a
 token gives the chunks that hold it under any size and overlap, so counts, lengths, document frequencies and vectors of
 chunks are sums over place ranges.  Documents and cases are cut into blocks of bounded size, a pair of blocks is
 scored in one task for all chunkings, and only the best chunks of each case leave it.  What the modes retrieve is then
@@ -19,6 +19,7 @@ from math import ceil
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,8 +30,8 @@ from mortarline.session import cut_lineage
 DIGITS = 6
 #: Slots of a hashed vector.
 SLOTS = 64
-#: Terms of documents, and cases, that meet in one task.
-BLOCK_TERMS, BLOCK_CASES = 150_000, 256
+#: Terms of documents, and cases, that meet in one task, and terms that are scored there at a time.
+BLOCK_TERMS, BLOCK_CASES, SLICE_TERMS = 2_000_000, 256, 150_000
 #: Rows of a table that is broadcast; larger ones are joined by a shuffle.
 BROADCAST_ROWS = 200_000
 #: Weight of each measured score in the composite.
@@ -48,11 +49,13 @@ def text_tokens(text: Column) -> Column:
 
 
 def posting_table(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Rows (doc_id, n_tokens, terms, places): all terms of a document in order, with the places of their white-space tokens."""
+    """Rows (doc_id, n_tokens, packed): the terms of a document's white-space tokens in order, one line per token.
+
+    Packed into one string they take a third of what arrays of terms and places take in a shuffle.
+    """
     split = docs.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("doc_id"), F.explode(F.array(text_tokens(F.col(text)))).alias("_t"))
-    pairs = F.flatten(F.transform("_t", lambda w, i: F.transform(words(w), lambda t: F.struct(t.alias("t"), i.alias("p")))))
-    found = split.where(F.size("_t") > 0).select("doc_id", F.size("_t").alias("n_tokens"), F.explode(F.array(pairs)).alias("_f"))
-    return found.select("doc_id", "n_tokens", F.col("_f.t").alias("terms"), F.col("_f.p").alias("places"))
+    packed = F.array_join(F.transform("_t", lambda w: F.array_join(words(w), " ")), "\n")
+    return split.where(F.size("_t") > 0).select("doc_id", F.size("_t").alias("n_tokens"), packed.alias("packed"))
 
 
 def chunk_totals(postings: DataFrame, chunkings: Sequence[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -68,16 +71,33 @@ def chunk_totals(postings: DataFrame, chunkings: Sequence[tuple[int, int]]) -> l
     return [(row[f"c{i}"] or 0, row[f"t{i}"] or 0) for i in range(len(chunkings))]
 
 
+def _slices(n_tokens: np.ndarray) -> Iterator[tuple[int, int]]:
+    """(first row, rows) of parts with some SLICE_TERMS tokens each, one row at least, whatever the size of a batch."""
+    upto, begin = np.cumsum(n_tokens), 0
+    while begin < len(upto):
+        before = upto[begin - 1] if begin else 0
+        end = max(begin + 1, int(np.searchsorted(upto, before + SLICE_TERMS, "right")))
+        yield begin, end - begin
+        begin = end
+
+
 class Block:
-    """Postings of some documents as flat arrays."""
+    """Postings of some documents as flat arrays: term, place and document of each."""
 
-    def __init__(self, n_tokens: np.ndarray, terms: pa.ListArray, places: pa.ListArray):
-        coded = terms.flatten().dictionary_encode()
-        self.words = coded.dictionary.to_pylist()
-        self.term = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        self.place = places.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+    def __init__(self, n_tokens: np.ndarray, packed: pa.Array):
         self.n_tokens = n_tokens.astype(np.int64)
-        self.doc = np.repeat(np.arange(len(n_tokens)), terms.value_lengths().to_numpy(zero_copy_only=False))
+        lines = pc.split_pattern(packed, "\n").flatten()
+        parts = pc.split_pattern(lines, " ")
+        n = parts.value_lengths().to_numpy(zero_copy_only=False)
+        coded = parts.flatten().dictionary_encode()
+        self.words = coded.dictionary.to_pylist()
+        term = coded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        ends = np.cumsum(self.n_tokens)
+        place = np.arange(int(ends[-1]) if len(ends) else 0) - np.repeat(ends - self.n_tokens, self.n_tokens)
+        doc = np.repeat(np.arange(len(n_tokens)), self.n_tokens)
+        # a token of signs alone has no terms
+        known = term != self.words.index("") if "" in self.words else np.ones(len(term), bool)
+        self.term, self.place, self.doc = term[known], np.repeat(place, n)[known], np.repeat(doc, n)[known]
 
     def chunks(self, size: int, overlap: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(document, number, tokens) of all chunks, documents in order."""
@@ -104,7 +124,7 @@ def chunk_frequencies(postings: DataFrame, chunkings: Sequence[tuple[int, int]])
     names = [f"n{i}" for i in range(len(chunkings))]
 
     def counted(part: pa.RecordBatch) -> pa.RecordBatch:
-        block = Block(part.column("n_tokens").to_numpy(), part.column("terms"), part.column("places"))
+        block = Block(part.column("n_tokens").to_numpy(), part.column("packed"))
         counts, n = [], len(block.words) or 1
         for size, overlap in chunkings:
             chunk, which = block.spread(size, overlap)
@@ -113,17 +133,11 @@ def chunk_frequencies(postings: DataFrame, chunkings: Sequence[tuple[int, int]])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            # a few documents at a time, so that a task holds some BLOCK_TERMS terms whatever the size of its batches
-            upto = np.cumsum(batch.column("terms").value_lengths().to_numpy(zero_copy_only=False))
-            begin = 0
-            while begin < batch.num_rows:
-                before = upto[begin - 1] if begin else 0
-                end = max(begin + 1, int(np.searchsorted(upto, before + BLOCK_TERMS, "right")))
-                yield counted(batch.slice(begin, end - begin))
-                begin = end
+            for begin, n in _slices(batch.column("n_tokens").to_numpy()):
+                yield counted(batch.slice(begin, n))
 
-    partial = postings.select("n_tokens", "terms", "places").mapInArrow(run, "term string, " + ", ".join(f"{n} bigint" for n in names))
-    return partial.groupBy("term").agg(*[F.sum(n).alias(n) for n in names])
+    partial = postings.select("n_tokens", "packed").mapInArrow(run, "term string, " + ", ".join(f"{n} bigint" for n in names))
+    return partial.where("term <> ''").groupBy("term").agg(*[F.sum(n).alias(n) for n in names])
 
 
 @lru_cache(maxsize=200_000)
@@ -153,7 +167,7 @@ def _score(docs: pa.Table, cases: pa.Table, chunkings: Sequence[tuple[int, int]]
     if docs.num_rows and cases.num_rows:
         docs = docs.sort_by("doc_id").combine_chunks()
         column = lambda t, c: t.column(c).combine_chunks() if isinstance(t.column(c), pa.ChunkedArray) else t.column(c)
-        block = Block(docs.column("n_tokens").to_numpy(), column(docs, "terms"), column(docs, "places"))
+        block = Block(docs.column("n_tokens").to_numpy(), column(docs, "packed"))
         ids = docs.column("doc_id").to_numpy()
         case_ids, case = np.unique(cases.column("case_id").to_numpy(), return_inverse=True)
         vocabulary = {t: i for i, t in enumerate(dict.fromkeys(cases.column("term").to_pylist()))}
@@ -203,6 +217,29 @@ def _score(docs: pa.Table, cases: pa.Table, chunkings: Sequence[tuple[int, int]]
     return pa.table([pa.array(a, k) for a, k in zip(arrays, kinds, strict=True)], names=names)
 
 
+def _best_of(found: pa.Table, depth: int) -> pa.Table:
+    """The ``depth`` best rows per chunking, ranking and case; the candidates of all are added up on the first."""
+    frame = found.to_pandas()
+    key = ["chunking", "by_vector", "case_id"]
+    frame = frame.sort_values([*key, "score", "doc_id", "chunk_no"], ascending=[True, True, True, False, True, True], kind="stable")
+    groups = frame.groupby(key, sort=False)
+    total, place = groups["candidates"].transform("sum"), groups.cumcount()
+    frame["candidates"] = total.where(place == 0, 0)
+    return pa.Table.from_pandas(frame[place < depth], schema=found.schema, preserve_index=False)
+
+
+def _score_all(docs: pa.Table, cases: pa.Table, chunkings: Sequence[tuple[int, int]], average: Sequence[float], depth: int, k1: float, b: float) -> pa.Table:
+    """``_score`` for some documents at a time; what is kept in between is the best of them."""
+    if not docs.num_rows or not cases.num_rows:
+        return _score(docs, cases, chunkings, average, depth, k1, b)
+    docs = docs.combine_chunks()
+    kept = None
+    for begin, n in _slices(docs.column("n_tokens").to_numpy()):
+        part = _score(docs.slice(begin, n), cases, chunkings, average, depth, k1, b)
+        kept = part if kept is None else _best_of(pa.concat_tables([kept, part]), depth)
+    return kept
+
+
 def scored_chunks(docs: DataFrame, cases: DataFrame, chunkings: Sequence[tuple[int, int]], depth: int, k1: float = 1.2, b: float = 0.75) -> DataFrame:
     """Rows (chunking, by_vector, case_id, doc_id, chunk_no, score, vector_score, candidates), written once.
 
@@ -218,7 +255,7 @@ def scored_chunks(docs: DataFrame, cases: DataFrame, chunkings: Sequence[tuple[i
     idf = [F.ln(1 + (F.lit(float(c)) - F.col(f"n{i}") + 0.5) / (F.col(f"n{i}") + 0.5)) for i, (c, _) in enumerate(totals)]
     none = F.array_repeat(F.lit(0.0), len(chunkings))
     asked = cut_lineage(asked.join(found.select("term", F.array(*idf).alias("idf")), "term", "left").withColumn("idf", F.coalesce("idf", none)))
-    sizes = postings.agg(F.sum(F.size("terms")).alias("terms")).first()["terms"] or 0
+    sizes = postings.agg(F.sum("n_tokens")).first()[0] or 0
     d_blocks = max(1, ceil(sizes / BLOCK_TERMS))
     c_blocks = max(1, ceil((asked.agg(F.count_distinct("case_id")).first()[0]) / BLOCK_CASES))
 
@@ -229,7 +266,7 @@ def scored_chunks(docs: DataFrame, cases: DataFrame, chunkings: Sequence[tuple[i
 
     pairs = blocks(postings, "doc_id", "d", d_blocks, "c", c_blocks).cogroup(blocks(asked, "case_id", "c", c_blocks, "d", d_blocks))
     return cut_lineage(pairs.applyInArrow(
-        lambda left, right: _score(left, right, chunkings, average, depth, k1, b),
+        lambda left, right: _score_all(left, right, chunkings, average, depth, k1, b),
         "chunking int, by_vector boolean, case_id long, doc_id long, chunk_no long, score double, vector_score double, candidates long",
     ))
 

@@ -25,7 +25,7 @@ def texts():
 
 
 def test_counts_follow_plain_chunking(spark, texts, monkeypatch):
-    monkeypatch.setattr(T, "BLOCK_TERMS", 50)
+    monkeypatch.setattr(T, "SLICE_TERMS", 50)
     chunkings = [(4, 0), (4, 2), (9, 3), (100, 1)]
     postings = T.posting_table(spark.createDataFrame([*texts, (None, "word1")], "doc_id long, text string"))
     want = [[c for i, t in texts for c in chunks_of(t or "", *g)] for g in chunkings]
@@ -47,7 +47,8 @@ def test_every_configuration_meets_every_case(spark, texts, monkeypatch):
     assert hit[4, 0, "keyword_semantic", 1] == 1 and hit[4, 0, "keyword_semantic", 2] == 0 and hit[9, 0, "keyword_semantic", 2] == 1
     assert all(r["hit"] == r["coverage"] == 0 for r in once if r["case_id"] in (3, 4, 5))
     assert all(r["reciprocal_rank"] <= r["hit"] <= 1 and 0 <= r["coverage"] <= 1 for r in once)
-    monkeypatch.setattr(T, "BLOCK_TERMS", 60)
+    monkeypatch.setattr(T, "BLOCK_TERMS", 400)
+    monkeypatch.setattr(T, "SLICE_TERMS", 60)
     monkeypatch.setattr(T, "BLOCK_CASES", 2)
     monkeypatch.setattr(T, "BROADCAST_ROWS", 0)
     assert sorted(T.rag_runs(docs.repartition(3), cases, AXES, depth=5).collect()) == once
