@@ -16,8 +16,11 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mortarline.functions.scalars import context_block, message_json, words
+from mortarline.session import cut_lineage
 
 DIGITS = 6
+#: Query terms of a keyword search that are broadcast; more are joined by a shuffle.
+BROADCAST_TERMS = 500_000
 
 
 def chunk(docs: DataFrame, key: str, size: int, overlap: int, text: str = "text") -> DataFrame:
@@ -114,7 +117,10 @@ def keyword_topk(docs: DataFrame, queries: DataFrame, k: int = 3, k1: float = 1.
     wanted = queries.select("query_id", F.explode(F.array_distinct(words(F.col("text")))).alias("term"))
     shape = tokens.agg(F.count(F.lit(1)).alias("n"), F.avg(F.size("t")).alias("avg")).collect()[0]
     n_docs, avg_len = shape["n"], shape["avg"] or 1.0
-    vocabulary = wanted.select("term").distinct()
+    # words that no query has are dropped where they are read, as long as the queries' words fit into a broadcast
+    vocabulary = cut_lineage(wanted.select("term").distinct())
+    if vocabulary.count() <= BROADCAST_TERMS:
+        vocabulary = F.broadcast(vocabulary)
     terms = tokens.select(F.explode(F.array_distinct("t")).alias("term"))
     known = terms.join(vocabulary, "term", "left_semi")
     idf = known.groupBy("term").agg(_idf(F.lit(float(n_docs)), F.count(F.lit(1))).alias("idf"))
