@@ -2,10 +2,16 @@
 
 Word counts.  Every batch sends the digests of its words to segments, with who holds them how often.  A segment
 adds up the counts of training words and returns each document's part of the unigram score,
-so no vocabulary is held in one place.  Only the ``HEAD`` most frequent words reach the driver.
+so no vocabulary is held in one place.  Words are then counted by bins of their counts, and only the head, the
+most frequent ones, reaches the driver.
+
+Growth.  The head of a corpus of N tokens has ``HEAD_SHARE * N ** HEAD_POWER`` words, all of them if it has fewer:
+about 7,000 for 135 million tokens, under a million for 2.6e13.  The vocabulary of a text grows faster than that, so
+a word of the head is always met often enough to be learned.  A head of W words has about sqrt(W) classes of
+sqrt(W) words, so a token costs 2 * sqrt(W) outputs, and all parameters together take about 100 * W bytes in a task.
 
 Model.  A gated recurrent unit reads words; its output goes through a softmax over classes and one over the
-words of a class (``CLASSES`` times ``SLOTS`` words, by frequency).  Rarer and unknown words are the last class and
+words of a class, both by frequency.  Rarer and unknown words are the last class and
 share it by their smoothed counts, so the probabilities of all words add up to one.  Backpropagation is cut
 after ``WINDOW`` tokens while the state is carried on to the end of a document, in training and in scoring.
 
@@ -21,6 +27,7 @@ import math
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
@@ -30,9 +37,8 @@ from pyspark.sql import functions as F
 from mortarline.llm.text import bytes_of, mixed, word_digests
 from mortarline.session import cut_lineage
 
-HIDDEN, CLASSES, SLOTS = 12, 20, 32
-HEAD = CLASSES * SLOTS
-TAIL = HEAD
+HIDDEN = 12
+HEAD_SHARE, HEAD_POWER = 4.0, 0.4
 LANES, WINDOW, ROUNDS, RATE = 256, 32, 2, 0.01
 #: Tasks' parameters are added up in so many tasks before they reach the driver.
 SUMMERS = 8
@@ -112,8 +118,7 @@ def _meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = np.bincount(place, weights=logs[word] * n)
         known = np.bincount(place, weights=n * (counts[word] > 0)).astype(np.int32)
         yield _blank(1, id_type, kind=[2], batch=[r["batch"]], doc=[docs.astype(np.int32).tobytes()], at=[part.tobytes()], n=[known.tobytes()])
-    top = np.argsort(-counts, kind="stable")[:HEAD]
-    top = top[counts[top] > 0]
+    top = np.flatnonzero(counts)
     totals = np.array([(counts > 0).sum(), counts.sum()], np.int64)
     yield _blank(1, id_type, kind=[3], hashes=[distinct[top].tobytes()], trained=[counts[top].tobytes()], n=[totals.tobytes()])
 
@@ -142,30 +147,48 @@ def _combine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 # ---- model ----
 
 
+def head_size(tokens: int) -> int:
+    """Words that the model tells apart at most after so many training tokens, the end token included."""
+    return max(2, math.ceil(HEAD_SHARE * max(tokens, 1) ** HEAD_POWER))
+
+
+def shape_of(words: int) -> tuple[int, int]:
+    """(classes, words of a class) that hold so many words."""
+    slots = max(1, math.ceil(math.sqrt(words)))
+    return max(1, -(-words // slots)), slots
+
+
 def initial(counts: np.ndarray, total: int, seed: int = 1) -> dict[str, np.ndarray]:
-    """Small random parameters whose biases already give the counts' probabilities."""
+    """Small random parameters whose biases already give the probabilities of the head's counts."""
     rng = np.random.default_rng(seed)
     f = np.float32
-    filled = np.zeros(HEAD)
+    classes, slots = shape_of(len(counts))
+    head = classes * slots
+    filled = np.zeros(head)
     filled[: len(counts)] = counts
-    sums = np.append(filled.reshape(CLASSES, SLOTS).sum(1), max(total - filled.sum(), 0.5))
-    share = filled / np.repeat(np.maximum(sums[:-1], 1), SLOTS)
-    words = np.where(filled > 0, np.log(np.maximum(share, 1e-12)), -30.0).reshape(CLASSES, SLOTS)
+    sums = np.append(filled.reshape(classes, slots).sum(1), max(total - filled.sum(), 0.5))
+    share = filled / np.repeat(np.maximum(sums[:-1], 1), slots)
+    words = np.where(filled > 0, np.log(np.maximum(share, 1e-12)), -30.0).reshape(classes, slots)
     return {
-        "e": rng.normal(0, 0.3, (HEAD + 1, HIDDEN)).astype(f), "w": rng.normal(0, 0.25, (HIDDEN, 3 * HIDDEN)).astype(f),
+        "e": rng.normal(0, 0.3, (head + 1, HIDDEN)).astype(f), "w": rng.normal(0, 0.25, (HIDDEN, 3 * HIDDEN)).astype(f),
         "u": rng.normal(0, 0.25, (HIDDEN, 3 * HIDDEN)).astype(f), "b": np.zeros(3 * HIDDEN, f),
-        "c": np.zeros((CLASSES + 1, HIDDEN), f), "cb": np.where(sums > 0, np.log(np.maximum(sums, 0.5) / sums.sum()), -30.0).astype(f),
-        "d": np.zeros((CLASSES, SLOTS, HIDDEN), f), "db": words.astype(f),
+        "c": np.zeros((classes + 1, HIDDEN), f), "cb": np.where(sums > 0, np.log(np.maximum(sums, 0.5) / sums.sum()), -30.0).astype(f),
+        "d": np.zeros((classes, slots, HIDDEN), f), "db": words.astype(f),
     }
 
 
+def tail_of(p: dict) -> int:
+    """Id of the words beyond the head: the one after the last place of the last class."""
+    return p["db"].size
+
+
 def _sigmoid(x):
     return 0.5 + 0.5 * np.tanh(0.5 * x)
 
 
 def _softmax(x):
-    """(exponentials, their row sums); biases keep the values near log probabilities, so none overflow."""
-    e = np.exp(np.minimum(x, np.float32(60), out=x))
+    """(exponentials, in the place of ``x``; their row sums); biases keep the values near log probabilities, so none overflow."""
+    e = np.exp(np.minimum(x, 60, out=x), out=x)
     return e, e @ np.ones(e.shape[1], np.float32)
 
 
@@ -182,6 +205,7 @@ def window_pass(p: dict, x: np.ndarray, y: np.ndarray, fresh: np.ndarray, h: np.
     """
     steps, lanes = x.shape
     hid = HIDDEN
+    classes, slots = p["db"].shape
     emb = p["e"][x]
     gx = (emb.reshape(-1, hid) @ p["w"] + p["b"]).reshape(steps, lanes, 3 * hid)
     out = np.empty((steps, lanes, hid), np.float32)
@@ -200,22 +224,23 @@ def window_pass(p: dict, x: np.ndarray, y: np.ndarray, fresh: np.ndarray, h: np.
     flat_y = y.ravel()
     at = np.flatnonzero(flat_y >= 0)
     states, goal = out.reshape(-1, hid)[at], flat_y[at]
-    kind, slot = goal // SLOTS, goal % SLOTS
+    kind, slot = goal // slots, goal % slots
     values = states @ p["c"].T + p["cb"]
     rows = np.arange(len(goal))
     picked = values[rows, kind]
     exps, sums = _softmax(values)
     found = (picked - np.log(sums)).astype(np.float64)
-    order = np.argsort(kind.astype(np.int8), kind="stable")
-    cuts = np.searchsorted(kind[order], np.arange(CLASSES + 1))
+    order = np.argsort(kind.astype(np.int16), kind="stable")
+    cuts = np.searchsorted(kind[order], np.arange(classes + 1))
     if learn:
         share = np.float32(1.0 / max(1, len(goal)))
         g = {k: np.zeros_like(v) for k, v in p.items()}
-        d_class = exps * (share / sums)[:, None]
+        d_class = exps
+        d_class *= (share / sums)[:, None]
         d_class[rows, kind] -= share
         g["c"], g["cb"] = d_class.T @ states, d_class.sum(0)
         d_states = d_class @ p["c"]
-    for k in range(CLASSES):
+    for k in range(classes):
         mine = order[cuts[k] : cuts[k + 1]]
         if not len(mine):
             continue
@@ -226,7 +251,8 @@ def window_pass(p: dict, x: np.ndarray, y: np.ndarray, fresh: np.ndarray, h: np.
         exps, sums = _softmax(values)
         found[mine] += picked - np.log(sums)
         if learn:
-            d = exps * (share / sums)[:, None]
+            d = exps
+            d *= (share / sums)[:, None]
             d[i, j] -= share
             g["d"][k], g["db"][k] = d.T @ own, d.sum(0)
             d_states[mine] += d @ p["d"][k]
@@ -253,7 +279,7 @@ def window_pass(p: dict, x: np.ndarray, y: np.ndarray, fresh: np.ndarray, h: np.
         d_next = (dh * z + d_gh @ p["u"].T) * keep[t]
     flat = d_gx.reshape(-1, 3 * hid)
     g["w"], g["b"] = emb.reshape(-1, hid).T @ flat, flat.sum(0)
-    g["e"] = _rows_added(x.ravel(), flat @ p["w"].T, HEAD + 1)
+    g["e"] = _rows_added(x.ravel(), flat @ p["w"].T, len(p["e"]))
     return result.reshape(y.shape), h, g
 
 
@@ -292,8 +318,8 @@ def lanes_of(docs: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray, n
     order = np.argsort(-loads, kind="stable")
     loads, held = loads[order], [held[i] for i in order]
     longest = int(loads[0]) if lanes else 0
-    y, doc = np.full((longest, lanes), -1, np.int16), np.zeros((longest, lanes), np.int32)
-    x, fresh = np.zeros((longest, lanes), np.int16), np.zeros((longest, lanes), bool)
+    y, doc = np.full((longest, lanes), -1, np.int32), np.zeros((longest, lanes), np.int32)
+    x, fresh = np.zeros((longest, lanes), np.int32), np.zeros((longest, lanes), bool)
     for i, own in enumerate(held):
         stream, n = np.concatenate([docs[d] for d in own]), loads[i]
         begins = np.cumsum(lengths[own]) - lengths[own]
@@ -310,13 +336,13 @@ def lanes_of(docs: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray, n
 END = 0
 
 
-def encoded(text: bytes, hashes: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    """Head ids of a text's words, TAIL for others, then the end token."""
+def encoded(text: bytes, hashes: np.ndarray, ids: np.ndarray, tail: int) -> np.ndarray:
+    """Head ids of a text's words, ``tail`` for others, then the end token."""
     h = word_digests(text)
-    out = np.full(len(h) + 1, TAIL, np.int64)
+    out = np.full(len(h) + 1, tail, np.int64)
     if len(h) and len(hashes):
         at = np.minimum(np.searchsorted(hashes, h), len(hashes) - 1)
-        out[:-1] = np.where(hashes[at] == h, ids[at], TAIL)
+        out[:-1] = np.where(hashes[at] == h, ids[at], tail)
     out[-1] = END
     return out
 
@@ -357,6 +383,20 @@ def _unpack(data: np.ndarray, like: dict) -> dict:
     return out
 
 
+def _head(words: DataFrame, size: int) -> pd.DataFrame:
+    """The ``size`` most frequent of ``words`` (h, c), ties by digest.
+
+    Bins of a sixteenth of a power of two, a thousand at most, tell which counts may be among them, so only a narrow
+    bin more than they need is put in order.
+    """
+    binned = words.withColumn("bin", F.floor(F.log2("c") * 16))
+    sizes = binned.groupBy("bin").agg(F.count(F.lit(1)).alias("n")).toPandas().sort_values("bin", ascending=False)
+    over = sizes["bin"][sizes["n"].cumsum() >= size]
+    if len(over):
+        binned = binned.where(F.col("bin") >= int(over.iloc[0]))
+    return binned.orderBy(F.col("c").desc(), "h").limit(size).select("h", "c").toPandas()
+
+
 def score_documents(docs: DataFrame, train: str = "train", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows (id, train, n_tokens, n_known, train_tokens, base_score, score), one per document.
 
@@ -385,7 +425,6 @@ def score_documents(docs: DataFrame, train: str = "train", id_col: str = "doc_id
     unigram = by_doc.mapInArrow(_combine, f"id {id_type}, print long, logs double, known long")
     unigram = unigram.groupBy("id", "print").agg(F.min("logs").alias("logs"), F.min("known").alias("known"))
 
-    # at most HEAD words per segment are ordered, and HEAD in all reach the driver
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for r in batch.to_pylist():
@@ -397,8 +436,8 @@ def score_documents(docs: DataFrame, train: str = "train", id_col: str = "doc_id
 
     words = met.where("kind = 3").select("hashes", "trained", "n").mapInArrow(listed, "h long, c long, v long, n long")
     distinct, tokens = (int(x or 0) for x in words.agg(F.sum("v"), F.sum("n")).first())
-    top = words.where("c > 0").orderBy(F.col("c").desc(), "h").limit(HEAD - 1).select("h", "c").toPandas()
     ends = rows.where("train").count()
+    top = _head(words.where("c > 0").select("h", "c"), head_size(tokens + ends) - 1)
     counts = np.concatenate([[ends], top["c"].to_numpy(np.int64)])
     head = top["h"].to_numpy(np.int64).view(np.uint64)
     order = np.argsort(head)
@@ -406,6 +445,7 @@ def score_documents(docs: DataFrame, train: str = "train", id_col: str = "doc_id
     n_all, v_all = tokens + ends, distinct + (ends > 0)
     tail_tokens, tail_types = n_all - int(counts.sum()), v_all - int((counts > 0).sum())
     params = initial(counts, n_all)
+    unseen = tail_of(params)
 
     def train_round(number: int, start: dict):
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -413,7 +453,7 @@ def score_documents(docs: DataFrame, train: str = "train", id_col: str = "doc_id
             adam = Adam(p)
             for batch in batches:
                 if batch.num_rows:
-                    found = [encoded(t, hashes, ids) for t in bytes_of(batch.column("text"))]
+                    found = [encoded(t, hashes, ids, unseen) for t in bytes_of(batch.column("text"))]
                     train_on(p, found, adam)
                     seen += sum(map(len, found))
             if seen:
@@ -437,7 +477,7 @@ def score_documents(docs: DataFrame, train: str = "train", id_col: str = "doc_id
 
     for number in range(ROUNDS):
         params = train_round(number, params)
-    log_counts = np.zeros(HEAD + 1)
+    log_counts = np.zeros(unseen + 1)
     log_counts[: len(counts)] = np.log10(counts + 1.0)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -445,12 +485,12 @@ def score_documents(docs: DataFrame, train: str = "train", id_col: str = "doc_id
             if not batch.num_rows:
                 continue
             texts = bytes_of(batch.column("text"))
-            found = [encoded(t, hashes, ids) for t in texts]
+            found = [encoded(t, hashes, ids, unseen) for t in texts]
             model = score_of(params, found) / math.log(10)
             prints = np.array([xxhash.xxh3_64_intdigest(t) for t in texts], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays(
                 [batch.column("id"), batch.column("train"), pa.array(prints), pa.array([len(f) for f in found], pa.int64()),
-                 pa.array(model), pa.array([float(log_counts[f].sum()) for f in found]), pa.array([int((f == TAIL).sum()) for f in found], pa.int64())],
+                 pa.array(model), pa.array([float(log_counts[f].sum()) for f in found]), pa.array([int((f == unseen).sum()) for f in found], pa.int64())],
                 ["id", "train", "print", "n_tokens", "model", "head_logs", "n_tail"],
             )
 

@@ -48,11 +48,14 @@ def test_scores(spark):
     assert all(r["n_known"] == 0 for r in lm.score_documents(table.where("doc_id = 901 OR doc_id = 5").withColumn("train", table["train"] & False)).collect())
 
 
+HEAD = 640
+
+
 def test_gradients_and_probabilities():
     rng = np.random.default_rng(1)
-    p = lm.initial(rng.integers(1, 50, lm.HEAD), 40000)
+    p = lm.initial(rng.integers(1, 50, HEAD), 40000)
     p = {k: (v + rng.normal(0, 0.2, v.shape)).astype(np.float64) for k, v in p.items()}
-    x, y = rng.integers(0, lm.HEAD + 1, (2, 6, 3))
+    x, y = rng.integers(0, lm.tail_of(p) + 1, (2, 6, 3))
     fresh, h = rng.random((6, 3)) < 0.3, rng.normal(0, 0.3, (3, lm.HIDDEN))
 
     def loss(q):
@@ -67,15 +70,15 @@ def test_gradients_and_probabilities():
             q[k][at] += step
             sides.append(loss(q))
         assert g[k][at] == pytest.approx((sides[0] - sides[1]) / 2e-3, rel=0.02)
-    every = np.arange(lm.HEAD + 1)
-    logs, _, _ = lm.window_pass(p, np.zeros((1, lm.HEAD + 1), int), every[None], np.ones((1, lm.HEAD + 1), bool), np.zeros((lm.HEAD + 1, lm.HIDDEN)), False)
+    every = np.arange(lm.tail_of(p) + 1)
+    logs, _, _ = lm.window_pass(p, np.zeros((1, lm.tail_of(p) + 1), int), every[None], np.ones((1, lm.tail_of(p) + 1), bool), np.zeros((lm.tail_of(p) + 1, lm.HIDDEN)), False)
     assert np.exp(logs).sum() == pytest.approx(1.0, abs=1e-3)
 
 
 def test_state_is_carried_over_windows(monkeypatch):
     rng = np.random.default_rng(2)
-    p = lm.initial(rng.integers(1, 50, lm.HEAD), 40000)
-    docs = [rng.integers(0, lm.HEAD + 1, n) for n in (300, 5, 1, 90, 700)]
+    p = lm.initial(rng.integers(1, 50, HEAD), 40000)
+    docs = [rng.integers(0, lm.tail_of(p) + 1, n) for n in (300, 5, 1, 90, 700)]
     whole = lm.score_of(p, docs)
     monkeypatch.setattr(lm, "WINDOW", 10_000)
     monkeypatch.setattr(lm, "LANES", 2)
@@ -118,3 +121,36 @@ def test_equal_rows_in_batches_of_their_own_stay_single(spark):
         many = many.union(table)
     got = lm.score_documents(many).collect()
     assert len(got) == 10 and len({(r["id"], r["base_score"]) for r in got}) == 2
+
+
+def test_the_head_grows_with_the_corpus(spark):
+    sizes = [lm.head_size(10**k) for k in range(3, 14)]
+    assert all(2 < b / a < 3 for a, b in zip(sizes, sizes[1:], strict=False)) and sizes[-1] < 1_000_000
+    for words in (1, 2, 3, 640, 7152):
+        classes, slots = lm.shape_of(words)
+        assert classes * slots >= words and max(classes, slots) <= math.isqrt(words) + 1
+    rng = random.Random(5)
+    words = {f"v{i}": 1 + rng.randrange(40) for i in range(900)}
+    table = spark.createDataFrame([(rng.getrandbits(60), n) for n in words.values()], "h long, c long").repartition(3)
+    want = sorted(((-r["c"], r["h"]) for r in table.collect()))
+    for size in (1, 37, 500, 2000):
+        got = lm._head(table, size)
+        assert list(zip(-got["c"], got["h"], strict=True)) == want[:size]
+
+
+def test_the_model_tells_apart_more_words_of_a_larger_corpus(spark):
+    # rows over two thousand words, each followed by one of two: a model of a few hundred words would know few of them
+    rng = np.random.default_rng(4)
+    follow = rng.integers(0, 1200, (1200, 2))
+
+    def text():
+        w, out = int(rng.integers(1200)), []
+        for _ in range(100):
+            out.append(f"w{w}")
+            w = int(follow[w, rng.integers(2)])
+        return " ".join(out)
+
+    rows = [(i, text(), i % 7 != 2) for i in range(2000)]
+    assert lm.head_size(170_000) < 1200
+    got = lm.score_documents(spark.createDataFrame(rows, "doc_id long, text string, train boolean").repartition(2)).where("NOT train").collect()
+    assert sum(r["score"] for r in got) > sum(r["base_score"] for r in got)
