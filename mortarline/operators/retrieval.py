@@ -110,26 +110,32 @@ def keyword_topk(docs: DataFrame, queries: DataFrame, k: int = 3, k1: float = 1.
     """BM25 top-k: ``docs`` (doc_id, text), ``queries`` (query_id, text).
 
     One pass over the documents collects the document frequency of query terms and the
-    average length, a second one the counts of query terms per document; only those meet the
-    queries, and partial sums per (query, document) are shuffled.
+    average length, a second one deals the occurrences of query terms by document.  Their counts and the sums per
+    (query, document) are then made where they lie, and only each task's best rows of a query are shuffled again.
     """
     tokens = docs.select("doc_id", F.explode(F.array(words(F.col("text")))).alias("t"))
     wanted = queries.select("query_id", F.explode(F.array_distinct(words(F.col("text")))).alias("term"))
     shape = tokens.agg(F.count(F.lit(1)).alias("n"), F.avg(F.size("t")).alias("avg")).collect()[0]
     n_docs, avg_len = shape["n"], shape["avg"] or 1.0
     # words that no query has are dropped where they are read, as long as the queries' words fit into a broadcast
+    wanted = cut_lineage(wanted)
     vocabulary = cut_lineage(wanted.select("term").distinct())
-    if vocabulary.count() <= BROADCAST_TERMS:
-        vocabulary = F.broadcast(vocabulary)
+
+    def sized(table: DataFrame, rows: int) -> DataFrame:
+        return F.broadcast(table) if rows <= BROADCAST_TERMS else table
+
+    n_terms, n_wanted = vocabulary.count(), wanted.count()
+    vocabulary, wanted = sized(vocabulary, n_terms), sized(wanted, n_wanted)
     terms = tokens.select(F.explode(F.array_distinct("t")).alias("term"))
     known = terms.join(vocabulary, "term", "left_semi")
     idf = known.groupBy("term").agg(_idf(F.lit(float(n_docs)), F.count(F.lit(1))).alias("idf"))
     tf = (
         tokens.select("doc_id", F.size("t").alias("len"), F.explode("t").alias("term"))
         .join(vocabulary, "term", "left_semi")
+        .repartition("doc_id")
         .groupBy("doc_id", "term")
         .agg(F.count(F.lit(1)).alias("tf"), F.first("len").alias("len"))
-        .join(idf, "term")
+        .join(sized(idf, n_terms), "term")
     )
     norm = F.lit(k1) * (F.lit(1 - b) + F.lit(b) * F.col("len") / F.lit(avg_len))
     gain = F.col("idf") * F.col("tf") * F.lit(k1 + 1) / (F.col("tf") + norm)
