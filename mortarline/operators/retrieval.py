@@ -21,6 +21,8 @@ from mortarline.session import cut_lineage
 DIGITS = 6
 #: Query terms of a keyword search that are broadcast; more are joined by a shuffle.
 BROADCAST_TERMS = 500_000
+#: (query, document) pairs whose scores one task of a keyword search holds at once.
+TASK_PAIRS = 200_000
 
 
 def chunk(docs: DataFrame, key: str, size: int, overlap: int, text: str = "text") -> DataFrame:
@@ -112,6 +114,7 @@ def keyword_topk(docs: DataFrame, queries: DataFrame, k: int = 3, k1: float = 1.
     One pass over the documents collects the document frequency of query terms and the
     average length, a second one deals the occurrences of query terms by document.  Their counts and the sums per
     (query, document) are then made where they lie, and only each task's best rows of a query are shuffled again.
+    The number of those tasks follows the documents times the queries, so what one holds does not grow with the tables.
     """
     tokens = docs.select("doc_id", F.explode(F.array(words(F.col("text")))).alias("t"))
     wanted = queries.select("query_id", F.explode(F.array_distinct(words(F.col("text")))).alias("term"))
@@ -125,6 +128,8 @@ def keyword_topk(docs: DataFrame, queries: DataFrame, k: int = 3, k1: float = 1.
         return F.broadcast(table) if rows <= BROADCAST_TERMS else table
 
     n_terms, n_wanted = vocabulary.count(), wanted.count()
+    n_queries = wanted.agg(F.count_distinct("query_id")).first()[0]
+    tasks = ceil(n_docs * n_queries / TASK_PAIRS) or 1
     vocabulary, wanted = sized(vocabulary, n_terms), sized(wanted, n_wanted)
     terms = tokens.select(F.explode(F.array_distinct("t")).alias("term"))
     known = terms.join(vocabulary, "term", "left_semi")
@@ -132,7 +137,7 @@ def keyword_topk(docs: DataFrame, queries: DataFrame, k: int = 3, k1: float = 1.
     tf = (
         tokens.select("doc_id", F.size("t").alias("len"), F.explode("t").alias("term"))
         .join(vocabulary, "term", "left_semi")
-        .repartition("doc_id")
+        .repartition(tasks, "doc_id")
         .groupBy("doc_id", "term")
         .agg(F.count(F.lit(1)).alias("tf"), F.first("len").alias("len"))
         .join(sized(idf, n_terms), "term")

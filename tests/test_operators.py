@@ -350,3 +350,14 @@ def test_pareto_front_needs_no_single_task(spark):
     odd = spark.createDataFrame(rows, "cost double, quality double")
     assert sorted(tuple(r) for r in G.pareto_front(odd, "quality", "cost").collect()) == [(1.0, 5.0), (1.0, 5.0), (3.0, 6.0)]
     assert G.pareto_front(odd.where("false"), "quality", "cost").count() == 0
+
+
+def test_keyword_tasks_follow_documents_and_queries(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, f"red brick {i % 3} wall") for i in range(40)], "doc_id long, text string")
+    queries = spark.createDataFrame([(1, "red wall"), (2, "brick 2"), (3, "roof")], "query_id long, text string")
+    want = sorted(map(tuple, R.keyword_topk(docs, queries, 3).collect()))
+    monkeypatch.setattr(R, "TASK_PAIRS", 5)
+    out = R.keyword_topk(docs, queries, 3)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression [doc_id" in plan and ", 24" in plan  # 40 documents, 3 queries, 5 pairs a task
+    assert sorted(map(tuple, out.collect())) == want
