@@ -1,13 +1,14 @@
 """Bulk layout: expand tables of spans, walls, openings and bands into part placements.
 
-Every operator is a map-side ``explode`` of closed-form positions; only wall rows with
-openings need a join.  Placements carry the input keys plus ``color``, ``x``, ``y``,
+Every operator is an ``explode`` of closed-form positions, over tasks whose number follows the
+input rows; only wall rows with openings need a join.  Placements carry the input keys plus ``color``, ``x``, ``y``,
 ``z`` (one decimal), ``part`` and ``rot``.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from math import ceil
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -16,6 +17,14 @@ from mortarline import dims as D
 
 _PIECE = "array<struct<w:int,c:double>>"
 _COURSE = "array<struct<y:double,kind:string>>"
+#: Input rows of one task where each of them becomes many placements.
+TASK_ROWS = 20_000
+
+
+def _dealt(df: DataFrame) -> DataFrame:
+    """The rows over enough tasks: a small file can hold spans for millions of placements."""
+    tasks = ceil(df.count() / TASK_ROWS)
+    return df.repartition(tasks) if tasks > 1 else df
 
 
 def _rot(name: str) -> Column:
@@ -110,9 +119,12 @@ def wall_segments(walls: DataFrame, openings: DataFrame, key: str = "wall_id") -
     row: each segment runs from the previous gap's end to the next gap's start, and
     slivers of 0.1 or less vanish.  A wall of no rows has no segment, and an opening whose
     last row is below its first cuts nothing.  The window runs over the gaps of one row of one wall.
+    The gaps are sorted and merged by wall and row: their number is unknown before they are
+    expanded, so they must not be broadcast.
     """
-    rows = walls.withColumn("row", F.explode(_upward(F.lit(1), F.col("n_rows"))))
+    rows = _dealt(walls).withColumn("row", F.explode(_upward(F.lit(1), F.col("n_rows"))))
     gaps = openings.withColumn("row", F.explode(_upward(F.col("from_row"), F.col("to_row")))).select(key, "row", "o_start", "o_end")
+    gaps = gaps.hint("merge")
     w = Window.partitionBy(key, "row").orderBy("o_start", "o_end")
     cut = (
         rows.join(gaps, [key, "row"], "left")

@@ -361,3 +361,14 @@ def test_keyword_tasks_follow_documents_and_queries(spark, monkeypatch):
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert "RepartitionByExpression [doc_id" in plan and ", 24" in plan  # 40 documents, 3 queries, 5 pairs a task
     assert sorted(map(tuple, out.collect())) == want
+
+
+def test_gaps_are_not_broadcast(spark):
+    walls = [(i, 3, 0.0, 200.0, 100.0, 4, 10.0, "X") for i in (1, 1, 2)] + [(None, 3, 0.0, 200.0, 100.0, 4, 10.0, "X")]
+    schema = "wall_id long, color int, span_start double, span_end double, ground_y double, n_rows int, cross_pos double, axis string"
+    openings = spark.createDataFrame([(2, 40.0, 80.0, 2, 3), (2, 100.0, 120.0, 3, 3), (None, 0.0, 20.0, 1, 9)], "wall_id long, o_start double, o_end double, from_row int, to_row int")
+    out = L.wall_segments(spark.createDataFrame(walls, schema), openings)
+    assert "BroadcastHashJoin" not in out._jdf.queryExecution().executedPlan().toString()
+    got = sorted((r["row"], r["span_start"], r["span_end"]) for r in out.where("wall_id = 2").collect())
+    assert got == [(1, 0.0, 200.0), (2, 0.0, 40.0), (2, 80.0, 200.0), (3, 0.0, 40.0), (3, 80.0, 100.0), (3, 120.0, 200.0), (4, 0.0, 200.0)]
+    assert out.where("wall_id = 1").count() == 8 and out.where("wall_id is null").count() == 4
