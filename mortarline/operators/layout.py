@@ -274,7 +274,7 @@ def floor_plates(floors: DataFrame, keys: Sequence[str], inset: float = 0.0) ->
     span = F.col("z_max") - F.col("z_min")
     n = F.floor(span / 20) + 1 if not inset else F.ceil((span - 0.1) / 20)
     rows = (
-        _repeat(floors, keys, F.col("z_min"), n, 20)
+        _repeat(_dealt(floors), keys, F.col("z_min"), n, 20)
         .withColumn("layer", F.explode(_upward(F.lit(0), F.col("layers") - 1)))
         .select(
             *keys,
@@ -318,7 +318,7 @@ def parapets(roofs: DataFrame, keys: Sequence[str]) -> DataFrame:
         ).otherwise(F.array().cast(_COURSE)),
     )
     rows = (
-        roofs.select(*keys, "color", F.explode(sides).alias("s"), courses.alias("cs"))
+        _dealt(roofs).select(*keys, "color", F.explode(sides).alias("s"), courses.alias("cs"))
         .select(*keys, "color", "s.*", F.explode("cs").alias("c"))
         .select(*keys, "color", "axis", "span_start", "span_end", "cross_pos", "c.y", "c.kind", F.lit(0).alias("stagger"))
     )

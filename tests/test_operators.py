@@ -372,3 +372,12 @@ def test_gaps_are_not_broadcast(spark):
     got = sorted((r["row"], r["span_start"], r["span_end"]) for r in out.where("wall_id = 2").collect())
     assert got == [(1, 0.0, 200.0), (2, 0.0, 40.0), (2, 80.0, 200.0), (3, 0.0, 40.0), (3, 80.0, 100.0), (3, 120.0, 200.0), (4, 0.0, 200.0)]
     assert out.where("wall_id = 1").count() == 8 and out.where("wall_id is null").count() == 4
+
+
+def test_floors_are_dealt_over_tasks(spark, monkeypatch):
+    floors = spark.range(50).coalesce(1).selectExpr("id", "1 color", "0D x_min", "400D x_max", "0D z_min", "60D z_max", "0D y", "2 layers")
+    want = sorted(map(tuple, L.floor_plates(floors, ["id"]).collect()))
+    monkeypatch.setattr(L, "TASK_ROWS", 10)
+    out = L.floor_plates(floors, ["id"])
+    assert out.rdd.getNumPartitions() == 5
+    assert sorted(map(tuple, out.collect())) == want
