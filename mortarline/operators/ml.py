@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from math import ceil
 
 import numpy as np
 import pandas as pd
@@ -20,6 +21,8 @@ from mortarline.functions.ranks import exact_quantiles
 from mortarline.session import cut_lineage
 
 EULER = 0.5772156649015329
+#: Training rows of one task of a random forest.
+FOREST_ROWS = 20_000
 
 
 def unit_hash(key: Column, seed: int) -> Column:
@@ -83,7 +86,14 @@ def forest_scores(
     train: DataFrame, test: DataFrame, features: Sequence[str], label: str = "label", trees: int = 100, seed: int = 42,
     depth: int = 15,
 ) -> DataFrame:
-    """Random-forest predictions and class-1 probability for ``test``."""
+    """Random-forest predictions and class-1 probability for ``test``.
+
+    Every level of every tree goes over all rows, so they are dealt over tasks by their number and not by
+    the size of the file that holds them.
+    """
+    tasks = ceil(train.count() / FOREST_ROWS)
+    if tasks > 1:
+        train = train.select(*features, label).repartition(tasks)
     model = RandomForestClassifier(
         numTrees=trees, maxDepth=depth, seed=seed, featuresCol="_features", labelCol=label, predictionCol="prediction"
     ).fit(_assembled(train, features))

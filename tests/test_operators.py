@@ -381,3 +381,18 @@ def test_floors_are_dealt_over_tasks(spark, monkeypatch):
     out = L.floor_plates(floors, ["id"])
     assert out.rdd.getNumPartitions() == 5
     assert sorted(map(tuple, out.collect())) == want
+
+
+def test_forest_rows_are_dealt_over_tasks(spark, monkeypatch):
+    rows = spark.range(60).coalesce(1).selectExpr("cast(id as double) x", "cast(id >= 30 as int) label", "id % 3 = 0 is_test")
+    seen = []
+
+    class Forest(M.RandomForestClassifier):
+        def fit(self, dataset, params=None):
+            seen.append(dataset.rdd.getNumPartitions())
+            return super().fit(dataset, params)
+
+    monkeypatch.setattr(M, "RandomForestClassifier", Forest)
+    monkeypatch.setattr(M, "FOREST_ROWS", 10)
+    out = M.forest_scores(rows.where("not is_test"), rows.where("is_test"), ["x"], trees=9).collect()
+    assert seen == [4] and len(out) == 20 and sum(r["prediction"] == r["label"] for r in out) >= 18
