@@ -39,11 +39,6 @@ WEIGHTS = {"hit": 0.5, "coverage": 0.3, "reciprocal_rank": 0.2}
 MODES = ("vector", "hybrid", "keyword_semantic")
 
 
-def small(df: DataFrame) -> DataFrame:
-    """A written table, broadcast if it has at most BROADCAST_ROWS rows."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
-
-
 def text_tokens(text: Column) -> Column:
     return F.filter(F.split(text, r"\s+"), lambda w: w != "")
 
@@ -51,9 +46,11 @@ def text_tokens(text: Column) -> Column:
 def posting_table(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Rows (doc_id, n_tokens, packed): the terms of a document's white-space tokens in order, one line per token.
 
-    Packed into one string they take a third of what arrays of terms and places take in a shuffle.
+    Packed into one string they take a third of what arrays of terms and places take in a shuffle.  Documents are dealt
+    anew first, as a file of few row groups would leave them to few tasks.
     """
-    split = docs.where(F.col(key).isNotNull()).select(F.col(key).cast("long").alias("doc_id"), F.explode(F.array(text_tokens(F.col(text)))).alias("_t"))
+    dealt = docs.where(F.col(key).isNotNull()).select(key, text).repartition(key)
+    split = dealt.select(F.col(key).cast("long").alias("doc_id"), F.explode(F.array(text_tokens(F.col(text)))).alias("_t"))
     packed = F.array_join(F.transform("_t", lambda w: F.array_join(words(w), " ")), "\n")
     return split.where(F.size("_t") > 0).select("doc_id", F.size("_t").alias("n_tokens"), packed.alias("packed"))
 
@@ -308,18 +305,25 @@ def rag_runs(docs: DataFrame, cases: DataFrame, axes: Mapping[str, Sequence], de
     scored = scored_chunks(docs, cases, chunkings, max(depth, most))
     found = cut_lineage(retrieved_chunks(scored, max(depth, most), most))
     grid = F.array(*[F.struct(F.lit(i).alias("chunking"), F.lit(s).alias("size"), F.lit(s - o).alias("step")) for i, (s, o) in enumerate(chunkings)])
-    # each retrieved chunk is cut from its document once, then judged for the cases that got it
-    places = small(cut_lineage(found.select("chunking", "doc_id", "chunk_no").distinct()))
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(places, "doc_id")
-    shape = F.element_at(grid, F.col("chunking") + 1)
-    piece = texts.select(
-        "chunking", "doc_id", "chunk_no",
-        F.slice(text_tokens(F.col("text")), (F.col("chunk_no") * shape["step"] + 1).cast("int"), shape["size"]).alias("tokens"),
-    )
+    # a document is cut into tokens once for all of its retrieved chunks, and a chunk into words once for all cases that got it
+    places = cut_lineage(found.groupBy("doc_id").agg(F.collect_set(F.struct("chunking", "chunk_no")).alias("places")))
+    if (places.agg(F.sum(F.size("places"))).first()[0] or 0) <= BROADCAST_ROWS:
+        places = F.broadcast(places)
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(places, "doc_id").repartition("doc_id")
+    tokens = texts.select("doc_id", "places", F.explode(F.array(text_tokens(F.col("text")))).alias("_t"))
+
+    def cut(place: Column) -> Column:
+        shape = F.element_at(grid, place["chunking"] + 1)
+        held = F.slice("_t", (place["chunk_no"] * shape["step"] + 1).cast("int"), shape["size"])
+        return F.struct(place["chunking"].alias("chunking"), place["chunk_no"].alias("chunk_no"), held.alias("tokens"))
+
+    piece = tokens.select("doc_id", F.inline(F.transform("places", cut)))
+    piece = piece.select("chunking", "doc_id", "chunk_no", F.size("tokens").alias("n"), F.array_join("tokens", " ").alias("chunk"))
+    piece = piece.withColumn("words", words(F.col("chunk")))
     asked = cases.select("case_id", F.array_join(text_tokens(F.col("text")), " ").alias("passage"), F.array_distinct(words(F.col("text"))).alias("terms"))
     judged = found.join(piece, ["chunking", "doc_id", "chunk_no"]).join(asked, "case_id")
-    judged = judged.withColumn("chunk", F.array_join("tokens", " ")).select(
-        "chunking", "search_mode", "case_id", "rank", F.size("tokens").alias("n"), F.array_intersect("terms", words(F.col("chunk"))).alias("held"),
+    judged = judged.select(
+        "chunking", "search_mode", "case_id", "rank", "n", F.array_intersect("terms", "words").alias("held"),
         F.when((F.col("passage") != "") & F.contains("chunk", "passage"), F.col("rank")).alias("hit_rank"),
     )
     per_k = judged.withColumn("top_k", F.explode(F.array(*[F.lit(k) for k in axes["top_k"]]))).where("rank <= top_k")

@@ -83,3 +83,9 @@ def test_prompts_are_held_against_the_window(spark):
     assert got["first", 1] == (0.0, round(4 / 7, 4), 1.0, 6)
     assert got["last", 1] == (1.0, round(1 / 7, 4), 0.0, 6)
     assert got["first", 2] == (1.0, 1.0, 1.0, 3) and got["last", 3] == (1.0, 1.0, 0.0, 4)
+
+
+def test_documents_of_one_file_reach_many_tasks(spark, texts):
+    docs = spark.createDataFrame(texts, "doc_id long, text string").coalesce(1)
+    plan = T.posting_table(docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression [doc_id" in plan
