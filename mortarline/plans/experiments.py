@@ -18,6 +18,7 @@ from mortarline.plans.adapters import ctes, table, view
 from mortarline.plans.quality import _CASES, _cases
 from mortarline.plans.registry import register
 from mortarline.plans.retrieval import _bm25_sql
+from mortarline.session import cut_lineage
 
 PROMPT_AXES = {"system_prompt": ["v1", "v2"], "rag_template": ["v1", "v2"]}
 RAG_AXES = {
@@ -185,7 +186,8 @@ def rag_summary(spark: SparkSession, sf: str) -> DataFrame:
       row_number() OVER (ORDER BY composite_quality DESC, combo_no) AS rank FROM p""",
 )
 def rag_tuning(spark: SparkSession, sf: str) -> DataFrame:
-    scores = T.rag_scores(_measured(spark, sf), ["combo_no", *RAG_AXES])
+    # the front reads the scores, a row per configuration, several times
+    scores = cut_lineage(T.rag_scores(_measured(spark, sf), ["combo_no", *RAG_AXES]))
     front = X.pareto_front(scores, "composite_quality", "estimated_cost_per_request")
     return X.ranked(front, "composite_quality").select("combo_no", "composite_quality", "estimated_cost_per_request", "rank")
 

@@ -89,3 +89,20 @@ def test_documents_of_one_file_reach_many_tasks(spark, texts):
     docs = spark.createDataFrame(texts, "doc_id long, text string").coalesce(1)
     plan = T.posting_table(docs)._jdf.queryExecution().optimizedPlan().toString()
     assert "RepartitionByExpression [doc_id" in plan
+
+
+def test_scores_are_measured_once_for_the_front(spark, monkeypatch):
+    from mortarline.plans import experiments as P
+
+    reads = spark.sparkContext.accumulator(0)
+    rows = [(i, 4, 0, "vector", 1, 1, float(i % 2), 0.5, 0.5, 10 * i, 3) for i in range(4)]
+    schema = "combo_no int, chunk_size int, overlap int, search_mode string, top_k int, case_id long, hit double, coverage double, reciprocal_rank double, context_tokens long, chunks_scored long"
+
+    def counted(batches):
+        reads.add(1)
+        yield from batches
+
+    runs = spark.createDataFrame(rows, schema).coalesce(1).mapInPandas(counted, schema)
+    monkeypatch.setattr(P, "_measured", lambda spark, sf: runs)
+    assert P.rag_tuning(spark, "").count() > 0
+    assert reads.value == 1
