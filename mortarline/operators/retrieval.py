@@ -112,7 +112,7 @@ def keyword_topk(docs: DataFrame, queries: DataFrame, k: int = 3, k1: float = 1.
     """BM25 top-k: ``docs`` (doc_id, text), ``queries`` (query_id, text).
 
     One pass over the documents collects the document frequency of query terms and the
-    average length, a second one deals the occurrences of query terms by document.  Their counts and the sums per
+    average length, a second one deals the texts by document.  The counts of query terms and the sums per
     (query, document) are then made where they lie, and only each task's best rows of a query are shuffled again.
     The number of those tasks follows the documents times the queries, so what one holds does not grow with the tables.
     """
@@ -134,11 +134,13 @@ def keyword_topk(docs: DataFrame, queries: DataFrame, k: int = 3, k1: float = 1.
     terms = tokens.select(F.explode(F.array_distinct("t")).alias("term"))
     known = terms.join(vocabulary, "term", "left_semi")
     idf = known.groupBy("term").agg(_idf(F.lit(float(n_docs)), F.count(F.lit(1))).alias("idf"))
+    # texts are dealt, not their words, which would fill a task's memory on the way to many others
+    dealt = docs.select("doc_id", "text").repartition(tasks, "doc_id").select("doc_id", F.explode(F.array(words(F.col("text")))).alias("t"))
+    found = dealt.select("doc_id", F.size("t").alias("len"), F.explode("t").alias("term")).join(vocabulary, "term", "left_semi")
+    if n_terms > BROADCAST_TERMS:
+        found = found.repartition(tasks, "doc_id")
     tf = (
-        tokens.select("doc_id", F.size("t").alias("len"), F.explode("t").alias("term"))
-        .join(vocabulary, "term", "left_semi")
-        .repartition(tasks, "doc_id")
-        .groupBy("doc_id", "term")
+        found.groupBy("doc_id", "term")
         .agg(F.count(F.lit(1)).alias("tf"), F.first("len").alias("len"))
         .join(sized(idf, n_terms), "term")
     )
