@@ -120,11 +120,13 @@ def wall_segments(walls: DataFrame, openings: DataFrame, key: str = "wall_id") -
     slivers of 0.1 or less vanish.  A wall of no rows has no segment, and an opening whose
     last row is below its first cuts nothing.  The window runs over the gaps of one row of one wall.
     The gaps are sorted and merged by wall and row: their number is unknown before they are
-    expanded, so they must not be broadcast.
+    expanded, so they must not be broadcast.  The number of those tasks follows the walls and openings, so what one
+    holds does not grow with the tables.
     """
-    rows = _dealt(walls).withColumn("row", F.explode(_upward(F.lit(1), F.col("n_rows"))))
+    tasks = ceil((walls.count() + openings.count()) / TASK_ROWS) or 1
+    rows = _dealt(walls).withColumn("row", F.explode(_upward(F.lit(1), F.col("n_rows")))).repartition(tasks, key, "row")
     gaps = openings.withColumn("row", F.explode(_upward(F.col("from_row"), F.col("to_row")))).select(key, "row", "o_start", "o_end")
-    gaps = gaps.hint("merge")
+    gaps = gaps.repartition(tasks, key, "row").hint("merge")
     w = Window.partitionBy(key, "row").orderBy("o_start", "o_end")
     cut = (
         rows.join(gaps, [key, "row"], "left")

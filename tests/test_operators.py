@@ -374,6 +374,17 @@ def test_gaps_are_not_broadcast(spark):
     assert out.where("wall_id = 1").count() == 8 and out.where("wall_id is null").count() == 4
 
 
+def test_wall_rows_are_dealt_over_tasks(spark, monkeypatch):
+    walls = spark.range(60).selectExpr("id wall_id", "3 color", "0D span_start", "200D span_end", "100D ground_y", "4 n_rows", "10D cross_pos", "'X' axis")
+    openings = spark.range(0, 60, 2).selectExpr("id wall_id", "40D o_start", "80D o_end", "2 from_row", "3 to_row")
+    want = sorted(map(tuple, L.wall_segments(walls, openings).collect()))
+    monkeypatch.setattr(L, "TASK_ROWS", 5)
+    monkeypatch.setattr(L, "_dealt", lambda df: df)
+    out = L.wall_segments(walls, openings)
+    assert out._jdf.queryExecution().optimizedPlan().toString().count(", 18") == 2  # 90 walls and openings, 5 a task, on both sides
+    assert sorted(map(tuple, out.collect())) == want and len(want) == 300
+
+
 def test_floors_are_dealt_over_tasks(spark, monkeypatch):
     floors = spark.range(50).coalesce(1).selectExpr("id", "1 color", "0D x_min", "400D x_max", "0D z_min", "60D z_max", "0D y", "2 layers")
     want = sorted(map(tuple, L.floor_plates(floors, ["id"]).collect()))
