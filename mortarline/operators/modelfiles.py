@@ -9,12 +9,16 @@ the position, the layer or the part.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from math import ceil
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from mortarline import dims as D
 
+#: Parts and colours of lines that one task of a validation counts, and tasks over which a model's other lines go.
+TASK_LINES, SPREAD = 400_000, 64
+
 _NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 
 
@@ -46,7 +50,11 @@ def parse_placements(lines: DataFrame) -> DataFrame:
 
 def validate(lines: DataFrame) -> DataFrame:
     """Per model: line, part, FILE/NOFILE, STEP and bad-reference counts, distinct parts
-    and colours (ignoring case), y range and PASS/FAIL verdicts."""
+    and colours (ignoring case), y range and PASS/FAIL verdicts.
+
+    Lines meet by model and part, and by model and colour, in tasks whose number follows the lines, so what one
+    holds does not grow with the tables; other lines of a model are spread.
+    """
     low = F.lower("value")
     is_part = F.col("value").rlike(r"^1\s")
     tokens = F.col("_t")
@@ -65,8 +73,18 @@ def validate(lines: DataFrame) -> DataFrame:
         F.when(is_part, F.lower(F.element_at(tokens, -1))).alias("part"),
         F.when(is_part, F.lower(F.try_element_at(tokens, F.lit(2)))).alias("color"),
         F.when(is_part, _number(F.try_element_at(tokens, F.lit(4)))).alias("y"),
+        F.when(~is_part, F.pmod(F.monotonically_increasing_id(), F.lit(SPREAD))).alias("spread"),
+    )
+    # a part line is met by its part and once more by its colour, so both are counted in one shuffle
+    line = F.struct("kind", F.col("part").alias("name"), "y", "spread")
+    nothing = F.lit(None)
+    color = F.struct(
+        F.lit("color").alias("kind"), F.col("color").alias("name"), nothing.cast("double").alias("y"), nothing.cast("long").alias("spread")
     )
-    small = kinds.groupBy("model", "kind", "part", "color").agg(
+    keys = ["model", "kind", "name", "spread"]
+    met = kinds.select("model", F.inline(F.array_compact(F.array(line, F.when(F.col("kind") == "part", color)))))
+    tasks = ceil(2 * lines.count() / TASK_LINES) or 1
+    small = met.repartition(tasks, *keys).groupBy(*keys).agg(
         F.count(F.lit(1)).alias("n"), F.min("y").alias("y_min"), F.max("y").alias("y_max")
     )
 
@@ -74,15 +92,15 @@ def validate(lines: DataFrame) -> DataFrame:
         return F.coalesce(F.sum(F.when(when, F.col("n"))), F.lit(0))
 
     kind = F.col("kind")
-    bad = (kind == "part") & ~(F.col("part").endswith(".dat") | F.col("part").endswith(".ldr"))
+    bad = (kind == "part") & ~(F.col("name").endswith(".dat") | F.col("name").endswith(".ldr"))
     out = small.groupBy("model").agg(
-        F.sum("n").alias("line_count"),
+        total(kind != "color").alias("line_count"),
         total(kind == "part").alias("part_count"),
         total(kind == "file").alias("file_count"),
         total(kind == "nofile").alias("nofile_count"),
         total(kind == "step").alias("step_count"),
-        F.count_distinct("part").alias("unique_parts"),
-        F.count_distinct("color").alias("unique_colors"),
+        F.count_if(kind == "part").alias("unique_parts"),
+        F.count_if((kind == "color") & F.col("name").isNotNull()).alias("unique_colors"),
         F.min("y_min").alias("y_min"),
         F.max("y_max").alias("y_max"),
         total(bad).alias("bad_refs"),
