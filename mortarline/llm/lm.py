@@ -40,6 +40,10 @@ from mortarline.session import cut_lineage
 HIDDEN = 12
 HEAD_SHARE, HEAD_POWER = 4.0, 0.4
 LANES, WINDOW, ROUNDS, RATE = 256, 32, 2, 0.01
+#: Targets of a window whose outputs are made at once, so that they stay in a core's cache.
+BLOCK = 2048
+#: Lanes in scoring, where they only share the cost of a step: the state of a document is its own.
+SCORE_LANES = 1024
 #: Tasks' parameters are added up in so many tasks before they reach the driver.
 SUMMERS = 8
 
@@ -183,12 +187,16 @@ def tail_of(p: dict) -> int:
 
 
 def _sigmoid(x):
-    return 0.5 + 0.5 * np.tanh(0.5 * x)
+    """The sigmoid, in the place of ``x``."""
+    x *= np.float32(0.5)
+    np.tanh(x, out=x)
+    x *= np.float32(0.5)
+    x += np.float32(0.5)
 
 
 def _softmax(x):
     """(exponentials, in the place of ``x``; their row sums); biases keep the values near log probabilities, so none overflow."""
-    e = np.exp(np.minimum(x, 60, out=x), out=x)
+    e = np.exp(np.minimum(x, np.float32(60), out=x), out=x)
     return e, e @ np.ones(e.shape[1], np.float32)
 
 
@@ -206,56 +214,76 @@ def window_pass(p: dict, x: np.ndarray, y: np.ndarray, fresh: np.ndarray, h: np.
     steps, lanes = x.shape
     hid = HIDDEN
     classes, slots = p["db"].shape
-    emb = p["e"][x]
-    gx = (emb.reshape(-1, hid) @ p["w"] + p["b"]).reshape(steps, lanes, 3 * hid)
+    ones = np.ones((max(steps * lanes, len(p["e"])), 1), np.float32)
+    emb = p["e"][x].reshape(-1, hid)
+    gx = np.matmul(emb, p["w"])
+    gx += p["b"]
+    gx = gx.reshape(steps, lanes, 3 * hid)
     out = np.empty((steps, lanes, hid), np.float32)
     saved = []
+    begins = fresh.any(axis=1)
     keep = (1.0 - fresh).astype(np.float32)[:, :, None]
     for t in range(steps):
-        h0 = h * keep[t]
+        h0 = h * keep[t] if begins[t] else h
         gh = h0 @ p["u"]
-        zr = _sigmoid(gx[t, :, : 2 * hid] + gh[:, : 2 * hid])
-        z, r = zr[:, :hid], zr[:, hid:]
-        n = np.tanh(gx[t, :, 2 * hid :] + r * gh[:, 2 * hid :])
-        h = n + z * (h0 - n)
-        out[t] = h
+        zr = gx[t, :, : 2 * hid] + gh[:, : 2 * hid]
+        _sigmoid(zr)
+        n = zr[:, hid:] * gh[:, 2 * hid :]
+        n += gx[t, :, 2 * hid :]
+        np.tanh(n, out=n)
+        h = np.subtract(h0, n, out=out[t])
+        h *= zr[:, :hid]
+        h += n
         if learn:
             saved.append((h0, gh[:, 2 * hid :], zr, n))
+    h = h.copy()
     flat_y = y.ravel()
     at = np.flatnonzero(flat_y >= 0)
-    states, goal = out.reshape(-1, hid)[at], flat_y[at]
+    goal = flat_y[at]
     kind, slot = goal // slots, goal % slots
-    values = states @ p["c"].T + p["cb"]
-    rows = np.arange(len(goal))
-    picked = values[rows, kind]
-    exps, sums = _softmax(values)
-    found = (picked - np.log(sums)).astype(np.float64)
+    # by class, so that the rows of one lie together; a bias is the weight of a column of ones
     order = np.argsort(kind.astype(np.int16), kind="stable")
-    cuts = np.searchsorted(kind[order], np.arange(classes + 1))
-    if learn:
-        share = np.float32(1.0 / max(1, len(goal)))
-        g = {k: np.zeros_like(v) for k, v in p.items()}
-        d_class = exps
-        d_class *= (share / sums)[:, None]
-        d_class[rows, kind] -= share
-        g["c"], g["cb"] = d_class.T @ states, d_class.sum(0)
-        d_states = d_class @ p["c"]
-    for k in range(classes):
-        mine = order[cuts[k] : cuts[k + 1]]
-        if not len(mine):
-            continue
-        own = states[mine]
-        values = own @ p["d"][k].T + p["db"][k]
-        i, j = rows[: len(mine)], slot[mine]
-        picked = values[i, j]
+    at, kind, slot = at[order], kind[order], slot[order]
+    states = np.concatenate([out.reshape(-1, hid)[at], ones[: len(at)]], axis=1)
+    share = np.float32(1.0 / max(1, len(goal)))
+    outer = np.concatenate([p["c"], p["cb"][:, None]], axis=1)
+    inner = np.concatenate([p["d"], p["db"][:, :, None]], axis=2)
+    found = np.zeros(len(goal))
+    d_states = np.zeros((len(goal), hid), np.float32) if learn else None
+    g = {k: np.zeros_like(v) for k, v in p.items()} if learn else None
+
+    def softmaxed(weights: np.ndarray, lo: int, hi: int, wanted: np.ndarray) -> np.ndarray | None:
+        """Adds the log probabilities of the ``wanted`` outputs of rows lo to hi; the weights' gradients, if learning."""
+        own = states[lo:hi]
+        values = own @ weights.T
+        rows = np.arange(hi - lo)
+        picked = values[rows, wanted]
         exps, sums = _softmax(values)
-        found[mine] += picked - np.log(sums)
+        found[lo:hi] += picked - np.log(sums)
+        if not learn:
+            return None
+        exps *= (share / sums)[:, None]
+        exps[rows, wanted] -= share
+        d_states[lo:hi] += exps @ weights[:, :hid]
+        return exps.T @ own
+
+    total = np.zeros_like(outer)
+    for lo in range(0, len(goal), BLOCK):
+        d = softmaxed(outer, lo, min(lo + BLOCK, len(goal)), kind[lo : lo + BLOCK])
+        if learn:
+            total += d
+    if learn:
+        g["c"], g["cb"] = total[:, :hid], total[:, hid]
+    cuts = np.searchsorted(kind, np.arange(classes + 1))
+    for k in np.flatnonzero(cuts[1:] > cuts[:-1]).tolist():
+        total = None
+        for lo in range(cuts[k], cuts[k + 1], BLOCK):
+            hi = min(lo + BLOCK, cuts[k + 1])
+            d = softmaxed(inner[k], lo, hi, slot[lo:hi])
+            if learn:
+                total = d if total is None else total + d
         if learn:
-            d = exps
-            d *= (share / sums)[:, None]
-            d[i, j] -= share
-            g["d"][k], g["db"][k] = d.T @ own, d.sum(0)
-            d_states[mine] += d @ p["d"][k]
+            g["d"][k], g["db"][k] = total[:, :hid], total[:, hid]
     result = np.zeros(flat_y.shape)
     result[at] = found
     if not learn:
@@ -265,20 +293,31 @@ def window_pass(p: dict, x: np.ndarray, y: np.ndarray, fresh: np.ndarray, h: np.
     d_out = d_out.reshape(steps, lanes, hid)
     d_gx = np.empty_like(gx)
     d_next = np.zeros((lanes, hid), np.float32)
+    u_back = np.ascontiguousarray(p["u"].T)
     for t in range(steps - 1, -1, -1):
         h0, ghn, zr, n = saved[t]
         z, r = zr[:, :hid], zr[:, hid:]
-        dh = d_out[t] + d_next
-        dn = dh * (1 - z) * (1 - n * n)
-        d_gx[t, :, :hid] = dh * (h0 - n) * z * (1 - z)
-        d_gx[t, :, hid : 2 * hid] = dn * ghn * r * (1 - r)
-        d_gx[t, :, 2 * hid :] = dn
-        d_gh = d_gx[t].copy()
+        dh = d_out[t]
+        dh += d_next
+        d = d_gx[t]
+        gate = 1 - zr
+        dn = dh * gate[:, :hid]
+        dn *= 1 - n * n
+        gate *= zr
+        np.multiply(dh, h0 - n, out=d[:, :hid])
+        np.multiply(dn, ghn, out=d[:, hid : 2 * hid])
+        d[:, : 2 * hid] *= gate
+        d[:, 2 * hid :] = dn
+        d_gh = d.copy()
         d_gh[:, 2 * hid :] *= r
         g["u"] += h0.T @ d_gh
-        d_next = (dh * z + d_gh @ p["u"].T) * keep[t]
+        d_next = d_gh @ u_back
+        dh *= z
+        d_next += dh
+        if begins[t]:
+            d_next *= keep[t]
     flat = d_gx.reshape(-1, 3 * hid)
-    g["w"], g["b"] = emb.reshape(-1, hid).T @ flat, flat.sum(0)
+    g["w"], g["b"] = emb.T @ flat, ones[: len(flat), 0] @ flat
     g["e"] = _rows_added(x.ravel(), flat @ p["w"].T, len(p["e"]))
     return result.reshape(y.shape), h, g
 
@@ -301,12 +340,12 @@ class Adam:
             p[k] -= rate * self.m[k] / (np.sqrt(self.v[k]) + np.float32(1e-6))
 
 
-def lanes_of(docs: list[np.ndarray]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+def lanes_of(docs: list[np.ndarray], most: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """Windows (inputs, targets, fresh, document) over whole documents laid end to end in lanes.
 
     A document is read from the end token on, so its first input is that token with no state.
     """
-    lanes = min(LANES, len(docs))
+    lanes = min(most, len(docs))
     lengths = np.fromiter(map(len, docs), np.int64, len(docs))
     held: list[list[int]] = [[] for _ in range(lanes)]
     heap = [(0, i) for i in range(lanes)]
@@ -351,7 +390,7 @@ def train_on(p: dict, docs: list[np.ndarray], adam: Adam) -> float:
     """Train on whole documents; returns the summed natural log probability met on the way."""
     total = 0.0
     h = None
-    for x, y, fresh, _ in lanes_of(docs):
+    for x, y, fresh, _ in lanes_of(docs, LANES):
         h = np.zeros((x.shape[1], HIDDEN), np.float32) if h is None else h[: x.shape[1]]
         logs, h, g = window_pass(p, x, y, fresh, h, learn=True)
         # few lanes are left behind the shorter documents: their windows move the parameters by their share
@@ -364,7 +403,7 @@ def score_of(p: dict, docs: list[np.ndarray]) -> np.ndarray:
     """Natural log probability of each document's classes and head words, over the whole document."""
     total = np.zeros(len(docs))
     h = None
-    for x, y, fresh, doc in lanes_of(docs):
+    for x, y, fresh, doc in lanes_of(docs, SCORE_LANES):
         h = np.zeros((x.shape[1], HIDDEN), np.float32) if h is None else h[: x.shape[1]]
         logs, h, _ = window_pass(p, x, y, fresh, h, learn=False)
         total += np.bincount(doc.ravel(), weights=logs.ravel(), minlength=len(docs))

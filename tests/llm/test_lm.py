@@ -154,3 +154,17 @@ def test_the_model_tells_apart_more_words_of_a_larger_corpus(spark):
     assert lm.head_size(170_000) < 1200
     got = lm.score_documents(spark.createDataFrame(rows, "doc_id long, text string, train boolean").repartition(2)).where("NOT train").collect()
     assert sum(r["score"] for r in got) > sum(r["base_score"] for r in got)
+
+
+def test_scoring_takes_more_lanes_than_training(monkeypatch):
+    rng = np.random.default_rng(9)
+    p = lm.initial(np.array([50, 40, 30, 20, 10]), 200)
+    p["c"][:], p["d"][:] = rng.normal(0, 1, p["c"].shape), rng.normal(0, 1, p["d"].shape)
+    docs = [np.append(rng.integers(0, 6, n), lm.END) for n in rng.integers(1, 90, 700)]
+    wide, widths = lm.score_of(p, docs), []
+    once = lm.window_pass
+    monkeypatch.setattr(lm, "window_pass", lambda p, x, *rest, **more: widths.append(x.shape[1]) or once(p, x, *rest, **more))
+    monkeypatch.setattr(lm, "BLOCK", 7)
+    assert np.allclose(lm.score_of(p, docs), wide, rtol=1e-6)
+    assert max(widths) == len(docs) > lm.LANES  # a step costs calls, not lanes, so few windows are cheaper
+    assert np.allclose([lm.score_of(p, [d])[0] for d in docs[:20]], wide[:20], rtol=1e-6)
