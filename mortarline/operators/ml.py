@@ -66,20 +66,27 @@ def _assembled(df: DataFrame, features: Sequence[str]) -> DataFrame:
 def kmeans(
     df: DataFrame, features: Sequence[str], k: int = 5, seed: int = 42, restarts: int = 10, parallel: int = 5
 ) -> DataFrame:
-    """Best of several k-means runs on standardised features, as a ``cluster`` column."""
+    """Best of several k-means runs on standardised features, as a ``cluster`` column.
+
+    ``df`` is computed once, for its means, the runs and the result, which is written before the copy is released.
+    The runs go over a copy of the features alone.
+    """
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
     scaled = standardize(df.withColumns({f"_z_{f}": F.col(f).cast("double") for f in features}), [f"_z_{f}" for f in features])
-    data = _assembled(scaled, [f"_z_{f}" for f in features]).persist(StorageLevel.MEMORY_AND_DISK)
+    data = _assembled(scaled, [f"_z_{f}" for f in features])
+    points = data.select("_features").persist(StorageLevel.MEMORY_AND_DISK)
     try:
         def run(i: int) -> KMeansModel:
-            return KMeans(k=k, seed=seed + i, featuresCol="_features", predictionCol="cluster").fit(data)
+            return KMeans(k=k, seed=seed + i, featuresCol="_features", predictionCol="cluster").fit(points)
 
         # restarts are independent jobs; a few at a time keep the executors busy
         with ThreadPoolExecutor(parallel) as pool:
-            runs = list(pool.map(inheritable_thread_target(data.sparkSession)(run), range(restarts)))
+            runs = list(pool.map(inheritable_thread_target(points.sparkSession)(run), range(restarts)))
+        best = min(runs, key=lambda m: m.summary.trainingCost)
+        return cut_lineage(best.transform(data).drop("_features", *[f"_z_{f}" for f in features]))
     finally:
-        data.unpersist()
-    best = min(runs, key=lambda m: m.summary.trainingCost)
-    return best.transform(data).drop("_features", *[f"_z_{f}" for f in features])
+        points.unpersist()
+        df.unpersist()
 
 
 def forest_scores(

@@ -385,6 +385,35 @@ def test_wall_rows_are_dealt_over_tasks(spark, monkeypatch):
     assert sorted(map(tuple, out.collect())) == want and len(want) == 300
 
 
+def test_validation_counts_in_bounded_tasks(spark, monkeypatch):
+    part = "1 {} 0 {} 0 1 0 0 0 1 0 0 0 1 {}"
+    values = [("a", part.format(4, 8, "3001.dat")), ("a", part.format(4, -2, "3001.DAT")), ("a", part.format(7, "x", "bad")), ("a", "1 "),
+              ("a", "0 FILE m.ldr"), ("a", "0 NOFILE"), ("a", "0 STEP"), ("a", "0 STEP"), (None, None), ("b", "0 file x")]
+    lines = spark.createDataFrame(values, "model string, value string")
+    monkeypatch.setattr(B, "TASK_LINES", 1)
+    out = B.validate(lines)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "Expand" not in plan and ", 20" in plan  # ten lines, each met by part and by colour
+    got = {r["model"]: tuple(r)[1:] for r in out.collect()}
+    assert got["a"] == (8, 4, 1, 1, 2, 3, 3, -2.0, 8.0, 2, "PASS", "FAIL")
+    assert got["b"] == (1, 0, 1, 0, 0, 0, 0, None, None, 0, "FAIL", "PASS")
+    assert got[None] == (1, 0, 0, 0, 0, 0, 0, None, None, 0, "PASS", "PASS")
+
+
+def test_kmeans_computes_its_rows_once(spark):
+    read = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for batch in batches:
+            read.add(batch.num_rows)
+            yield batch
+
+    rows = spark.range(40).selectExpr("id", "cast(id % 2 * 100 + id as double) x").mapInArrow(seen, "id long, x double")
+    out = M.kmeans(rows, ["x"], k=2, restarts=2)
+    assert sorted(r["count"] for r in out.groupBy("cluster").count().collect()) == [20, 20]
+    assert out.count() == 40 and read.value == 40
+
+
 def test_floors_are_dealt_over_tasks(spark, monkeypatch):
     floors = spark.range(50).coalesce(1).selectExpr("id", "1 color", "0D x_min", "400D x_max", "0D z_min", "60D z_max", "0D y", "2 layers")
     want = sorted(map(tuple, L.floor_plates(floors, ["id"]).collect()))
