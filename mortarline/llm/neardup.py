@@ -28,6 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from mortarline.functions.graph import connected_components
+from mortarline.llm.suspects import likely_among
 from mortarline.llm.text import by_batch, bytes_of, mixed, word_digests
 from mortarline.session import cut_lineage
 
@@ -304,9 +305,10 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
         sb = alike.select(F.col("rep").alias("b"), F.col("sign").alias("sb"))
         return cut_lineage(pairs.distinct().join(sa, "a").join(sb, "b").where(agreeing).select("a", "b"))
 
-    # texts of the documents that stand for several rows are read once and serve both rounds
+    # texts of the documents that stand for several rows are read once and serve both rounds; the others
+    # are dropped where they are read, not after a shuffle of all texts
     wanted = members.select(F.col("rep").alias("id")).distinct()
-    texts = cut_lineage(known.join(wanted, "id").groupBy("id").agg(F.min("text").alias("text")))
+    texts = cut_lineage(likely_among(known, wanted, "id").join(wanted, "id").groupBy("id").agg(F.min("text").alias("text")))
 
     first = promising(members.where("rep <> head").select(F.col("rep").alias("a"), F.col("head").alias("b")))
     tested = cut_lineage(_compared(first, texts, weights, id_type))

@@ -23,6 +23,8 @@ from mortarline.llm.text import mixed
 FIRST, MARK, KNOWN = 0, 1, 2
 #: Bits per digest in each filter, and positions set for it.
 BITS, PROBES = 16, 2
+#: Digests in a part of a filter that the driver hands out, and in all parts before further ones make them fuller instead of more.
+PART, MOST = 1 << 20, 1 << 24
 
 
 class Bloom:
@@ -164,3 +166,43 @@ def _by_document(batch: pa.RecordBatch, twice: Bloom | None) -> Iterator[pa.Reco
 def per_document(found: DataFrame) -> DataFrame:
     """One row (id, hashes) per id, with all digests that are suspected for it."""
     return found.groupBy("id").agg(F.flatten(F.collect_list("hashes")).alias("hashes"))
+
+
+def likely_among(rows: DataFrame, keys: DataFrame, name: str) -> DataFrame:
+    """The ``rows`` whose column ``name`` is among that of ``keys``, and a few others, without a shuffle of ``rows``.
+
+    One Bloom filter for each ``PART`` keys, made in tasks, is handed out: two bytes a key, and up to ``MOST`` keys.  With
+    more keys the filter stays as large and lets more rows through.  None is missed, and a join has to drop the others.
+    """
+    digests = keys.where(F.col(name).isNotNull()).select(F.xxhash64(name).alias("h"))
+    n = digests.count()
+    parts = max(1, -(-min(n, MOST) // PART))
+    expected = max(1, min(n, MOST) // parts)
+
+    def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own: dict[int, Bloom] = {}
+        for batch in batches:
+            h, part = batch.column("h").to_numpy().view(np.uint64), batch.column("part").to_numpy()
+            for p in np.unique(part).tolist():
+                own.setdefault(p, Bloom(expected)).add(h[part == p])
+        for p, bloom in own.items():
+            yield pa.RecordBatch.from_arrays([pa.array([p], pa.int32()), pa.array([bloom.bits.tobytes()], pa.binary())], ["part", "bits"])
+
+    part = F.pmod("h", F.lit(parts)).cast("int").alias("part")
+    made = digests.select("h", part).repartition(parts, "part").mapInArrow(build, "part int, bits binary")
+    columns, filters = rows.columns, {}
+    for row in made.toLocalIterator():
+        filters[row["part"]] = Bloom(expected)
+        filters[row["part"]].bits = np.frombuffer(bytes(row["bits"]), np.uint8)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            signed = batch.column("_h").to_numpy()
+            hit = np.zeros(len(signed), bool)
+            for p, bloom in filters.items():
+                at = np.flatnonzero(signed % parts == p)
+                hit[at] = bloom.has(signed[at].view(np.uint64))
+            if hit.any():
+                yield batch.filter(pa.array(hit)).select(columns)
+
+    return rows.select("*", F.xxhash64(name).alias("_h")).mapInArrow(keep, rows.schema)

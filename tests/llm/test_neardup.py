@@ -81,3 +81,20 @@ def test_samples_agree_as_often_as_the_similarity():
 
 def test_empty(spark):
     assert near_duplicates(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_texts_of_documents_without_company_are_dropped_before_a_shuffle(spark):
+    from mortarline.llm.suspects import PART, likely_among
+
+    rows = spark.createDataFrame([(i, f"text {i}") for i in range(20_000)] + [(None, "no id"), (40, None)], "id long, text string")
+    keys = spark.createDataFrame([(i,) for i in range(0, 20_000, 40)] + [(40,), (None,)], "id long")
+    found = likely_among(rows, keys, "id")
+    assert "Exchange" not in found._jdf.queryExecution().executedPlan().toString()
+    got = found.collect()
+    ids = {r["id"] for r in got}
+    assert ids >= set(range(0, 20_000, 40)) and (40, None) in [tuple(r) for r in got]
+    assert len(got) < 1_500 and PART > 500
+    assert likely_among(rows, keys.where("id < 0"), "id").count() < 50
+    names = rows.select("text", "id")
+    several = likely_among(names, names.where("id % 10 = 0").select("text"), "text").select("text").collect()
+    assert len(several) < 3_500 and {r["text"] for r in several} >= {f"text {i}" for i in range(0, 20_000, 10)}
