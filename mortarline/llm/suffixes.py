@@ -2,7 +2,8 @@
 
 Every string of ``length`` bytes has one anchor, the window's smallest digest of a shorter gram, so equal
 strings have equal anchors.  Anchors that two documents hold are found with Bloom filters (``suspects``);
-only the stretches around those are shuffled, by anchor, and equal stretches are folded before.  A task puts
+only the stretches around those are looked at further, and equal ones are folded by their digests first, which settles all
+anchors with a single stretch.  The other stretches are shuffled, by anchor.  A task puts
 the stretches of its anchors together and derives their common prefixes from the transform: intervals of
 suffixes that agree in n bytes are extended backward by one byte, breadth first, which finds the places where
 exactly n + 1 bytes agree.  The expansion stops at ``length``; what is still together then is one string, and the
@@ -21,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mortarline.llm.suspects import per_document, suspected
+from mortarline.llm.suspects import likely_among, per_document, suspected
 from mortarline.llm.text import by_batch, cut_and_release, mixed
 
 #: Positions in one stretch at most; a longer run of one anchor is cut into several.
@@ -182,7 +183,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     def digest(batch: pa.RecordBatch) -> list[np.ndarray]:
         return [np.unique(stretches(t, length)[2]) for t in batch.column("text").to_pylist()]
 
-    found = per_document(suspected(rows.select("id", "text"), digest, "id")).withColumnRenamed("id", "_id")
+    found = cut_and_release(per_document(suspected(rows.select("id", "text"), digest, "id"))).withColumnRenamed("id", "_id")
     whole = copies.groupBy(F.col("id").alias("_c")).agg(F.collect_set("print").alias("copies"))
     held = rows.join(found, rows["id"].eqNullSafe(found["_id"])).join(whole, rows["id"].eqNullSafe(whole["_c"]), "left")
 
@@ -218,11 +219,18 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     named = held.select("id", "text", "print", "hashes", "copies").mapInArrow(name, f"id {id_type}, print long, start int, key long, s binary")
     named = cut_and_release(named)
-    sid = [F.xxhash64("s").alias("s1"), F.xxhash64(F.lit(length), F.col("s")).alias("s2")]
-    folded = cut_and_release(named.groupBy("key", "s").agg(F.min(_rank(F.col("id"))).alias("least"), F.max(_rank(F.col("id"))).alias("most")))
-    counts = folded.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max(F.col("least") < F.col("most")).alias("held_twice"))
-    counts = counts.where("n > 1 OR held_twice").select("key", "n")
-    usable = cut_and_release(folded.join(counts, "key"))
+    # a stretch is told apart by its anchor and a digest; those of an anchor that has a single one have the same holders
+    # at all places, so only the others are looked at as strings
+    piece = F.xxhash64("s").alias("piece")
+    holders = [F.min(_rank(F.col("id"))).alias("least"), F.max(_rank(F.col("id"))).alias("most")]
+    folded = named.groupBy("key", piece).agg(*holders, F.first(F.octet_length("s")).alias("size"))
+    counts = folded.groupBy("key").agg(
+        F.count(F.lit(1)).alias("n"), F.max(F.col("least") < F.col("most")).alias("held_twice"), *[F.first(c).alias(c) for c in ("piece", "least", "size")]
+    )
+    counts = cut_and_release(counts.where("n > 1 OR held_twice"))
+    one = counts.where("n = 1").select("key", "piece", F.lit(0).alias("lo"), (F.col("size") - length).alias("hi"), F.col("least").alias("holder"))
+    several = counts.where("n > 1").select("key", "n")
+    usable = cut_and_release(likely_among(named.select("id", "key", "s"), several, "key").groupBy("key", "s").agg(*holders).join(several, "key"))
     alone = usable.where(f"n <= {CROWDED}")
 
     def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -241,22 +249,21 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         if held:
             yield from _expanded(held, length)
 
-    spans = "s1 long, s2 long, lo int, hi int"
-    runs = (
-        alone.select("key", "s", *sid, "least", "most").repartition("key").sortWithinPartitions("key")
-        .mapInArrow(expand, f"{spans}, holder {ranked}")
+    runs = cut_and_release(
+        alone.select("key", piece, "s", "least", "most").repartition("key").sortWithinPartitions("key")
+        .mapInArrow(expand, f"key long, piece long, lo int, hi int, holder {ranked}")
     )
     strings = usable.where(f"n > {CROWDED}").select(
-        *sid, "least", "most", F.posexplode(F.transform(F.sequence(F.lit(1), F.octet_length("s") - (length - 1)), lambda i: F.substring(F.col("s"), i, F.lit(length)))).alias("lo", "g")
+        "key", piece, "least", "most", F.posexplode(F.transform(F.sequence(F.lit(1), F.octet_length("s") - (length - 1)), lambda i: F.substring(F.col("s"), i, F.lit(length)))).alias("lo", "g")
     )
     smallest = strings.groupBy("g").agg(F.min("least").alias("holder"), F.max("most").alias("top")).where("holder < top")
-    single = strings.join(smallest, "g").where("holder < most").select("s1", "s2", "lo", F.col("lo").alias("hi"), "holder")
-    all_runs = runs.unionByName(single)
+    single = cut_and_release(strings.join(smallest, "g").where("holder < most").select("key", "piece", "lo", F.col("lo").alias("hi"), "holder"))
+    all_runs = one.unionByName(runs).unionByName(single)
 
-    places = named.select("id", "print", "start", *sid).join(all_runs, ["s1", "s2"]).where(_rank(F.col("id")) > F.col("holder"))
+    places = named.select("id", "print", "start", "key", piece).join(all_runs, ["key", "piece"]).where(_rank(F.col("id")) > F.col("holder"))
     cuts = places.select("id", F.struct("print", (F.col("start") + F.col("lo")).alias("a"), (F.col("start") + F.col("hi") + length).alias("b")).alias("c"))
     cuts = cuts.unionByName(copies.select("id", F.struct("print", F.lit(0).alias("a"), F.col("n").alias("b")).alias("c")))
-    cuts = cuts.groupBy(F.col("id").alias("_id")).agg(F.collect_list("c").alias("cuts"))
+    cuts = cut_and_release(cuts.groupBy(F.col("id").alias("_id")).agg(F.collect_list("c").alias("cuts")))
     joined = rows.join(cuts, rows["id"].eqNullSafe(cuts["_id"]), "left").select("id", "text", "print", "cuts")
 
     def cut(batch: pa.RecordBatch) -> pa.RecordBatch:
@@ -306,7 +313,7 @@ def _expanded(held: list[pa.RecordBatch], length: int) -> Iterator[pa.RecordBatc
         take = pa.array(row, pa.int32())
         kind = block.schema.field("least").type
         yield pa.RecordBatch.from_arrays(
-            [block.column("s1").combine_chunks().take(take), block.column("s2").combine_chunks().take(take), pa.array(lo, pa.int32()), pa.array(hi, pa.int32()),
+            [block.column("key").combine_chunks().take(take), block.column("piece").combine_chunks().take(take), pa.array(lo, pa.int32()), pa.array(hi, pa.int32()),
              pa.array([{"known": ordered[x][0], "id": ordered[x][1]} for x in holder], kind)],
-            ["s1", "s2", "lo", "hi", "holder"],
+            ["key", "piece", "lo", "hi", "holder"],
         )

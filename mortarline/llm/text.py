@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import gc
 import hashlib
 import re
 from collections.abc import Callable, Iterator
@@ -44,6 +43,10 @@ def by_batch(fn: Callable[[pa.RecordBatch], pa.RecordBatch | None]) -> Callable:
     return run
 
 
+#: Setting by which Spark removes the shuffle files of a query when it ends.
+RELEASE = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def sha_hex(data: bytes) -> str:
     return hashlib.sha256(data).hexdigest()
 
@@ -51,12 +54,19 @@ def sha_hex(data: bytes) -> str:
 def cut_and_release(df: DataFrame) -> DataFrame:
     """``cut_lineage``, and let go of the shuffle files that only the written rows needed.
 
-    Spark removes them once the driver has collected the objects that stand for them as garbage, which
-    a driver with little to do may put off until the disks of the executors are full.
+    Spark removes them at the end of the write.  Without ``RELEASE`` it does so once the driver has collected the objects
+    that stand for them as garbage, which a driver with little to do may put off until the disks of the executors are full.
     """
-    out = cut_lineage(df)
-    gc.collect()
-    df.sparkSession.sparkContext._jvm.System.gc()
+    conf = df.sparkSession.conf
+    before = conf.get(RELEASE, None)
+    conf.set(RELEASE, "true")
+    try:
+        out = cut_lineage(df)
+    finally:
+        if before is None:
+            conf.unset(RELEASE)
+        else:
+            conf.set(RELEASE, before)
     return out
 
 

@@ -82,3 +82,14 @@ def test_groups_are_equal_strings():
                 strings.setdefault(g, set()).add(text[p : p + 10])
         assert all(len(v) == 1 for v in strings.values())
         assert len(strings) == len({next(iter(v)) for v in strings.values()})
+
+
+def test_shuffle_files_go_at_the_end_of_each_step(spark, monkeypatch):
+    import mortarline.llm.text as text
+
+    seen = []
+    monkeypatch.setattr(text, "cut_lineage", lambda df: seen.append(spark.conf.get(text.RELEASE, None)) or df)
+    before = spark.conf.get(text.RELEASE, None)
+    remove_repeats(spark.createDataFrame([(1, "a" * 60), (2, "b" + "a" * 70)], "doc_id long, text string"))
+    assert seen and set(seen) == {"true"}
+    assert spark.conf.get(text.RELEASE, None) == before
