@@ -15,6 +15,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,6 +24,8 @@ from mortarline.llm.text import mixed
 FIRST, MARK, KNOWN = 0, 1, 2
 #: Bits per digest in each filter, and positions set for it.
 BITS, PROBES = 16, 2
+#: Digests that go into a packed batch.
+PACK = 1 << 20
 #: Digests in a part of a filter that the driver hands out, and in all parts before further ones make them fuller instead of more.
 PART, MOST = 1 << 20, 1 << 24
 
@@ -106,21 +109,24 @@ def digest_rows(ids: pa.Array, digests: list[np.ndarray], segments: int) -> Iter
 
 
 def suspected(docs: DataFrame, digest: Callable[[pa.RecordBatch], list[np.ndarray]], id_col: str) -> DataFrame:
-    """Rows (id, hashes): digests of a document that may occur in another, in one or more rows.
+    """Rows (bucket, ids, counts, hashes) for ``per_document``: digests of documents that may occur in another one.
 
+    A row holds what a task found for the documents of a bucket, as a row for each document and segment would be many.
     ``digest`` gives each row of a batch its distinct digests (uint64).  Ids may be null.  Rows that
     share an id count as different documents here; what confirms suspects decides.
     """
     spark = docs.sparkSession
     segments = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     id_type = docs.schema[id_col].dataType.simpleString()
+    bucket = F.pmod(F.xxhash64(id_col), F.lit(segments // 4)).cast("int")
+    docs = docs.withColumn(id_col, F.struct(bucket.alias("bucket"), F.col(id_col).alias("id")))
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield from digest_rows(batch.column(id_col), digest(batch), segments)
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept, marks = [], []
+        kept, marks, own, size = [], [], [], 0
         for batch in batches:
             kinds = np.asarray(batch.column("kind"))
             for kind, keep in ((FIRST, kept), (MARK, marks)):
@@ -128,12 +134,14 @@ def suspected(docs: DataFrame, digest: Callable[[pa.RecordBatch], list[np.ndarra
                     keep.append(batch.filter(pa.array(kinds == kind)))
             known = batch.filter(pa.array(kinds == KNOWN))
             if known.num_rows:
-                yield from _by_document(known, None)
+                own.append(_by_document(known, None))
+                size += len(own[-1][2])
+            if size > PACK:
+                yield _packed(own)
+                own, size = [], 0
         firsts = [np.asarray(b.column("hashes").flatten()).view(np.uint64) for b in kept]
         seen = [np.asarray(b.column("hashes").flatten()).view(np.uint64) for b in marks]
         n = sum(map(len, firsts)) + sum(map(len, seen))
-        if not n:
-            return
         once, twice = Bloom(n), Bloom(n)
         for h in seen:
             once.add(h)
@@ -144,13 +152,20 @@ def suspected(docs: DataFrame, digest: Callable[[pa.RecordBatch], list[np.ndarra
             twice.add(h[once.has(h) | (count > 1)])
             once.add(h)
         for batch in kept:
-            yield from _by_document(batch, twice)
+            own.append(_by_document(batch, twice))
+            size += len(own[-1][2])
+            if size > PACK:
+                yield _packed(own)
+                own, size = [], 0
+        if size:
+            yield _packed(own)
 
-    sent = docs.mapInArrow(send, f"seg int, kind int, hashes array<bigint>, ids array<{id_type}>, counts array<int>")
-    return sent.repartition("seg").mapInArrow(meet, f"id {id_type}, hashes array<bigint>")
+    sent = docs.mapInArrow(send, f"seg int, kind int, hashes array<bigint>, ids array<struct<bucket:int,id:{id_type}>>, counts array<int>")
+    return sent.repartition("seg").mapInArrow(meet, f"bucket int, ids array<{id_type}>, counts array<int>, hashes array<bigint>")
 
 
-def _by_document(batch: pa.RecordBatch, twice: Bloom | None) -> Iterator[pa.RecordBatch]:
+def _by_document(batch: pa.RecordBatch, twice: Bloom | None) -> tuple[pa.Array, np.ndarray, np.ndarray]:
+    """(ids, counts, hashes) of the digests that pass the filter."""
     hashes = np.asarray(batch.column("hashes").flatten())
     counts = np.asarray(batch.column("counts").flatten()).astype(np.int64)
     ids = batch.column("ids").flatten()
@@ -158,14 +173,50 @@ def _by_document(batch: pa.RecordBatch, twice: Bloom | None) -> Iterator[pa.Reco
     if twice is not None:
         keep = twice.has(hashes.view(np.uint64))
         hashes, run = hashes[keep], run[keep]
-    if len(run):
-        starts, n = _runs(run)
-        yield pa.RecordBatch.from_arrays([ids.take(pa.array(run[starts])), _lists(pa.array(hashes), n)], ["id", "hashes"])
+    starts, n = _runs(run)
+    return ids.take(pa.array(run[starts])), n, hashes
+
+
+def _by_key(key: np.ndarray, counts: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(order of the runs by key, first run and number of runs of each key, hashes in that order)."""
+    order = np.argsort(key, kind="stable")
+    begin, n = _runs(key[order])
+    c = counts[order]
+    at = np.repeat((np.cumsum(counts) - counts)[order] - (np.cumsum(c) - c), c) + np.arange(int(c.sum()))
+    return order, begin, n, hashes[at]
+
+
+def _packed(own: list[tuple[pa.Array, np.ndarray, np.ndarray]]) -> pa.RecordBatch:
+    ids, counts, hashes = pa.concat_arrays([x[0] for x in own]), np.concatenate([x[1] for x in own]), np.concatenate([x[2] for x in own])
+    bucket = ids.field("bucket").to_numpy()
+    order, begin, n, hashes = _by_key(bucket, counts, hashes)
+    counts = counts[order]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(bucket[order][begin], pa.int32()), _lists(ids.field("id").take(pa.array(order)), n),
+         _lists(pa.array(counts, pa.int32()), n), _lists(pa.array(hashes), np.add.reduceat(counts, begin))],
+        ["bucket", "ids", "counts", "hashes"],
+    )
 
 
 def per_document(found: DataFrame) -> DataFrame:
     """One row (id, hashes) per id, with all digests that are suspected for it."""
-    return found.groupBy("id").agg(F.flatten(F.collect_list("hashes")).alias("hashes"))
+    id_type = found.schema["ids"].dataType.elementType.simpleString()
+
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = [
+            (b.column("ids").flatten(), np.asarray(b.column("counts").flatten()).astype(np.int64), np.asarray(b.column("hashes").flatten()))
+            for b in batches if b.num_rows
+        ]
+        if not own:
+            return
+        ids, counts = pa.concat_arrays([x[0] for x in own]), np.concatenate([x[1] for x in own])
+        code = pc.dictionary_encode(ids, null_encoding="encode").indices.to_numpy()
+        order, begin, _, hashes = _by_key(code, counts, np.concatenate([x[2] for x in own]))
+        yield pa.RecordBatch.from_arrays(
+            [ids.take(pa.array(order[begin])), _lists(pa.array(hashes), np.add.reduceat(counts[order], begin))], ["id", "hashes"]
+        )
+
+    return found.repartition("bucket").mapInArrow(unpack, f"id {id_type}, hashes array<bigint>")
 
 
 def likely_among(rows: DataFrame, keys: DataFrame, name: str) -> DataFrame:

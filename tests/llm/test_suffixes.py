@@ -93,3 +93,17 @@ def test_shuffle_files_go_at_the_end_of_each_step(spark, monkeypatch):
     remove_repeats(spark.createDataFrame([(1, "a" * 60), (2, "b" + "a" * 70)], "doc_id long, text string"))
     assert seen and set(seen) == {"true"}
     assert spark.conf.get(text.RELEASE, None) == before
+
+
+def test_suspects_travel_packed_not_by_document_and_segment(spark):
+    from mortarline.llm.suspects import per_document, suspected
+
+    ids = [*range(300), None]
+    docs = spark.createDataFrame([(i,) for i in ids], "id long").repartition(4)
+    digest = lambda batch: [np.unique(np.append(np.arange(50, dtype=np.uint64) * 977, 10**9 + (x or 7))).astype(np.uint64) for x in batch.column("id").field("id").to_pylist()]
+    packed = suspected(docs, digest, "id")
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert packed.count() <= buckets * buckets
+    rows = per_document(packed).collect()
+    assert len(rows) == len(ids) and {r["id"] for r in rows} == set(ids)
+    assert all({x * 977 for x in range(50)} <= set(r["hashes"]) and len(r["hashes"]) <= 51 for r in rows)
