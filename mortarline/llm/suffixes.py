@@ -29,8 +29,8 @@ from mortarline.llm.text import by_batch, cut_and_release, mixed
 STRETCH = 64
 #: Stretches of an anchor beyond which its strings are dealt out one by one.
 CROWDED = 256
-#: Bytes put together in one transform.
-BLOCK = 1 << 20
+#: Bytes put together in one transform, whose arrays of numbers should stay in the cache of a core.
+BLOCK = 1 << 17
 
 _FACTORS = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9))
 
