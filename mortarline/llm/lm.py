@@ -7,8 +7,9 @@ most frequent ones, reaches the driver.
 
 Growth.  The head of a corpus of N tokens has ``HEAD_SHARE * N ** HEAD_POWER`` words, all of them if it has fewer:
 about 7,000 for 135 million tokens, under a million for 2.6e13.  The vocabulary of a text grows faster than that, so
-a word of the head is always met often enough to be learned.  A head of W words has about sqrt(W) classes of
-sqrt(W) words, so a token costs 2 * sqrt(W) outputs, and all parameters together take about 100 * W bytes in a task.
+a word of the head is always met often enough to be learned.  A head of W words has about sqrt(W) / 2 classes, the first
+of few frequent words and the last of 4 * sqrt(W) rare ones, so that a token costs under 2 * sqrt(W) outputs in the mean (103 on
+135 million tokens), and all parameters together take about 100 * W bytes in a task.
 
 Model.  A gated recurrent unit reads words; its output goes through a softmax over classes and one over the
 words of a class, both by frequency.  Rarer and unknown words are the last class and
@@ -44,6 +45,8 @@ LANES, WINDOW, ROUNDS, RATE = 256, 32, 2, 0.01
 BLOCK = 2048
 #: Lanes in scoring, where they only share the cost of a step: the state of a document is its own.
 SCORE_LANES = 1024
+#: Places of a window in scoring, where the state is carried on, so that few lanes take more steps.
+SCORE_PLACES = 1 << 15
 #: Tasks' parameters are added up in so many tasks before they reach the driver.
 SUMMERS = 8
 
@@ -162,163 +165,176 @@ def shape_of(words: int) -> tuple[int, int]:
     return max(1, -(-words // slots)), slots
 
 
+def class_bounds(words: int) -> np.ndarray:
+    """First word of each class, and the end.  Sizes grow with the rank of their words, as frequent ones are met most."""
+    classes = -(-shape_of(words)[0] // 2)
+    return np.round(words * (np.arange(classes + 1) / classes) ** 2).astype(np.int64)
+
+
 def initial(counts: np.ndarray, total: int, seed: int = 1) -> dict[str, np.ndarray]:
     """Small random parameters whose biases already give the probabilities of the head's counts."""
     rng = np.random.default_rng(seed)
     f = np.float32
-    classes, slots = shape_of(len(counts))
-    head = classes * slots
-    filled = np.zeros(head)
-    filled[: len(counts)] = counts
-    sums = np.append(filled.reshape(classes, slots).sum(1), max(total - filled.sum(), 0.5))
-    share = filled / np.repeat(np.maximum(sums[:-1], 1), slots)
-    words = np.where(filled > 0, np.log(np.maximum(share, 1e-12)), -30.0).reshape(classes, slots)
+    head = len(counts)
+    bounds = class_bounds(head)
+    filled = np.asarray(counts, np.float64)
+    sums = np.append(np.add.reduceat(filled, bounds[:-1]), max(total - filled.sum(), 0.5))
+    share = filled / np.repeat(np.maximum(sums[:-1], 1), np.diff(bounds))
+    words = np.where(filled > 0, np.log(np.maximum(share, 1e-12)), -30.0)
     return {
         "e": rng.normal(0, 0.3, (head + 1, HIDDEN)).astype(f), "w": rng.normal(0, 0.25, (HIDDEN, 3 * HIDDEN)).astype(f),
         "u": rng.normal(0, 0.25, (HIDDEN, 3 * HIDDEN)).astype(f), "b": np.zeros(3 * HIDDEN, f),
-        "c": np.zeros((classes + 1, HIDDEN), f), "cb": np.where(sums > 0, np.log(np.maximum(sums, 0.5) / sums.sum()), -30.0).astype(f),
-        "d": np.zeros((classes, slots, HIDDEN), f), "db": words.astype(f),
+        "c": np.zeros((len(bounds), HIDDEN), f), "cb": np.where(sums > 0, np.log(np.maximum(sums, 0.5) / sums.sum()), -30.0).astype(f),
+        "d": np.zeros((head, HIDDEN), f), "db": words.astype(f),
     }
 
 
 def tail_of(p: dict) -> int:
-    """Id of the words beyond the head: the one after the last place of the last class."""
+    """Id of the words beyond the head: the one after the last word of the last class."""
     return p["db"].size
 
 
-def _sigmoid(x):
-    """The sigmoid, in the place of ``x``."""
-    x *= np.float32(0.5)
+def _half_sigmoid(x):
+    """The sigmoid of twice ``x``, in its place."""
     np.tanh(x, out=x)
     x *= np.float32(0.5)
     x += np.float32(0.5)
 
 
-def _softmax(x):
-    """(exponentials, in the place of ``x``; their row sums); biases keep the values near log probabilities, so none overflow."""
-    e = np.exp(np.minimum(x, np.float32(60), out=x), out=x)
-    return e, e @ np.ones(e.shape[1], np.float32)
+def _rows_added(at: np.ndarray, values: np.ndarray, rows: int) -> np.ndarray:
+    """Sums of the columns of ``values`` by their place ``at``, as rows."""
+    out = np.empty((rows, len(values)), np.float32)
+    for i, c in enumerate(values):
+        out[:, i] = np.bincount(at, weights=c, minlength=rows)
+    return out
 
 
-def _rows_added(at: np.ndarray, values: np.ndarray, rows: int) -> np.ndarray:
-    """Sums of the rows of ``values`` by their place ``at``."""
-    return np.stack([np.bincount(at, weights=c, minlength=rows) for c in values.T], axis=1).astype(np.float32)
+#: Values up to which exponentials are sure not to overflow.
+_SAFE = np.float32(60)
+
+
+def _bounded(weights: np.ndarray) -> np.ndarray:
+    """Whether no state, whose parts lie between -1 and 1, can make a value above ``_SAFE``, for each row of ``weights``."""
+    return np.abs(weights[:, :-1]) @ np.ones(weights.shape[1] - 1, np.float32) + weights[:, -1] <= _SAFE
 
 
 def window_pass(p: dict, x: np.ndarray, y: np.ndarray, fresh: np.ndarray, h: np.ndarray, learn: bool):
     """(natural log probabilities of ``y``, last state, gradients or None) over one window.
 
     Arrays are (steps, lanes): inputs, targets (-1: none) and where a document begins.  The state ``h`` comes
-    from the window before; gradients do not go back beyond this window.
+    from the window before; gradients do not go back beyond this window.  Lanes are the last axis of all that
+    a step computes, so that its parts are whole rows.
     """
     steps, lanes = x.shape
     hid = HIDDEN
-    classes, slots = p["db"].shape
-    ones = np.ones((max(steps * lanes, len(p["e"])), 1), np.float32)
-    emb = p["e"][x].reshape(-1, hid)
-    gx = np.matmul(emb, p["w"])
-    gx += p["b"]
-    gx = gx.reshape(steps, lanes, 3 * hid)
-    out = np.empty((steps, lanes, hid), np.float32)
-    saved = []
-    begins = fresh.any(axis=1)
-    keep = (1.0 - fresh).astype(np.float32)[:, :, None]
+    # a sigmoid is a hyperbolic tangent of half the value
+    half = np.repeat(np.array([0.5, 0.5, 1], np.float32), hid)[:, None]
+    w_half, u_half = p["w"].T * half, p["u"].T * half
+    emb = p["e"][x]
+    gx = np.matmul(w_half, emb.transpose(0, 2, 1))
+    gx += p["b"][:, None] * half
+    out = np.empty((steps, hid, lanes), np.float32)
+    before, gates, ghn, new = (np.empty((steps, n, lanes), np.float32) for n in (hid, 2 * hid, hid, hid)) if learn else [None] * 4
+    begins = fresh.any(axis=1).tolist()
+    keep = (1.0 - fresh).astype(np.float32)
+    h = np.ascontiguousarray(h.T)
     for t in range(steps):
         h0 = h * keep[t] if begins[t] else h
-        gh = h0 @ p["u"]
-        zr = gx[t, :, : 2 * hid] + gh[:, : 2 * hid]
-        _sigmoid(zr)
-        n = zr[:, hid:] * gh[:, 2 * hid :]
-        n += gx[t, :, 2 * hid :]
+        gh = u_half @ h0
+        zr = gx[t, : 2 * hid]
+        zr += gh[: 2 * hid]
+        _half_sigmoid(zr)
+        n = zr[hid:] * gh[2 * hid :]
+        n += gx[t, 2 * hid :]
         np.tanh(n, out=n)
         h = np.subtract(h0, n, out=out[t])
-        h *= zr[:, :hid]
+        h *= zr[:hid]
         h += n
         if learn:
-            saved.append((h0, gh[:, 2 * hid :], zr, n))
-    h = h.copy()
+            before[t], gates[t], ghn[t], new[t] = h0, zr, gh[2 * hid :], n
+    h = h.T.copy()
     flat_y = y.ravel()
     at = np.flatnonzero(flat_y >= 0)
     goal = flat_y[at]
-    kind, slot = goal // slots, goal % slots
-    # by class, so that the rows of one lie together; a bias is the weight of a column of ones
-    order = np.argsort(kind.astype(np.int16), kind="stable")
+    bounds = class_bounds(tail_of(p))
+    classes = len(bounds) - 1
+    kind = np.repeat(np.arange(classes + 1, dtype=np.int16 if classes < 1 << 15 else np.int32), np.append(np.diff(bounds), 1))[goal]
+    slot = goal - bounds[kind]
+    # by class, so that the columns of one lie together; a bias is the weight of a row of ones
+    order = np.argsort(kind, kind="stable")
     at, kind, slot = at[order], kind[order], slot[order]
-    states = np.concatenate([out.reshape(-1, hid)[at], ones[: len(at)]], axis=1)
+    states = np.ones((hid + 1, len(at)), np.float32)
+    states[:hid] = out.transpose(1, 0, 2).reshape(hid, -1)[:, at]
     share = np.float32(1.0 / max(1, len(goal)))
     outer = np.concatenate([p["c"], p["cb"][:, None]], axis=1)
-    inner = np.concatenate([p["d"], p["db"][:, :, None]], axis=2)
-    found = np.zeros(len(goal))
-    d_states = np.zeros((len(goal), hid), np.float32) if learn else None
-    g = {k: np.zeros_like(v) for k, v in p.items()} if learn else None
-
-    def softmaxed(weights: np.ndarray, lo: int, hi: int, wanted: np.ndarray) -> np.ndarray | None:
-        """Adds the log probabilities of the ``wanted`` outputs of rows lo to hi; the weights' gradients, if learning."""
-        own = states[lo:hi]
-        values = own @ weights.T
-        rows = np.arange(hi - lo)
-        picked = values[rows, wanted]
-        exps, sums = _softmax(values)
-        found[lo:hi] += picked - np.log(sums)
-        if not learn:
-            return None
-        exps *= (share / sums)[:, None]
-        exps[rows, wanted] -= share
-        d_states[lo:hi] += exps @ weights[:, :hid]
-        return exps.T @ own
-
-    total = np.zeros_like(outer)
-    for lo in range(0, len(goal), BLOCK):
-        d = softmaxed(outer, lo, min(lo + BLOCK, len(goal)), kind[lo : lo + BLOCK])
-        if learn:
-            total += d
-    if learn:
-        g["c"], g["cb"] = total[:, :hid], total[:, hid]
-    cuts = np.searchsorted(kind, np.arange(classes + 1))
-    for k in np.flatnonzero(cuts[1:] > cuts[:-1]).tolist():
-        total = None
-        for lo in range(cuts[k], cuts[k + 1], BLOCK):
-            hi = min(lo + BLOCK, cuts[k + 1])
-            d = softmaxed(inner[k], lo, hi, slot[lo:hi])
+    inner = np.concatenate([p["d"], p["db"][:, None]], axis=1)
+    # the first row is for classes, the second for words of a class; the words beyond have none
+    picked, sums = np.zeros((2, len(goal)), np.float32), np.ones((2, len(goal)), np.float32)
+    d_states = np.zeros((hid, len(goal)), np.float32) if learn else None
+    d_outer, d_inner = np.zeros_like(outer), np.zeros_like(inner)
+    columns, ones = np.arange(BLOCK), np.ones(max(classes + 1, int(np.diff(bounds).max())), np.float32)
+    bounded = bool(_bounded(outer).all() and _bounded(inner).all())
+    cuts = np.searchsorted(kind, np.arange(classes + 1)).tolist()
+    words = [slice(a, b) for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)]
+    parts = [(0, outer, d_outer, kind, 0, len(goal))]
+    parts += [(1, inner[words[k]], d_inner[words[k]], slot, cuts[k], cuts[k + 1]) for k in range(classes) if cuts[k + 1] > cuts[k]]
+    for row, weights, total, wanted, begin, end in parts:
+        back = weights[:, :hid].T
+        for lo in range(begin, end, BLOCK):
+            hi = min(lo + BLOCK, end)
+            own = states[:, lo:hi]
+            exps = weights @ own
+            at_goal = wanted[lo:hi], columns[: hi - lo]
+            picked[row, lo:hi] = exps[at_goal]
+            if not bounded:
+                np.minimum(exps, _SAFE, out=exps)
+            np.exp(exps, out=exps)
+            own_sums = np.matmul(ones[: len(exps)], exps, out=sums[row, lo:hi])
             if learn:
-                total = d if total is None else total + d
-        if learn:
-            g["d"][k], g["db"][k] = total[:, :hid], total[:, hid]
+                # gradients are these less the sums at the goals, scaled column by column
+                exps[at_goal] -= own_sums
+                scale = share / own_sums
+                total += exps @ (own * scale).T
+                d = back @ exps
+                d *= scale
+                d_states[:, lo:hi] += d
+    found = (picked - np.log(sums)).sum(axis=0, dtype=np.float64)
     result = np.zeros(flat_y.shape)
     result[at] = found
     if not learn:
         return result.reshape(y.shape), h, None
-    d_out = np.zeros((steps * lanes, hid), np.float32)
-    d_out[at] = d_states
-    d_out = d_out.reshape(steps, lanes, hid)
-    d_gx = np.empty_like(gx)
-    d_next = np.zeros((lanes, hid), np.float32)
-    u_back = np.ascontiguousarray(p["u"].T)
+    g = {"c": d_outer[:, :hid], "cb": d_outer[:, hid], "d": d_inner[:, :hid], "db": d_inner[:, hid]}
+    d_out = np.zeros((hid, steps * lanes), np.float32)
+    d_out[:, at] = d_states
+    d_out = np.ascontiguousarray(d_out.reshape(hid, steps, lanes).transpose(1, 0, 2))
+    # what the gradient of a state is multiplied by, for all steps at once
+    gate = gates * (1 - gates)
+    z, r = gates[:, :hid], gates[:, hid:]
+    to_z = (before - new) * gate[:, :hid]
+    to_r = ghn * gate[:, hid:]
+    to_n = (1 - z) * (1 - new * new)
+    # the gradients of ``gh``'s last third, of the two gates, and of ``gx``'s last third
+    d = np.empty((steps, 4 * hid, lanes), np.float32)
+    d_next = np.zeros((hid, lanes), np.float32)
+    u_back = np.concatenate([p["u"][:, 2 * hid :], p["u"][:, : 2 * hid]], axis=1)
     for t in range(steps - 1, -1, -1):
-        h0, ghn, zr, n = saved[t]
-        z, r = zr[:, :hid], zr[:, hid:]
-        dh = d_out[t]
+        dh, own = d_out[t], d[t]
         dh += d_next
-        d = d_gx[t]
-        gate = 1 - zr
-        dn = dh * gate[:, :hid]
-        dn *= 1 - n * n
-        gate *= zr
-        np.multiply(dh, h0 - n, out=d[:, :hid])
-        np.multiply(dn, ghn, out=d[:, hid : 2 * hid])
-        d[:, : 2 * hid] *= gate
-        d[:, 2 * hid :] = dn
-        d_gh = d.copy()
-        d_gh[:, 2 * hid :] *= r
-        g["u"] += h0.T @ d_gh
-        d_next = d_gh @ u_back
-        dh *= z
+        dn = np.multiply(dh, to_n[t], out=own[3 * hid :])
+        np.multiply(dh, to_z[t], out=own[hid : 2 * hid])
+        np.multiply(dn, to_r[t], out=own[2 * hid : 3 * hid])
+        np.multiply(dn, r[t], out=own[:hid])
+        d_next = u_back @ own[: 3 * hid]
+        dh *= z[t]
         d_next += dh
         if begins[t]:
             d_next *= keep[t]
-    flat = d_gx.reshape(-1, 3 * hid)
-    g["w"], g["b"] = emb.T @ flat, ones[: len(flat), 0] @ flat
-    g["e"] = _rows_added(x.ravel(), flat @ p["w"].T, len(p["e"]))
+    du = np.matmul(before, d[:, : 3 * hid].transpose(0, 2, 1)).sum(axis=0)
+    g["u"] = np.concatenate([du[:, hid:], du[:, :hid]], axis=1)
+    gx_back = d[:, hid:]
+    g["w"], g["b"] = np.matmul(gx_back, emb).sum(axis=0).T, gx_back.sum(axis=(0, 2))
+    d_emb = np.matmul(p["w"], gx_back).transpose(1, 0, 2).reshape(hid, -1)
+    g["e"] = _rows_added(x.ravel(), d_emb, len(p["e"]))
     return result.reshape(y.shape), h, g
 
 
@@ -340,10 +356,11 @@ class Adam:
             p[k] -= rate * self.m[k] / (np.sqrt(self.v[k]) + np.float32(1e-6))
 
 
-def lanes_of(docs: list[np.ndarray], most: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
+def lanes_of(docs: list[np.ndarray], most: int, full: int = 0) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]:
     """Windows (inputs, targets, fresh, document) over whole documents laid end to end in lanes.
 
-    A document is read from the end token on, so its first input is that token with no state.
+    A document is read from the end token on, so its first input is that token with no state.  A window has
+    ``WINDOW`` steps, or as many more as its lanes need for ``full`` places.
     """
     lanes = min(most, len(docs))
     lengths = np.fromiter(map(len, docs), np.int64, len(docs))
@@ -365,10 +382,13 @@ def lanes_of(docs: list[np.ndarray], most: int) -> Iterator[tuple[np.ndarray, np
         y[:n, i], doc[:n, i] = stream, np.repeat(own, lengths[own])
         x[1:n, i] = stream[:-1]
         x[begins, i], fresh[begins, i] = END, True
-    for begin in range(0, longest, WINDOW):
+    begin = 0
+    while begin < longest:
         live = int((loads > begin).sum())  # lanes are in order of length, so the finished ones are the last
-        part = slice(begin, begin + WINDOW), slice(0, live)
+        end = begin + max(WINDOW, full // live)
+        part = slice(begin, end), slice(0, live)
         yield x[part], y[part], fresh[part], doc[part]
+        begin = end
 
 
 #: The end token is always the first word of the head.
@@ -403,7 +423,7 @@ def score_of(p: dict, docs: list[np.ndarray]) -> np.ndarray:
     """Natural log probability of each document's classes and head words, over the whole document."""
     total = np.zeros(len(docs))
     h = None
-    for x, y, fresh, doc in lanes_of(docs, SCORE_LANES):
+    for x, y, fresh, doc in lanes_of(docs, SCORE_LANES, SCORE_PLACES):
         h = np.zeros((x.shape[1], HIDDEN), np.float32) if h is None else h[: x.shape[1]]
         logs, h, _ = window_pass(p, x, y, fresh, h, learn=False)
         total += np.bincount(doc.ravel(), weights=logs.ravel(), minlength=len(docs))

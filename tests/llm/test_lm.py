@@ -168,3 +168,40 @@ def test_scoring_takes_more_lanes_than_training(monkeypatch):
     assert np.allclose(lm.score_of(p, docs), wide, rtol=1e-6)
     assert max(widths) == len(docs) > lm.LANES  # a step costs calls, not lanes, so few windows are cheaper
     assert np.allclose([lm.score_of(p, [d])[0] for d in docs[:20]], wide[:20], rtol=1e-6)
+
+
+def test_frequent_words_are_in_small_classes():
+    for words in (1, 2, 3, 10, 640, 7152, 500_000):
+        bounds = lm.class_bounds(words)
+        sizes = np.diff(bounds)
+        assert bounds[0] == 0 and bounds[-1] == words and sizes.min() > 0 and len(sizes) <= math.isqrt(words) // 2 + 1
+        assert sizes.max() <= 4 * math.sqrt(words) + 4
+    counts = 1 / np.arange(3.0, 7155)
+    sizes = np.diff(lm.class_bounds(len(counts)))
+    outputs = len(sizes) + 1 + (np.add.reduceat(counts, np.cumsum(sizes) - sizes) * sizes).sum() / counts.sum()
+    assert outputs < 0.75 * 2 * math.sqrt(len(counts))
+    p = lm.initial(np.round(1e6 * counts), int(3e6 * counts.sum()))
+    logs, _, _ = lm.window_pass(p, np.zeros((1, 7153), int), np.arange(7153)[None], np.ones((1, 7153), bool), np.zeros((7153, lm.HIDDEN)), False)
+    assert np.exp(logs).sum() == pytest.approx(1.0, abs=1e-3)
+
+
+def test_few_lanes_are_scored_in_long_windows(monkeypatch):
+    rng = np.random.default_rng(8)
+    p = lm.initial(rng.integers(1, 50, HEAD), 40000)
+    p["c"][:], p["d"][:] = rng.normal(0, 1, p["c"].shape), rng.normal(0, 1, p["d"].shape)
+    docs = [rng.integers(0, lm.tail_of(p) + 1, n) for n in (3000, 2900, 40)]
+    assert [len(x) for x, *_ in lm.lanes_of(docs, 8)] == [lm.WINDOW] * 93 + [24]
+    once, steps = lm.window_pass, []
+    monkeypatch.setattr(lm, "window_pass", lambda p, x, *rest, **more: steps.append(len(x)) or once(p, x, *rest, **more))
+    scores = lm.score_of(p, docs)
+    assert len(steps) == 1
+    monkeypatch.setattr(lm, "SCORE_PLACES", 0)
+    assert np.allclose(lm.score_of(p, docs), scores, rtol=1e-5) and len(steps) == 95
+
+
+def test_values_that_could_overflow_are_bounded():
+    p = lm.initial(np.array([50, 40, 30]), 200)
+    p["cb"][:] = 500
+    args = np.zeros((1, 4), int), np.arange(4)[None], np.ones((1, 4), bool), np.zeros((4, lm.HIDDEN))
+    assert np.isfinite(lm.window_pass(p, *args, False)[0]).all()
+    assert all(np.isfinite(g).all() for g in lm.window_pass(p, *args, True)[2].values())
