@@ -9,7 +9,8 @@ suffixes that agree in n bytes are extended backward by one byte, breadth first,
 exactly n + 1 bytes agree.  The expansion stops at ``length``; what is still together then is one string, and the
 smallest document among its holders keeps it.
 
-An anchor with many different stretches is not put together: its strings are dealt out one by one, each under its own value.
+An anchor with many different stretches is not put together: its strings are dealt out one by one, each by its own
+digest.  They travel packed, as long arrays for each batch and segment of digests.
 """
 
 from __future__ import annotations
@@ -73,6 +74,60 @@ def stretches(data: bytes, length: int) -> tuple[np.ndarray, np.ndarray, np.ndar
     return starts, sizes, a[starts]
 
 
+def string_digests(data: bytes, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """Two digests (uint64) of the string of ``length`` bytes, 8 at least, at each position that has one."""
+    count = len(data) - length + 1
+    eight = np.ndarray((len(data) - 7,), "<u8", buffer=data, strides=(1,))
+    sides = [np.full(count, x, np.uint64) for x in _FACTORS[:2]]
+    for k in [*range(0, length - 8, 8), length - 8]:
+        word = eight[k : k + count].astype(np.uint64)
+        sides = [mixed(h ^ word) * x for h, x in zip(sides, _FACTORS[1:], strict=True)]
+    return mixed(sides[0]), mixed(sides[1])
+
+
+def dealt(batch: pa.RecordBatch, length: int, segments: int) -> pa.RecordBatch:
+    """All strings of the stretches (key, piece, s, least, most) with their offsets, a row of arrays for each segment of digests."""
+    sizes = pc.binary_length(batch.column("s")).to_numpy().astype(np.int64)
+    n = sizes - (length - 1)
+    owner = np.repeat(np.arange(len(n)), n)
+    lo = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+    at = np.repeat(np.cumsum(sizes) - sizes, n) + lo
+    a, b = (h[at] for h in string_digests(b"".join(batch.column("s").to_pylist()), length))
+    seg = (a % np.uint64(segments)).astype(np.int32)
+    order = np.argsort(seg, kind="stable")
+    begin = np.flatnonzero(np.concatenate([[True], np.diff(seg[order]) != 0]))
+    ends = pa.array(np.append(begin, len(order)), pa.int32())
+    own = pa.array(owner[order])
+    columns = [pa.array(a[order].view(np.int64)), pa.array(b[order].view(np.int64)), pa.array(lo[order], pa.int32())]
+    columns += [batch.column(c).take(own) for c in ("key", "piece", "least", "most")]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(seg[order][begin]), *[pa.ListArray.from_arrays(ends, c) for c in columns]], ["seg", "a", "b", "lo", "key", "piece", "least", "most"]
+    )
+
+
+def met(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+    """(key, piece, lo, hi, holder): the strings of ``dealt`` rows that have a smaller holder than their stretch's largest one."""
+    a, b, lo, key, piece, least, most = (
+        pa.concat_arrays([x.column(c).flatten() for x in batches]) for c in ("a", "b", "lo", "key", "piece", "least", "most")
+    )
+    order = np.lexsort((b.to_numpy(), a.to_numpy()))
+    x, y = a.to_numpy()[order], b.to_numpy()[order]
+    begin = np.flatnonzero(np.concatenate([[True], (x[1:] != x[:-1]) | (y[1:] != y[:-1])]))
+    # documents without an id come first
+    ranks = pc.rank(pa.concat_arrays([least.field("id"), most.field("id")]), "ascending", null_placement="at_start", tiebreaker="dense").to_numpy().astype(np.int64)
+    first, last = ranks[: len(order)], ranks[len(order) :]
+    smallest = np.minimum.reduceat(first[order], begin)
+    group = np.repeat(np.arange(len(begin)), np.diff(np.append(begin, len(order))))
+    hit = smallest[group] < last[order]
+    row = pa.array(order[hit])
+    _, example = np.unique(first, return_index=True)
+    of = np.zeros(int(ranks.max()) + 1, np.int64)
+    of[first[example]] = example
+    holder = least.take(pa.array(of[smallest[group][hit]]))
+    lo = lo.take(row)
+    return pa.RecordBatch.from_arrays([key.take(row), piece.take(row), lo, lo, holder], ["key", "piece", "lo", "hi", "holder"])
+
+
 def suffix_order(symbols: np.ndarray, depth: int) -> np.ndarray:
     """Positions by their next ``depth`` symbols or more (0 beyond the end), by prefix doubling."""
     n = len(symbols)
@@ -253,17 +308,26 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         alone.select("key", piece, "s", "least", "most").repartition("key").sortWithinPartitions("key")
         .mapInArrow(expand, f"key long, piece long, lo int, hi int, holder {ranked}")
     )
-    strings = usable.where(f"n > {CROWDED}").select(
-        "key", piece, "least", "most", F.posexplode(F.transform(F.sequence(F.lit(1), F.octet_length("s") - (length - 1)), lambda i: F.substring(F.col("s"), i, F.lit(length)))).alias("lo", "g")
-    )
-    smallest = strings.groupBy("g").agg(F.min("least").alias("holder"), F.max("most").alias("top")).where("holder < top")
-    single = cut_and_release(strings.join(smallest, "g").where("holder < most").select("key", "piece", "lo", F.col("lo").alias("hi"), "holder"))
-    all_runs = one.unionByName(runs).unionByName(single)
-
-    places = named.select("id", "print", "start", "key", piece).join(all_runs, ["key", "piece"]).where(_rank(F.col("id")) > F.col("holder"))
-    cuts = places.select("id", F.struct("print", (F.col("start") + F.col("lo")).alias("a"), (F.col("start") + F.col("hi") + length).alias("b")).alias("c"))
-    cuts = cuts.unionByName(copies.select("id", F.struct("print", F.lit(0).alias("a"), F.col("n").alias("b")).alias("c")))
-    cuts = cut_and_release(cuts.groupBy(F.col("id").alias("_id")).agg(F.collect_list("c").alias("cuts")))
+    segments = 4 * int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    lists = ", ".join(f"{c} array<{t}>" for c, t in (("a", "bigint"), ("b", "bigint"), ("lo", "int"), ("key", "bigint"), ("piece", "bigint"), ("least", ranked), ("most", ranked)))
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [batch for batch in batches if batch.num_rows]
+        if held:
+            yield met(held)
+
+    strings = usable.where(f"n > {CROWDED}").select("key", piece, "s", "least", "most").repartition("key", "piece")
+    strings = strings.mapInArrow(by_batch(lambda batch: dealt(batch, length, segments)), f"seg int, {lists}")
+    single = cut_and_release(strings.repartition("seg").mapInArrow(meet, f"key long, piece long, lo int, hi int, holder {ranked}"))
+    # the runs of a stretch meet its places as one row
+    run = F.struct("holder", "lo", "hi").alias("run")
+    all_runs = one.unionByName(runs).unionByName(single).groupBy("key", "piece").agg(F.min("holder").alias("first"), F.collect_list(run).alias("runs"))
+
+    places = named.select("id", "print", "start", "key", piece).join(all_runs, ["key", "piece"]).where(_rank(F.col("id")) > F.col("first"))
+    mine = F.filter("runs", lambda r: r["holder"] < _rank(F.col("id")))
+    cuts = places.select("id", F.transform(mine, lambda r: F.struct("print", (F.col("start") + r["lo"]).alias("a"), (F.col("start") + r["hi"] + length).alias("b"))).alias("c"))
+    cuts = cuts.unionByName(copies.select("id", F.array(F.struct("print", F.lit(0).alias("a"), F.col("n").alias("b"))).alias("c")))
+    cuts = cut_and_release(cuts.groupBy(F.col("id").alias("_id")).agg(F.flatten(F.collect_list("c")).alias("cuts")))
     joined = rows.join(cuts, rows["id"].eqNullSafe(cuts["_id"]), "left").select("id", "text", "print", "cuts")
 
     def cut(batch: pa.RecordBatch) -> pa.RecordBatch:

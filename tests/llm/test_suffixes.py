@@ -3,6 +3,7 @@
 import random
 
 import numpy as np
+import pyarrow as pa
 
 import mortarline.llm.suffixes as suffixes
 from mortarline.llm.suffixes import common_strings, remove_repeats
@@ -107,3 +108,29 @@ def test_suspects_travel_packed_not_by_document_and_segment(spark):
     rows = per_document(packed).collect()
     assert len(rows) == len(ids) and {r["id"] for r in rows} == set(ids)
     assert all({x * 977 for x in range(50)} <= set(r["hashes"]) and len(r["hashes"]) <= 51 for r in rows)
+
+
+def test_strings_of_crowded_anchors_meet_packed_and_places_by_stretch(spark, monkeypatch):
+    dealt, met, rows = suffixes.dealt, suffixes.met, corpus(random.Random(5))
+    texts = ["q" * 10 + "w" * 51, "w" * 50, "é" * 30, "x" + "w" * 50]
+    least, most = [{"known": k is not None, "id": k} for k in (7, 4, None, 2)], [{"known": True, "id": k} for k in (7, 9, 3, 2)]
+    kind = pa.struct([("known", pa.bool_()), ("id", pa.int64())])
+    batch = pa.RecordBatch.from_arrays(
+        [pa.array([5, 5, 6, 6]), pa.array([1, 2, 3, 4]), pa.array([t.encode() for t in texts]), pa.array(least, kind), pa.array(most, kind)],
+        ["key", "piece", "s", "least", "most"],
+    )
+    parts = [dealt(batch.slice(i, 2), 50, 3) for i in (0, 2)]
+    assert all(p.num_rows <= 3 for p in parts)
+    got = sorted((r["key"], r["piece"], r["lo"], r["hi"], r["holder"]["id"]) for r in met(parts).to_pylist())
+    want = [(5, 1, 10, 10, 2), (5, 1, 11, 11, 2), (5, 2, 0, 0, 2)] + [(6, 3, i, i, None) for i in range(11)]
+    assert got == want
+    monkeypatch.setattr(suffixes, "CROWDED", 1)
+    table = spark.createDataFrame([(str(i) if i is not None else None, t) for i, t in rows], "doc_id string, text string")
+    plans, release = [], suffixes.cut_and_release
+    monkeypatch.setattr(suffixes, "cut_and_release", lambda df: plans.append(df._jdf.queryExecution().analyzed().toString()) or release(df))
+    out = remove_repeats(table, length=24)
+    # no row for each string, and none for each place and run of a stretch
+    assert not any("Generate" in p for p in plans) and any("flatten(collect_list(" in p for p in plans)
+    rank = {None: None} | {str(i): n for n, i in enumerate(sorted({str(i) for i, _ in rows if i is not None}))}
+    want = {(rank_of, *rest) for rank_of, *rest in brute([(None if i is None else rank[str(i)], t) for i, t in rows], 24)}
+    assert {(str(rank[r["id"]]), bytes(r["kept"]), r["n_bytes"], r["n_removed"], r["n_spans"]) for r in out.collect()} == want
