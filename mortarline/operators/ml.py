@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from math import ceil
+from functools import reduce
+from math import ceil, prod
+from operator import or_
 
 import numpy as np
 import pandas as pd
@@ -18,11 +20,14 @@ from pyspark.sql import functions as F
 
 from mortarline.functions.graph import connected_components
 from mortarline.functions.ranks import exact_quantiles
+from mortarline.operators.forest import CELLS, feature_cuts, folded_forest, forest_votes
 from mortarline.session import cut_lineage
 
 EULER = 0.5772156649015329
 #: Training rows of one task of a random forest.
 FOREST_ROWS = 20_000
+#: Training rows up to which a random forest goes over the rows as they are.
+FOREST_FOLD = 20_000
 
 
 def unit_hash(key: Column, seed: int) -> Column:
@@ -93,12 +98,22 @@ def forest_scores(
     train: DataFrame, test: DataFrame, features: Sequence[str], label: str = "label", trees: int = 100, seed: int = 42,
     depth: int = 15,
 ) -> DataFrame:
-    """Random-forest predictions and class-1 probability for ``test``.
+    """Random-forest predictions and the probability of the predicted class for ``test``.
 
-    Every level of every tree goes over all rows, so they are dealt over tasks by their number and not by
-    the size of the file that holds them.
+    Classes are 0, 1 and so on.  Over ``FOREST_FOLD`` training rows are folded into cells of equal bins and label, where
+    the bins allow no more than a task holds, and every tree is grown from the cells.  Else Spark's learner goes over
+    all rows on every level of every tree, so they are dealt over tasks by their number and not by the size of the
+    file that holds them.
     """
-    tasks = ceil(train.count() / FOREST_ROWS)
+    y = F.col(label).cast("double")
+    bad = [F.col(f).isNull() | F.isnan(F.col(f).cast("double")) for f in features] + [y.isNull() | F.isnan(y) | (y < 0) | (y != F.floor(y))]
+    rows, top, wrong = train.agg(F.count(F.lit(1)), F.max(y), F.count_if(reduce(or_, bad))).first()
+    if rows > FOREST_FOLD and not wrong:
+        cut, classes = feature_cuts(train, features), int(top) + 1
+        if prod(len(c) + 1 for c in cut) * classes <= CELLS:
+            forest = folded_forest(train, features, label, classes, cut, trees, seed, depth)
+            return forest_votes(test, features, cut, forest, classes)
+    tasks = ceil(rows / FOREST_ROWS)
     if tasks > 1:
         train = train.select(*features, label).repartition(tasks)
     model = RandomForestClassifier(
