@@ -2,8 +2,8 @@
 
 ``lines`` tables have ``model`` and ``value``; ``placements`` tables have ``model``,
 ``color``, ``x``, ``y``, ``z``, ``rot`` (nine numbers as text) and ``part``.  No operator
-orders or collects a whole model in one task: the finest shuffle key always includes
-the position, the layer or the part.
+orders or collects a whole model in one task, unless it is known to be small: the finest
+shuffle key always includes the position, the layer or the part.
 """
 
 from __future__ import annotations
@@ -18,6 +18,10 @@ from mortarline import dims as D
 
 #: Parts and colours of lines that one task of a validation counts, and tasks over which a model's other lines go.
 TASK_LINES, SPREAD = 400_000, 64
+#: Placements of one task of structural features, and of the largest model that one task takes whole.
+MODEL_ROWS = 500_000
+#: Buckets that models are counted in to find large ones.
+BUCKETS = 65_536
 
 _NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
 
@@ -113,20 +117,62 @@ def validate(lines: DataFrame) -> DataFrame:
     )
 
 
-def structural_features(
-    placements: DataFrame,
-    labels: DataFrame | None = None,
-    models: DataFrame | None = None,
-    y_down: bool = False,
-) -> DataFrame:
-    """Overhang ratio, collisions, height-to-base ratio, layer density and label per model.
+def _large_models(placements: DataFrame) -> tuple[int, list]:
+    """Number of placements, and the models with over ``MODEL_ROWS`` of them.
 
-    A position is supported when the previous occupied layer of its model holds the same
-    (x, z).  Layers run by growing y; ``y_down`` reverses that.  Models listed in
-    ``models`` without placements are kept as zeros.
+    Models are counted in ``BUCKETS`` buckets first, and one by one where a bucket has as many rows as a large model.
     """
-    # a position rounded to one decimal lies in one layer, or in two when it ends in .5
+    bucket = F.pmod(F.xxhash64("model"), F.lit(BUCKETS))
+    counts = placements.groupBy(bucket.alias("b")).agg(F.count(F.lit(1)).alias("n"))
+    rows, full = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.collect_list(F.when(F.col("n") > MODEL_ROWS, F.col("b")))).first()
+    if not full:
+        return rows, []
+    models = placements.where(bucket.isin(full)).groupBy("model").count()
+    return rows, [r["model"] for r in models.where(F.col("count") > MODEL_ROWS).collect()]
+
+
+def _height_to_base(low: str, high: str) -> Column:
+    """Height over the root of the base, from columns named by axis behind ``low`` and ``high``."""
+    side = {c: F.max(f"{high}{c}") - F.min(f"{low}{c}") for c in "xyz"}
+    return side["y"] / F.sqrt(F.greatest(side["x"] * side["z"], F.lit(1.0)))
+
+
+def _whole_models(placements: DataFrame, tasks: int, y_down: bool) -> DataFrame:
+    """Parts, collisions, height to base, layer density and unsupported positions per model, in one shuffle by model.
+
+    In their order by layer and height, rows of one position of a column come one after the other, also where it lies in two layers.
+    """
+    turned = F.desc if y_down else F.asc
+    by_layer = Window.partitionBy("model").orderBy(turned("layer"))
+    ranked = placements.select("model", "x", "y", "z").repartition(tasks, "model").select(
+        "*", F.bround("x", 1).alias("px"), F.bround("y", 1).alias("py"), F.bround("z", 1).alias("pz"), F.bround("y", 0).alias("layer")
+    ).withColumns({"rank": F.dense_rank().over(by_layer), "nth": F.row_number().over(by_layer) - F.rank().over(by_layer)})
+    column = Window.partitionBy("model", "px", "pz").orderBy("step", turned("py"))
+    placed = ranked.withColumn("step", F.when(F.col("layer").isNotNull(), F.col("rank"))).withColumns(
+        {"below": F.lag("step").over(column), "again": (F.row_number().over(column) > 1) & F.lag("py").over(column).eqNullSafe(F.col("py"))}
+    )
+    n, layers = F.count(F.lit(1)), F.max("rank")
+    # the rows of a layer, numbered from 0, make 2 * nth + 1 add up to the square of their number
+    squares = F.sum(2 * F.col("nth").cast("long") + 1)
+    return (
+        placed.groupBy("model")
+        .agg(
+            n.alias("parts"),
+            F.count_if("again").alias("collisions"),
+            _height_to_base("", "").alias("height_to_base"),
+            ((layers * squares - n * n) / (layers.cast("double") * layers)).alias("density"),
+            F.count_if((F.col("step") > 1) & (F.coalesce("below", F.lit(0)) < F.col("step") - 1)).alias("unsupported"),
+            F.count("step").alias("_placed"),
+        )
+        .where(F.col("_placed") > 0)
+        .drop("_placed")
+    )
+
+
+def _spread_models(placements: DataFrame, y_down: bool) -> DataFrame:
+    """The same for models of any size, spread over tasks by position and by layer."""
     layer = F.bround("y", 0)
+    # a position rounded to one decimal lies in one layer, or in two when it ends in .5
     spots = placements.groupBy(
         "model", F.bround("x", 1).alias("px"), F.bround("y", 1).alias("py"), F.bround("z", 1).alias("pz")
     ).agg(
@@ -156,11 +202,10 @@ def structural_features(
             *[(F.min if e.startswith("min") else F.max)(e).alias(e) for e in extents],
         )
     )
-    base = F.greatest((F.max("max_x") - F.min("min_x")) * (F.max("max_z") - F.min("min_z")), F.lit(1.0))
     per_model = layers.groupBy("model").agg(
         F.sum("n").alias("parts"),
         (F.sum("n") - F.sum("spots")).alias("collisions"),
-        ((F.max("max_y") - F.min("min_y")) / F.sqrt(base)).alias("height_to_base"),
+        _height_to_base("min_", "max_").alias("height_to_base"),
         F.var_pop("n").alias("density"),
     )
     by_layer = Window.partitionBy("model").orderBy(F.desc("layer") if y_down else F.asc("layer"))
@@ -179,7 +224,28 @@ def structural_features(
             F.count_if((F.col("step") > 1) & ~(F.coalesce("below", F.lit(-1)) == F.col("step") - 1)).alias("unsupported")
         )
     )
-    out = per_model.join(overhang, "model")
+    return per_model.join(overhang, "model")
+
+
+def structural_features(
+    placements: DataFrame,
+    labels: DataFrame | None = None,
+    models: DataFrame | None = None,
+    y_down: bool = False,
+) -> DataFrame:
+    """Overhang ratio, collisions, height-to-base ratio, layer density and label per model.
+
+    A position is supported when the previous occupied layer of its model holds the same
+    (x, z).  Layers run by growing y; ``y_down`` reverses that.  Models listed in
+    ``models`` without placements are kept as zeros.  Models of up to ``MODEL_ROWS`` placements
+    are each worked out in one task, larger ones are spread.
+    """
+    placements = placements.where(F.col("model").isNotNull())
+    rows, large = _large_models(placements)
+    small = placements.where(~F.col("model").isin(large)) if large else placements
+    out = _whole_models(small, ceil(rows / MODEL_ROWS) or 1, y_down)
+    if large:
+        out = out.unionByName(_spread_models(placements.where(F.col("model").isin(large)), y_down))
     if models is not None:
         out = models.select("model").distinct().join(out, "model", "left")
     if labels is not None:

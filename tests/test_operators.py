@@ -183,6 +183,26 @@ def test_structural_features(spark, seed):
     assert row["layer_density"] == pytest.approx(density, abs=1e-4)
 
 
+@pytest.mark.parametrize("y_down", [False, True])
+def test_models_are_worked_out_in_one_shuffle(spark, monkeypatch, y_down):
+    rng = np.random.default_rng(5)
+    picks = rng.choice([0.0, -0.0, 0.5, 1.5, 2.46, 2.5, 2.54, -0.5, -2.46, None], size=(900, 3))
+    rows = [(f"m{m}" if m else None, *p) for m, p in zip(rng.integers(0, 40, 900).tolist(), picks.tolist())] + [("flat", 1.0, None, 2.0)]
+    df = spark.createDataFrame(rows, "model string, x double, y double, z double").repartition(5)
+    monkeypatch.setattr(B, "MODEL_ROWS", 300)
+    out = B.structural_features(df, y_down=y_down)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange ") == 1 and "Exchange hashpartitioning(model" in plan and ", 4)" in plan
+    got = sorted(map(tuple, out.collect()))
+    assert len(got) == 39 and all(r[0] not in ("flat", None) for r in got)
+    monkeypatch.setattr(B, "BUCKETS", 1)  # a full bucket without a large model
+    assert B._large_models(df.where("model is not null")) == (sum(r[0] is not None for r in rows), [])
+    monkeypatch.setattr(B, "MODEL_ROWS", 22)  # some models are large
+    assert sorted(map(tuple, B.structural_features(df, y_down=y_down).collect())) == got
+    monkeypatch.setattr(B, "MODEL_ROWS", 0.5)  # all models are
+    assert sorted(map(tuple, B.structural_features(df, y_down=y_down).collect())) == got
+
+
 def test_models_without_parts(spark):
     df = spark.createDataFrame([("a", 1.0, 2.0, 3.0)], "model string, x double, y double, z double")
     names = spark.createDataFrame([("a",), ("b",)], "model string")
