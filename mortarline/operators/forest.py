@@ -20,7 +20,7 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 from mortarline.functions.ranks import running_totals
 from mortarline.session import cut_lineage
 
-#: Bins of a feature, as many as Spark's learners have unless told otherwise.
+#: Bins of a feature, as many as Spark's learners have unless told otherwise; a bin is one byte.
 BINS = 32
 #: Cells that one task holds; four features and two classes have no more.
 CELLS = BINS**4 * 2
@@ -83,7 +83,7 @@ def _bins(columns: Sequence[np.ndarray], cut: Sequence[np.ndarray]) -> np.ndarra
 
 def _apart(code: np.ndarray, cut: Sequence[np.ndarray]) -> np.ndarray:
     """Bins of each feature, from the number of their combination."""
-    return np.stack(np.unravel_index(code, [len(c) + 1 for c in cut]), axis=1)
+    return np.stack([b.astype(np.uint8) for b in np.unravel_index(code, [len(c) + 1 for c in cut])], axis=1)
 
 
 def _doubles(batch: pa.RecordBatch, names: Sequence[str]) -> list[np.ndarray]:

@@ -41,7 +41,8 @@ def stratified_split(df: DataFrame, key: str, label: str, share: float = 0.2, se
 
     The cut per class is an order statistic of the hash, so no class is sorted in one task.
     """
-    hashed = df.withColumn("_u", unit_hash(F.col(key), seed))
+    # the one-element explode keeps the hash from being evaluated again per use
+    hashed = df.withColumn("_u", F.explode(F.array(unit_hash(F.col(key), seed))))
     cuts = exact_quantiles(hashed, [label], "_u", {"_cut": share}, method="nearest").select(label, "_cut")
     return hashed.join(cuts, label, "left").withColumn("is_test", F.col("_u") < F.col("_cut")).drop("_u", "_cut")
 
